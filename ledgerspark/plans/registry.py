@@ -70,3 +70,167 @@ def q_cost_analysis(spark, sf_dir):
 @register("mart_variance_analysis", O.sql("SELECT * FROM variance", "variance"))
 def q_variance(spark, sf_dir):
     return L(spark, sf_dir).variance
+
+
+# ---------------------------------------------------------------- measures and projections
+from ledgerspark.operators import measures as M  # noqa: E402
+from ledgerspark.operators import topk as T  # noqa: E402
+from ledgerspark.operators import windows as W  # noqa: E402
+
+
+@register("pnl_crore", O.sql("""SELECT period_month, segment, round(revenue / 10000000, 2) AS revenue_cr,
+  round(cogs / 10000000, 2) AS cogs_cr, round(gross_margin / 10000000, 2) AS gross_margin_cr, gross_margin_pct,
+  round(opex / 10000000, 2) AS opex_cr, round(operating_income / 10000000, 2) AS operating_income_cr,
+  operating_margin_pct, entry_count FROM pnl""", "pnl"))
+def q_pnl_crore(spark, sf_dir):
+    return M.pnl_crore(L(spark, sf_dir).pnl)
+
+
+@register("variance_context", O.sql("""SELECT period_month, segment, revenue_variance_pct, gm_variance_pct,
+  oi_variance_pct, is_material_variance FROM variance""", "variance"))
+def q_variance_context(spark, sf_dir):
+    return M.variance_context(L(spark, sf_dir).variance)
+
+
+@register("revenue_by_segment", O.sql("""SELECT period_month, segment, round(sum(revenue_inr) / 10000000, 2) AS revenue_cr
+FROM revenue_trends GROUP BY period_month, segment""", "revenue_trends"))
+def q_revenue_by_segment(spark, sf_dir):
+    return M.revenue_by_segment(L(spark, sf_dir).revenue_trends)
+
+
+@register("cost_by_type", O.sql("""SELECT period_month, segment, account_type, round(sum(cost_inr) / 10000000, 2) AS cost_cr
+FROM cost_analysis GROUP BY period_month, segment, account_type""", "cost_analysis"))
+def q_cost_by_type(spark, sf_dir):
+    return M.cost_by_type(L(spark, sf_dir).cost_analysis)
+
+
+@register("measures_any_grain", O.sql("""SELECT p.segment, p.total_revenue, p.total_cogs, p.total_gross_margin, p.total_opex,
+  p.total_operating_income, c.total_cost, t.total_trend_revenue
+FROM (SELECT segment, CAST(sum(revenue) AS DECIMAL(38,2)) AS total_revenue, CAST(sum(cogs) AS DECIMAL(38,2)) AS total_cogs,
+        CAST(sum(gross_margin) AS DECIMAL(38,2)) AS total_gross_margin, CAST(sum(opex) AS DECIMAL(38,2)) AS total_opex,
+        CAST(sum(operating_income) AS DECIMAL(38,2)) AS total_operating_income FROM pnl GROUP BY segment) p
+LEFT JOIN (SELECT segment, CAST(sum(cost_inr) AS DECIMAL(38,2)) AS total_cost FROM cost_analysis GROUP BY segment) c
+  ON p.segment IS NOT DISTINCT FROM c.segment
+LEFT JOIN (SELECT segment, CAST(sum(revenue_inr) AS DECIMAL(38,2)) AS total_trend_revenue FROM revenue_trends GROUP BY segment) t
+  ON p.segment IS NOT DISTINCT FROM t.segment""", "pnl", "cost_analysis", "revenue_trends"))
+def q_measures_any_grain(spark, sf_dir):
+    lg = L(spark, sf_dir)
+    return M.base_measures(lg.pnl, lg.revenue_trends, lg.cost_analysis, ["segment"])
+
+
+@register("margin_cube", O.sql("""SELECT period_month, segment, CAST(GROUPING(period_month, segment) AS BIGINT) AS grouping_id,
+  CAST(sum(revenue) AS DECIMAL(38,2)) AS total_revenue, CAST(sum(gross_margin) AS DECIMAL(38,2)) AS total_gross_margin,
+  CAST(sum(operating_income) AS DECIMAL(38,2)) AS total_operating_income,
+  CASE WHEN sum(revenue) = 0 THEN NULL ELSE CAST(sum(gross_margin) AS DOUBLE) / CAST(sum(revenue) AS DOUBLE) END * 100 AS gross_margin_pct,
+  CASE WHEN sum(revenue) = 0 THEN NULL ELSE CAST(sum(operating_income) AS DOUBLE) / CAST(sum(revenue) AS DOUBLE) END * 100 AS operating_margin_pct
+FROM pnl GROUP BY CUBE (period_month, segment)""", "pnl"))
+def q_margin_cube(spark, sf_dir):
+    return M.margin_cube(L(spark, sf_dir).pnl)
+
+
+def _sel(col: str, alias: str) -> str:
+    return (f"CASE WHEN count(DISTINCT {col}) + max(CASE WHEN {col} IS NULL THEN 1 ELSE 0 END) = 1 "
+            f"THEN max({col}) END AS {alias}")
+
+
+@register("native_grain_selector", O.sql(f"""SELECT v.period_month, v.segment, v.oi_variance_pct, r.revenue_mom_pct, c.cost_mom_pct
+FROM (SELECT period_month, segment, {_sel('oi_variance_pct', 'oi_variance_pct')} FROM variance GROUP BY 1, 2) v
+LEFT JOIN (SELECT period_month, segment, {_sel('mom_change_pct', 'revenue_mom_pct')} FROM revenue_trends GROUP BY 1, 2) r
+  ON v.period_month IS NOT DISTINCT FROM r.period_month AND v.segment IS NOT DISTINCT FROM r.segment
+LEFT JOIN (SELECT period_month, segment, {_sel('mom_change_pct', 'cost_mom_pct')} FROM cost_analysis GROUP BY 1, 2) c
+  ON v.period_month IS NOT DISTINCT FROM c.period_month AND v.segment IS NOT DISTINCT FROM c.segment""",
+                                         "variance", "revenue_trends", "cost_analysis"))
+def q_native_grain_selector(spark, sf_dir):
+    lg = L(spark, sf_dir)
+    return M.native_grain_selector(lg.variance, lg.revenue_trends, lg.cost_analysis, ["period_month", "segment"])
+
+
+@register("prior_month_measure", O.sql("""SELECT c.period_month, c.segment, c.operating_income, p.operating_income AS prior_operating_income,
+  CASE WHEN p.operating_income IS NULL OR p.operating_income = 0 THEN NULL
+       ELSE CAST(c.operating_income - p.operating_income AS DOUBLE) / CAST(abs(p.operating_income) AS DOUBLE) END * 100 AS oi_change_pct
+FROM (SELECT period_month, segment, CAST(sum(operating_income) AS DECIMAL(38,2)) AS operating_income FROM pnl GROUP BY 1, 2) c
+LEFT JOIN (SELECT period_month, segment, CAST(sum(operating_income) AS DECIMAL(38,2)) AS operating_income FROM pnl GROUP BY 1, 2) p
+  ON p.period_month = CAST(c.period_month - INTERVAL 1 MONTH AS DATE) AND c.segment IS NOT DISTINCT FROM p.segment""", "pnl"))
+def q_prior_month_measure(spark, sf_dir):
+    return M.prior_month_measure(L(spark, sf_dir).pnl, ["segment"])
+
+
+@register("recon_pnl", O.sql("""SELECT s.source_total, m.mart_total, CAST(abs(s.source_total - m.mart_total) AS DECIMAL(38,2)) AS diff,
+  s.source_count, m.mart_count, abs(s.source_total - m.mart_total) < 0.01 AS total_ok, s.source_count = m.mart_count AS count_ok
+FROM (SELECT CAST(round(sum(amount_inr), 2) AS DECIMAL(38,2)) AS source_total, count(*) AS source_count FROM int_mapped) s,
+     (SELECT CAST(round(sum(revenue + cogs + opex), 2) AS DECIMAL(38,2)) AS mart_total,
+             CAST(sum(entry_count) AS BIGINT) AS mart_count FROM pnl) m""", "int_mapped", "pnl"))
+def q_recon_pnl(spark, sf_dir):
+    lg = L(spark, sf_dir)
+    return M.reconcile_pnl(lg.int_mapped, lg.pnl)
+
+
+# ---------------------------------------------------------------- windows
+@register("margin_drift", O.sql("""SELECT segment, latest_period, v AS latest_value, CAST(n - 1 AS BIGINT) AS prior_periods,
+  round(mean, 6) AS prior_mean, round(sd, 6) AS prior_stdev,
+  round(CASE WHEN n >= 4 AND n_null = 0 AND sd <> 0 THEN (v - mean) / sd END, 6) AS z_score,
+  coalesce(abs(CASE WHEN n >= 4 AND n_null = 0 AND sd <> 0 THEN (v - mean) / sd END) > 3.0, false) AS is_drift_warning
+FROM (
+  SELECT segment, period_month, v,
+    count(*) OVER (PARTITION BY segment) AS n,
+    max(period_month) OVER (PARTITION BY segment) AS latest_period,
+    sum(CASE WHEN v IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY segment) AS n_null,
+    avg(v) OVER (PARTITION BY segment ORDER BY period_month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mean,
+    stddev_pop(v) OVER (PARTITION BY segment ORDER BY period_month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS sd
+  FROM (SELECT segment, period_month, operating_margin_pct AS v FROM pnl WHERE segment IS NOT NULL) d
+) x WHERE period_month = latest_period""", "pnl"))
+def q_margin_drift(spark, sf_dir):
+    return W.margin_drift(L(spark, sf_dir).pnl)
+
+
+@register("latest_per_key", """SELECT e.* FROM events e
+JOIN (SELECT event_type, max(ts) AS ts FROM events GROUP BY event_type) l ON e.event_type = l.event_type AND e.ts = l.ts""")
+def q_latest_per_key(spark, sf_dir):
+    return W.latest_per_key(L(spark, sf_dir).table("events"), "event_type", "ts")
+
+
+@register("is_latest_flag", """SELECT e.*, e.ts = l.mts AS is_latest FROM events e
+LEFT JOIN (SELECT user_id, max(ts) AS mts FROM events GROUP BY user_id) l ON e.user_id IS NOT DISTINCT FROM l.user_id""")
+def q_is_latest_flag(spark, sf_dir):
+    return W.is_latest_flag(L(spark, sf_dir).table("events"), "user_id", "ts")
+
+
+# ---------------------------------------------------------------- top-k and sets
+@register("variance_breakdown", O.sql("""SELECT period_month, segment, revenue, prev_revenue, revenue_variance_pct,
+  gross_margin, gm_variance_pct, operating_income, oi_variance_pct, is_material_variance
+FROM variance ORDER BY is_material_variance DESC NULLS LAST, period_month ASC NULLS LAST, segment ASC NULLS LAST LIMIT 25""",
+                                      "variance"))
+def q_variance_breakdown(spark, sf_dir):
+    return T.variance_breakdown(L(spark, sf_dir).variance)
+
+
+@register("cost_drivers", O.sql("""SELECT period_month, segment, cost_centre_name, account_type, account_name, cost_inr, mom_change_pct
+FROM cost_analysis ORDER BY abs(coalesce(mom_change_pct, 0)) DESC, period_month ASC NULLS LAST, segment ASC NULLS LAST,
+  cost_centre ASC NULLS LAST, account_code ASC NULLS LAST LIMIT 25""", "cost_analysis"))
+def q_cost_drivers(spark, sf_dir):
+    return T.cost_drivers(L(spark, sf_dir).cost_analysis)
+
+
+@register("variance_json")
+def q_variance_json(spark, sf_dir):
+    top = T.variance_breakdown(L(spark, sf_dir).variance)
+    return T.records_json(top, ["is_material_variance", "period_month", "segment"])
+
+
+@register("segment_set_diff", O.sql("""SELECT segment, 'mart_pnl_summary' AS only_in FROM
+  (SELECT DISTINCT segment FROM pnl EXCEPT SELECT DISTINCT segment FROM a_dim_projects) a
+UNION ALL
+SELECT segment, 'dim_projects' AS only_in FROM
+  (SELECT DISTINCT segment FROM a_dim_projects EXCEPT SELECT DISTINCT segment FROM pnl) b""", "pnl", "a_dim_projects"))
+def q_segment_set_diff(spark, sf_dir):
+    lg = L(spark, sf_dir)
+    return T.set_difference(lg.pnl, lg.dim_projects, ["segment"], "mart_pnl_summary", "dim_projects")
+
+
+@register("fx_coverage_gaps", O.sql("""SELECT DISTINCT entry_date, currency FROM stg_gl g
+WHERE currency IS DISTINCT FROM 'INR'
+  AND NOT EXISTS (SELECT 1 FROM stg_fx f WHERE f.rate_date = g.entry_date AND f.from_currency = g.currency)""",
+                                    "stg_gl", "stg_fx"))
+def q_fx_coverage_gaps(spark, sf_dir):
+    lg = L(spark, sf_dir)
+    return T.fx_coverage_gaps(lg.stg_gl, lg.stg_fx)
