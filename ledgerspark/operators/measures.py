@@ -141,6 +141,21 @@ def reconcile_pnl(mapped: DataFrame, pnl: DataFrame) -> DataFrame:
                     (F.col("source_count") == F.col("mart_count")).alias("count_ok"))
 
 
-__all__ = ["pnl_crore", "pnl_crore_grounding", "variance_context", "revenue_by_segment", "cost_by_type",
+def scale_reconciliation(ledger) -> DataFrame:
+    """Staged row counts and the source-vs-mart reconciliation of a (scaled) load."""
+    from ledgerspark.operators.gates import _one_row
+    parts = [
+        ledger.stg_gl.agg(F.count(F.lit(1)).alias("gl_rows")),
+        ledger.stg_payroll.agg(F.count(F.lit(1)).alias("payroll_rows")),
+        ledger.int_mapped.agg(F.round(F.sum("amount_inr"), 2).cast(MONEY_SUM).alias("source_total")),
+        ledger.pnl.agg(F.round(F.sum(F.col("revenue") + F.col("cogs") + F.col("opex")), 2)
+                       .cast(MONEY_SUM).alias("mart_total")),
+    ]
+    diff = F.abs(F.col("source_total") - F.col("mart_total")).cast(MONEY_SUM)
+    return _one_row(parts).select("gl_rows", "payroll_rows", "source_total", "mart_total", diff.alias("diff"),
+                                  (diff < F.lit(0.01)).alias("passed"))
+
+
+__all__ = ["scale_reconciliation", "pnl_crore", "pnl_crore_grounding", "variance_context", "revenue_by_segment", "cost_by_type",
            "base_measures", "margin_cube", "selected_value", "native_grain_selector", "prior_month_measure",
            "reconcile_pnl", "dbl"]

@@ -102,3 +102,14 @@ class Ledger:
     @cached_property
     def dictionary(self) -> DataFrame:
         return marts.metric_dictionary(self.spark)
+
+    def models(self) -> dict[str, DataFrame]:
+        """Every model of the build under its reference name (for column tests)."""
+        return {
+            "stg_erp_gl_entries": self.stg_gl, "stg_fx_rates": self.stg_fx,
+            "stg_payroll_entries": self.stg_payroll, "int_entries_fx_converted": self.int_fx,
+            "int_entries_cost_centre_mapped": self.int_mapped, "dim_cost_centres": self.dim_cost_centres,
+            "dim_projects": self.dim_projects, "mart_pnl_summary": self.pnl,
+            "mart_revenue_trends": self.revenue_trends, "mart_cost_analysis": self.cost_analysis,
+            "mart_variance_analysis": self.variance, "mart_metric_dictionary": self.dictionary,
+        }

@@ -185,3 +185,199 @@ FROM (
     lag(operating_income) OVER w AS prev_operating_income
   FROM pnl WINDOW w AS (PARTITION BY segment ORDER BY period_month)
 ) t""", ("pnl",))
+
+# ---------------------------------------------------------------- dictionary, drift
+def _dictionary_values() -> str:
+    from ledgerspark.operators.marts import METRIC_DICTIONARY
+
+    def q(s: str) -> str:
+        return "'" + s.replace("'", "''") + "'"
+    rows = ",\n  ".join("(" + ", ".join(q(v) for v in r) + ")" for r in METRIC_DICTIONARY)
+    return (f"SELECT * FROM (VALUES\n  {rows}\n) t(metric_key, metric_name, calculation_logic, unit, "
+            "source_model, used_in_views)")
+
+
+cte("dict", _dictionary_values())
+
+cte("drift", """SELECT segment, latest_period, v AS latest_value, CAST(n - 1 AS BIGINT) AS prior_periods,
+  round(mean, 6) AS prior_mean, round(sd, 6) AS prior_stdev,
+  round(CASE WHEN n >= 4 AND n_null = 0 AND sd <> 0 THEN (v - mean) / sd END, 6) AS z_score,
+  coalesce(abs(CASE WHEN n >= 4 AND n_null = 0 AND sd <> 0 THEN (v - mean) / sd END) > 3.0, false) AS is_drift_warning
+FROM (
+  SELECT segment, period_month, v,
+    count(*) OVER (PARTITION BY segment) AS n,
+    max(period_month) OVER (PARTITION BY segment) AS latest_period,
+    sum(CASE WHEN v IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY segment) AS n_null,
+    avg(v) OVER (PARTITION BY segment ORDER BY period_month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mean,
+    stddev_pop(v) OVER (PARTITION BY segment ORDER BY period_month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS sd
+  FROM (SELECT segment, period_month, operating_margin_pct AS v FROM pnl WHERE segment IS NOT NULL) d
+) x WHERE period_month = latest_period""", ("pnl",))
+
+
+# ---------------------------------------------------------------- gates
+def S(x: str) -> str:
+    return f"coalesce(CAST({x} AS VARCHAR), 'None')"
+
+
+def gate_rows(gate: str, src: str, checks: list[tuple]) -> str:
+    """checks: (no, name, passed_sql, detail_sql[, severity])"""
+    parts = []
+    for c in checks:
+        no, name, passed, detail = c[:4]
+        sev = c[4] if len(c) > 4 else "hard"
+        parts.append(f"SELECT '{gate}' AS gate, CAST({no} AS BIGINT) AS check_no, '{name}' AS \"check\", "
+                     f"'{sev}' AS severity, coalesce({passed}, false) AS passed, {detail} AS detail FROM {src}")
+    return "\nUNION ALL\n".join(parts)
+
+
+cte("g1_a", """SELECT coalesce(sum(n), 0) AS rows_,
+  coalesce(sum(CASE WHEN _id IS NOT NULL AND n > 1 THEN n END), 0) AS dups,
+  coalesce(sum(CASE WHEN _id IS NULL THEN n END), 0) AS null_id,
+  coalesce(sum(nd), 0) AS null_date, coalesce(sum(na), 0) AS null_amount,
+  coalesce(sum(bt), 0) AS bad_type, coalesce(sum(bc), 0) AS bad_ccy
+FROM (SELECT entry_id AS _id, count(*) AS n,
+        sum(CASE WHEN entry_date IS NULL THEN 1 ELSE 0 END) AS nd,
+        sum(CASE WHEN amount IS NULL THEN 1 ELSE 0 END) AS na,
+        sum(CASE WHEN account_type IS NOT NULL AND account_type NOT IN ('Revenue', 'COGS', 'OpEx') THEN 1 ELSE 0 END) AS bt,
+        sum(CASE WHEN currency IS NOT NULL AND currency NOT IN ('INR', 'USD', 'EUR', 'GBP', 'AED') THEN 1 ELSE 0 END) AS bc
+      FROM stg_gl GROUP BY entry_id) k""", ("stg_gl",))
+cte("g1", gate_rows("g1", "g1_a", [
+    (1, "row count in range", "rows_ >= 10 AND rows_ <= 100000", f"'rows=' || {S('rows_')}"),
+    (2, "columns match set", "true", "'columns=12'"),
+    (3, "entry_id unique", "dups = 0", f"'duplicates=' || {S('dups')}"),
+    (4, "entry_id not null", "null_id = 0", f"'nulls=' || {S('null_id')}"),
+    (5, "entry_date not null", "null_date = 0", f"'nulls=' || {S('null_date')}"),
+    (6, "amount not null", "null_amount = 0", f"'nulls=' || {S('null_amount')}"),
+    (7, "account_type in set", "bad_type = 0", f"'unexpected=' || {S('bad_type')}"),
+    (8, "currency in set", "bad_ccy = 0", f"'unexpected=' || {S('bad_ccy')}"),
+]), ("g1_a",))
+
+cte("fx_gaps", """SELECT DISTINCT entry_date, currency FROM stg_gl g
+WHERE currency IS DISTINCT FROM 'INR'
+  AND NOT EXISTS (SELECT 1 FROM stg_fx f WHERE f.rate_date = g.entry_date AND f.from_currency = g.currency)""",
+    ("stg_gl", "stg_fx"))
+cte("g2_a", """SELECT * FROM
+  (SELECT count(*) AS fx_rows, sum(CASE WHEN rate <= 0 THEN 1 ELSE 0 END) AS non_positive,
+          sum(CASE WHEN rate IS NULL THEN 1 ELSE 0 END) AS null_rates FROM stg_fx) f,
+  (SELECT count(*) AS missing_pairs FROM fx_gaps) g""", ("stg_fx", "fx_gaps"))
+cte("g2", gate_rows("g2", "g2_a", [
+    (1, "fx_rates row count > 0", "fx_rows > 0", f"'rows=' || {S('fx_rows')}"),
+    (2, "all rates positive", "non_positive = 0", f"'non_positive=' || {S('non_positive')}"),
+    (3, "no null rates", "null_rates = 0", f"'nulls=' || {S('null_rates')}"),
+    (4, "all GL dates have FX rates", "missing_pairs = 0", f"'missing_pairs=' || {S('missing_pairs')}"),
+]), ("g2_a",))
+
+cte("g3_a", """SELECT coalesce(sum(n), 0) AS rows_, coalesce(sum(n - 1), 0) AS dupes,
+  coalesce(sum(ne), 0) AS null_emp, coalesce(sum(bh), 0) AS bad_hours, coalesce(sum(bc), 0) AS bad_cost
+FROM (SELECT allocation_id, count(*) AS n,
+        sum(CASE WHEN employee_id IS NULL THEN 1 ELSE 0 END) AS ne,
+        sum(CASE WHEN hours_logged <= 0 THEN 1 ELSE 0 END) AS bh,
+        sum(CASE WHEN cost_inr <= 0 THEN 1 ELSE 0 END) AS bc
+      FROM stg_payroll GROUP BY allocation_id) k""", ("stg_payroll",))
+cte("g3", gate_rows("g3", "g3_a", [
+    (1, "row count in range", "rows_ >= 10 AND rows_ <= 100000", f"'rows=' || {S('rows_')}"),
+    (2, "all columns present", "true", "'missing=[]'"),
+    (3, "allocation_id unique", "dupes = 0", f"'dupes=' || {S('dupes')}"),
+    (4, "no null employee_id", "null_emp = 0", f"'nulls=' || {S('null_emp')}"),
+    (5, "hours_logged positive", "bad_hours = 0", f"'non_positive=' || {S('bad_hours')}"),
+    (6, "cost_inr positive", "bad_cost = 0", f"'non_positive=' || {S('bad_cost')}"),
+]), ("g3_a",))
+
+cte("g4_a", """SELECT *, CAST(abs(src_total - mart_total) AS DECIMAL(38,2)) AS diff FROM
+  (SELECT CAST(round(sum(amount_inr), 2) AS DECIMAL(38,2)) AS src_total, count(*) AS src_count FROM int_mapped) s,
+  (SELECT CAST(round(sum(revenue + cogs + opex), 2) AS DECIMAL(38,2)) AS mart_total,
+          CAST(sum(entry_count) AS BIGINT) AS mart_count,
+          sum(CASE WHEN operating_income IS NULL THEN 1 ELSE 0 END) AS null_oi,
+          sum(CASE WHEN abs(gross_margin - (revenue + cogs)) > 0.01 THEN 1 ELSE 0 END) AS gm_bad,
+          sum(CASE WHEN abs(operating_income - (revenue + cogs + opex)) > 0.01 THEN 1 ELSE 0 END) AS oi_bad
+   FROM pnl) m""", ("int_mapped", "pnl"))
+cte("g4", gate_rows("g4", "g4_a", [
+    (1, "total INR reconciliation", "diff < 0.01",
+     f"'source=' || {S('src_total')} || ' mart=' || {S('mart_total')} || ' diff=' || {S('diff')}"),
+    (2, "entry count reconciliation", "src_count = mart_count",
+     f"'source=' || {S('src_count')} || ' mart=' || {S('mart_count')}"),
+    (3, "no null operating_income", "null_oi = 0", f"'nulls=' || {S('null_oi')}"),
+    (4, "gross_margin = revenue + cogs", "gm_bad = 0", f"'mismatches=' || {S('gm_bad')}"),
+    (5, "operating_income = revenue + cogs + opex", "oi_bad = 0", f"'mismatches=' || {S('oi_bad')}"),
+]), ("g4_a",))
+
+cte("g5_a", """SELECT *, CAST(abs(pnl_rev - trend_rev) AS DECIMAL(38,2)) AS d_rev,
+  CAST(abs(pnl_cost - cost_mart) AS DECIMAL(38,2)) AS d_cost FROM
+  (SELECT CAST(round(sum(revenue), 2) AS DECIMAL(38,2)) AS pnl_rev,
+          CAST(round(sum(abs(cogs) + abs(opex)), 2) AS DECIMAL(38,2)) AS pnl_cost FROM pnl) p,
+  (SELECT CAST(round(sum(revenue_inr), 2) AS DECIMAL(38,2)) AS trend_rev FROM revenue_trends) t,
+  (SELECT CAST(round(sum(cost_inr), 2) AS DECIMAL(38,2)) AS cost_mart FROM cost_analysis) c,
+  (SELECT (SELECT count(*) FROM (SELECT DISTINCT segment FROM pnl EXCEPT SELECT DISTINCT segment FROM variance) x) AS pnl_only,
+          (SELECT count(*) FROM (SELECT DISTINCT segment FROM variance EXCEPT SELECT DISTINCT segment FROM pnl) y) AS var_only) s,
+  (SELECT count(*) AS dict_missing FROM (VALUES ('mart_pnl_summary'), ('mart_revenue_trends'), ('mart_cost_analysis'),
+     ('mart_variance_analysis')) e(m) WHERE m NOT IN (SELECT source_model FROM dict)) d""",
+    ("pnl", "revenue_trends", "cost_analysis", "variance", "dict"))
+cte("g5", gate_rows("g5", "g5_a", [
+    (1, "revenue: pnl vs trends", "d_rev < 0.01",
+     f"'pnl=' || {S('pnl_rev')} || ' trends=' || {S('trend_rev')} || ' diff=' || {S('d_rev')}"),
+    (2, "costs: pnl vs cost_analysis", "d_cost < 0.01",
+     f"'pnl=' || {S('pnl_cost')} || ' cost_mart=' || {S('cost_mart')} || ' diff=' || {S('d_cost')}"),
+    (3, "segments match across marts", "pnl_only = 0 AND var_only = 0",
+     f"'pnl_only=' || {S('pnl_only')} || ' var_only=' || {S('var_only')}"),
+    (4, "metric dict covers all marts", "dict_missing = 0", f"'missing=' || {S('dict_missing')}"),
+]), ("g5_a",))
+
+cte("g6_a", """SELECT * FROM
+  (SELECT sum(CASE WHEN gross_margin_pct NOT BETWEEN -100 AND 100 OR operating_margin_pct NOT BETWEEN -100 AND 100
+                   THEN 1 ELSE 0 END) AS out_of_range,
+          sum(CASE WHEN revenue < 0 THEN 1 ELSE 0 END) AS negative FROM pnl) p,
+  (SELECT count(*) AS keys_missing FROM (VALUES ('revenue'), ('cogs'), ('gross_margin'), ('gross_margin_pct'), ('opex'),
+     ('operating_income'), ('operating_margin_pct'), ('revenue_mom_change'), ('cost_mom_change'), ('oi_variance_pct'),
+     ('is_material_variance')) r(k) WHERE k NOT IN (SELECT metric_key FROM dict)) k,
+  (SELECT sum(CASE WHEN is_drift_warning THEN 1 ELSE 0 END) AS warnings FROM drift) w""", ("pnl", "dict", "drift"))
+cte("g6", gate_rows("g6", "g6_a", [
+    (1, "percentage metrics within [-100, 100]", "out_of_range = 0", f"'out_of_range=' || {S('out_of_range')}"),
+    (2, "revenue never negative", "negative = 0", f"'negative=' || {S('negative')}"),
+    (3, "all governed metrics still defined", "keys_missing = 0", f"'missing=' || {S('keys_missing')}"),
+    (4, "operating margin drift", "true", f"'warnings=' || {S('warnings')}", "warning"),
+]), ("g6_a",))
+
+cte("gate_all", """SELECT 1 AS gate_no, * FROM g1 UNION ALL SELECT 2, * FROM g2 UNION ALL SELECT 3, * FROM g3
+UNION ALL SELECT 4, * FROM g4 UNION ALL SELECT 5, * FROM g5 UNION ALL SELECT 6, * FROM g6""",
+    ("g1", "g2", "g3", "g4", "g5", "g6"))
+
+
+# ---------------------------------------------------------------- model tests
+MODEL_CTE = {
+    "stg_erp_gl_entries": "stg_gl", "stg_fx_rates": "stg_fx", "stg_payroll_entries": "stg_payroll",
+    "int_entries_fx_converted": "int_fx", "int_entries_cost_centre_mapped": "int_mapped",
+    "dim_cost_centres": "a_dim_cost_centres", "dim_projects": "a_dim_projects", "mart_pnl_summary": "pnl",
+    "mart_revenue_trends": "revenue_trends", "mart_cost_analysis": "cost_analysis", "mart_variance_analysis": "variance",
+    "mart_metric_dictionary": "dict",
+}
+
+
+def model_tests_sql() -> str:
+    from ledgerspark.operators.checks import MODEL_RULES
+    parts = []
+    for model, rules in MODEL_RULES.items():
+        t = MODEL_CTE[model]
+        for i, r in enumerate(rules):
+            c = r.columns[0]
+            if r.test == "not_null":
+                f = f"(SELECT count(*) FROM {t} WHERE {c} IS NULL)"
+            elif r.test == "accepted_values" and r.ref is None:
+                vals = ", ".join(f"'{v}'" for v in r.values)
+                f = f"(SELECT count(DISTINCT {c}) FROM {t} WHERE {c} NOT IN ({vals}))"
+            elif r.test == "accepted_values":
+                rt = MODEL_CTE[r.ref]
+                f = (f"(SELECT count(*) FROM (SELECT DISTINCT {c} AS v FROM {t} WHERE {c} IS NOT NULL) x "
+                     f"WHERE NOT EXISTS (SELECT 1 FROM {rt} p WHERE p.{r.ref_column} = x.v))")
+            elif r.test == "unique":
+                f = f"(SELECT count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1) x)"
+            elif r.test == "unique_combination":
+                cs = ", ".join(r.columns)
+                f = f"(SELECT count(*) FROM (SELECT {cs} FROM {t} GROUP BY {cs} HAVING count(*) > 1) x)"
+            else:  # relationships
+                rt = MODEL_CTE[r.ref]
+                f = (f"(SELECT count(*) FROM {t} x WHERE x.{c} IS NOT NULL "
+                     f"AND NOT EXISTS (SELECT 1 FROM {rt} p WHERE p.{r.ref_column} = x.{c}))")
+            parts.append(f"SELECT '{model}' AS model, CAST({i} AS BIGINT) AS rule_no, '{r.test}' AS test, "
+                         f"'{','.join(r.columns)}' AS column_name, CAST({f} AS BIGINT) AS failures")
+    body = "\nUNION ALL\n".join(parts)
+    return sql(f"SELECT *, coalesce(failures = 0, false) AS passed FROM (\n{body}\n) t", *MODEL_CTE.values())

@@ -166,19 +166,7 @@ def q_recon_pnl(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- windows
-@register("margin_drift", O.sql("""SELECT segment, latest_period, v AS latest_value, CAST(n - 1 AS BIGINT) AS prior_periods,
-  round(mean, 6) AS prior_mean, round(sd, 6) AS prior_stdev,
-  round(CASE WHEN n >= 4 AND n_null = 0 AND sd <> 0 THEN (v - mean) / sd END, 6) AS z_score,
-  coalesce(abs(CASE WHEN n >= 4 AND n_null = 0 AND sd <> 0 THEN (v - mean) / sd END) > 3.0, false) AS is_drift_warning
-FROM (
-  SELECT segment, period_month, v,
-    count(*) OVER (PARTITION BY segment) AS n,
-    max(period_month) OVER (PARTITION BY segment) AS latest_period,
-    sum(CASE WHEN v IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY segment) AS n_null,
-    avg(v) OVER (PARTITION BY segment ORDER BY period_month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mean,
-    stddev_pop(v) OVER (PARTITION BY segment ORDER BY period_month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS sd
-  FROM (SELECT segment, period_month, operating_margin_pct AS v FROM pnl WHERE segment IS NOT NULL) d
-) x WHERE period_month = latest_period""", "pnl"))
+@register("margin_drift", O.sql("SELECT * FROM drift", "drift"))
 def q_margin_drift(spark, sf_dir):
     return W.margin_drift(L(spark, sf_dir).pnl)
 
@@ -234,3 +222,57 @@ WHERE currency IS DISTINCT FROM 'INR'
 def q_fx_coverage_gaps(spark, sf_dir):
     lg = L(spark, sf_dir)
     return T.fx_coverage_gaps(lg.stg_gl, lg.stg_fx)
+
+
+# ---------------------------------------------------------------- column tests, gates, runner
+from ledgerspark.operators import checks as C  # noqa: E402
+from ledgerspark.operators import gates as G  # noqa: E402
+
+
+def LP(spark: SparkSession, sf_dir: str) -> Ledger:
+    """Ledger whose FX table and mapped postings are persisted (many readers in one query)."""
+    return Ledger.of(spark, sf_dir, persist=True)
+
+
+@register("model_tests", O.model_tests_sql())
+def q_model_tests(spark, sf_dir):
+    return C.run_all_model_tests(LP(spark, sf_dir).models())
+
+
+def _gate_builders(lg: Ledger):
+    return [
+        ("g1", lambda: G.gate_g1(lg.stg_gl)),
+        ("g2", lambda: G.gate_g2(lg.stg_fx, lg.stg_gl)),
+        ("g3", lambda: G.gate_g3(lg.stg_payroll)),
+        ("g4", lambda: G.gate_g4(lg.int_mapped, lg.pnl)),
+        ("g5", lambda: G.gate_g5(lg.pnl, lg.revenue_trends, lg.cost_analysis, lg.variance, lg.dictionary)),
+        ("g6", lambda: G.gate_g6(lg.pnl, lg.dictionary)),
+    ]
+
+
+def _gate_query(name):
+    def q(spark, sf_dir):
+        return dict(_gate_builders(LP(spark, sf_dir)))[name]()
+    q.__name__ = f"q_gate_{name}"
+    return q
+
+
+for _g in ["g1", "g2", "g3", "g4", "g5", "g6"]:
+    register(f"gate_{_g}", O.sql(f"SELECT * FROM {_g}", _g))(_gate_query(_g))
+
+
+@register("gate_report", O.sql("""SELECT gate, check_no, "check", severity, passed, detail FROM gate_all
+WHERE gate_no <= coalesce((SELECT min(gate_no) FROM gate_all WHERE severity = 'hard' AND NOT passed), 99)""",
+                               "gate_all"))
+def q_gate_report(spark, sf_dir):
+    return G.run_gates(spark, _gate_builders(LP(spark, sf_dir)))
+
+
+@register("scale_recon", O.sql("""SELECT gl_rows, payroll_rows, source_total, mart_total,
+  CAST(abs(source_total - mart_total) AS DECIMAL(38,2)) AS diff, abs(source_total - mart_total) < 0.01 AS passed
+FROM (SELECT count(*) AS gl_rows FROM stg_gl) a, (SELECT count(*) AS payroll_rows FROM stg_payroll) b,
+     (SELECT CAST(round(sum(amount_inr), 2) AS DECIMAL(38,2)) AS source_total FROM int_mapped) c,
+     (SELECT CAST(round(sum(revenue + cogs + opex), 2) AS DECIMAL(38,2)) AS mart_total FROM pnl) d""",
+                               "stg_gl", "stg_payroll", "int_mapped", "pnl"))
+def q_scale_recon(spark, sf_dir):
+    return M.scale_reconciliation(LP(spark, sf_dir))
