@@ -61,7 +61,8 @@ class Ledger:
     # staging
     @cached_property
     def stg_gl(self) -> DataFrame:
-        return staging.stage_gl(self.bronze_gl)
+        gl = staging.stage_gl(self.bronze_gl)
+        return gl.persist(StorageLevel.MEMORY_AND_DISK) if self.persist else gl
 
     @cached_property
     def stg_fx(self) -> DataFrame:
@@ -70,7 +71,8 @@ class Ledger:
 
     @cached_property
     def stg_payroll(self) -> DataFrame:
-        return staging.stage_payroll(self.bronze_payroll)
+        p = staging.stage_payroll(self.bronze_payroll)
+        return p.persist(StorageLevel.MEMORY_AND_DISK) if self.persist else p
 
     # intermediate
     @cached_property

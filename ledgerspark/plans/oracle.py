@@ -230,7 +230,8 @@ def gate_rows(gate: str, src: str, checks: list[tuple]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-cte("g1_a", """SELECT coalesce(sum(n), 0) AS rows_,
+def g1_ctes(prefix: str, gl: str) -> None:
+    cte(f"{prefix}_a", f"""SELECT coalesce(sum(n), 0) AS rows_,
   coalesce(sum(CASE WHEN _id IS NOT NULL AND n > 1 THEN n END), 0) AS dups,
   coalesce(sum(CASE WHEN _id IS NULL THEN n END), 0) AS null_id,
   coalesce(sum(nd), 0) AS null_date, coalesce(sum(na), 0) AS null_amount,
@@ -240,48 +241,57 @@ FROM (SELECT entry_id AS _id, count(*) AS n,
         sum(CASE WHEN amount IS NULL THEN 1 ELSE 0 END) AS na,
         sum(CASE WHEN account_type IS NOT NULL AND account_type NOT IN ('Revenue', 'COGS', 'OpEx') THEN 1 ELSE 0 END) AS bt,
         sum(CASE WHEN currency IS NOT NULL AND currency NOT IN ('INR', 'USD', 'EUR', 'GBP', 'AED') THEN 1 ELSE 0 END) AS bc
-      FROM stg_gl GROUP BY entry_id) k""", ("stg_gl",))
-cte("g1", gate_rows("g1", "g1_a", [
-    (1, "row count in range", "rows_ >= 10 AND rows_ <= 100000", f"'rows=' || {S('rows_')}"),
-    (2, "columns match set", "true", "'columns=12'"),
-    (3, "entry_id unique", "dups = 0", f"'duplicates=' || {S('dups')}"),
-    (4, "entry_id not null", "null_id = 0", f"'nulls=' || {S('null_id')}"),
-    (5, "entry_date not null", "null_date = 0", f"'nulls=' || {S('null_date')}"),
-    (6, "amount not null", "null_amount = 0", f"'nulls=' || {S('null_amount')}"),
-    (7, "account_type in set", "bad_type = 0", f"'unexpected=' || {S('bad_type')}"),
-    (8, "currency in set", "bad_ccy = 0", f"'unexpected=' || {S('bad_ccy')}"),
-]), ("g1_a",))
-
-cte("fx_gaps", """SELECT DISTINCT entry_date, currency FROM stg_gl g
+      FROM {gl} GROUP BY entry_id) k""", (gl,))
+    cte(prefix, gate_rows("g1", f"{prefix}_a", [
+        (1, "row count in range", "rows_ >= 10 AND rows_ <= 100000", f"'rows=' || {S('rows_')}"),
+        (2, "columns match set", "true", "'columns=12'"),
+        (3, "entry_id unique", "dups = 0", f"'duplicates=' || {S('dups')}"),
+        (4, "entry_id not null", "null_id = 0", f"'nulls=' || {S('null_id')}"),
+        (5, "entry_date not null", "null_date = 0", f"'nulls=' || {S('null_date')}"),
+        (6, "amount not null", "null_amount = 0", f"'nulls=' || {S('null_amount')}"),
+        (7, "account_type in set", "bad_type = 0", f"'unexpected=' || {S('bad_type')}"),
+        (8, "currency in set", "bad_ccy = 0", f"'unexpected=' || {S('bad_ccy')}"),
+    ]), (f"{prefix}_a",))
+
+
+g1_ctes("g1", "stg_gl")
+
+def g2_ctes(prefix: str, fx: str, gl: str) -> None:
+    cte(f"{prefix}_gaps", f"""SELECT DISTINCT entry_date, currency FROM {gl} g
 WHERE currency IS DISTINCT FROM 'INR'
-  AND NOT EXISTS (SELECT 1 FROM stg_fx f WHERE f.rate_date = g.entry_date AND f.from_currency = g.currency)""",
-    ("stg_gl", "stg_fx"))
-cte("g2_a", """SELECT * FROM
+  AND NOT EXISTS (SELECT 1 FROM {fx} f WHERE f.rate_date = g.entry_date AND f.from_currency = g.currency)""", (gl, fx))
+    cte(f"{prefix}_a", f"""SELECT * FROM
   (SELECT count(*) AS fx_rows, sum(CASE WHEN rate <= 0 THEN 1 ELSE 0 END) AS non_positive,
-          sum(CASE WHEN rate IS NULL THEN 1 ELSE 0 END) AS null_rates FROM stg_fx) f,
-  (SELECT count(*) AS missing_pairs FROM fx_gaps) g""", ("stg_fx", "fx_gaps"))
-cte("g2", gate_rows("g2", "g2_a", [
-    (1, "fx_rates row count > 0", "fx_rows > 0", f"'rows=' || {S('fx_rows')}"),
-    (2, "all rates positive", "non_positive = 0", f"'non_positive=' || {S('non_positive')}"),
-    (3, "no null rates", "null_rates = 0", f"'nulls=' || {S('null_rates')}"),
-    (4, "all GL dates have FX rates", "missing_pairs = 0", f"'missing_pairs=' || {S('missing_pairs')}"),
-]), ("g2_a",))
-
-cte("g3_a", """SELECT coalesce(sum(n), 0) AS rows_, coalesce(sum(n - 1), 0) AS dupes,
+          sum(CASE WHEN rate IS NULL THEN 1 ELSE 0 END) AS null_rates FROM {fx}) f,
+  (SELECT count(*) AS missing_pairs FROM {prefix}_gaps) g""", (fx, f"{prefix}_gaps"))
+    cte(prefix, gate_rows("g2", f"{prefix}_a", [
+        (1, "fx_rates row count > 0", "fx_rows > 0", f"'rows=' || {S('fx_rows')}"),
+        (2, "all rates positive", "non_positive = 0", f"'non_positive=' || {S('non_positive')}"),
+        (3, "no null rates", "null_rates = 0", f"'nulls=' || {S('null_rates')}"),
+        (4, "all GL dates have FX rates", "missing_pairs = 0", f"'missing_pairs=' || {S('missing_pairs')}"),
+    ]), (f"{prefix}_a",))
+
+
+def g3_ctes(prefix: str, payroll: str) -> None:
+    cte(f"{prefix}_a", f"""SELECT coalesce(sum(n), 0) AS rows_, coalesce(sum(n - 1), 0) AS dupes,
   coalesce(sum(ne), 0) AS null_emp, coalesce(sum(bh), 0) AS bad_hours, coalesce(sum(bc), 0) AS bad_cost
 FROM (SELECT allocation_id, count(*) AS n,
         sum(CASE WHEN employee_id IS NULL THEN 1 ELSE 0 END) AS ne,
         sum(CASE WHEN hours_logged <= 0 THEN 1 ELSE 0 END) AS bh,
         sum(CASE WHEN cost_inr <= 0 THEN 1 ELSE 0 END) AS bc
-      FROM stg_payroll GROUP BY allocation_id) k""", ("stg_payroll",))
-cte("g3", gate_rows("g3", "g3_a", [
-    (1, "row count in range", "rows_ >= 10 AND rows_ <= 100000", f"'rows=' || {S('rows_')}"),
-    (2, "all columns present", "true", "'missing=[]'"),
-    (3, "allocation_id unique", "dupes = 0", f"'dupes=' || {S('dupes')}"),
-    (4, "no null employee_id", "null_emp = 0", f"'nulls=' || {S('null_emp')}"),
-    (5, "hours_logged positive", "bad_hours = 0", f"'non_positive=' || {S('bad_hours')}"),
-    (6, "cost_inr positive", "bad_cost = 0", f"'non_positive=' || {S('bad_cost')}"),
-]), ("g3_a",))
+      FROM {payroll} GROUP BY allocation_id) k""", (payroll,))
+    cte(prefix, gate_rows("g3", f"{prefix}_a", [
+        (1, "row count in range", "rows_ >= 10 AND rows_ <= 100000", f"'rows=' || {S('rows_')}"),
+        (2, "all columns present", "true", "'missing=[]'"),
+        (3, "allocation_id unique", "dupes = 0", f"'dupes=' || {S('dupes')}"),
+        (4, "no null employee_id", "null_emp = 0", f"'nulls=' || {S('null_emp')}"),
+        (5, "hours_logged positive", "bad_hours = 0", f"'non_positive=' || {S('bad_hours')}"),
+        (6, "cost_inr positive", "bad_cost = 0", f"'non_positive=' || {S('bad_cost')}"),
+    ]), (f"{prefix}_a",))
+
+
+g2_ctes("g2", "stg_fx", "stg_gl")
+g3_ctes("g3", "stg_payroll")
 
 cte("g4_a", """SELECT *, CAST(abs(src_total - mart_total) AS DECIMAL(38,2)) AS diff FROM
   (SELECT CAST(round(sum(amount_inr), 2) AS DECIMAL(38,2)) AS src_total, count(*) AS src_count FROM int_mapped) s,
@@ -381,3 +391,91 @@ def model_tests_sql() -> str:
                          f"'{','.join(r.columns)}' AS column_name, CAST({f} AS BIGINT) AS failures")
     body = "\nUNION ALL\n".join(parts)
     return sql(f"SELECT *, coalesce(failures = 0, false) AS passed FROM (\n{body}\n) t", *MODEL_CTE.values())
+
+
+# ---------------------------------------------------------------- anomaly injection
+RUN_AT = "2026-01-01 00:00:00"
+
+cte("m_gl_first", "SELECT min(entry_id) AS id FROM stg_gl", ("stg_gl",))
+cte("m_rev_first", "SELECT min(entry_id) AS id FROM stg_gl WHERE account_type = 'Revenue'", ("stg_gl",))
+cte("m_pay_first", "SELECT min(allocation_id) AS id FROM stg_payroll", ("stg_payroll",))
+cte("m_fx_target", """SELECT entry_id, entry_date, currency FROM stg_gl
+WHERE entry_id = (SELECT min(entry_id) FROM stg_gl WHERE currency IS DISTINCT FROM 'INR')""", ("stg_gl",))
+cte("m_fx_first", """SELECT rate_date, from_currency FROM stg_fx WHERE rate_date IS NOT NULL
+ORDER BY rate_date, CASE from_currency WHEN 'USD' THEN 1 WHEN 'EUR' THEN 2 WHEN 'GBP' THEN 3 WHEN 'AED' THEN 4 ELSE 99 END,
+  from_currency LIMIT 1""", ("stg_fx",))
+
+cte("mut_duplicate_entry_id", """SELECT * FROM stg_gl UNION ALL
+SELECT * FROM stg_gl WHERE entry_id = (SELECT id FROM m_gl_first)""", ("stg_gl", "m_gl_first"))
+cte("mut_null_entry_date", """SELECT * REPLACE (CASE WHEN entry_id = (SELECT id FROM m_gl_first) THEN NULL
+  ELSE entry_date END AS entry_date) FROM stg_gl""", ("stg_gl", "m_gl_first"))
+cte("mut_invalid_account_type", """SELECT * REPLACE (CASE WHEN entry_id = (SELECT id FROM m_gl_first) THEN 'Miscellaneous'
+  ELSE account_type END AS account_type) FROM stg_gl""", ("stg_gl", "m_gl_first"))
+cte("mut_invalid_currency", """SELECT * REPLACE (CASE WHEN entry_id = (SELECT id FROM m_gl_first) THEN 'JPY'
+  ELSE currency END AS currency) FROM stg_gl""", ("stg_gl", "m_gl_first"))
+cte("mut_negative_revenue_amount", """SELECT * REPLACE (CASE WHEN entry_id = (SELECT id FROM m_rev_first) THEN -abs(amount)
+  ELSE amount END AS amount) FROM stg_gl""", ("stg_gl", "m_rev_first"))
+cte("mut_missing_fx_rate_for_used_date", """SELECT * FROM stg_fx f
+WHERE NOT EXISTS (SELECT 1 FROM m_fx_target t WHERE f.rate_date = t.entry_date AND f.from_currency = t.currency)""",
+    ("stg_fx", "m_fx_target"))
+cte("mut_zero_fx_rate", """SELECT * REPLACE (CASE WHEN rate_date = (SELECT rate_date FROM m_fx_first)
+  AND from_currency = (SELECT from_currency FROM m_fx_first) THEN CAST(0 AS DECIMAL(12,6)) ELSE rate END AS rate)
+FROM stg_fx""", ("stg_fx", "m_fx_first"))
+cte("mut_duplicate_payroll_allocation_id", """SELECT * FROM stg_payroll UNION ALL
+SELECT * FROM stg_payroll WHERE allocation_id = (SELECT id FROM m_pay_first)""", ("stg_payroll", "m_pay_first"))
+cte("mut_negative_hours_logged", """SELECT * REPLACE (CASE WHEN allocation_id = (SELECT id FROM m_pay_first)
+  THEN CAST(-10.0 AS DECIMAL(8,2)) ELSE hours_logged END AS hours_logged) FROM stg_payroll""",
+    ("stg_payroll", "m_pay_first"))
+
+# (type, file, gate, expected, detail SQL)
+ANOMALY_SQL = [
+    ("duplicate_entry_id", "erp_gl_entries.csv", "g1", True,
+     "'duplicated row with entry_id=' || (SELECT id FROM m_gl_first)"),
+    ("null_entry_date", "erp_gl_entries.csv", "g1", True,
+     "'set entry_date to null on entry_id=' || (SELECT id FROM m_gl_first)"),
+    ("invalid_account_type", "erp_gl_entries.csv", "g1", True,
+     "'set account_type=''Miscellaneous'' (not in Revenue/COGS/OpEx) on entry_id=' || (SELECT id FROM m_gl_first)"),
+    ("invalid_currency", "erp_gl_entries.csv", "g1", True,
+     "'set currency=''JPY'' (not in INR/USD/EUR/GBP/AED) on entry_id=' || (SELECT id FROM m_gl_first)"),
+    ("negative_revenue_amount", "erp_gl_entries.csv", "g1", False,
+     "(SELECT max('flipped Revenue entry_id=' || entry_id || ' amount ' || CAST(amount AS VARCHAR) || ' -> ' "
+     "|| CAST(-abs(amount) AS VARCHAR) || ' (G1-G3 don''t check amount sign per account_type — only G6 post-dbt does)') "
+     "FROM stg_gl WHERE entry_id = (SELECT id FROM m_rev_first))"),
+    ("missing_fx_rate_for_used_date", "fx_rates.csv", "g2", True,
+     "(SELECT max('removed fx_rates row(s) for (' || CAST(entry_date AS VARCHAR) || ', ' || currency "
+     "|| '), still used by entry_id=' || entry_id) FROM m_fx_target)"),
+    ("zero_fx_rate", "fx_rates.csv", "g2", True,
+     "(SELECT 'set fx rate to 0 for ' || CAST(rate_date AS VARCHAR) || '/' || from_currency FROM m_fx_first)"),
+    ("duplicate_payroll_allocation_id", "payroll_entries.csv", "g3", True,
+     "'duplicated row with allocation_id=' || (SELECT id FROM m_pay_first)"),
+    ("negative_hours_logged", "payroll_entries.csv", "g3", True,
+     "'set hours_logged=-10.0 on allocation_id=' || (SELECT id FROM m_pay_first)"),
+]
+
+_sc_parts, _sc_deps = [], ["stg_gl", "m_gl_first", "m_rev_first", "m_pay_first", "m_fx_target", "m_fx_first"]
+for _t, _f, _g, _e, _d in ANOMALY_SQL:
+    _m = f"mut_{_t}"
+    _p = f"mg_{_t}"
+    if _g == "g1":
+        g1_ctes(_p, _m)
+    elif _g == "g2":
+        g2_ctes(_p, _m if _f == "fx_rates.csv" else "stg_fx", "stg_gl")
+    else:
+        g3_ctes(_p, _m)
+    _sc_deps.append(_p)
+    _sc_parts.append(f"SELECT '{_t}' AS anomaly_type, '{_f}' AS target_file, '{_g}' AS gate_checked, {_d} AS mutation_detail, "
+                     f"{str(_e).lower()} AS expected_to_be_caught, "
+                     f"(SELECT count(*) FROM {_p} WHERE severity = 'hard' AND NOT passed) > 0 AS was_caught")
+cte("scorecard", "SELECT *, was_caught = expected_to_be_caught AS matches_expectation FROM (\n"
+    + "\nUNION ALL\n".join(_sc_parts) + "\n) s", tuple(_sc_deps))
+
+cte("escapes", f"""SELECT sha256('ai5:' || anomaly_type || ':' || '{RUN_AT}') AS review_id,
+  CAST('{RUN_AT}' AS TIMESTAMP) AS run_at, 'ai5_synthetic_anomaly' AS source_chain,
+  '[AI-5 SYNTHETIC ANOMALY ESCAPED DETECTION] anomaly=''' || anomaly_type || ''' file=' || target_file
+    || ' gate_checked=' || gate_checked || ' expected_to_be_caught='
+    || CASE WHEN expected_to_be_caught THEN 'True' ELSE 'False' END || ' — ' || mutation_detail AS claim_text,
+  CAST(NULL AS DOUBLE) AS self_reported_score, CAST(NULL AS DOUBLE) AS second_judge_score,
+  CAST(NULL AS DOUBLE) AS retrieval_grounding_score, CAST(0.0 AS DOUBLE) AS confidence_score,
+  'human_review' AS routing_band, CAST(NULL AS VARCHAR) AS reviewer_verdict, CAST(NULL AS VARCHAR) AS reviewer_reason_code,
+  CAST(NULL AS VARCHAR) AS reviewer_edited_text, CAST(NULL AS TIMESTAMP) AS reviewed_at, CAST(NULL AS VARCHAR) AS reviewed_by
+FROM scorecard WHERE NOT was_caught""", ("scorecard",))

@@ -276,3 +276,45 @@ FROM (SELECT count(*) AS gl_rows FROM stg_gl) a, (SELECT count(*) AS payroll_row
                                "stg_gl", "stg_payroll", "int_mapped", "pnl"))
 def q_scale_recon(spark, sf_dir):
     return M.scale_reconciliation(LP(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- anomaly injection
+from ledgerspark.operators import anomalies as A  # noqa: E402
+
+RUN_AT = O.RUN_AT
+
+
+def _mutation_query(t):
+    def q(spark, sf_dir):
+        lg = LP(spark, sf_dir)
+        m, _ = A.mutate(t, lg.stg_gl, lg.stg_fx, lg.stg_payroll)
+        return m.data
+    q.__name__ = f"q_mutation_{t}"
+    return q
+
+
+for _t, *_ in A.ANOMALIES:
+    register(f"mutation_{_t}", O.sql(f"SELECT * FROM mut_{_t}", f"mut_{_t}"))(_mutation_query(_t))
+
+
+def _scorecard(spark, sf_dir):
+    lg = LP(spark, sf_dir)
+    return A.scorecard(lg.stg_gl, lg.stg_fx, lg.stg_payroll)
+
+
+@register("anomaly_scorecard", O.sql("SELECT * FROM scorecard", "scorecard"))
+def q_anomaly_scorecard(spark, sf_dir):
+    return _scorecard(spark, sf_dir)
+
+
+@register("anomaly_summary", O.sql("""SELECT CAST(sum(CASE WHEN was_caught THEN 1 ELSE 0 END) AS BIGINT) AS caught,
+  CAST(sum(CASE WHEN NOT was_caught THEN 1 ELSE 0 END) AS BIGINT) AS escaped,
+  CAST(sum(CASE WHEN NOT matches_expectation THEN 1 ELSE 0 END) AS BIGINT) AS unexpected, count(*) AS total
+FROM scorecard""", "scorecard"))
+def q_anomaly_summary(spark, sf_dir):
+    return A.anomaly_summary(_scorecard(spark, sf_dir))
+
+
+@register("anomaly_escapes", O.sql("SELECT * FROM escapes", "escapes"))
+def q_anomaly_escapes(spark, sf_dir):
+    return A.escapes_to_review(_scorecard(spark, sf_dir), RUN_AT)
