@@ -479,3 +479,137 @@ cte("escapes", f"""SELECT sha256('ai5:' || anomaly_type || ':' || '{RUN_AT}') AS
   'human_review' AS routing_band, CAST(NULL AS VARCHAR) AS reviewer_verdict, CAST(NULL AS VARCHAR) AS reviewer_reason_code,
   CAST(NULL AS VARCHAR) AS reviewer_edited_text, CAST(NULL AS TIMESTAMP) AS reviewed_at, CAST(NULL AS VARCHAR) AS reviewed_by
 FROM scorecard WHERE NOT was_caught""", ("scorecard",))
+
+
+# ---------------------------------------------------------------- narratives
+def _ws() -> str:
+    from ledgerspark.functions.text import ws_class
+    return ws_class("re2")
+
+
+WSR = _ws()
+
+
+def strip_sql(x: str) -> str:
+    return f"regexp_replace({x}, '\\A{WSR}+|{WSR}+\\z', '', 'g')"
+
+
+def claims_list_sql(text: str) -> str:
+    flat = strip_sql(f"replace({text}, chr(10), ' ')")
+    marked = f"regexp_replace({flat}, '([.!?]){WSR}+([A-Z])', '\\1' || chr(1) || '\\2', 'g')"
+    return (f"list_filter(list_transform(string_split({marked}, chr(1)), lambda s: {strip_sql('s')}), "
+            f"lambda s: length(s) > 0 AND regexp_matches(s, '\\p{{Nd}}'))")
+
+
+FIGURE_RE2 = r"(?i)(\d{1,4}(?:,\d{3})*(?:\.\d+)?)\s*(?:Cr\b|%|percent\b)"
+
+
+def fmt2(x: str) -> str:
+    return f"coalesce(CAST(CAST({x} AS DECIMAL(18,2)) AS VARCHAR), 'n/a')"
+
+
+cte("doc_claims", f"""SELECT doc_id, CAST(generate_subscripts(l, 1) AS BIGINT) AS claim_no, unnest(l) AS claim_text
+FROM (SELECT doc_id, {claims_list_sql('text')} AS l FROM documents) d""")
+
+cte("pnl_g", """SELECT period_month, segment, round(revenue / 10000000, 2) AS revenue_cr,
+  round(gross_margin / 10000000, 2) AS gross_margin_cr, gross_margin_pct,
+  round(operating_income / 10000000, 2) AS operating_income_cr, operating_margin_pct FROM pnl""", ("pnl",))
+
+cte("narr", f"""SELECT strftime(period_month, '%Y-%m') || '|' || coalesce(segment, 'Unmapped') AS narrative_id,
+  period_month, segment, h,
+  coalesce(segment, 'Unmapped') || ' revenue reached '
+    || {fmt2("revenue_cr + CASE WHEN h % 4 = 0 THEN CAST(0.37 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END")}
+    || ' Cr in ' || strftime(period_month, '%b %Y') || '. Gross margin was '
+    || {fmt2("gross_margin_pct + CASE WHEN h % 7 = 0 THEN CAST(1.3 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END")}
+    || '% of revenue. Operating income stood at ' || {fmt2("operating_income_cr")} || ' Cr, a margin of '
+    || {fmt2("operating_margin_pct")} || ' percent. Trading was in line with plan.' AS text,
+  coalesce(segment, 'Unmapped') || ' revenue at ' || {fmt2("revenue_cr")} || ' Cr in '
+    || strftime(period_month, '%b %Y') || '.' AS card
+FROM (SELECT *, ((year(period_month) * 100 + month(period_month)) * 31
+                 + (coalesce(ascii(segment), 0) * 7 + coalesce(length(segment), 0)) * 131) % 1009 AS h
+      FROM pnl_g) t""", ("pnl_g",))
+
+cte("narr_claims", f"""SELECT narrative_id, h, CAST(generate_subscripts(l, 1) AS BIGINT) AS claim_no, unnest(l) AS claim_text
+FROM (SELECT narrative_id, h, {claims_list_sql('text')} AS l FROM narr) d""", ("narr",))
+
+cte("mart_vals", """SELECT v AS value FROM (
+  SELECT unnest([revenue_cr, gross_margin_cr, gross_margin_pct, operating_income_cr, operating_margin_pct]) AS v FROM pnl_g
+) x WHERE v IS NOT NULL""", ("pnl_g",))
+
+cte("grounded", f"""SELECT c.narrative_id, c.claim_no, c.claim_text,
+  coalesce(f.n_figures, 0) AS n_figures, coalesce(f.n_matched, 0) AS n_matched,
+  CASE WHEN coalesce(f.n_figures, 0) = 0 THEN 0.5
+       ELSE CAST(f.n_matched AS DOUBLE) / CAST(f.n_figures AS DOUBLE) END AS grounding_score
+FROM narr_claims c LEFT JOIN (
+  SELECT narrative_id, claim_no, count(*) AS n_figures,
+    CAST(sum(CASE WHEN EXISTS (SELECT 1 FROM mart_vals m WHERE abs(fig - m.value) <= 0.05) THEN 1 ELSE 0 END) AS BIGINT) AS n_matched
+  FROM (SELECT narrative_id, claim_no,
+          unnest(list_transform(regexp_extract_all(claim_text, '{FIGURE_RE2}', 1), lambda x: CAST(replace(x, ',', '') AS DOUBLE))) AS fig
+        FROM narr_claims) q
+  GROUP BY narrative_id, claim_no
+) f ON c.narrative_id = f.narrative_id AND c.claim_no = f.claim_no""", ("narr_claims", "mart_vals"))
+
+
+def response_sql(v: str, sup: str, conf: str) -> str:
+    return (f"CASE WHEN {v} = 0 THEN '{{\"supported\": ' || {sup} || ', \"confidence\": ' || {conf} || '}}' "
+            f"WHEN {v} = 1 THEN '```json' || chr(10) || '{{\"supported\": ' || {sup} || ', \"confidence\": ' || {conf} "
+            f"|| '}}' || chr(10) || '```' "
+            f"WHEN {v} = 2 THEN '{{\"supported\": \"' || {sup} || '\", \"confidence\": \"' || {conf} || '\"}}' "
+            f"WHEN {v} = 3 THEN 'Supported: ' || {sup} || ' (confidence ' || {conf} || ')' "
+            f"WHEN {v} = 4 THEN '{{}}' "
+            f"ELSE '```' || chr(10) || '{{\"confidence\": ' || {conf} || ', \"supported\": ' || {sup} || '}}' "
+            f"|| chr(10) || '```' END")
+
+
+cte("responses", f"""SELECT narrative_id, claim_no,
+  {response_sql('hc % 6', "CASE WHEN hc % 5 = 0 THEN 'false' ELSE 'true' END",
+                "'0.' || lpad(CAST(50 + hc % 50 AS VARCHAR), 2, '0')")} AS self_response,
+  {response_sql('(hc * 5 + 3) % 6', "CASE WHEN hc % 3 = 0 THEN 'false' ELSE 'true' END",
+                "'0.' || lpad(CAST(40 + (hc * 3) % 60 AS VARCHAR), 2, '0')")} AS judge_response
+FROM (SELECT narrative_id, claim_no, (h * 7 + claim_no * 101) % 1013 AS hc FROM narr_claims) t""", ("narr_claims",))
+
+
+def parse_sql(raw: str, p: str) -> str:
+    """Columns {p}_supported, {p}_confidence, {p}_parse_ok from a response column."""
+    clean = strip_sql(f"replace(replace({raw}, '```json', ''), '```', '')")
+    return f"""(SELECT CASE WHEN ok THEN sup ELSE false END AS supported,
+        CASE WHEN ok THEN conf ELSE 0.0 END AS confidence, coalesce(ok, false) AS parse_ok FROM (
+      SELECT *, is_obj AND conf IS NOT NULL AS ok FROM (
+        SELECT is_obj,
+          CASE WHEN NOT is_obj THEN false
+               WHEN json_type(c, '$.supported') IS NULL OR json_type(c, '$.supported') = 'NULL' THEN false
+               WHEN json_type(c, '$.supported') = 'VARCHAR' THEN length(json_extract_string(c, '$.supported')) > 0
+               WHEN json_type(c, '$.supported') = 'BOOLEAN' THEN json_extract_string(c, '$.supported') = 'true'
+               ELSE TRY_CAST(json_extract_string(c, '$.supported') AS DOUBLE) <> 0 END AS sup,
+          CASE WHEN NOT is_obj THEN NULL
+               WHEN json_type(c, '$.confidence') IS NULL THEN 0.0
+               WHEN json_type(c, '$.confidence') = 'NULL' THEN NULL
+               WHEN json_type(c, '$.confidence') = 'BOOLEAN' THEN
+                    CASE WHEN json_extract_string(c, '$.confidence') = 'true' THEN 1.0 ELSE 0.0 END
+               ELSE TRY_CAST({strip_sql("json_extract_string(c, '$.confidence')")} AS DOUBLE) END AS conf
+        FROM (SELECT c, coalesce(starts_with(c, '{{') AND ends_with(c, '}}') AND json_valid(c), false) AS is_obj
+              FROM (SELECT {clean} AS c) a) b) x) y)"""
+
+
+cte("judged", f"""SELECT r.narrative_id, r.claim_no,
+  s.supported AS self_supported, s.confidence AS self_confidence, s.parse_ok AS self_parse_ok,
+  j.supported AS judge_supported, j.confidence AS judge_confidence, j.parse_ok AS judge_parse_ok,
+  CASE WHEN s.supported THEN s.confidence ELSE 1.0 - s.confidence END AS self_score,
+  CASE WHEN j.supported THEN j.confidence ELSE 1.0 - j.confidence END AS judge_score
+FROM responses r, LATERAL {parse_sql('r.self_response', 's')} s, LATERAL {parse_sql('r.judge_response', 'j')} j""",
+    ("responses",))
+
+cte("scored", f"""SELECT g.narrative_id, g.claim_no,
+  sha256(g.narrative_id || '|' || CAST(g.claim_no AS VARCHAR)) AS review_id,
+  CAST('{RUN_AT}' AS TIMESTAMP) AS run_at, 'ai1_pnl_narrative' AS source_chain, g.claim_text,
+  round(j.self_score, 3) AS self_reported_score, round(j.judge_score, 3) AS second_judge_score,
+  round(g.grounding_score, 3) AS retrieval_grounding_score, round(comp, 3) AS confidence_score,
+  CASE WHEN comp >= 0.85 THEN 'auto_accept' WHEN comp >= 0.55 THEN 'human_review' ELSE 'rejected' END AS routing_band,
+  CAST(NULL AS VARCHAR) AS reviewer_verdict, CAST(NULL AS VARCHAR) AS reviewer_reason_code,
+  CAST(NULL AS VARCHAR) AS reviewer_edited_text, CAST(NULL AS TIMESTAMP) AS reviewed_at, CAST(NULL AS VARCHAR) AS reviewed_by,
+  j.self_parse_ok, j.judge_parse_ok
+FROM (SELECT g.*, j.self_score, j.judge_score,
+        CAST(0.2 AS DOUBLE) * j.self_score + CAST(0.35 AS DOUBLE) * j.judge_score
+        + CAST(0.45 AS DOUBLE) * g.grounding_score AS comp
+      FROM grounded g LEFT JOIN judged j ON g.narrative_id = j.narrative_id AND g.claim_no = j.claim_no) g
+LEFT JOIN judged j ON g.narrative_id = j.narrative_id AND g.claim_no = j.claim_no""", ("grounded", "judged"))

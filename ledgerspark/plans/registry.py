@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerspark.plans import oracle as O
 from ledgerspark.plans.ledger import Ledger
@@ -318,3 +319,67 @@ def q_anomaly_summary(spark, sf_dir):
 @register("anomaly_escapes", O.sql("SELECT * FROM escapes", "escapes"))
 def q_anomaly_escapes(spark, sf_dir):
     return A.escapes_to_review(_scorecard(spark, sf_dir), RUN_AT)
+
+
+# ---------------------------------------------------------------- narratives, claims, scoring
+from ledgerspark.operators import narrative as NV  # noqa: E402
+from ledgerspark.sources import narratives as SN  # noqa: E402
+
+
+def _narr(spark, sf_dir):
+    return SN.narratives(L(spark, sf_dir).pnl)
+
+
+def _narr_claims(spark, sf_dir):
+    n = _narr(spark, sf_dir)
+    return NV.extract_claims(n, "narrative_id", "text").join(n.select("narrative_id", "h"), "narrative_id")
+
+
+def _grounded(spark, sf_dir):
+    return NV.ground_claims(_narr_claims(spark, sf_dir).drop("h"), ["narrative_id", "claim_no"],
+                            L(spark, sf_dir).pnl)
+
+
+def _scored(spark, sf_dir):
+    responses = SN.judge_responses(_narr_claims(spark, sf_dir))
+    return NV.score_claims(_grounded(spark, sf_dir), responses, ["narrative_id", "claim_no"], RUN_AT)
+
+
+@register("claims", O.sql("SELECT * FROM doc_claims", "doc_claims"))
+def q_claims(spark, sf_dir):
+    return NV.extract_claims(L(spark, sf_dir).table("documents"), "doc_id", "text")
+
+
+@register("claim_grounding", O.sql("SELECT * FROM grounded", "grounded"))
+def q_claim_grounding(spark, sf_dir):
+    return _grounded(spark, sf_dir)
+
+
+@register("judge_parse", O.sql("SELECT * FROM judged", "judged"))
+def q_judge_parse(spark, sf_dir):
+    r = SN.judge_responses(_narr_claims(spark, sf_dir))
+    s, j = NV.parse_judge(F.col("self_response")), NV.parse_judge(F.col("judge_response"))
+    return r.select("narrative_id", "claim_no",
+                    s["supported"].alias("self_supported"), s["confidence"].alias("self_confidence"),
+                    s["parse_ok"].alias("self_parse_ok"),
+                    j["supported"].alias("judge_supported"), j["confidence"].alias("judge_confidence"),
+                    j["parse_ok"].alias("judge_parse_ok"),
+                    NV.directional(s).alias("self_score"), NV.directional(j).alias("judge_score"))
+
+
+@register("claim_routing", O.sql("SELECT * FROM scored", "scored"))
+def q_claim_routing(spark, sf_dir):
+    return _scored(spark, sf_dir)
+
+
+@register("narrative_gate", O.sql("""SELECT narrative_id, count(*) AS n_claims,
+  CAST(sum(CASE WHEN routing_band = 'rejected' THEN 1 ELSE 0 END) AS BIGINT) AS n_rejected,
+  sum(CASE WHEN routing_band = 'rejected' THEN 1 ELSE 0 END) = 0 AS passed
+FROM scored GROUP BY narrative_id""", "scored"))
+def q_narrative_gate(spark, sf_dir):
+    return NV.narrative_gate(_scored(spark, sf_dir), "narrative_id")
+
+
+@register("band_counts", O.sql("SELECT routing_band, count(*) AS claims FROM scored GROUP BY routing_band", "scored"))
+def q_band_counts(spark, sf_dir):
+    return NV.band_counts(_scored(spark, sf_dir))
