@@ -159,3 +159,34 @@ def scale_reconciliation(ledger) -> DataFrame:
 __all__ = ["scale_reconciliation", "pnl_crore", "pnl_crore_grounding", "variance_context", "revenue_by_segment", "cost_by_type",
            "base_measures", "margin_cube", "selected_value", "native_grain_selector", "prior_month_measure",
            "reconcile_pnl", "dbl"]
+
+
+def headline_facts(pnl: DataFrame, variance: DataFrame, cost: DataFrame) -> DataFrame:
+    """Deterministic facts a card headline is written from, one row per segment.
+
+    Most volatile segment (largest |oi_variance_pct|, with its range), the
+    segment's revenue peak month and its share of that month's revenue, and its
+    dominant cost type with its share of the segment's cost. Only grouped
+    aggregates and equi-joins on small aggregated frames.
+    """
+    from ledgerspark.functions.num import ratio_pct
+    vol = variance.groupBy("segment").agg(
+        F.max(F.abs("oi_variance_pct")).alias("volatility"),
+        F.min("oi_variance_pct").alias("oi_var_min"), F.max("oi_variance_pct").alias("oi_var_max"))
+    top = F.broadcast(vol.agg(F.max("volatility").alias("_top")).where(F.col("_top").isNotNull()))
+    vol = vol.join(top, vol.volatility == top._top, "left") \
+        .withColumn("is_most_volatile", F.col("_top").isNotNull()).drop("_top")
+    peak = pnl.groupBy("segment").agg(F.max(F.struct("revenue", "period_month")).alias("p")) \
+        .select("segment", F.col("p.period_month").alias("peak_month"), F.col("p.revenue").alias("peak_revenue"))
+    month = pnl.groupBy("period_month").agg(F.sum("revenue").cast(MONEY_SUM).alias("month_revenue"))
+    peak = peak.join(month, peak.peak_month == month.period_month, "left").select(
+        "segment", "peak_month", crore("peak_revenue").alias("peak_revenue_cr"),
+        ratio_pct("peak_revenue", "month_revenue").alias("peak_share_pct"))
+    by_type = cost.groupBy("segment", "account_type").agg(F.sum("cost_inr").cast(MONEY_SUM).alias("c"))
+    dom = by_type.groupBy("segment").agg(F.max(F.struct("c", "account_type")).alias("d"),
+                                         F.sum("c").cast(MONEY_SUM).alias("total_cost")) \
+        .select("segment", F.col("d.account_type").alias("dominant_cost_type"),
+                ratio_pct(F.col("d.c"), F.col("total_cost")).alias("dominant_cost_share_pct"))
+    return _nsjoin(_nsjoin(vol, peak, ["segment"]), dom, ["segment"]).select(
+        "segment", "volatility", "oi_var_min", "oi_var_max", "is_most_volatile", "peak_month",
+        "peak_revenue_cr", "peak_share_pct", "dominant_cost_type", "dominant_cost_share_pct")

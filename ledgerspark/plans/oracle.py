@@ -613,3 +613,132 @@ FROM (SELECT g.*, j.self_score, j.judge_score,
         + CAST(0.45 AS DOUBLE) * g.grounding_score AS comp
       FROM grounded g LEFT JOIN judged j ON g.narrative_id = j.narrative_id AND g.claim_no = j.claim_no) g
 LEFT JOIN judged j ON g.narrative_id = j.narrative_id AND g.claim_no = j.claim_no""", ("grounded", "judged"))
+
+
+# ---------------------------------------------------------------- verdicts, headlines, snippets, facts
+def _clean(x: str) -> str:
+    return strip_sql(f"replace(replace({x}, '```json', ''), '```', '')")
+
+
+cte("vresp", """SELECT narrative_id, h, CASE WHEN h % 5 = 0 THEN '```json' || chr(10) || js || chr(10) || '```'
+                              WHEN h % 5 = 1 THEN substring(js, 1, 40) ELSE js END AS verdict_response
+FROM (
+  SELECT a.narrative_id, n.h, CAST(json_object(
+      'verdict', CASE WHEN a.inconsistent = 0 OR n.h % 5 = 2 THEN 'PASS' ELSE 'FAIL' END,
+      'total_claims', a.total_claims, 'consistent', a.consistent, 'inconsistent', a.inconsistent,
+      'unverifiable', a.unverifiable, 'issues', a.issues) AS VARCHAR) AS js
+  FROM (SELECT narrative_id, count(*) AS total_claims,
+          sum(CASE WHEN status IS NULL THEN 1 ELSE 0 END) AS consistent,
+          sum(CASE WHEN status = 'INCONSISTENT' THEN 1 ELSE 0 END) AS inconsistent,
+          sum(CASE WHEN status = 'UNVERIFIABLE' THEN 1 ELSE 0 END) AS unverifiable,
+          list(json_object('claim', claim_text, 'expected', 'value in mart_pnl_summary', 'status', status))
+            FILTER (WHERE status IS NOT NULL) AS issues
+        FROM (SELECT *, CASE WHEN n_figures = 0 THEN 'UNVERIFIABLE' WHEN grounding_score < 1.0 THEN 'INCONSISTENT' END
+                AS status FROM grounded) g
+        GROUP BY narrative_id) a
+  JOIN narr n ON a.narrative_id = n.narrative_id
+) t""", ("grounded", "narr"))
+
+cte("verdicts", f"""SELECT narrative_id, ok AS parse_ok,
+  CASE WHEN ok THEN coalesce(json_extract_string(c, '$.verdict'), 'UNKNOWN') END AS verdict,
+  CASE WHEN ok THEN coalesce(CAST(json_extract(c, '$.total_claims') AS BIGINT), 0) END AS total_claims,
+  CASE WHEN ok THEN coalesce(CAST(json_extract(c, '$.consistent') AS BIGINT), 0) END AS consistent,
+  CASE WHEN ok THEN coalesce(CAST(json_extract(c, '$.inconsistent') AS BIGINT), 0) END AS inconsistent,
+  CASE WHEN ok THEN coalesce(CAST(json_extract(c, '$.unverifiable') AS BIGINT), 0) END AS unverifiable,
+  CASE WHEN ok THEN CAST(coalesce(json_array_length(c, '$.issues'), 0) AS BIGINT) END AS n_issues,
+  CASE WHEN ok THEN CASE WHEN coalesce(len(list_filter(json_extract_string(c, '$.issues[*].status'),
+                                                       lambda s: s = 'INCONSISTENT')), 0) > 0
+                         THEN 'FAIL' ELSE 'PASS' END END AS rule_verdict,
+  ok AND coalesce(json_extract_string(c, '$.verdict') = 'PASS', false) AS passed
+FROM (SELECT narrative_id, ok, CASE WHEN ok THEN c0 ELSE '{{}}' END AS c FROM (
+        SELECT narrative_id, c0, coalesce(starts_with(c0, '{{') AND ends_with(c0, '}}') AND json_valid(c0), false) AS ok
+        FROM (SELECT narrative_id, {_clean('verdict_response')} AS c0 FROM vresp) a) b) bb""", ("vresp",))
+
+cte("hresp", """SELECT narrative_id, CASE WHEN h % 3 = 0 THEN text || chr(10) || '===CARD_HEADLINE===' || chr(10) || card
+                             WHEN h % 3 = 1 THEN text || chr(10) || '===CARD_HEADLINE===' || '   '
+                             ELSE text END AS response FROM narr""", ("narr",))
+
+cte("headlines", f"""SELECT narrative_id,
+  CASE WHEN use THEN {strip_sql('before')} ELSE whole END AS narrative,
+  CASE WHEN use THEN head ELSE regexp_replace({strip_sql("split_part(whole, '. ', 1)")}, '\\.+\\z', '', 'g') || '.' END
+    AS headline,
+  NOT use AS used_fallback
+FROM (SELECT *, coalesce(pos > 0 AND length(head) > 0, false) AS use FROM (
+  SELECT narrative_id, pos, CASE WHEN pos > 0 THEN substring(response, 1, pos - 1) END AS before,
+    CASE WHEN pos > 0 THEN {strip_sql("substring(response, pos + 19)")} END AS head,
+    {strip_sql('response')} AS whole
+  FROM (SELECT narrative_id, response, position('===CARD_HEADLINE===' IN response) AS pos FROM hresp) a) b) c""",
+    ("hresp",))
+
+
+def words_sql(x: str) -> str:
+    return f"CASE WHEN {strip_sql(x)} = '' THEN CAST([] AS VARCHAR[]) ELSE regexp_split_to_array({strip_sql(x)}, '{WSR}+') END"
+
+
+cte("snippets", f"""SELECT doc_id, snippet_text, CAST(len({words_sql('snippet_text')}) AS BIGINT) AS word_count,
+  CAST(len(w) AS BIGINT) AS source_words, len(w) > 25 AS truncated
+FROM (SELECT doc_id, w, CASE WHEN len(w) <= 25 THEN text
+                             ELSE regexp_replace(array_to_string(w[1:25], ' '), '[.,;:]+\\z', '', 'g') || '…' END AS snippet_text
+      FROM (SELECT doc_id, text, {words_sql('text')} AS w FROM documents WHERE length({strip_sql('text')}) > 0) a) b""")
+
+cte("facts", """SELECT v.segment, v.volatility, v.oi_var_min, v.oi_var_max, v.volatility = t.top AS is_most_volatile,
+  p.peak_month, p.peak_revenue_cr, p.peak_share_pct, d.dominant_cost_type, d.dominant_cost_share_pct
+FROM (SELECT segment, max(abs(oi_variance_pct)) AS volatility, min(oi_variance_pct) AS oi_var_min,
+             max(oi_variance_pct) AS oi_var_max FROM variance GROUP BY segment) v
+CROSS JOIN (SELECT max(abs(oi_variance_pct)) AS top FROM variance) t
+LEFT JOIN (
+  SELECT s.segment, s.peak_month, round(s.peak_revenue / 10000000, 2) AS peak_revenue_cr,
+    CASE WHEN m.month_revenue = 0 THEN NULL
+         ELSE round(CAST(s.peak_revenue AS DOUBLE) / CAST(m.month_revenue AS DOUBLE) * 100, 2) END AS peak_share_pct
+  FROM (SELECT segment, max({'r': revenue, 'p': period_month}).p AS peak_month,
+               max({'r': revenue, 'p': period_month}).r AS peak_revenue FROM pnl GROUP BY segment) s
+  LEFT JOIN (SELECT period_month, CAST(sum(revenue) AS DECIMAL(38,2)) AS month_revenue FROM pnl GROUP BY period_month) m
+    ON s.peak_month = m.period_month
+) p ON v.segment IS NOT DISTINCT FROM p.segment
+LEFT JOIN (
+  SELECT segment, max({'c': c, 't': account_type}).t AS dominant_cost_type,
+    CASE WHEN sum(c) = 0 THEN NULL
+         ELSE round(CAST(max({'c': c, 't': account_type}).c AS DOUBLE) / CAST(CAST(sum(c) AS DECIMAL(38,2)) AS DOUBLE) * 100, 2)
+    END AS dominant_cost_share_pct
+  FROM (SELECT segment, account_type, CAST(sum(cost_inr) AS DECIMAL(38,2)) AS c FROM cost_analysis
+        GROUP BY segment, account_type) x GROUP BY segment
+) d ON v.segment IS NOT DISTINCT FROM d.segment""", ("variance", "pnl", "cost_analysis"))
+
+# ---------------------------------------------------------------- review queue
+REVIEWED_AT = "2026-01-02 09:30:00"
+
+cte("decisions", f"""SELECT review_id,
+  CASE k % 4 WHEN 0 THEN 'approved' WHEN 1 THEN 'edited' WHEN 2 THEN 'rejected' END AS decision,
+  CASE WHEN k % 4 = 2 THEN ['matches_mart_data', 'stale_snapshot', 'rounding_discrepancy', 'wrong_segment_attribution',
+                            'unsupported_by_retrieval', 'hallucinated_metric', 'other'][k % 7 + 1] END AS reason_code,
+  CASE WHEN k % 4 = 1 THEN claim_text || ' [edited]' END AS edited_text,
+  CAST('{REVIEWED_AT}' AS TIMESTAMP) AS reviewed_at, 'reviewer' AS reviewed_by
+FROM (SELECT *, CAST(('0x' || substr(review_id, 1, 2)) AS INTEGER) AS k FROM scored) q WHERE k % 4 < 3""", ("scored",))
+
+cte("applied", """SELECT q.review_id, q.run_at, q.source_chain, q.claim_text, q.self_reported_score, q.second_judge_score,
+  q.retrieval_grounding_score, q.confidence_score, q.routing_band,
+  CASE WHEN d.decision IS NOT NULL THEN d.decision ELSE q.reviewer_verdict END AS reviewer_verdict,
+  CASE WHEN d.decision = 'approved' THEN 'matches_mart_data' WHEN d.decision = 'rejected' THEN d.reason_code
+       ELSE q.reviewer_reason_code END AS reviewer_reason_code,
+  CASE WHEN d.decision = 'edited' THEN d.edited_text ELSE q.reviewer_edited_text END AS reviewer_edited_text,
+  CASE WHEN d.decision IS NOT NULL THEN d.reviewed_at ELSE q.reviewed_at END AS reviewed_at,
+  CASE WHEN d.decision IS NOT NULL THEN d.reviewed_by ELSE q.reviewed_by END AS reviewed_by
+FROM scored q LEFT JOIN decisions d ON q.review_id = d.review_id""", ("scored", "decisions"))
+
+# ---------------------------------------------------------------- documentation drift
+cte("doc_drift", """WITH docs AS (SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS name, source AS layer, text, sha256(text) AS h
+                   FROM documents),
+cur AS (SELECT name AS model_name, layer, h AS sha256 FROM docs),
+doc AS (SELECT name AS model_name, layer,
+          CASE WHEN starts_with(h, '0') OR starts_with(h, '1') THEN sha256(text || ' ') ELSE h END AS sha256
+        FROM docs WHERE NOT starts_with(h, 'f')
+        UNION ALL
+        SELECT 'bench-' || CAST(item_id AS VARCHAR), CAST(NULL AS VARCHAR), sha256(text) FROM benchmark)
+SELECT coalesce(c.model_name, d.model_name) AS model_name,
+  CASE WHEN c.model_name IS NOT NULL THEN c.layer ELSE coalesce(d.layer, 'unknown') END AS layer,
+  c.sha256 AS current_sql_hash, d.sha256 AS documented_sql_hash,
+  NOT (c.model_name IS NOT NULL AND d.model_name IS NOT NULL AND c.sha256 = d.sha256) AS is_drifted,
+  CASE WHEN c.model_name IS NOT NULL AND d.model_name IS NULL THEN 'never_documented'
+       WHEN c.model_name IS NOT NULL AND c.sha256 <> d.sha256 THEN 'sql_changed_since_docs'
+       WHEN c.model_name IS NOT NULL THEN 'in_sync' ELSE 'doc_entry_orphaned' END AS drift_reason
+FROM cur c FULL OUTER JOIN doc d ON c.model_name = d.model_name""")

@@ -383,3 +383,119 @@ def q_narrative_gate(spark, sf_dir):
 @register("band_counts", O.sql("SELECT routing_band, count(*) AS claims FROM scored GROUP BY routing_band", "scored"))
 def q_band_counts(spark, sf_dir):
     return NV.band_counts(_scored(spark, sf_dir))
+
+
+@register("verdict", O.sql("SELECT * FROM verdicts", "verdicts"))
+def q_verdict(spark, sf_dir):
+    raw = SN.verdict_responses(_grounded(spark, sf_dir), _narr(spark, sf_dir))
+    v = NV.parse_verdict(F.col("verdict_response"))
+    return raw.select("narrative_id", *[v[c].alias(c) for c in [
+        "parse_ok", "verdict", "total_claims", "consistent", "inconsistent", "unverifiable", "n_issues",
+        "rule_verdict", "passed"]])
+
+
+@register("headline_split", O.sql("SELECT * FROM headlines", "headlines"))
+def q_headline_split(spark, sf_dir):
+    r = SN.headline_responses(_narr(spark, sf_dir))
+    h = NV.split_headline(F.col("response"))
+    return r.select("narrative_id", h["narrative"].alias("narrative"), h["headline"].alias("headline"),
+                    h["used_fallback"].alias("used_fallback"))
+
+
+@register("bounded_snippets", O.sql("SELECT * FROM snippets", "snippets"))
+def q_bounded_snippets(spark, sf_dir):
+    return NV.bounded_snippets(L(spark, sf_dir).table("documents"), "doc_id", "text")
+
+
+@register("headline_facts", O.sql("SELECT * FROM facts", "facts"))
+def q_headline_facts(spark, sf_dir):
+    lg = L(spark, sf_dir)
+    return M.headline_facts(lg.pnl, lg.variance, lg.cost_analysis)
+
+
+# ---------------------------------------------------------------- review queue
+from ledgerspark.operators import review as RV  # noqa: E402
+
+REVIEWED_AT = O.REVIEWED_AT
+
+
+def _applied_queue(spark, sf_dir):
+    queue = _scored(spark, sf_dir).select(*RV.QUEUE_COLUMNS)
+    return RV.apply_decisions(queue, RV.decisions_from_queue(queue, REVIEWED_AT))
+
+
+@register("apply_decisions", O.sql("SELECT * FROM applied", "applied"))
+def q_apply_decisions(spark, sf_dir):
+    return _applied_queue(spark, sf_dir)
+
+
+@register("queue_status", O.sql("""SELECT routing_band, CAST(sum(CASE WHEN reviewer_verdict IS NULL THEN 1 ELSE 0 END) AS BIGINT)
+  AS pending, count(*) AS total FROM applied GROUP BY routing_band""", "applied"))
+def q_queue_status(spark, sf_dir):
+    return RV.queue_status(_applied_queue(spark, sf_dir))
+
+
+@register("band_accuracy", O.sql("""SELECT routing_band, count(*) AS total_reviewed,
+  CAST(sum(CASE WHEN reviewer_verdict = 'approved' THEN 1 ELSE 0 END) AS BIGINT) AS approved,
+  CAST(sum(CASE WHEN reviewer_verdict = 'edited' THEN 1 ELSE 0 END) AS BIGINT) AS edited,
+  CAST(sum(CASE WHEN reviewer_verdict = 'rejected' THEN 1 ELSE 0 END) AS BIGINT) AS rejected,
+  round(100.0 * CAST(sum(CASE WHEN reviewer_verdict = 'approved' THEN 1 ELSE 0 END) AS DOUBLE) / CAST(count(*) AS DOUBLE), 1)
+    AS approval_rate_pct
+FROM applied WHERE reviewer_verdict IS NOT NULL GROUP BY routing_band""", "applied"))
+def q_band_accuracy(spark, sf_dir):
+    return RV.band_accuracy(_applied_queue(spark, sf_dir))
+
+
+@register("next_pending", O.sql("""SELECT review_id, claim_text, self_reported_score, second_judge_score,
+  retrieval_grounding_score, confidence_score, run_at FROM applied
+WHERE routing_band = 'human_review' AND reviewer_verdict IS NULL ORDER BY run_at, review_id LIMIT 1""", "applied"))
+def q_next_pending(spark, sf_dir):
+    return RV.next_pending(_applied_queue(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- documentation drift, publish
+from ledgerspark.operators import drift as DR  # noqa: E402
+from ledgerspark.operators import publish as PB  # noqa: E402
+
+
+def _doc_drift(spark, sf_dir):
+    lg = L(spark, sf_dir)
+    docs = lg.table("documents").select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("name"),
+                                        F.col("source").alias("layer"), "text")
+    current = DR.fingerprints(docs, "name", "layer", "text")
+    h = F.sha2(F.col("text"), 256)
+    documented = docs.where(~h.startswith("f")).select(
+        F.col("name").alias("model_name"), "layer",
+        F.when(h.startswith("0") | h.startswith("1"), F.sha2(F.concat(F.col("text"), F.lit(" ")), 256))
+         .otherwise(h).alias("sha256"))
+    bench = lg.table("benchmark").select(F.concat(F.lit("bench-"), F.col("item_id").cast("string")).alias("model_name"),
+                                         F.lit(None).cast("string").alias("layer"),
+                                         F.sha2(F.col("text"), 256).alias("sha256"))
+    return DR.compare_fingerprints(current, documented.unionByName(bench))
+
+
+@register("doc_drift", O.sql("SELECT * FROM doc_drift", "doc_drift"))
+def q_doc_drift(spark, sf_dir):
+    return _doc_drift(spark, sf_dir)
+
+
+@register("drift_summary", O.sql("""SELECT count(*) AS models,
+  CAST(sum(CASE WHEN NOT is_drifted THEN 1 ELSE 0 END) AS BIGINT) AS in_sync,
+  CAST(sum(CASE WHEN is_drifted THEN 1 ELSE 0 END) AS BIGINT) AS drifted,
+  CAST(sum(CASE WHEN drift_reason = 'sql_changed_since_docs' THEN 1 ELSE 0 END) AS BIGINT) AS sql_changed_since_docs,
+  CAST(sum(CASE WHEN drift_reason = 'never_documented' THEN 1 ELSE 0 END) AS BIGINT) AS never_documented,
+  CAST(sum(CASE WHEN drift_reason = 'doc_entry_orphaned' THEN 1 ELSE 0 END) AS BIGINT) AS doc_entry_orphaned
+FROM doc_drift""", "doc_drift"))
+def q_drift_summary(spark, sf_dir):
+    return DR.drift_summary(_doc_drift(spark, sf_dir))
+
+
+@register("publish_types", O.sql("""SELECT period_month, segment, cost_centre, cost_centre_name, cost_centre_location,
+  cost_centre_country, account_type, account_code, account_name,
+  CASE WHEN isnan(CAST(cost_inr AS DOUBLE)) THEN NULL ELSE CAST(cost_inr AS DOUBLE) END AS cost_inr,
+  CAST(entry_count AS BIGINT) AS entry_count,
+  CASE WHEN isnan(CAST(prev_month_cost AS DOUBLE)) THEN NULL ELSE CAST(prev_month_cost AS DOUBLE) END AS prev_month_cost,
+  CASE WHEN isnan(mom_change_pct) THEN NULL ELSE mom_change_pct END AS mom_change_pct
+FROM cost_analysis""", "cost_analysis"))
+def q_publish_types(spark, sf_dir):
+    return PB.normalize_types(L(spark, sf_dir).cost_analysis)
