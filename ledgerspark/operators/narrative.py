@@ -80,40 +80,51 @@ def ground_claims(claims: DataFrame, keys: list[str], pnl: DataFrame,
 
 
 # ---------------------------------------------------------------- judge responses
-def parse_judge(raw: F.Column) -> F.Column:
-    """Parse a judge response into struct(supported, confidence, parse_ok).
+def _strip_fences(c: F.Column) -> F.Column:
+    return strip_ws(F.replace(F.replace(c, F.lit("```json"), F.lit("")), F.lit("```"), F.lit("")))
+
+
+def parse_judge(df: DataFrame, raw_col: str, prefix: str) -> DataFrame:
+    """Add ``{prefix}_supported``, ``{prefix}_confidence``, ``{prefix}_parse_ok`` parsed from a judge response.
 
     Code fences are removed; the rest must be one JSON object. ``supported`` is
     taken by truthiness (a JSON string is true when non-empty, a number when
     non-zero); ``confidence`` is converted to a double (missing = 0.0). Any
-    failure gives (false, 0.0) with ``parse_ok`` false.
+    failure gives (false, 0.0) with ``parse_ok`` false. Each step is its own
+    projection referring to the previous step's columns, so the plan stays small.
     """
-    clean = strip_ws(F.replace(F.replace(raw, F.lit("```json"), F.lit("")), F.lit("```"), F.lit("")))
-    is_obj = clean.startswith("{") & clean.endswith("}")
-    m = F.when(is_obj, F.from_json(clean, "map<string,string>"))
-    sup = F.element_at(m, F.lit("supported"))
-    sup_is_str = clean.rlike('"supported"\\s*:\\s*"')
-    supported = (F.when(sup.isNull(), F.lit(False))
-                 .when(sup_is_str, F.length(sup) > 0)
-                 .when(sup == "true", F.lit(True))
-                 .when(sup == "false", F.lit(False))
-                 .otherwise(F.coalesce(sup.try_cast("double") != 0, F.lit(True))))
-    has_conf = F.coalesce(F.map_contains_key(m, F.lit("confidence")), F.lit(False))
-    craw = F.element_at(m, F.lit("confidence"))
-    conf_is_str = clean.rlike('"confidence"\\s*:\\s*"')
-    conf = (F.when(~has_conf, F.lit(0.0))
-            .when(~conf_is_str & (craw == "true"), F.lit(1.0))
-            .when(~conf_is_str & (craw == "false"), F.lit(0.0))
-            .otherwise(strip_ws(craw).try_cast("double")))
-    ok = m.isNotNull() & conf.isNotNull()
-    return F.struct(F.when(ok, supported).otherwise(F.lit(False)).alias("supported"),
-                    F.when(ok, conf).otherwise(F.lit(0.0)).alias("confidence"),
-                    F.coalesce(ok, F.lit(False)).alias("parse_ok"))
-
-
-def directional(parsed: F.Column) -> F.Column:
+    t = [f"_{prefix}_{n}" for n in ("c", "m", "sis", "cis", "sup", "has", "craw", "conf", "supb", "ok")]
+    c, m, sis, cis, sup, has, craw, conf, supb, ok = (F.col(x) for x in t)
+    df = df.withColumn(t[0], _strip_fences(F.col(raw_col)))
+    df = df.withColumns({
+        t[1]: F.when(c.startswith("{") & c.endswith("}"), F.from_json(c, "map<string,string>")),
+        t[2]: c.rlike('"supported"\\s*:\\s*"'),
+        t[3]: c.rlike('"confidence"\\s*:\\s*"')})
+    df = df.withColumns({
+        t[4]: F.element_at(m, F.lit("supported")),
+        t[5]: F.coalesce(F.map_contains_key(m, F.lit("confidence")), F.lit(False)),
+        t[6]: F.element_at(m, F.lit("confidence"))})
+    df = df.withColumns({
+        t[7]: (F.when(~has, F.lit(0.0))
+               .when(~cis & (craw == "true"), F.lit(1.0))
+               .when(~cis & (craw == "false"), F.lit(0.0))
+               .otherwise(strip_ws(craw).try_cast("double"))),
+        t[8]: (F.when(sup.isNull(), F.lit(False))
+               .when(sis, F.length(sup) > 0)
+               .when(sup == "true", F.lit(True))
+               .when(sup == "false", F.lit(False))
+               .otherwise(F.coalesce(sup.try_cast("double") != 0, F.lit(True))))})
+    df = df.withColumn(t[9], F.coalesce(m.isNotNull() & conf.isNotNull(), F.lit(False)))
+    df = df.withColumns({
+        f"{prefix}_supported": F.when(ok, supb).otherwise(F.lit(False)),
+        f"{prefix}_confidence": F.when(ok, conf).otherwise(F.lit(0.0)),
+        f"{prefix}_parse_ok": ok})
+    return df.drop(*t)
+
+
+def directional(supported: F.Column, confidence: F.Column) -> F.Column:
     """A confident 'not supported' scores low: supported ? c : 1 - c."""
-    return F.when(parsed["supported"], parsed["confidence"]).otherwise(F.lit(1.0) - parsed["confidence"])
+    return F.when(supported, confidence).otherwise(F.lit(1.0) - confidence)
 
 
 def route(composite: F.Column) -> F.Column:
@@ -122,6 +133,14 @@ def route(composite: F.Column) -> F.Column:
             .otherwise(F.lit("rejected")))
 
 
+def judge_scores(responses: DataFrame) -> DataFrame:
+    """Parse both responses of each claim and add the directional self / judge scores."""
+    p = parse_judge(parse_judge(responses, "self_response", "self"), "judge_response", "judge")
+    return p.withColumns({
+        "self_score": directional(F.col("self_supported"), F.col("self_confidence")),
+        "judge_score": directional(F.col("judge_supported"), F.col("judge_confidence"))})
+
+
 def score_claims(grounded: DataFrame, responses: DataFrame, keys: list[str], run_at: str,
                  source_chain: str = "ai1_pnl_narrative") -> DataFrame:
     """Composite confidence (0.20 self + 0.35 judge + 0.45 grounding), band, queue-shaped rows.
@@ -129,11 +148,10 @@ def score_claims(grounded: DataFrame, responses: DataFrame, keys: list[str], run
     ``responses`` holds (keys..., self_response, judge_response). The band is
     decided on the unrounded composite; stored scores are rounded to 3.
     """
-    j = grounded.join(responses, keys, "left")
-    ps, pj = parse_judge(F.col("self_response")), parse_judge(F.col("judge_response"))
-    s, jd, g = directional(ps), directional(pj), F.col("grounding_score")
-    composite = (F.lit(WEIGHT_SELF_REPORTED) * s + F.lit(WEIGHT_SECOND_JUDGE) * jd
-                 + F.lit(WEIGHT_RETRIEVAL_GROUNDING) * g)
+    j = grounded.join(judge_scores(responses), keys, "left")
+    j = j.withColumn("_composite", F.lit(WEIGHT_SELF_REPORTED) * F.col("self_score")
+                     + F.lit(WEIGHT_SECOND_JUDGE) * F.col("judge_score")
+                     + F.lit(WEIGHT_RETRIEVAL_GROUNDING) * F.col("grounding_score"))
     ns = F.lit(None).cast("string")
     return j.select(
         *keys,
@@ -141,14 +159,14 @@ def score_claims(grounded: DataFrame, responses: DataFrame, keys: list[str], run
         F.lit(run_at).cast("timestamp").alias("run_at"),
         F.lit(source_chain).alias("source_chain"),
         "claim_text",
-        round_to(s, 3).alias("self_reported_score"),
-        round_to(jd, 3).alias("second_judge_score"),
-        round_to(g, 3).alias("retrieval_grounding_score"),
-        round_to(composite, 3).alias("confidence_score"),
-        route(composite).alias("routing_band"),
+        round_to("self_score", 3).alias("self_reported_score"),
+        round_to("judge_score", 3).alias("second_judge_score"),
+        round_to("grounding_score", 3).alias("retrieval_grounding_score"),
+        round_to("_composite", 3).alias("confidence_score"),
+        route(F.col("_composite")).alias("routing_band"),
         ns.alias("reviewer_verdict"), ns.alias("reviewer_reason_code"), ns.alias("reviewer_edited_text"),
         F.lit(None).cast("timestamp").alias("reviewed_at"), ns.alias("reviewed_by"),
-        ps["parse_ok"].alias("self_parse_ok"), pj["parse_ok"].alias("judge_parse_ok"))
+        "self_parse_ok", "judge_parse_ok")
 
 
 def narrative_gate(scored: DataFrame, key: str) -> DataFrame:
@@ -168,70 +186,78 @@ VERDICT_SCHEMA = ("verdict string, total_claims long, consistent long, inconsist
                   "issues array<struct<claim:string, expected:string, status:string>>")
 
 
-def parse_verdict(raw: F.Column) -> F.Column:
-    """Parse a verdict JSON (fences removed). Fields are null and parse_ok false when it is not JSON."""
-    clean = strip_ws(F.replace(F.replace(raw, F.lit("```json"), F.lit("")), F.lit("```"), F.lit("")))
-    ok = (clean.startswith("{") & clean.endswith("}") & F.from_json(clean, "map<string,string>").isNotNull())
-    v = F.from_json(clean, VERDICT_SCHEMA)
-    n_issue = F.size(F.coalesce(v["issues"], F.array().cast("array<struct<claim:string,expected:string,status:string>>")))
-    n_inc = F.size(F.filter(F.coalesce(v["issues"], F.array().cast(
-        "array<struct<claim:string,expected:string,status:string>>")), lambda i: i["status"] == "INCONSISTENT"))
-    ok = F.coalesce(ok, F.lit(False))
-    return F.struct(
-        ok.alias("parse_ok"),
-        F.when(ok, F.coalesce(v["verdict"], F.lit("UNKNOWN"))).alias("verdict"),
-        F.when(ok, F.coalesce(v["total_claims"], F.lit(0))).alias("total_claims"),
-        F.when(ok, F.coalesce(v["consistent"], F.lit(0))).alias("consistent"),
-        F.when(ok, F.coalesce(v["inconsistent"], F.lit(0))).alias("inconsistent"),
-        F.when(ok, F.coalesce(v["unverifiable"], F.lit(0))).alias("unverifiable"),
-        F.when(ok, n_issue.cast("long")).alias("n_issues"),
-        F.when(ok, F.when(n_inc > 0, F.lit("FAIL")).otherwise(F.lit("PASS"))).alias("rule_verdict"),
-        (ok & F.coalesce(v["verdict"] == "PASS", F.lit(False))).alias("passed"))
+def parse_verdict(df: DataFrame, raw_col: str) -> DataFrame:
+    """Parse a verdict JSON (fences removed) into typed columns.
+
+    Fields are null and parse_ok false when the text is not one JSON object;
+    ``rule_verdict`` is FAIL iff an issue is INCONSISTENT, ``passed`` follows
+    the stated verdict.
+    """
+    empty = F.array().cast("array<struct<claim:string,expected:string,status:string>>")
+    d = df.withColumn("_c", _strip_fences(F.col(raw_col)))
+    d = d.withColumns({
+        "_ok": F.coalesce(F.col("_c").startswith("{") & F.col("_c").endswith("}")
+                          & F.from_json(F.col("_c"), "map<string,string>").isNotNull(), F.lit(False)),
+        "_v": F.from_json(F.col("_c"), VERDICT_SCHEMA)})
+    d = d.withColumn("_issues", F.coalesce(F.col("_v.issues"), empty))
+    ok, v = F.col("_ok"), F.col("_v")
+    n_inc = F.size(F.filter(F.col("_issues"), lambda i: i["status"] == "INCONSISTENT"))
+    out = d.withColumns({
+        "parse_ok": ok,
+        "verdict": F.when(ok, F.coalesce(v["verdict"], F.lit("UNKNOWN"))),
+        "total_claims": F.when(ok, F.coalesce(v["total_claims"], F.lit(0))),
+        "consistent": F.when(ok, F.coalesce(v["consistent"], F.lit(0))),
+        "inconsistent": F.when(ok, F.coalesce(v["inconsistent"], F.lit(0))),
+        "unverifiable": F.when(ok, F.coalesce(v["unverifiable"], F.lit(0))),
+        "n_issues": F.when(ok, F.size(F.col("_issues")).cast("long")),
+        "rule_verdict": F.when(ok, F.when(n_inc > 0, F.lit("FAIL")).otherwise(F.lit("PASS"))),
+        "passed": ok & F.coalesce(v["verdict"] == "PASS", F.lit(False))})
+    return out.drop("_c", "_ok", "_v", "_issues")
 
 
 # ---------------------------------------------------------------- headlines and snippets
-def split_headline(raw: F.Column) -> F.Column:
-    """struct(narrative, headline, used_fallback) from one response holding both.
+def split_headline(df: DataFrame, raw_col: str) -> DataFrame:
+    """Add (narrative, headline, used_fallback) from one response holding both.
 
     Text after the first delimiter is the headline; when it is missing or
     empty, the headline is the narrative's first sentence and the whole
     (stripped) response is the narrative.
     """
-    parts = F.split(raw, HEADLINE_DELIMITER, 2)
-    found = F.size(parts) == 2
-    before = F.element_at(parts, 1)
-    after = F.when(found, F.element_at(parts, 2))
-    head = strip_ws(after)
-    use = found & (F.length(head) > 0)
-    whole = strip_ws(raw)
-    first = F.element_at(F.split(whole, "\\. ", -1), 1)
+    d = df.withColumn("_parts", F.split(F.col(raw_col), HEADLINE_DELIMITER, 2))
+    d = d.withColumns({
+        "_found": F.size("_parts") == 2,
+        "_before": F.element_at("_parts", 1),
+        "_head": strip_ws(F.try_element_at(F.col("_parts"), F.lit(2))),
+        "_whole": strip_ws(F.col(raw_col))})
+    d = d.withColumn("_use", F.coalesce(F.col("_found") & (F.length("_head") > 0), F.lit(False)))
+    first = F.element_at(F.split(F.col("_whole"), "\\. ", -1), 1)
     fallback = F.concat(F.regexp_replace(strip_ws(first), "\\.+\\z", ""), F.lit("."))
-    return F.struct(F.when(use, strip_ws(before)).otherwise(whole).alias("narrative"),
-                    F.when(use, head).otherwise(fallback).alias("headline"),
-                    (~F.coalesce(use, F.lit(False))).alias("used_fallback"))
+    d = d.withColumns({
+        "narrative": F.when(F.col("_use"), strip_ws(F.col("_before"))).otherwise(F.col("_whole")),
+        "headline": F.when(F.col("_use"), F.col("_head")).otherwise(fallback),
+        "used_fallback": ~F.col("_use")})
+    return d.drop("_parts", "_found", "_before", "_head", "_whole", "_use")
+
 
+def bounded_snippets(df: DataFrame, id_col: str, text_col: str, max_words: int = MAX_HEADLINE_WORDS) -> DataFrame:
+    """Word-bounded snippet per text; empty (whitespace-only) texts are skipped.
 
-def bound_words(text: F.Column, max_words: int = MAX_HEADLINE_WORDS) -> F.Column:
-    """Texts over ``max_words`` words: first words joined by a space, trailing
-    .,;: removed, an ellipsis appended; shorter texts unchanged."""
-    words = split_words(text)
-    cut = F.concat(F.regexp_replace(F.array_join(F.slice(words, 1, max_words), " "), "[.,;:]+\\z", ""),
+    Over ``max_words`` words: the first words joined by a space, trailing .,;:
+    removed, an ellipsis appended; shorter texts are kept unchanged. The whole
+    text is split, so ``source_words`` is its full word count.
+    """
+    d = df.select(id_col, F.col(text_col).alias("_t")).withColumn("_w", split_words(F.col("_t")))
+    d = d.where(F.size("_w") > 0)
+    cut = F.concat(F.regexp_replace(F.array_join(F.slice("_w", 1, max_words), " "), "[.,;:]+\\z", ""),
                    F.lit(ELLIPSIS))
-    return F.when(F.size(words) <= max_words, text).otherwise(cut)
+    d = d.withColumn("snippet_text", F.when(F.size("_w") <= max_words, F.col("_t")).otherwise(cut))
+    return d.select(
+        id_col, "snippet_text",
+        F.size(split_words(F.col("snippet_text"))).cast("long").alias("word_count"),
+        F.size("_w").cast("long").alias("source_words"),
+        (F.size("_w") > max_words).alias("truncated"))
 
 
-def bounded_snippets(df: DataFrame, id_col: str, text_col: str, max_words: int = MAX_HEADLINE_WORDS) -> DataFrame:
-    """Word-bounded snippet per text; empty (whitespace-only) texts are skipped."""
-    t = F.col(text_col)
-    kept = df.where(F.length(strip_ws(t)) > 0)
-    b = bound_words(t, max_words)
-    return kept.select(
-        id_col, b.alias("snippet_text"),
-        F.size(split_words(b)).cast("long").alias("word_count"),
-        F.size(split_words(t)).cast("long").alias("source_words"),
-        (F.size(split_words(t)) > max_words).alias("truncated"))
-
-
-__all__ = ["extract_claims", "claim_sentences", "figures", "ground_claims", "parse_judge", "score_claims",
-           "narrative_gate", "band_counts", "parse_verdict", "split_headline", "bounded_snippets", "bound_words",
+__all__ = ["extract_claims", "claim_sentences", "figures", "ground_claims", "parse_judge", "judge_scores",
+           "score_claims", "narrative_gate", "band_counts", "parse_verdict", "split_headline", "bounded_snippets",
            "WS"]

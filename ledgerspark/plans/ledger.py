@@ -34,6 +34,14 @@ class Ledger:
             _CACHE[key] = cls(spark, sf_dir, persist)
         return _CACHE[key]
 
+    def derived(self, name: str, build, keep: bool = False) -> DataFrame:
+        """A derived table built once per ledger; ``keep`` persists it (small, many readers)."""
+        memo = self.__dict__.setdefault("_derived", {})
+        if name not in memo:
+            df = build()
+            memo[name] = df.persist(StorageLevel.MEMORY_AND_DISK) if (keep and self.persist) else df
+        return memo[name]
+
     def table(self, name: str) -> DataFrame:
         return testdata.read_table(self.spark, self.sf_dir, name)
 
@@ -85,21 +93,24 @@ class Ledger:
         return m.persist(StorageLevel.MEMORY_AND_DISK) if self.persist else m
 
     # marts
+    def _keep(self, df: DataFrame) -> DataFrame:
+        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.persist else df
+
     @cached_property
     def pnl(self) -> DataFrame:
-        return marts.pnl_summary(self.int_mapped)
+        return self._keep(marts.pnl_summary(self.int_mapped))
 
     @cached_property
     def revenue_trends(self) -> DataFrame:
-        return marts.revenue_trends(self.int_mapped)
+        return self._keep(marts.revenue_trends(self.int_mapped))
 
     @cached_property
     def cost_analysis(self) -> DataFrame:
-        return marts.cost_analysis(self.int_mapped)
+        return self._keep(marts.cost_analysis(self.int_mapped))
 
     @cached_property
     def variance(self) -> DataFrame:
-        return marts.variance_analysis(self.pnl)
+        return self._keep(marts.variance_analysis(self.pnl))
 
     @cached_property
     def dictionary(self) -> DataFrame:

@@ -24,7 +24,9 @@ def register(key: str, oracle_sql: str | None = None):
 
 
 def L(spark: SparkSession, sf_dir: str) -> Ledger:
-    return Ledger.of(spark, sf_dir)
+    """The session's ledger for ``sf_dir``; staged tables, mapped postings and marts are
+    persisted (MEMORY_AND_DISK) because many registered queries read them."""
+    return Ledger.of(spark, sf_dir, persist=True)
 
 
 # ---------------------------------------------------------------- staging and build
@@ -230,9 +232,7 @@ from ledgerspark.operators import checks as C  # noqa: E402
 from ledgerspark.operators import gates as G  # noqa: E402
 
 
-def LP(spark: SparkSession, sf_dir: str) -> Ledger:
-    """Ledger whose FX table and mapped postings are persisted (many readers in one query)."""
-    return Ledger.of(spark, sf_dir, persist=True)
+LP = L
 
 
 @register("model_tests", O.model_tests_sql())
@@ -300,7 +300,7 @@ for _t, *_ in A.ANOMALIES:
 
 def _scorecard(spark, sf_dir):
     lg = LP(spark, sf_dir)
-    return A.scorecard(lg.stg_gl, lg.stg_fx, lg.stg_payroll)
+    return lg.derived("scorecard", lambda: A.scorecard(lg.stg_gl, lg.stg_fx, lg.stg_payroll), keep=True)
 
 
 @register("anomaly_scorecard", O.sql("SELECT * FROM scorecard", "scorecard"))
@@ -327,22 +327,32 @@ from ledgerspark.sources import narratives as SN  # noqa: E402
 
 
 def _narr(spark, sf_dir):
-    return SN.narratives(L(spark, sf_dir).pnl)
+    lg = L(spark, sf_dir)
+    return lg.derived("narratives", lambda: SN.narratives(lg.pnl), keep=True)
 
 
 def _narr_claims(spark, sf_dir):
-    n = _narr(spark, sf_dir)
-    return NV.extract_claims(n, "narrative_id", "text").join(n.select("narrative_id", "h"), "narrative_id")
+    lg = L(spark, sf_dir)
+
+    def build():
+        n = _narr(spark, sf_dir)
+        return NV.extract_claims(n, "narrative_id", "text").join(n.select("narrative_id", "h"), "narrative_id")
+    return lg.derived("narrative_claims", build, keep=True)
 
 
 def _grounded(spark, sf_dir):
-    return NV.ground_claims(_narr_claims(spark, sf_dir).drop("h"), ["narrative_id", "claim_no"],
-                            L(spark, sf_dir).pnl)
+    lg = L(spark, sf_dir)
+    return lg.derived("grounded", lambda: NV.ground_claims(
+        _narr_claims(spark, sf_dir).drop("h"), ["narrative_id", "claim_no"], lg.pnl), keep=True)
 
 
 def _scored(spark, sf_dir):
-    responses = SN.judge_responses(_narr_claims(spark, sf_dir))
-    return NV.score_claims(_grounded(spark, sf_dir), responses, ["narrative_id", "claim_no"], RUN_AT)
+    lg = L(spark, sf_dir)
+
+    def build():
+        responses = SN.judge_responses(_narr_claims(spark, sf_dir))
+        return NV.score_claims(_grounded(spark, sf_dir), responses, ["narrative_id", "claim_no"], RUN_AT)
+    return lg.derived("scored", build, keep=True)
 
 
 @register("claims", O.sql("SELECT * FROM doc_claims", "doc_claims"))
@@ -357,14 +367,9 @@ def q_claim_grounding(spark, sf_dir):
 
 @register("judge_parse", O.sql("SELECT * FROM judged", "judged"))
 def q_judge_parse(spark, sf_dir):
-    r = SN.judge_responses(_narr_claims(spark, sf_dir))
-    s, j = NV.parse_judge(F.col("self_response")), NV.parse_judge(F.col("judge_response"))
-    return r.select("narrative_id", "claim_no",
-                    s["supported"].alias("self_supported"), s["confidence"].alias("self_confidence"),
-                    s["parse_ok"].alias("self_parse_ok"),
-                    j["supported"].alias("judge_supported"), j["confidence"].alias("judge_confidence"),
-                    j["parse_ok"].alias("judge_parse_ok"),
-                    NV.directional(s).alias("self_score"), NV.directional(j).alias("judge_score"))
+    r = NV.judge_scores(SN.judge_responses(_narr_claims(spark, sf_dir)))
+    return r.select("narrative_id", "claim_no", "self_supported", "self_confidence", "self_parse_ok",
+                    "judge_supported", "judge_confidence", "judge_parse_ok", "self_score", "judge_score")
 
 
 @register("claim_routing", O.sql("SELECT * FROM scored", "scored"))
@@ -388,18 +393,12 @@ def q_band_counts(spark, sf_dir):
 @register("verdict", O.sql("SELECT * FROM verdicts", "verdicts"))
 def q_verdict(spark, sf_dir):
     raw = SN.verdict_responses(_grounded(spark, sf_dir), _narr(spark, sf_dir))
-    v = NV.parse_verdict(F.col("verdict_response"))
-    return raw.select("narrative_id", *[v[c].alias(c) for c in [
-        "parse_ok", "verdict", "total_claims", "consistent", "inconsistent", "unverifiable", "n_issues",
-        "rule_verdict", "passed"]])
+    return NV.parse_verdict(raw, "verdict_response").drop("verdict_response")
 
 
 @register("headline_split", O.sql("SELECT * FROM headlines", "headlines"))
 def q_headline_split(spark, sf_dir):
-    r = SN.headline_responses(_narr(spark, sf_dir))
-    h = NV.split_headline(F.col("response"))
-    return r.select("narrative_id", h["narrative"].alias("narrative"), h["headline"].alias("headline"),
-                    h["used_fallback"].alias("used_fallback"))
+    return NV.split_headline(SN.headline_responses(_narr(spark, sf_dir)), "response").drop("response")
 
 
 @register("bounded_snippets", O.sql("SELECT * FROM snippets", "snippets"))
@@ -420,8 +419,10 @@ REVIEWED_AT = O.REVIEWED_AT
 
 
 def _applied_queue(spark, sf_dir):
-    queue = _scored(spark, sf_dir).select(*RV.QUEUE_COLUMNS)
-    return RV.apply_decisions(queue, RV.decisions_from_queue(queue, REVIEWED_AT))
+    def build():
+        queue = _scored(spark, sf_dir).select(*RV.QUEUE_COLUMNS)
+        return RV.apply_decisions(queue, RV.decisions_from_queue(queue, REVIEWED_AT))
+    return L(spark, sf_dir).derived("applied_queue", build, keep=True)
 
 
 @register("apply_decisions", O.sql("SELECT * FROM applied", "applied"))
@@ -459,6 +460,10 @@ from ledgerspark.operators import publish as PB  # noqa: E402
 
 
 def _doc_drift(spark, sf_dir):
+    return L(spark, sf_dir).derived("doc_drift", lambda: _build_doc_drift(spark, sf_dir), keep=True)
+
+
+def _build_doc_drift(spark, sf_dir):
     lg = L(spark, sf_dir)
     docs = lg.table("documents").select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("name"),
                                         F.col("source").alias("layer"), "text")

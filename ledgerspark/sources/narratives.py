@@ -59,14 +59,16 @@ def _response(variant: F.Column, sup: F.Column, conf: F.Column) -> F.Column:
 
 def judge_responses(claims: DataFrame) -> DataFrame:
     """(narrative_id, claim_no, self_response, judge_response) for narrative claims (needs column h)."""
-    hc = (F.col("h") * 7 + F.col("claim_no") * 101) % 1013
+    claims = claims.withColumn("_hc", (F.col("h") * 7 + F.col("claim_no") * 101) % 1013)
+    hc = F.col("_hc")
     sup = F.when(hc % 5 == 0, F.lit("false")).otherwise(F.lit("true"))
     jsup = F.when(hc % 3 == 0, F.lit("false")).otherwise(F.lit("true"))
     conf = F.concat(F.lit("0."), F.lpad((F.lit(50) + hc % 50).cast("string"), 2, "0"))
     jconf = F.concat(F.lit("0."), F.lpad((F.lit(40) + (hc * 3) % 60).cast("string"), 2, "0"))
-    return claims.select("narrative_id", "claim_no",
-                         _response(hc % 6, sup, conf).alias("self_response"),
-                         _response((hc * 5 + 3) % 6, jsup, jconf).alias("judge_response"))
+    c = claims.withColumns({"_sv": hc % 6, "_ss": sup, "_sc": conf, "_jv": (hc * 5 + 3) % 6, "_js": jsup, "_jc": jconf})
+    return c.select("narrative_id", "claim_no",
+                    _response(F.col("_sv"), F.col("_ss"), F.col("_sc")).alias("self_response"),
+                    _response(F.col("_jv"), F.col("_js"), F.col("_jc")).alias("judge_response"))
 
 
 def verdict_responses(grounded: DataFrame, narr: DataFrame) -> DataFrame:
