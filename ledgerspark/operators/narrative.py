@@ -53,23 +53,27 @@ def figures(text: F.Column) -> F.Column:
                        lambda m: F.regexp_replace(m, ",", "").cast("double"))
 
 
-def mart_values(pnl: DataFrame) -> DataFrame:
-    """Every non-null value of the five grounding measures (crore / %), one column."""
-    g = pnl_crore_grounding(pnl)
-    return g.select(F.explode(F.array(*[F.col(c) for c in GROUNDING_COLUMNS])).alias("value")) \
+def measure_values(frame: DataFrame, cols: list[str] = GROUNDING_COLUMNS) -> DataFrame:
+    """Every non-null value of the grounding measure columns of a frame, as one column ``value``."""
+    return frame.select(F.explode(F.array(*[F.col(c).cast("double") for c in cols])).alias("value")) \
         .where(F.col("value").isNotNull())
 
 
-def ground_claims(claims: DataFrame, keys: list[str], pnl: DataFrame,
+def mart_values(pnl: DataFrame) -> DataFrame:
+    """Grounding values of the P&L mart (amounts in crore, margins in %)."""
+    return measure_values(pnl_crore_grounding(pnl))
+
+
+def ground_claims(claims: DataFrame, keys: list[str], values: DataFrame,
                   tol: float = FIGURE_TOLERANCE_ABS) -> DataFrame:
-    """Per claim: figures found, figures matching any mart value within ``tol``, score.
+    """Per claim: figures found, figures matching any value (column ``value``) within ``tol``, score.
 
     score = matched / figures, or 0.5 when the claim has no figure. Which
     segment or month a value belongs to is not considered. The figure-to-value
     match is a bucketed equi-join (band join), not a nested loop.
     """
     figs = claims.select(*keys, F.posexplode(figures(F.col("claim_text"))).alias("fig_no", "figure"))
-    matched = band_join_match(figs, "figure", mart_values(pnl), "value", tol, [*keys, "fig_no"])
+    matched = band_join_match(figs, "figure", values, "value", tol, [*keys, "fig_no"])
     per_claim = matched.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_figures"),
                                            F.sum(F.col("matched").cast("long")).alias("n_matched"))
     j = claims.join(per_claim, keys, "left")

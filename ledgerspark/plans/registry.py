@@ -343,7 +343,7 @@ def _narr_claims(spark, sf_dir):
 def _grounded(spark, sf_dir):
     lg = L(spark, sf_dir)
     return lg.derived("grounded", lambda: NV.ground_claims(
-        _narr_claims(spark, sf_dir).drop("h"), ["narrative_id", "claim_no"], lg.pnl), keep=True)
+        _narr_claims(spark, sf_dir).drop("h"), ["narrative_id", "claim_no"], NV.mart_values(lg.pnl)), keep=True)
 
 
 def _scored(spark, sf_dir):
