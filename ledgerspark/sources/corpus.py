@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 
 def read_sql_corpus(spark: SparkSession, root: str, glob: str = "*.sql") -> DataFrame:
-    df = (spark.read.option("recursiveFileLookup", True).option("wholetext", True)
-          .option("pathGlobFilter", glob).text(root)
+    df = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+          .text(root, wholetext=True)
           .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
     name = F.regexp_extract("path", r"/([^/]+)\.[^./]+$", 1)
     layer = F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1)
