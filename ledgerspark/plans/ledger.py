@@ -1,31 +1,38 @@
 """The ledger model over one data directory: sources -> staging -> conversion ->
-mapping -> marts, as lazy DataFrames built once per (session, directory)."""
+mapping -> marts, as DataFrames built once per (session, directory)."""
 
 from __future__ import annotations
 
+import os
+import uuid
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerspark.operators import convert, marts, staging
+from ledgerspark.session import checkpoint_dir
 from ledgerspark.sources import testdata
 
 _CACHE: dict[tuple[int, str, bool], "Ledger"] = {}
 
 
 class Ledger:
-    """Lazily built tables of the daily build for one directory of driver tables.
-
-    With ``persist=True`` the mapped postings (read by three marts and two
-    gates) are persisted MEMORY_AND_DISK; a lost executor recomputes its
-    blocks from lineage.
+    """Tables of the daily build for one directory of driver tables.
+
+    With ``persist=True`` (``materialize``) every table read by several
+    consumers — staged inputs, mapped postings, marts and the derived
+    narrative / review tables — is written once as parquet under the session's
+    shared ``spark.checkpoint.dir`` and read back. Later queries then start
+    from a short plan over a columnar table (column pruning and filter
+    pushdown still apply), the lineage is cut, and a lost executor never forces
+    a recomputation from the raw sources. Without it, everything stays lazy.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, persist: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.persist = persist
+        self._root = os.path.join(checkpoint_dir(spark), f"ledger-{uuid.uuid4().hex[:12]}")
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, persist: bool = False) -> "Ledger":
@@ -34,12 +41,19 @@ class Ledger:
             _CACHE[key] = cls(spark, sf_dir, persist)
         return _CACHE[key]
 
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        if not self.persist:
+            return df
+        path = os.path.join(self._root, name)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
     def derived(self, name: str, build, keep: bool = False) -> DataFrame:
-        """A derived table built once per ledger; ``keep`` persists it (small, many readers)."""
+        """A derived table built once per ledger; ``keep`` writes it as a table (many readers)."""
         memo = self.__dict__.setdefault("_derived", {})
         if name not in memo:
             df = build()
-            memo[name] = df.persist(StorageLevel.MEMORY_AND_DISK) if (keep and self.persist) else df
+            memo[name] = self._keep(df, name) if keep else df
         return memo[name]
 
     def table(self, name: str) -> DataFrame:
@@ -60,27 +74,24 @@ class Ledger:
 
     @cached_property
     def dim_projects(self) -> DataFrame:
-        return testdata.dim_projects(self.spark, self.sf_dir)
+        return self._keep(testdata.dim_projects(self.spark, self.sf_dir), "dim_projects")
 
     @cached_property
     def dim_cost_centres(self) -> DataFrame:
-        return testdata.dim_cost_centres(self.spark, self.sf_dir)
+        return self._keep(testdata.dim_cost_centres(self.spark, self.sf_dir), "dim_cost_centres")
 
     # staging
     @cached_property
     def stg_gl(self) -> DataFrame:
-        gl = staging.stage_gl(self.bronze_gl)
-        return gl.persist(StorageLevel.MEMORY_AND_DISK) if self.persist else gl
+        return self._keep(staging.stage_gl(self.bronze_gl), "stg_erp_gl_entries")
 
     @cached_property
     def stg_fx(self) -> DataFrame:
-        fx = staging.stage_fx(self.bronze_fx)
-        return fx.persist(StorageLevel.MEMORY_AND_DISK) if self.persist else fx
+        return self._keep(staging.stage_fx(self.bronze_fx), "stg_fx_rates")
 
     @cached_property
     def stg_payroll(self) -> DataFrame:
-        p = staging.stage_payroll(self.bronze_payroll)
-        return p.persist(StorageLevel.MEMORY_AND_DISK) if self.persist else p
+        return self._keep(staging.stage_payroll(self.bronze_payroll), "stg_payroll_entries")
 
     # intermediate
     @cached_property
@@ -90,27 +101,24 @@ class Ledger:
     @cached_property
     def int_mapped(self) -> DataFrame:
         m = convert.map_dimensions(self.int_fx, self.dim_projects, self.dim_cost_centres)
-        return m.persist(StorageLevel.MEMORY_AND_DISK) if self.persist else m
+        return self._keep(m, "int_entries_cost_centre_mapped")
 
     # marts
-    def _keep(self, df: DataFrame) -> DataFrame:
-        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.persist else df
-
     @cached_property
     def pnl(self) -> DataFrame:
-        return self._keep(marts.pnl_summary(self.int_mapped))
+        return self._keep(marts.pnl_summary(self.int_mapped), "mart_pnl_summary")
 
     @cached_property
     def revenue_trends(self) -> DataFrame:
-        return self._keep(marts.revenue_trends(self.int_mapped))
+        return self._keep(marts.revenue_trends(self.int_mapped), "mart_revenue_trends")
 
     @cached_property
     def cost_analysis(self) -> DataFrame:
-        return self._keep(marts.cost_analysis(self.int_mapped))
+        return self._keep(marts.cost_analysis(self.int_mapped), "mart_cost_analysis")
 
     @cached_property
     def variance(self) -> DataFrame:
-        return self._keep(marts.variance_analysis(self.pnl))
+        return self._keep(marts.variance_analysis(self.pnl), "mart_variance_analysis")
 
     @cached_property
     def dictionary(self) -> DataFrame:

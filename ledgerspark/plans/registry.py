@@ -24,8 +24,9 @@ def register(key: str, oracle_sql: str | None = None):
 
 
 def L(spark: SparkSession, sf_dir: str) -> Ledger:
-    """The session's ledger for ``sf_dir``; staged tables, mapped postings and marts are
-    persisted (MEMORY_AND_DISK) because many registered queries read them."""
+    """The session's ledger for ``sf_dir``; tables with many readers (staged inputs, mapped
+    postings, marts, derived narrative/review tables) are written once under the shared
+    checkpoint folder and read back, which cuts their lineage."""
     return Ledger.of(spark, sf_dir, persist=True)
 
 

@@ -28,8 +28,25 @@ UNMAPPED_NATIONS = (24,)
 UNMAPPED_SUPPLIERS = (7,)
 
 
+# Fact tables: spread over the cluster when the files give fewer scan tasks than cores.
+FACT_TABLES = {"lineitem", "orders", "documents", "events", "pages", "conversations"}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has cores.
+
+    A single large file with one row group is read by one task; without this,
+    every projection and map-side stage after it would run in that one task.
+    On a real table (many files / row groups) the scan already has enough
+    partitions and this is a no-op.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df) if name in FACT_TABLES else df
 
 
 def _currency(regionkey: F.Column) -> F.Column:
