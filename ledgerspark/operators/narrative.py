@@ -243,6 +243,16 @@ def split_headline(df: DataFrame, raw_col: str) -> DataFrame:
     return d.drop("_parts", "_found", "_before", "_head", "_whole", "_use")
 
 
+def first_line_headlines(df: DataFrame, id_col: str, response_col: str,
+                         max_words: int = MAX_HEADLINE_WORDS) -> DataFrame:
+    """Headline from a one-line model response: first line of the stripped
+    response, stripped; an empty response yields no row (the previous headline
+    stays current). The kept headline is then word-bounded."""
+    line = strip_ws(F.element_at(F.split(strip_ws(F.col(response_col)), "\\r\\n|[\\n\\r\\x0B\\f\\x1C-\\x1E\\x85\\u2028\\u2029]", -1), 1))
+    d = df.select(id_col, line.alias("_headline")).where(F.length("_headline") > 0)
+    return bounded_snippets(d, id_col, "_headline", max_words)
+
+
 def bounded_snippets(df: DataFrame, id_col: str, text_col: str, max_words: int = MAX_HEADLINE_WORDS) -> DataFrame:
     """Word-bounded snippet per text; empty (whitespace-only) texts are skipped.
 

@@ -98,3 +98,22 @@ def test_daily_pipeline_runs_and_blocks(spark, tmpdir_path):
     bad = Bronze(b.gl.unionByName(b.gl.limit(1)), b.fx, b.payroll, b.dim_projects, b.dim_cost_centres)
     res = run_daily(spark, bad, os.path.join(tmpdir_path, "run2"))
     assert not res.passed and res.tables == {} and {r.gate for r in res.report.collect()} == {"g1"}
+
+
+def test_publish_tables_and_run_log(spark, tmpdir_path):
+    fx = g.gen_fx(spark)
+    counts = PB.publish_tables(spark, {"fx_rates": fx}, schema="ls_test_gold",
+                               location=os.path.join(tmpdir_path, "wh"))
+    assert counts == {"fx_rates": 720}
+    assert dict(spark.table("ls_test_gold.fx_rates").dtypes)["rate"] == "double"
+    log = os.path.join(tmpdir_path, "snippets")
+    PB.append_run_log(fx.limit(3), log, "snippet_id", "generated_at", "2026-01-01 00:00:00")
+    PB.append_run_log(fx.limit(2), log, "snippet_id", "generated_at", "2026-01-02 00:00:00")
+    back = spark.read.parquet(log)
+    assert back.count() == 5 and back.select("snippet_id").distinct().count() == 5
+    assert back.select("generated_at").distinct().count() == 2
+
+
+def test_source_rules_declared():
+    from ledgerspark.operators.checks import SOURCE_RULES
+    assert sum(len(v) for v in SOURCE_RULES.values()) == 11
