@@ -76,12 +76,13 @@ def apply_decisions(queue: DataFrame, decisions: DataFrame, broadcast_rows: int
 
 def decisions_from_queue(queue: DataFrame, reviewed_at: str, reviewer: str = "reviewer") -> DataFrame:
     """A deterministic batch of reviewer decisions derived from the review ids (for tests and
-    the registered query): about a quarter each approved, edited, rejected, left pending."""
+    the registered query): one row per queue row — about a quarter each approved, edited,
+    rejected, and no decision yet (null, which leaves the row pending)."""
     k = F.conv(F.substring("review_id", 1, 2), 16, 10).cast("int")
     dec = (F.when(k % 4 == 0, F.lit("approved")).when(k % 4 == 1, F.lit("edited"))
            .when(k % 4 == 2, F.lit("rejected")))
     reason = F.element_at(F.array(*[F.lit(r) for r in REASON_CODES]), (k % 7) + 1)
-    return queue.where(dec.isNotNull()).select(
+    return queue.select(
         "review_id", dec.alias("decision"),
         F.when(dec == "rejected", reason).alias("reason_code"),
         F.when(dec == "edited", F.concat(F.col("claim_text"), F.lit(" [edited]"))).alias("edited_text"),

@@ -713,16 +713,16 @@ cte("decisions", f"""SELECT review_id,
                             'unsupported_by_retrieval', 'hallucinated_metric', 'other'][k % 7 + 1] END AS reason_code,
   CASE WHEN k % 4 = 1 THEN claim_text || ' [edited]' END AS edited_text,
   CAST('{REVIEWED_AT}' AS TIMESTAMP) AS reviewed_at, 'reviewer' AS reviewed_by
-FROM (SELECT *, CAST(('0x' || substr(review_id, 1, 2)) AS INTEGER) AS k FROM scored) q WHERE k % 4 < 3""", ("scored",))
+FROM (SELECT *, CAST(('0x' || substr(review_id, 1, 2)) AS INTEGER) AS k FROM scored) q""", ("scored",))
 
 cte("applied", """SELECT q.review_id, q.run_at, q.source_chain, q.claim_text, q.self_reported_score, q.second_judge_score,
   q.retrieval_grounding_score, q.confidence_score, q.routing_band,
-  CASE WHEN d.decision IS NOT NULL THEN d.decision ELSE q.reviewer_verdict END AS reviewer_verdict,
+  CASE WHEN d.decision IN ('approved', 'edited', 'rejected') THEN d.decision ELSE q.reviewer_verdict END AS reviewer_verdict,
   CASE WHEN d.decision = 'approved' THEN 'matches_mart_data' WHEN d.decision = 'rejected' THEN d.reason_code
        ELSE q.reviewer_reason_code END AS reviewer_reason_code,
   CASE WHEN d.decision = 'edited' THEN d.edited_text ELSE q.reviewer_edited_text END AS reviewer_edited_text,
-  CASE WHEN d.decision IS NOT NULL THEN d.reviewed_at ELSE q.reviewed_at END AS reviewed_at,
-  CASE WHEN d.decision IS NOT NULL THEN d.reviewed_by ELSE q.reviewed_by END AS reviewed_by
+  CASE WHEN d.decision IN ('approved', 'edited', 'rejected') THEN d.reviewed_at ELSE q.reviewed_at END AS reviewed_at,
+  CASE WHEN d.decision IN ('approved', 'edited', 'rejected') THEN d.reviewed_by ELSE q.reviewed_by END AS reviewed_by
 FROM scored q LEFT JOIN decisions d ON q.review_id = d.review_id""", ("scored", "decisions"))
 
 # ---------------------------------------------------------------- documentation drift
