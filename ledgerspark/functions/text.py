@@ -28,6 +28,8 @@ def ws_class(dialect: str = "java") -> str:
 
 
 WS = ws_class("java")
+# Any character that is not such whitespace (a text has words iff it contains one).
+NON_WS = "[^" + WS[1:]
 DIGIT = "\\p{Nd}"
 # Sentence boundary: after . ! or ?, whitespace, before an upper-case ASCII letter.
 SENTENCE_SPLIT = f"(?<=[.!?]){WS}+(?=[A-Z])"

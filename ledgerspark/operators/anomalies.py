@@ -83,8 +83,11 @@ def negative_revenue_amount(gl: DataFrame) -> Mutation:
 
 
 def missing_fx_rate(fx: DataFrame, gl: DataFrame, base: str = "INR") -> Mutation:
-    first = _first(gl, "entry_id", ~F.col("currency").eqNullSafe(F.lit(base)))
-    target = F.broadcast(gl.join(first, "entry_id", "left_semi").select("entry_id", "entry_date", "currency"))
+    # Exactly one target row (the smallest (entry_id, entry_date, currency) among foreign
+    # postings), so the broadcast below holds one row even if that entry_id is duplicated.
+    foreign = gl.where(~F.col("currency").eqNullSafe(F.lit(base)) & F.col("entry_id").isNotNull())
+    target = F.broadcast(foreign.agg(F.min(F.struct("entry_id", "entry_date", "currency")).alias("s"))
+                         .select("s.*").where(F.col("entry_id").isNotNull()))
     data = fx.join(target.select(F.col("entry_date").alias("rate_date"), F.col("currency").alias("from_currency")),
                    ["rate_date", "from_currency"], "left_anti")
     text = F.concat(F.lit("removed fx_rates row(s) for ("), F.col("entry_date").cast("string"), F.lit(", "),

@@ -4,21 +4,58 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A side is broadcast only when it is proven to hold at most this many rows.
+# A side is broadcast only when it is proven to hold at most this many rows ...
 DEFAULT_BROADCAST_ROWS = 200_000
+# ... and at most this many bytes of column data (strings by their UTF-8 length).
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
+def _row_bytes(df: DataFrame) -> F.Column:
+    """Bytes of one row: UTF-8 length of strings and binaries, 8/16 bytes per fixed-width value,
+    JSON length for nested values. A measured size, not an estimate."""
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        t = f.dataType
+        if isinstance(t, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(t, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
+        elif isinstance(t, T.DecimalType):
+            parts.append(F.lit(16))
+        else:
+            parts.append(F.lit(8))
+    return sum(parts[1:], parts[0]).cast("long") if parts else F.lit(0).cast("long")
 
-    The check is a bounded count (``limit(max_rows + 1)``), so it never scans
-    more than ``max_rows + 1`` rows of an unexpectedly large side. Beyond the
-    bound the caller's join falls back to a shuffle join planned by Catalyst
-    (and split by AQE if a key is skewed).
+
+def _estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (file-size based; no job)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()))
+    except Exception:  # noqa: BLE001 - statistics are an optimisation only
+        return None
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Return ``broadcast(df)`` only if ``df`` is proven to hold at most ``max_rows``
+    rows and ``max_bytes`` bytes; else ``df`` unchanged (a shuffle join).
+
+    First the optimizer's estimate (compressed file sizes, no job): a side already
+    estimated above the byte bound is never counted. Otherwise one bounded job
+    reads at most ``max_rows + 1`` rows per partition and measures rows and bytes
+    together. Beyond either bound the caller's join stays a shuffle join planned
+    by Catalyst (and split by AQE if a key is skewed).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    est = _estimated_bytes(df)
+    if est is not None and est > max_bytes:
+        return df
+    got = (df.limit(max_rows + 1)
+           .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("b"))
+           .first())
+    return F.broadcast(df) if got["n"] <= max_rows and got["b"] <= max_bytes else df
 
 
 def band_join_match(left: DataFrame, left_val: str, right: DataFrame, right_val: str,

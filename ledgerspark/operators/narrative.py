@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.num import round_to
-from ledgerspark.functions.text import DIGIT, ELLIPSIS, FIGURE, SENTENCE_SPLIT, WS, split_words, strip_ws
+from ledgerspark.functions.text import DIGIT, ELLIPSIS, FIGURE, NON_WS, SENTENCE_SPLIT, WS, split_words, strip_ws
 from ledgerspark.operators.joins import band_join_match
 from ledgerspark.operators.measures import pnl_crore_grounding
 
@@ -260,8 +260,12 @@ def bounded_snippets(df: DataFrame, id_col: str, text_col: str, max_words: int =
     removed, an ellipsis appended; shorter texts are kept unchanged. The whole
     text is split, so ``source_words`` is its full word count.
     """
-    d = df.select(id_col, F.col(text_col).alias("_t")).withColumn("_w", split_words(F.col("_t")))
-    d = d.where(F.size("_w") > 0)
+    # The emptiness test is a find-first (stops at the first non-whitespace character):
+    # Catalyst pushes this filter down to the scan, where a split of the whole text
+    # would run before the rows are spread over tasks. The split itself runs once,
+    # after the filter, on a text known to hold a word.
+    d = (df.select(id_col, F.col(text_col).alias("_t")).where(F.col("_t").rlike(NON_WS))
+         .select(id_col, "_t", F.split(strip_ws(F.col("_t")), f"{WS}+", -1).alias("_w")))
     cut = F.concat(F.regexp_replace(F.array_join(F.slice("_w", 1, max_words), " "), "[.,;:]+\\z", ""),
                    F.lit(ELLIPSIS))
     d = d.withColumn("snippet_text", F.when(F.size("_w") <= max_words, F.col("_t")).otherwise(cut))

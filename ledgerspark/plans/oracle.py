@@ -400,7 +400,8 @@ cte("m_gl_first", "SELECT min(entry_id) AS id FROM stg_gl", ("stg_gl",))
 cte("m_rev_first", "SELECT min(entry_id) AS id FROM stg_gl WHERE account_type = 'Revenue'", ("stg_gl",))
 cte("m_pay_first", "SELECT min(allocation_id) AS id FROM stg_payroll", ("stg_payroll",))
 cte("m_fx_target", """SELECT entry_id, entry_date, currency FROM stg_gl
-WHERE entry_id = (SELECT min(entry_id) FROM stg_gl WHERE currency IS DISTINCT FROM 'INR')""", ("stg_gl",))
+WHERE currency IS DISTINCT FROM 'INR' AND entry_id IS NOT NULL
+ORDER BY entry_id, entry_date NULLS FIRST, currency NULLS FIRST LIMIT 1""", ("stg_gl",))
 cte("m_fx_first", """SELECT rate_date, from_currency FROM stg_fx WHERE rate_date IS NOT NULL
 ORDER BY rate_date, CASE from_currency WHEN 'USD' THEN 1 WHEN 'EUR' THEN 2 WHEN 'GBP' THEN 3 WHEN 'AED' THEN 4 ELSE 99 END,
   from_currency LIMIT 1""", ("stg_fx",))

@@ -17,8 +17,15 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # No broadcast from the planner's file-size estimate (compressed parquet sizes
+    # understate memory size; that rule broadcast a fact table). Broadcasts come only
+    # from `joins.sized_broadcast` (a counted bound) or from AQE, which converts a
+    # join after measuring the actual shuffle output of a side.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

@@ -81,3 +81,20 @@ def test_set_difference_is_null_safe(spark):
     b = spark.createDataFrame([("x",), ("y",)], "s string")
     r = {(x.s, x.only_in) for x in T.set_difference(a, b, ["s"], "a", "b").collect()}
     assert r == {(None, "a"), ("y", "b")}
+
+
+def test_sized_broadcast_bounds(spark):
+    from ledgerspark.operators.joins import sized_broadcast
+
+    def is_broadcast(df):
+        return "ResolvedHint (strategy=broadcast)" in df._jdf.queryExecution().analyzed().toString()
+
+    small = spark.range(100).selectExpr("id", "repeat('x', 10) AS s")
+    assert is_broadcast(sized_broadcast(small, max_rows=100))
+    # one row over the row bound, or over the byte bound: stays a shuffle join side
+    assert not is_broadcast(sized_broadcast(small, max_rows=99))
+    assert not is_broadcast(sized_broadcast(small, max_rows=1000, max_bytes=100 * (8 + 10) - 1))
+    assert is_broadcast(sized_broadcast(small, max_rows=1000, max_bytes=100 * (8 + 10)))
+    # a scan already estimated above the byte bound is not counted at all
+    big = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    assert not is_broadcast(sized_broadcast(big, max_rows=10**9, max_bytes=1024))
