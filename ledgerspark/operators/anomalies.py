@@ -42,34 +42,35 @@ def _detail(first: DataFrame, text: F.Column) -> DataFrame:
 
 @dataclass
 class Mutation:
-    data: DataFrame          # the mutated table
-    detail: DataFrame        # one row: mutation_detail
+    data: DataFrame                 # the mutated table
+    detail: DataFrame               # one row: mutation_detail
+    keys: DataFrame | None = None   # one-row frame of the key whose rows were changed or added
 
 
 def duplicate_first_row(df: DataFrame, key: str) -> Mutation:
     first = _first(df, key)
     data = df.unionByName(df.join(first, key, "left_semi"))
-    return Mutation(data, _detail(first, F.concat(F.lit(f"duplicated row with {key}="), F.col(key))))
+    return Mutation(data, _detail(first, F.concat(F.lit(f"duplicated row with {key}="), F.col(key))), first)
 
 
 def null_entry_date(gl: DataFrame) -> Mutation:
     first = _first(gl, "entry_id")
     return Mutation(_set_on(gl, first, "entry_id", "entry_date", F.lit(None)),
-                    _detail(first, F.concat(F.lit("set entry_date to null on entry_id="), F.col("entry_id"))))
+                    _detail(first, F.concat(F.lit("set entry_date to null on entry_id="), F.col("entry_id"))), first)
 
 
 def invalid_account_type(gl: DataFrame) -> Mutation:
     first = _first(gl, "entry_id")
     return Mutation(_set_on(gl, first, "entry_id", "account_type", F.lit("Miscellaneous")),
                     _detail(first, F.concat(F.lit("set account_type='Miscellaneous' (not in Revenue/COGS/OpEx) on entry_id="),
-                                            F.col("entry_id"))))
+                                            F.col("entry_id"))), first)
 
 
 def invalid_currency(gl: DataFrame) -> Mutation:
     first = _first(gl, "entry_id")
     return Mutation(_set_on(gl, first, "entry_id", "currency", F.lit("JPY")),
                     _detail(first, F.concat(F.lit("set currency='JPY' (not in INR/USD/EUR/GBP/AED) on entry_id="),
-                                            F.col("entry_id"))))
+                                            F.col("entry_id"))), first)
 
 
 def negative_revenue_amount(gl: DataFrame) -> Mutation:
@@ -79,7 +80,7 @@ def negative_revenue_amount(gl: DataFrame) -> Mutation:
     text = F.concat(F.lit("flipped Revenue entry_id="), F.col("entry_id"), F.lit(" amount "),
                     F.col("amount").cast("string"), F.lit(" -> "), (-F.abs(F.col("amount"))).cast("string"),
                     F.lit(" (G1-G3 don't check amount sign per account_type — only G6 post-dbt does)"))
-    return Mutation(data, orig.select(text.alias("mutation_detail")))
+    return Mutation(data, orig.select(text.alias("mutation_detail")), first)
 
 
 def missing_fx_rate(fx: DataFrame, gl: DataFrame, base: str = "INR") -> Mutation:
@@ -113,7 +114,8 @@ def zero_fx_rate(fx: DataFrame) -> Mutation:
 def negative_hours_logged(payroll: DataFrame) -> Mutation:
     first = _first(payroll, "allocation_id")
     return Mutation(_set_on(payroll, first, "allocation_id", "hours_logged", F.lit(-10.0)),
-                    _detail(first, F.concat(F.lit("set hours_logged=-10.0 on allocation_id="), F.col("allocation_id"))))
+                    _detail(first, F.concat(F.lit("set hours_logged=-10.0 on allocation_id="), F.col("allocation_id"))),
+                    first)
 
 
 # The anomaly catalogue (type, mutated file, gate, expected to be caught).
@@ -167,25 +169,96 @@ def _gate(gate: str, inputs: dict) -> DataFrame:
     return gates.gate_g3(inputs["payroll"])
 
 
-def scorecard(gl: DataFrame, fx: DataFrame, payroll: DataFrame, catalogue=ANOMALIES) -> DataFrame:
+def _target_rows(df: DataFrame, key: str, conditions: list[F.Column]) -> DataFrame:
+    """Every row whose ``key`` is the smallest key overall or among the rows matching
+    one of ``conditions``: the rows any key-targeted mutation can change.
+
+    One global aggregate finds the (at most 1 + len(conditions)) keys, one
+    filtered scan with that broadcast key list keeps their rows; the result is
+    checkpointed to the shared checkpoint folder (lineage cut, survives a lost
+    executor). It is small unless one key is hot, and then still a distributed
+    table, never a driver-side list.
+    """
+    from ledgerspark.session import checkpoint_dir
+    k = F.col(key)
+    mins = [F.min(k)] + [F.min(F.when(c, k)) for c in conditions]
+    keys = (df.agg(F.array(*mins).alias("_k")).select(F.explode("_k").alias(key))
+            .where(F.col(key).isNotNull()).distinct())
+    checkpoint_dir(df.sparkSession)
+    return df.join(F.broadcast(keys), key, "left_semi").checkpoint(eager=True)
+
+
+def _caught(report: DataFrame) -> DataFrame:
+    return report.agg(
+        (F.sum(F.when((F.col("severity") == "hard") & ~F.col("passed"), 1).otherwise(0)) > 0).alias("was_caught"))
+
+
+def scorecard(gl: DataFrame, fx: DataFrame, payroll: DataFrame, catalogue=ANOMALIES,
+              incremental: bool = True, base: str = "INR") -> DataFrame:
     """One row per anomaly: did its gate fail (was_caught), and was that expected.
 
-    All nine gate runs form one Spark job (a union of nine aggregations over
-    the same, ideally persisted, base tables).
+    ``incremental=False`` runs each gate over its whole mutated table (nine
+    gate runs, five of them grouping the whole ledger by entry_id). The
+    default gives the same rows with one pass per table: every G1 / G3 total
+    is a sum over key groups and a key-targeted mutation only changes the rows
+    of its one target key, so each gate is ``base totals - target rows before +
+    target rows after`` (``gates.gate_g1_delta``). The mutations themselves run
+    on the checkpointed target rows: the smallest key of a subset holding all
+    rows of the smallest keys is that same key, so a mutation of the subset
+    changes exactly the rows it changes in the whole table. G2 runs on the
+    (days x currencies) rate table against the ledger's distinct foreign
+    (date, currency) pairs, computed once.
     """
+    if not incremental:
+        return _scorecard_full(gl, fx, payroll, catalogue)
+    from ledgerspark.operators.topk import foreign_pairs
+    foreign = ~F.col("currency").eqNullSafe(F.lit(base)) & F.col("entry_id").isNotNull()
+    gl_sub = _target_rows(gl, "entry_id", [F.col("account_type") == "Revenue", foreign])
+    pay_sub = _target_rows(payroll, "allocation_id", [])
+    # Shared by several gate runs: written once (one pass over each table), so no
+    # mutation repeats the ledger-wide grouping whatever exchange reuse does.
+    g1_base = gates.g1_totals(gl).checkpoint(eager=True)
+    g3_base = gates.g3_totals(payroll).checkpoint(eager=True)
+    pairs = foreign_pairs(gl, base).checkpoint(eager=True)
     rows = []
     for t, target, gate, expected in catalogue:
-        m, inputs = mutate(t, gl, fx, payroll)
-        caught = _gate(gate, inputs).agg(
-            (F.sum(F.when((F.col("severity") == "hard") & ~F.col("passed"), 1).otherwise(0)) > 0).alias("was_caught"))
-        detail = m.detail.agg(F.max("mutation_detail").alias("mutation_detail"))
-        rows.append(gates._one_row([caught, detail]).select(
-            F.lit(t).alias("anomaly_type"), F.lit(target).alias("target_file"), F.lit(gate).alias("gate_checked"),
-            "mutation_detail", F.lit(expected).alias("expected_to_be_caught"), "was_caught"))
+        m, inputs = mutate(t, gl_sub, fx, pay_sub)
+        if gate == "g1" and m.keys is not None:
+            report = gates.gate_g1_delta(g1_base, gl_sub.join(m.keys, "entry_id", "left_semi"),
+                                         m.data.join(m.keys, "entry_id", "left_semi"))
+        elif gate == "g3" and m.keys is not None:
+            report = gates.gate_g3_delta(g3_base, pay_sub.join(m.keys, "allocation_id", "left_semi"),
+                                         m.data.join(m.keys, "allocation_id", "left_semi"))
+        elif gate == "g2" and target == "fx_rates.csv":
+            report = gates.gate_g2(inputs["fx"], pairs=pairs, base=base)
+        else:   # not key-targeted: run its gate over the whole mutated table
+            m, inputs = mutate(t, gl, fx, payroll)
+            report = _gate(gate, inputs)
+        rows.append(_card_row(t, target, gate, expected, report, m))
+    return _finish(rows)
+
+
+def _card_row(t, target, gate, expected, report: DataFrame, m: Mutation) -> DataFrame:
+    detail = m.detail.agg(F.max("mutation_detail").alias("mutation_detail"))
+    return gates._one_row([_caught(report), detail]).select(
+        F.lit(t).alias("anomaly_type"), F.lit(target).alias("target_file"), F.lit(gate).alias("gate_checked"),
+        "mutation_detail", F.lit(expected).alias("expected_to_be_caught"), "was_caught")
+
+
+def _finish(rows: list[DataFrame]) -> DataFrame:
     out = reduce(DataFrame.unionByName, rows)
     return out.withColumn("matches_expectation", F.col("was_caught") == F.col("expected_to_be_caught"))
 
 
+def _scorecard_full(gl: DataFrame, fx: DataFrame, payroll: DataFrame, catalogue=ANOMALIES) -> DataFrame:
+    """Each gate over its whole mutated table (the direct form; used to check the incremental one)."""
+    rows = []
+    for t, target, gate, expected in catalogue:
+        m, inputs = mutate(t, gl, fx, payroll)
+        rows.append(_card_row(t, target, gate, expected, _gate(gate, inputs), m))
+    return _finish(rows)
+
+
 def anomaly_summary(card: DataFrame) -> DataFrame:
     """caught / escaped / unexpected counts of a scorecard."""
     return card.agg(

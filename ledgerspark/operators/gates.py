@@ -63,20 +63,11 @@ def _has(df: DataFrame, *cols: str) -> bool:
     return set(cols) <= set(df.columns)
 
 
-def gate_g1(gl: DataFrame, min_rows: int = ROW_COUNT_MIN, max_rows: int = ROW_COUNT_MAX) -> DataFrame:
-    """Raw GL completeness: 8 checks over the ledger, one grouped pass on entry_id."""
-    spark = gl.sparkSession
+def _g1_key_stats(gl: DataFrame) -> DataFrame:
+    """Per-entry_id counts behind every G1 check (one grouped pass; partial aggregation)."""
     cols = set(gl.columns)
-    missing = [c for c in GL_REQUIRED_COLUMNS if c not in cols]
-    extra = sorted(cols - set(GL_REQUIRED_COLUMNS))
-    cols_ok = not missing and not extra
-    col_detail = f"columns={len(cols)}" if cols_ok else f"missing={missing} extra={extra}"
-
-    def cond_count(c, bad):
-        return F.col(c) if c in cols else F.lit(None)
-
     key = F.col("entry_id") if "entry_id" in cols else F.lit(None).cast("string")
-    per_key = gl.groupBy(key.alias("_id")).agg(
+    return gl.groupBy(key.alias("_id")).agg(
         F.count(F.lit(1)).alias("n"),
         *[_count_if(F.col(c).isNull()).alias(f"null_{c}") if c in cols else F.lit(None).cast("long").alias(f"null_{c}")
           for c in ("entry_date", "amount")],
@@ -84,7 +75,11 @@ def gate_g1(gl: DataFrame, min_rows: int = ROW_COUNT_MIN, max_rows: int = ROW_CO
          if "account_type" in cols else F.lit(None).cast("long")).alias("bad_type"),
         (_count_if(F.col("currency").isNotNull() & ~F.col("currency").isin(*CURRENCIES))
          if "currency" in cols else F.lit(None).cast("long")).alias("bad_ccy"))
-    a = per_key.agg(
+
+
+def _g1_totals(per_key: DataFrame) -> DataFrame:
+    """One row of G1 totals; every column is a sum over keys (additive)."""
+    return per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows"),
         F.coalesce(F.sum(F.when(F.col("_id").isNotNull() & (F.col("n") > 1), F.col("n"))), F.lit(0)).cast("long").alias("dups"),
         F.coalesce(F.sum(F.when(F.col("_id").isNull(), F.col("n"))), F.lit(0)).cast("long").alias("null_id"),
@@ -93,6 +88,14 @@ def gate_g1(gl: DataFrame, min_rows: int = ROW_COUNT_MIN, max_rows: int = ROW_CO
         F.coalesce(F.sum("bad_type"), F.lit(0)).cast("long").alias("bad_type"),
         F.coalesce(F.sum("bad_ccy"), F.lit(0)).cast("long").alias("bad_ccy"))
 
+
+def _g1_report(a: DataFrame, columns: list[str], min_rows: int, max_rows: int) -> DataFrame:
+    cols = set(columns)
+    missing = [c for c in GL_REQUIRED_COLUMNS if c not in cols]
+    extra = sorted(cols - set(GL_REQUIRED_COLUMNS))
+    cols_ok = not missing and not extra
+    col_detail = f"columns={len(cols)}" if cols_ok else f"missing={missing} extra={extra}"
+
     def colcheck(no, name, c, value, prefix):
         if c not in cols:
             return _check(no, name, False, "column missing")
@@ -111,13 +114,51 @@ def gate_g1(gl: DataFrame, min_rows: int = ROW_COUNT_MIN, max_rows: int = ROW_CO
     ])
 
 
-def gate_g2(fx: DataFrame, gl: DataFrame, base: str = "INR") -> DataFrame:
-    """FX coverage: rates present, positive, not null, and a rate for every foreign posting date."""
+def gate_g1(gl: DataFrame, min_rows: int = ROW_COUNT_MIN, max_rows: int = ROW_COUNT_MAX) -> DataFrame:
+    """Raw GL completeness: 8 checks over the ledger, one grouped pass on entry_id."""
+    return _g1_report(_g1_totals(_g1_key_stats(gl)), gl.columns, min_rows, max_rows)
+
+
+def g1_totals(gl: DataFrame) -> DataFrame:
+    """G1's additive totals of a ledger (one row)."""
+    return _g1_totals(_g1_key_stats(gl))
+
+
+def _signed_sum(parts: list[tuple[DataFrame, int]]) -> DataFrame:
+    """Sum 1-row frames of long columns, each with a sign (a tagged union + one aggregate)."""
+    cols = parts[0][0].columns
+    u = reduce(DataFrame.unionByName,
+               [df.select(*[(F.col(c) * F.lit(sign)).cast("long").alias(c) for c in cols]) for df, sign in parts])
+    return u.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in cols])
+
+
+def gate_g1_delta(base_totals: DataFrame, before: DataFrame, after: DataFrame,
+                  min_rows: int = ROW_COUNT_MIN, max_rows: int = ROW_COUNT_MAX) -> DataFrame:
+    """G1 of a ledger that differs from a base ledger only in the rows of a few entry_ids.
+
+    ``before`` holds every base row with those entry_ids, ``after`` every row with
+    them in the changed ledger. All G1 totals are sums over entry_id groups and
+    the other groups are unchanged, so: base totals - totals(before) +
+    totals(after). Gives the same report as ``gate_g1`` on the whole changed
+    ledger without another pass over it.
+    """
+    t = _signed_sum([(base_totals, 1), (g1_totals(before), -1), (g1_totals(after), 1)])
+    return _g1_report(t, after.columns, min_rows, max_rows)
+
+
+def gate_g2(fx: DataFrame, gl: DataFrame | None = None, base: str = "INR",
+            pairs: DataFrame | None = None) -> DataFrame:
+    """FX coverage: rates present, positive, not null, and a rate for every foreign posting date.
+
+    ``pairs`` (the ledger's distinct foreign (entry_date, currency), from
+    ``topk.foreign_pairs``) may be given instead of ``gl`` when several rate
+    tables are checked against the same ledger.
+    """
     from ledgerspark.operators.topk import fx_coverage_gaps
     f = fx.agg(F.count(F.lit(1)).alias("fx_rows"),
                _count_if(F.col("rate") <= 0).alias("non_positive"),
                _count_if(F.col("rate").isNull()).alias("null_rates"))
-    gaps = fx_coverage_gaps(gl, fx, base).agg(F.count(F.lit(1)).alias("missing_pairs"))
+    gaps = fx_coverage_gaps(gl, fx, base, pairs=pairs).agg(F.count(F.lit(1)).alias("missing_pairs"))
     a = _one_row([f, gaps])
     return _emit("g2", a, [
         _check(1, "fx_rates row count > 0", F.col("fx_rows") > 0, F.concat(F.lit("rows="), _s("fx_rows"))),
@@ -128,25 +169,32 @@ def gate_g2(fx: DataFrame, gl: DataFrame, base: str = "INR") -> DataFrame:
     ])
 
 
-def gate_g3(payroll: DataFrame, min_rows: int = ROW_COUNT_MIN, max_rows: int = ROW_COUNT_MAX) -> DataFrame:
-    """Payroll completeness: 6 checks, one grouped pass on allocation_id (nulls count as equal)."""
+def _g3_key_stats(payroll: DataFrame) -> DataFrame:
     cols = set(payroll.columns)
-    missing = [c for c in PAYROLL_REQUIRED_COLUMNS if c not in cols]
     key = F.col("allocation_id") if "allocation_id" in cols else F.lit(None).cast("string")
 
     def cnt(c, cond):
         return _count_if(cond(F.col(c))) if c in cols else F.lit(None).cast("long")
 
-    per_key = payroll.groupBy(key.alias("_id")).agg(
+    return payroll.groupBy(key.alias("_id")).agg(
         F.count(F.lit(1)).alias("n"),
         cnt("employee_id", lambda c: c.isNull()).alias("null_emp"),
         cnt("hours_logged", lambda c: c <= 0).alias("bad_hours"),
         cnt("cost_inr", lambda c: c <= 0).alias("bad_cost"))
-    a = per_key.agg(
+
+
+def _g3_totals(per_key: DataFrame) -> DataFrame:
+    """One row of G3 totals; every column is a sum over keys (additive)."""
+    return per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("dupes"),
         *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("null_emp", "bad_hours", "bad_cost")])
 
+
+def _g3_report(a: DataFrame, columns: list[str], min_rows: int, max_rows: int) -> DataFrame:
+    cols = set(columns)
+    missing = [c for c in PAYROLL_REQUIRED_COLUMNS if c not in cols]
+
     def colcheck(no, name, c, value, prefix):
         if c not in cols:
             return _check(no, name, False, "column missing")
@@ -163,6 +211,24 @@ def gate_g3(payroll: DataFrame, min_rows: int = ROW_COUNT_MIN, max_rows: int = R
     ])
 
 
+def gate_g3(payroll: DataFrame, min_rows: int = ROW_COUNT_MIN, max_rows: int = ROW_COUNT_MAX) -> DataFrame:
+    """Payroll completeness: 6 checks, one grouped pass on allocation_id (nulls count as equal)."""
+    return _g3_report(g3_totals(payroll), payroll.columns, min_rows, max_rows)
+
+
+def g3_totals(payroll: DataFrame) -> DataFrame:
+    """G3's additive totals of a payroll table (one row)."""
+    return _g3_totals(_g3_key_stats(payroll))
+
+
+def gate_g3_delta(base_totals: DataFrame, before: DataFrame, after: DataFrame,
+                  min_rows: int = ROW_COUNT_MIN, max_rows: int = ROW_COUNT_MAX) -> DataFrame:
+    """G3 of a payroll table that differs from a base only in the rows of a few allocation_ids
+    (see ``gate_g1_delta``)."""
+    t = _signed_sum([(base_totals, 1), (g3_totals(before), -1), (g3_totals(after), 1)])
+    return _g3_report(t, after.columns, min_rows, max_rows)
+
+
 def gate_g4(mapped: DataFrame, pnl: DataFrame) -> DataFrame:
     """P&L consistency: mart totals and counts reconcile with the mapped postings; identities hold."""
     src = mapped.agg(F.round(F.sum("amount_inr"), 2).cast(MONEY_SUM).alias("src_total"),

@@ -67,13 +67,22 @@ def set_difference(left: DataFrame, right: DataFrame, cols: list[str], left_name
             .unionByName(b.subtract(a).withColumn("only_in", F.lit(right_name))))
 
 
-def fx_coverage_gaps(gl: DataFrame, fx: DataFrame, base: str = "INR") -> DataFrame:
+def foreign_pairs(gl: DataFrame, base: str = "INR") -> DataFrame:
+    """Distinct (entry_date, currency) of non-base postings (a null currency counts as foreign).
+
+    A partial aggregation over two columns: its size is days x currencies, not postings.
+    """
+    return (gl.where(~F.col("currency").eqNullSafe(F.lit(base)))
+            .select("entry_date", "currency").distinct())
+
+
+def fx_coverage_gaps(gl: DataFrame | None, fx: DataFrame, base: str = "INR",
+                     pairs: DataFrame | None = None) -> DataFrame:
     """Distinct (date, currency) of non-base postings that have no FX rate.
 
     A null currency counts as foreign (it is not the base), and a null date or
-    currency never matches a rate.
+    currency never matches a rate. ``pairs`` replaces ``gl`` when precomputed.
     """
-    pairs = (gl.where(~F.col("currency").eqNullSafe(F.lit(base)))
-             .select("entry_date", "currency").distinct())
+    pairs = foreign_pairs(gl, base) if pairs is None else pairs
     rates = fx.select(F.col("rate_date").alias("entry_date"), F.col("from_currency").alias("currency")).distinct()
     return pairs.join(rates, ["entry_date", "currency"], "left_anti")
