@@ -220,22 +220,46 @@ def scorecard(gl: DataFrame, fx: DataFrame, payroll: DataFrame, catalogue=ANOMAL
     g1_base = gates.g1_totals(gl).checkpoint(eager=True)
     g3_base = gates.g3_totals(payroll).checkpoint(eager=True)
     pairs = foreign_pairs(gl, base).checkpoint(eager=True)
-    rows = []
+    g1_changes, g3_changes, reports, details = [], [], [], []
     for t, target, gate, expected in catalogue:
         m, inputs = mutate(t, gl_sub, fx, pay_sub)
         if gate == "g1" and m.keys is not None:
-            report = gates.gate_g1_delta(g1_base, gl_sub.join(m.keys, "entry_id", "left_semi"),
-                                         m.data.join(m.keys, "entry_id", "left_semi"))
+            g1_changes.append((t, gl_sub.join(m.keys, "entry_id", "left_semi"),
+                               m.data.join(m.keys, "entry_id", "left_semi")))
         elif gate == "g3" and m.keys is not None:
-            report = gates.gate_g3_delta(g3_base, pay_sub.join(m.keys, "allocation_id", "left_semi"),
-                                         m.data.join(m.keys, "allocation_id", "left_semi"))
+            g3_changes.append((t, pay_sub.join(m.keys, "allocation_id", "left_semi"),
+                               m.data.join(m.keys, "allocation_id", "left_semi")))
         elif gate == "g2" and target == "fx_rates.csv":
-            report = gates.gate_g2(inputs["fx"], pairs=pairs, base=base)
+            reports.append(gates.gate_g2(inputs["fx"], pairs=pairs, base=base)
+                           .select(F.lit(t).alias("_tag"), *gates.GATE_COLUMNS))
         else:   # not key-targeted: run its gate over the whole mutated table
             m, inputs = mutate(t, gl, fx, payroll)
-            report = _gate(gate, inputs)
-        rows.append(_card_row(t, target, gate, expected, report, m))
-    return _finish(rows)
+            reports.append(_gate(gate, inputs).select(F.lit(t).alias("_tag"), *gates.GATE_COLUMNS))
+        details.append(m.detail.select(F.lit(t).alias("_tag"), "mutation_detail"))
+    if g1_changes:
+        reports.append(gates.gate_g1_deltas(g1_base, g1_changes).select("_tag", *gates.GATE_COLUMNS))
+    if g3_changes:
+        reports.append(gates.gate_g3_deltas(g3_base, g3_changes).select("_tag", *gates.GATE_COLUMNS))
+    return _assemble(gl.sparkSession, catalogue, reports, details)
+
+
+def _assemble(spark, catalogue, reports: list[DataFrame], details: list[DataFrame]) -> DataFrame:
+    """One scorecard row per catalogue entry from tagged gate reports and mutation details
+    (tagged unions and one aggregate; every entry gets a row even without a target)."""
+    cat = spark.createDataFrame([(t, f, g, e) for t, f, g, e in catalogue],
+                                "_tag string, target_file string, gate_checked string, expected_to_be_caught boolean")
+    caught = (reduce(DataFrame.unionByName, reports)
+              .select("_tag", ((F.col("severity") == "hard") & ~F.col("passed")).alias("_failed")))
+    u = (cat.unionByName(caught, allowMissingColumns=True)
+         .unionByName(reduce(DataFrame.unionByName, details), allowMissingColumns=True))
+    out = u.groupBy("_tag").agg(
+        F.max("target_file").alias("target_file"), F.max("gate_checked").alias("gate_checked"),
+        F.max("mutation_detail").alias("mutation_detail"),
+        F.max("expected_to_be_caught").alias("expected_to_be_caught"),
+        F.coalesce(F.max("_failed"), F.lit(False)).alias("was_caught"))
+    return out.select(F.col("_tag").alias("anomaly_type"), "target_file", "gate_checked", "mutation_detail",
+                      "expected_to_be_caught", "was_caught",
+                      (F.col("was_caught") == F.col("expected_to_be_caught")).alias("matches_expectation"))
 
 
 def _card_row(t, target, gate, expected, report: DataFrame, m: Mutation) -> DataFrame:

@@ -45,8 +45,8 @@ def _check(no: int, name: str, passed, detail, severity: str = "hard") -> F.Colu
                     (detail if isinstance(detail, F.Column) else F.lit(detail)).alias("detail"))
 
 
-def _emit(gate: str, row: DataFrame, checks: list[F.Column]) -> DataFrame:
-    return row.select(F.explode(F.array(*checks)).alias("c")).select(F.lit(gate).alias("gate"), "c.*")
+def _emit(gate: str, row: DataFrame, checks: list[F.Column], keep: tuple[str, ...] = ()) -> DataFrame:
+    return row.select(*keep, F.explode(F.array(*checks)).alias("c")).select(*keep, F.lit(gate).alias("gate"), "c.*")
 
 
 def _one_row(frames: list[DataFrame]) -> DataFrame:
@@ -63,11 +63,11 @@ def _has(df: DataFrame, *cols: str) -> bool:
     return set(cols) <= set(df.columns)
 
 
-def _g1_key_stats(gl: DataFrame) -> DataFrame:
+def _g1_key_stats(gl: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Per-entry_id counts behind every G1 check (one grouped pass; partial aggregation)."""
     cols = set(gl.columns)
     key = F.col("entry_id") if "entry_id" in cols else F.lit(None).cast("string")
-    return gl.groupBy(key.alias("_id")).agg(
+    return gl.groupBy(*by, key.alias("_id")).agg(
         F.count(F.lit(1)).alias("n"),
         *[_count_if(F.col(c).isNull()).alias(f"null_{c}") if c in cols else F.lit(None).cast("long").alias(f"null_{c}")
           for c in ("entry_date", "amount")],
@@ -77,9 +77,9 @@ def _g1_key_stats(gl: DataFrame) -> DataFrame:
          if "currency" in cols else F.lit(None).cast("long")).alias("bad_ccy"))
 
 
-def _g1_totals(per_key: DataFrame) -> DataFrame:
-    """One row of G1 totals; every column is a sum over keys (additive)."""
-    return per_key.agg(
+def _g1_totals(per_key: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row of G1 totals (per ``by`` group); every column is a sum over keys (additive)."""
+    return per_key.groupBy(*by).agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows"),
         F.coalesce(F.sum(F.when(F.col("_id").isNotNull() & (F.col("n") > 1), F.col("n"))), F.lit(0)).cast("long").alias("dups"),
         F.coalesce(F.sum(F.when(F.col("_id").isNull(), F.col("n"))), F.lit(0)).cast("long").alias("null_id"),
@@ -89,7 +89,8 @@ def _g1_totals(per_key: DataFrame) -> DataFrame:
         F.coalesce(F.sum("bad_ccy"), F.lit(0)).cast("long").alias("bad_ccy"))
 
 
-def _g1_report(a: DataFrame, columns: list[str], min_rows: int, max_rows: int) -> DataFrame:
+def _g1_report(a: DataFrame, columns: list[str], min_rows: int, max_rows: int,
+               keep: tuple[str, ...] = ()) -> DataFrame:
     cols = set(columns)
     missing = [c for c in GL_REQUIRED_COLUMNS if c not in cols]
     extra = sorted(cols - set(GL_REQUIRED_COLUMNS))
@@ -111,7 +112,7 @@ def _g1_report(a: DataFrame, columns: list[str], min_rows: int, max_rows: int) -
         colcheck(6, "amount not null", "amount", "null_amount", "nulls="),
         colcheck(7, "account_type in set", "account_type", "bad_type", "unexpected="),
         colcheck(8, "currency in set", "currency", "bad_ccy", "unexpected="),
-    ])
+    ], keep)
 
 
 def gate_g1(gl: DataFrame, min_rows: int = ROW_COUNT_MIN, max_rows: int = ROW_COUNT_MAX) -> DataFrame:
@@ -169,29 +170,30 @@ def gate_g2(fx: DataFrame, gl: DataFrame | None = None, base: str = "INR",
     ])
 
 
-def _g3_key_stats(payroll: DataFrame) -> DataFrame:
+def _g3_key_stats(payroll: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     cols = set(payroll.columns)
     key = F.col("allocation_id") if "allocation_id" in cols else F.lit(None).cast("string")
 
     def cnt(c, cond):
         return _count_if(cond(F.col(c))) if c in cols else F.lit(None).cast("long")
 
-    return payroll.groupBy(key.alias("_id")).agg(
+    return payroll.groupBy(*by, key.alias("_id")).agg(
         F.count(F.lit(1)).alias("n"),
         cnt("employee_id", lambda c: c.isNull()).alias("null_emp"),
         cnt("hours_logged", lambda c: c <= 0).alias("bad_hours"),
         cnt("cost_inr", lambda c: c <= 0).alias("bad_cost"))
 
 
-def _g3_totals(per_key: DataFrame) -> DataFrame:
-    """One row of G3 totals; every column is a sum over keys (additive)."""
-    return per_key.agg(
+def _g3_totals(per_key: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row of G3 totals (per ``by`` group); every column is a sum over keys (additive)."""
+    return per_key.groupBy(*by).agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("dupes"),
         *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("null_emp", "bad_hours", "bad_cost")])
 
 
-def _g3_report(a: DataFrame, columns: list[str], min_rows: int, max_rows: int) -> DataFrame:
+def _g3_report(a: DataFrame, columns: list[str], min_rows: int, max_rows: int,
+               keep: tuple[str, ...] = ()) -> DataFrame:
     cols = set(columns)
     missing = [c for c in PAYROLL_REQUIRED_COLUMNS if c not in cols]
 
@@ -208,7 +210,7 @@ def _g3_report(a: DataFrame, columns: list[str], min_rows: int, max_rows: int) -
         colcheck(4, "no null employee_id", "employee_id", "null_emp", "nulls="),
         colcheck(5, "hours_logged positive", "hours_logged", "bad_hours", "non_positive="),
         colcheck(6, "cost_inr positive", "cost_inr", "bad_cost", "non_positive="),
-    ])
+    ], keep)
 
 
 def gate_g3(payroll: DataFrame, min_rows: int = ROW_COUNT_MIN, max_rows: int = ROW_COUNT_MAX) -> DataFrame:
@@ -229,6 +231,44 @@ def gate_g3_delta(base_totals: DataFrame, before: DataFrame, after: DataFrame,
     return _g3_report(t, after.columns, min_rows, max_rows)
 
 
+def _deltas(stats, totals, base_totals: DataFrame, changes: list[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
+    """Totals of several changed tables at once, one row per tag.
+
+    All ``before`` / ``after`` row sets are stacked with a tag and a sign and
+    grouped once (per tag, sign and key, then per tag, sign); the base totals
+    are added to every tag by ``explode`` over the tag list. Every total is a
+    sum, so ``sum(sign * total)`` per tag is the changed table's total.
+    """
+    cols = [c for c in changes[0][2].columns]
+    parts = []
+    for tag, before, after in changes:
+        parts.append(before.select(F.lit(tag).alias("_tag"), F.lit(-1).alias("_sign"), *cols))
+        parts.append(after.select(F.lit(tag).alias("_tag"), F.lit(1).alias("_sign"), *cols))
+    stacked = reduce(DataFrame.unionByName, parts)
+    t = totals(stats(stacked, ("_tag", "_sign")), ("_tag", "_sign"))
+    names = base_totals.columns
+    b = base_totals.select(F.explode(F.array(*[F.lit(tag) for tag, _, _ in changes])).alias("_tag"),
+                           F.lit(1).alias("_sign"), *names)
+    u = t.unionByName(b)
+    return u.groupBy("_tag").agg(*[F.coalesce(F.sum(F.col(c) * F.col("_sign")), F.lit(0)).cast("long").alias(c)
+                                   for c in names])
+
+
+def gate_g1_deltas(base_totals: DataFrame, changes: list[tuple[str, DataFrame, DataFrame]],
+                   min_rows: int = ROW_COUNT_MIN, max_rows: int = ROW_COUNT_MAX) -> DataFrame:
+    """``gate_g1_delta`` for several (tag, before, after) changes in one grouped pass;
+    the report carries a ``_tag`` column."""
+    a = _deltas(_g1_key_stats, _g1_totals, base_totals, changes)
+    return _g1_report(a, changes[0][2].columns, min_rows, max_rows, keep=("_tag",))
+
+
+def gate_g3_deltas(base_totals: DataFrame, changes: list[tuple[str, DataFrame, DataFrame]],
+                   min_rows: int = ROW_COUNT_MIN, max_rows: int = ROW_COUNT_MAX) -> DataFrame:
+    """``gate_g3_delta`` for several (tag, before, after) changes in one grouped pass."""
+    a = _deltas(_g3_key_stats, _g3_totals, base_totals, changes)
+    return _g3_report(a, changes[0][2].columns, min_rows, max_rows, keep=("_tag",))
+
+
 def gate_g4(mapped: DataFrame, pnl: DataFrame) -> DataFrame:
     """P&L consistency: mart totals and counts reconcile with the mapped postings; identities hold."""
     src = mapped.agg(F.round(F.sum("amount_inr"), 2).cast(MONEY_SUM).alias("src_total"),
