@@ -23,10 +23,20 @@ def write_mart(df: DataFrame, path: str, partition_by: list[str] | None = None)
     w.parquet(path)
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Headered CSV export: a directory of parts; ``single_file`` only for marts known to be small."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+SINGLE_FILE_MAX_ROWS = 1_000_000
+
+
+def export_csv(df: DataFrame, path: str, single_file: bool = False,
+               single_file_max_rows: int = SINGLE_FILE_MAX_ROWS) -> bool:
+    """Headered CSV export: a directory of parts written in parallel.
+
+    ``single_file`` writes one part (one task) only when a bounded count proves
+    the table holds at most ``single_file_max_rows`` rows (a mart); a larger
+    table is still exported whole, as parts. Returns whether one part was written.
+    """
+    one = single_file and df.limit(single_file_max_rows + 1).count() <= single_file_max_rows
+    (df.coalesce(1) if one else df).write.mode("overwrite").option("header", True).csv(path)
+    return one
 
 
 def normalize_types(df: DataFrame) -> DataFrame:

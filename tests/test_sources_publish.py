@@ -64,6 +64,14 @@ def test_csv_export_and_logs(spark, tmpdir_path):
     PB.export_csv(df, os.path.join(tmpdir_path, "fx_csv"))
     back = spark.read.option("header", True).csv(os.path.join(tmpdir_path, "fx_csv"))
     assert back.count() == df.count()
+    # one part only under a proven row bound; beyond it the export is still whole, in parts
+    n = df.count()
+    assert PB.export_csv(df.repartition(4), os.path.join(tmpdir_path, "one"), single_file=True)
+    assert not PB.export_csv(df.repartition(4), os.path.join(tmpdir_path, "many"), single_file=True,
+                             single_file_max_rows=n - 1)
+    parts = [f for f in os.listdir(os.path.join(tmpdir_path, "one")) if f.endswith(".csv")]
+    assert len(parts) == 1
+    assert spark.read.option("header", True).csv(os.path.join(tmpdir_path, "many")).count() == n
     log = os.path.join(tmpdir_path, "sync_log")
     PB.append_sync_log(spark, log, 10, "2026-01-01 00:00:00")
     PB.append_sync_log(spark, log, 25, "2026-01-02 00:00:00")
