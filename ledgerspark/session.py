@@ -23,6 +23,8 @@ BASE_CONF = {
     # join after measuring the actual shuffle output of a side.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # Remove checkpoint files of datasets no longer referenced (shared folder hygiene).
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
