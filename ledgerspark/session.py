@@ -6,6 +6,7 @@ exist for tests, the bench and the command-line pipeline.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
@@ -64,3 +65,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def cluster_conf(largest_shuffle_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024 ** 2,
+                 scan_split_bytes: int = 512 * 1024 ** 2) -> dict[str, str]:
+    """Partition sizing for a cluster session, to add to ``BASE_CONF``.
+
+    ``spark.sql.shuffle.partitions`` is the initial reducer count: enough that
+    the largest shuffle (at ledger scale the entry_id grouping and the
+    lineitem-orders join) gives about ``partition_bytes`` per reducer, and at
+    least three waves over the cores. AQE then coalesces small reducers to the
+    advisory size and splits skewed ones, so marts (thousands of rows) do not
+    run thousands of empty tasks. Scan splits of ``scan_split_bytes`` keep the
+    scan task count of a 100 TB input near 200k.
+    """
+    n = max(3 * total_cores, math.ceil(largest_shuffle_bytes / partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 * 1024 ** 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    }

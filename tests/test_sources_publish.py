@@ -145,3 +145,12 @@ def test_fact_tables_are_never_broadcast(spark):
             scanned = " ".join(subtree)
             assert "lineitem" not in scanned and "orders" not in scanned, scanned
     assert "BroadcastExchange" in plan and "SortMergeJoin" in plan
+
+
+def test_cluster_conf_sizes_partitions():
+    from ledgerspark.session import cluster_conf
+    tb = 1024 ** 4
+    c = cluster_conf(30 * tb, 4000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 30 * tb // (256 * 1024 ** 2)   # 122,880 reducers of 256 MB
+    assert int(cluster_conf(10 * 1024 ** 3, 4000)["spark.sql.shuffle.partitions"]) == 12000   # 3 waves minimum
+    assert int(c["spark.sql.files.maxPartitionBytes"]) == 512 * 1024 ** 2
