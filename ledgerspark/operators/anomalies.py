@@ -179,12 +179,10 @@ def _target_rows(df: DataFrame, key: str, conditions: list[F.Column]) -> DataFra
     executor). It is small unless one key is hot, and then still a distributed
     table, never a driver-side list.
     """
-    from ledgerspark.session import checkpoint_dir
     k = F.col(key)
     mins = [F.min(k)] + [F.min(F.when(c, k)) for c in conditions]
     keys = (df.agg(F.array(*mins).alias("_k")).select(F.explode("_k").alias(key))
             .where(F.col(key).isNotNull()).distinct())
-    checkpoint_dir(df.sparkSession)
     return df.join(F.broadcast(keys), key, "left_semi").checkpoint(eager=True)
 
 
@@ -202,7 +200,8 @@ def scorecard(gl: DataFrame, fx: DataFrame, payroll: DataFrame, catalogue=ANOMAL
     default gives the same rows with one pass per table: every G1 / G3 total
     is a sum over key groups and a key-targeted mutation only changes the rows
     of its one target key, so each gate is ``base totals - target rows before +
-    target rows after`` (``gates.gate_g1_delta``). The mutations themselves run
+    target rows after``, all mutations of a gate in one tagged grouped pass
+    (``gates.gate_g1_deltas`` / ``gate_g3_deltas``). The mutations themselves run
     on the checkpointed target rows: the smallest key of a subset holding all
     rows of the smallest keys is that same key, so a mutation of the subset
     changes exactly the rows it changes in the whole table. G2 runs on the
@@ -212,6 +211,8 @@ def scorecard(gl: DataFrame, fx: DataFrame, payroll: DataFrame, catalogue=ANOMAL
     if not incremental:
         return _scorecard_full(gl, fx, payroll, catalogue)
     from ledgerspark.operators.topk import foreign_pairs
+    from ledgerspark.session import checkpoint_dir
+    checkpoint_dir(gl.sparkSession)   # checkpoints go to the shared spark.checkpoint.dir
     foreign = ~F.col("currency").eqNullSafe(F.lit(base)) & F.col("entry_id").isNotNull()
     gl_sub = _target_rows(gl, "entry_id", [F.col("account_type") == "Revenue", foreign])
     pay_sub = _target_rows(payroll, "allocation_id", [])
