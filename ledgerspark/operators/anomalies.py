@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.operators import gates
+from ledgerspark.session import write_back
 
 # FX file order of currencies (first row = earliest date, then this order).
 FX_CURRENCY_ORDER = ["USD", "EUR", "GBP", "AED"]
@@ -175,15 +176,15 @@ def _target_rows(df: DataFrame, key: str, conditions: list[F.Column]) -> DataFra
 
     One global aggregate finds the (at most 1 + len(conditions)) keys, one
     filtered scan with that broadcast key list keeps their rows; the result is
-    checkpointed to the shared checkpoint folder (lineage cut, survives a lost
-    executor). It is small unless one key is hot, and then still a distributed
-    table, never a driver-side list.
+    written once under the shared checkpoint folder (lineage cut, survives a
+    lost executor). It is small unless one key is hot, and then still a
+    distributed table, never a driver-side list.
     """
     k = F.col(key)
     mins = [F.min(k)] + [F.min(F.when(c, k)) for c in conditions]
     keys = (df.agg(F.array(*mins).alias("_k")).select(F.explode("_k").alias(key))
             .where(F.col(key).isNotNull()).distinct())
-    return df.join(F.broadcast(keys), key, "left_semi").checkpoint(eager=True)
+    return write_back(df.join(F.broadcast(keys), key, "left_semi"), f"anomaly-targets-{key}")
 
 
 def _caught(report: DataFrame) -> DataFrame:
@@ -202,7 +203,7 @@ def scorecard(gl: DataFrame, fx: DataFrame, payroll: DataFrame, catalogue=ANOMAL
     of its one target key, so each gate is ``base totals - target rows before +
     target rows after``, all mutations of a gate in one tagged grouped pass
     (``gates.gate_g1_deltas`` / ``gate_g3_deltas``). The mutations themselves run
-    on the checkpointed target rows: the smallest key of a subset holding all
+    on the written target rows: the smallest key of a subset holding all
     rows of the smallest keys is that same key, so a mutation of the subset
     changes exactly the rows it changes in the whole table. G2 runs on the
     (days x currencies) rate table against the ledger's distinct foreign
@@ -211,16 +212,14 @@ def scorecard(gl: DataFrame, fx: DataFrame, payroll: DataFrame, catalogue=ANOMAL
     if not incremental:
         return _scorecard_full(gl, fx, payroll, catalogue)
     from ledgerspark.operators.topk import foreign_pairs
-    from ledgerspark.session import checkpoint_dir
-    checkpoint_dir(gl.sparkSession)   # checkpoints go to the shared spark.checkpoint.dir
     foreign = ~F.col("currency").eqNullSafe(F.lit(base)) & F.col("entry_id").isNotNull()
     gl_sub = _target_rows(gl, "entry_id", [F.col("account_type") == "Revenue", foreign])
     pay_sub = _target_rows(payroll, "allocation_id", [])
     # Shared by several gate runs: written once (one pass over each table), so no
     # mutation repeats the ledger-wide grouping whatever exchange reuse does.
-    g1_base = gates.g1_totals(gl).checkpoint(eager=True)
-    g3_base = gates.g3_totals(payroll).checkpoint(eager=True)
-    pairs = foreign_pairs(gl, base).checkpoint(eager=True)
+    g1_base = write_back(gates.g1_totals(gl), "anomaly-g1-base")
+    g3_base = write_back(gates.g3_totals(payroll), "anomaly-g3-base")
+    pairs = write_back(foreign_pairs(gl, base), "anomaly-fx-pairs")
     g1_changes, g3_changes, reports, details = [], [], [], []
     for t, target, gate, expected in catalogue:
         m, inputs = mutate(t, gl_sub, fx, pay_sub)

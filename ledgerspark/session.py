@@ -9,8 +9,9 @@ from __future__ import annotations
 import math
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job in this library assumes.
 BASE_CONF = {
@@ -67,6 +68,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
 
 
+def write_back(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` and survives a lost executor, but the
+    plan is computed once (an eager checkpoint computes it twice: once to count,
+    once to write the checkpoint files); readers get a columnar table with
+    pruning and pushdown.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def cluster_conf(largest_shuffle_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024 ** 2,
                  scan_split_bytes: int = 512 * 1024 ** 2) -> dict[str, str]:
     """Partition sizing for a cluster session, to add to ``BASE_CONF``.
