@@ -51,13 +51,23 @@ def _row(model: str, rule: Rule, failures: F.Column) -> F.Column:
                     failures.cast("long").alias("failures"))
 
 
-def run_model_tests(model: str, df: DataFrame, rules: list[Rule], refs: dict[str, DataFrame]) -> DataFrame:
-    """Evaluate ``rules`` on ``df``; one result row per rule, in rule order."""
+def run_model_tests(model: str, df: DataFrame, rules: list[Rule], refs: dict[str, DataFrame],
+                    broadcast_rows: int = 1_000_000) -> DataFrame:
+    """Evaluate ``rules`` on ``df``; one result row per rule, in rule order.
+
+    A rule checked against another model (relationships, accepted values from
+    a model) whose distinct parent keys are proven small is folded into the
+    one fused aggregate: ``df`` is left-joined with the broadcast parent keys
+    (distinct, so no row fans out) and offending rows are counted in the same
+    pass. Larger parents are checked with a separate anti join.
+    """
+    from ledgerspark.operators.joins import proven_small
     cols = set(df.columns)
     fused_exprs, fused_idx, parts = [], [], []
+    base = df
     for i, r in enumerate(rules):
         if not set(r.columns) <= cols or (r.ref is not None and r.ref_column not in refs[r.ref].columns):
-            parts.append((i, df.sparkSession.range(1).select(_row(model, r, F.lit(None)).alias("r"))))
+            parts.append((i, base.sparkSession.range(1).select(_row(model, r, F.lit(None)).alias("r"))))
             continue
         c = F.col(r.columns[0])
         if r.test == "not_null":
@@ -68,13 +78,20 @@ def run_model_tests(model: str, df: DataFrame, rules: list[Rule], refs: dict[str
             fused_exprs.append(_row(model, r, F.count_distinct(F.when(~c.isin(*r.values), c))))
         elif r.test in ("unique", "unique_combination"):
             keys = list(r.columns)
-            g = (df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]) if r.test == "unique"
+            g = (base.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]) if r.test == "unique"
                           else F.lit(True))
                  .groupBy(*keys).count().where(F.col("count") > 1))
             parts.append((i, g.agg(_row(model, r, F.count(F.lit(1))).alias("r"))))
+        elif r.test in ("relationships", "accepted_values") and proven_small(
+                parent := refs[r.ref].select(F.col(r.ref_column).alias(f"_pk{i}")).distinct(), broadcast_rows):
+            df = df.join(F.broadcast(parent.withColumn(f"_hit{i}", F.lit(True))), c == F.col(f"_pk{i}"), "left")
+            orphan = c.isNotNull() & F.col(f"_hit{i}").isNull()
+            fused_idx.append(i)
+            fused_exprs.append(_row(model, r, F.count(F.when(orphan, 1)) if r.test == "relationships"
+                                    else F.count_distinct(F.when(orphan, c))))
         elif r.test in ("relationships", "accepted_values"):
             parent = refs[r.ref].select(F.col(r.ref_column).alias("_pk")).distinct()
-            child = df.select(c.alias("_ck")).where(F.col("_ck").isNotNull())
+            child = base.select(c.alias("_ck")).where(F.col("_ck").isNotNull())
             if r.test == "accepted_values":
                 child = child.distinct()
             bad = child.join(parent, F.col("_ck") == F.col("_pk"), "left_anti")

@@ -38,24 +38,30 @@ def _estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Return ``broadcast(df)`` only if ``df`` is proven to hold at most ``max_rows``
-    rows and ``max_bytes`` bytes; else ``df`` unchanged (a shuffle join).
+def proven_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                 max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` provably holds at most ``max_rows`` rows and ``max_bytes`` bytes.
 
     First the optimizer's estimate (compressed file sizes, no job): a side already
     estimated above the byte bound is never counted. Otherwise one bounded job
     reads at most ``max_rows + 1`` rows per partition and measures rows and bytes
-    together. Beyond either bound the caller's join stays a shuffle join planned
-    by Catalyst (and split by AQE if a key is skewed).
+    together.
     """
     est = _estimated_bytes(df)
     if est is not None and est > max_bytes:
-        return df
+        return False
     got = (df.limit(max_rows + 1)
            .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("b"))
            .first())
-    return F.broadcast(df) if got["n"] <= max_rows and got["b"] <= max_bytes else df
+    return got["n"] <= max_rows and got["b"] <= max_bytes
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Return ``broadcast(df)`` only if ``df`` is ``proven_small``; else ``df`` unchanged,
+    so the caller's join stays a shuffle join planned by Catalyst (and split by AQE if
+    a key is skewed)."""
+    return F.broadcast(df) if proven_small(df, max_rows, max_bytes) else df
 
 
 def band_join_match(left: DataFrame, left_val: str, right: DataFrame, right_val: str,
