@@ -154,3 +154,14 @@ def test_cluster_conf_sizes_partitions():
     assert int(c["spark.sql.shuffle.partitions"]) == 30 * tb // (256 * 1024 ** 2)   # 122,880 reducers of 256 MB
     assert int(cluster_conf(10 * 1024 ** 3, 4000)["spark.sql.shuffle.partitions"]) == 12000   # 3 waves minimum
     assert int(c["spark.sql.files.maxPartitionBytes"]) == 512 * 1024 ** 2
+
+
+def test_write_back_cuts_lineage_in_the_shared_folder(spark):
+    from ledgerspark.session import write_back
+    df = spark.range(1000).selectExpr("id", "id % 7 AS k").groupBy("k").count()
+    out = write_back(df, "wb-test")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    ckpt = spark.conf.get("spark.checkpoint.dir")
+    assert "FileScan parquet" in plan and "HashAggregate" not in plan and "Range" not in plan
+    assert ckpt.rstrip("/").split("/")[-1] in plan
+    assert sorted(out.collect()) == sorted(df.collect())
