@@ -73,12 +73,14 @@ def band_join_match(left: DataFrame, left_val: str, right: DataFrame, right_val:
     ``2*tol``; a left value only needs its own bucket and the two neighbours,
     then the exact residual ``abs(a - b) <= tol`` decides. No nested loop and
     no cross product; the right side is de-duplicated first so a hot value
-    does not fan out.
+    does not fan out, and broadcast when proven small (then the left side is
+    never shuffled for this join; AQE's runtime conversion would come only
+    after the left side's shuffle had been written).
     """
     width = 2.0 * tol
-    rv = (right.select(F.col(right_val).cast("double").alias("_rv"))
-          .where(F.col("_rv").isNotNull()).distinct()
-          .withColumn("_b", F.floor(F.col("_rv") / F.lit(width))))
+    rv = sized_broadcast(right.select(F.col(right_val).cast("double").alias("_rv"))
+                         .where(F.col("_rv").isNotNull()).distinct()
+                         .withColumn("_b", F.floor(F.col("_rv") / F.lit(width))))
     lv = (left.select(*keys, F.col(left_val).cast("double").alias("_lv"))
           .withColumn("_b0", F.floor(F.col("_lv") / F.lit(width)))
           .withColumn("_b", F.explode(F.array(F.col("_b0") - 1, F.col("_b0"), F.col("_b0") + 1))))
