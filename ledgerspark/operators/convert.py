@@ -33,14 +33,16 @@ def _rates_with_base(fx: DataFrame, base: str) -> DataFrame:
 
 
 def fx_convert(gl: DataFrame, fx: DataFrame, base: str = REPORTING_CURRENCY,
-               broadcast_rows: int = FX_BROADCAST_ROWS) -> DataFrame:
+               broadcast_rows: int = FX_BROADCAST_ROWS, broadcast: bool | None = None) -> DataFrame:
     """Every staged posting converted to the reporting currency.
 
     amount_inr = cast(amount * rate as decimal(18,2)) (half away from zero).
     The rate table is one row per day and currency; it is broadcast after a
-    bounded size check, otherwise joined by shuffle.
+    bounded size check, otherwise joined by shuffle. ``broadcast`` passes a
+    decision already made by the caller (a stream decides once, not per batch).
     """
-    rates = sized_broadcast(_rates_with_base(fx, base), broadcast_rows)
+    r = _rates_with_base(fx, base)
+    rates = sized_broadcast(r, broadcast_rows) if broadcast is None else (F.broadcast(r) if broadcast else r)
     j = gl.join(rates, (gl.entry_date == rates.rate_date) & (gl.currency == rates.from_currency), "left")
     rate = F.when((F.col("currency") == base) & F.col("rate").isNull() & F.col("entry_date").isNotNull(),
                   F.lit(1).cast("decimal(12,6)")).otherwise(F.col("rate"))
@@ -57,8 +59,12 @@ def fx_convert(gl: DataFrame, fx: DataFrame, base: str = REPORTING_CURRENCY,
 
 
 def map_dimensions(entries: DataFrame, projects: DataFrame, cost_centres: DataFrame,
-                   broadcast_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
-    """Enrich converted postings with governed project and cost-centre attributes."""
+                   broadcast_rows: int = DIM_BROADCAST_ROWS,
+                   broadcast: tuple[bool, bool] | None = None) -> DataFrame:
+    """Enrich converted postings with governed project and cost-centre attributes.
+
+    ``broadcast`` = (projects, cost centres) decisions already made by the caller;
+    by default each side is broadcast after a bounded size check."""
     p = projects.select(
         F.col("project_code").alias("_p_code"),
         F.col("project_name").alias("project_name_governed"),
@@ -69,9 +75,13 @@ def map_dimensions(entries: DataFrame, projects: DataFrame, cost_centres: DataFr
         "cost_centre_name",
         F.col("location").alias("cost_centre_location"),
         F.col("country").alias("cost_centre_country"))
+    if broadcast is None:
+        p, cc = sized_broadcast(p, broadcast_rows), sized_broadcast(cc, broadcast_rows)
+    else:
+        p, cc = (F.broadcast(p) if broadcast[0] else p), (F.broadcast(cc) if broadcast[1] else cc)
     j = (entries
-         .join(sized_broadcast(p, broadcast_rows), entries.project_code == F.col("_p_code"), "left")
-         .join(sized_broadcast(cc, broadcast_rows), entries.cost_centre == F.col("_cc_code"), "left"))
+         .join(p, entries.project_code == F.col("_p_code"), "left")
+         .join(cc, entries.cost_centre == F.col("_cc_code"), "left"))
     return j.select(
         "entry_id", "entry_date",
         "project_code", "project_name_governed", "segment_governed", "client_name", "billing_currency",

@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerspark.operators import convert, marts, staging
+from ledgerspark.operators.joins import proven_small
 from ledgerspark.session import scratch_path
 from ledgerspark.sources.bronze import GL_COLUMNS, blank_to_null
 
@@ -32,10 +33,16 @@ def start_ledger_stream(spark: SparkSession, landing_dir: str, fx: DataFrame, pr
     stream = spark.readStream.schema(schema).option("header", True).csv(landing_dir)
     fx_t = staging.stage_fx(fx, lenient=True)
     target = os.path.join(out_dir, "mapped")
+    # The rate and dimension tables are static for the stream: decide once whether
+    # each is broadcast (bounded size checks), not again in every micro-batch.
+    fx_small = proven_small(convert._rates_with_base(fx_t, convert.REPORTING_CURRENCY), convert.FX_BROADCAST_ROWS)
+    dims_small = (proven_small(projects, convert.DIM_BROADCAST_ROWS),
+                  proven_small(cost_centres, convert.DIM_BROADCAST_ROWS))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         gl = staging.stage_gl(blank_to_null(batch), lenient=True)
-        mapped = convert.map_dimensions(convert.fx_convert(gl, fx_t), projects, cost_centres)
+        mapped = convert.map_dimensions(convert.fx_convert(gl, fx_t, broadcast=fx_small), projects, cost_centres,
+                                        broadcast=dims_small)
         (mapped.withColumn("batch_id", F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(target))
