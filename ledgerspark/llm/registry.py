@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ledgerspark.llm import chat_format, exact_dedup
+from ledgerspark.llm import chat_format, exact_dedup, html_extract, sentencepiece_fst, warc
 
-MODULES = [exact_dedup, chat_format]
+MODULES = [exact_dedup, html_extract, chat_format, warc, sentencepiece_fst]
 
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: s for m in MODULES for k, s in m.ORACLE.items()}
