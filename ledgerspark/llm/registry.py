@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ledgerspark.llm import chat_format, exact_dedup, html_extract, sentencepiece_fst, toxicity, warc
+from ledgerspark.llm import chat_format, exact_dedup, html_extract, prob_minhash, sentencepiece_fst, toxicity, warc
 
-MODULES = [exact_dedup, html_extract, chat_format, toxicity, warc, sentencepiece_fst]
+MODULES = [exact_dedup, html_extract, chat_format, prob_minhash, toxicity, warc, sentencepiece_fst]
 
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: s for m in MODULES for k, s in m.ORACLE.items()}
