@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ledgerspark.llm import chat_format, decontaminate, exact_dedup, html_extract, line_dedup, prob_minhash, sentencepiece_fst, toxicity, warc
+from ledgerspark.llm import chat_format, decontaminate, exact_dedup, html_extract, license_scan, line_dedup, prob_minhash, sentencepiece_fst, toxicity, warc
 
-MODULES = [exact_dedup, html_extract, decontaminate, chat_format, line_dedup, prob_minhash, toxicity, warc, sentencepiece_fst]
+MODULES = [exact_dedup, html_extract, decontaminate, chat_format, license_scan, line_dedup, prob_minhash, toxicity, warc, sentencepiece_fst]
 
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: s for m in MODULES for k, s in m.ORACLE.items()}
