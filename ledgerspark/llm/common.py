@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import os
 import uuid
-import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +20,14 @@ def text_or_empty(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(""))
 
 
+def fresh(name: str, *taken: list[str]) -> str:
+    """A column name like ``name`` that none of the given columns has (Spark compares names without case)."""
+    used = {c.lower() for columns in taken for c in columns}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 class Scratch:
     """Written intermediate tables in the shared checkpoint folder.
 
@@ -58,15 +64,3 @@ class Scratch:
 def held_out(doc_id: Column) -> Column:
     """The rows whose crc32(doc_id as text) mod 3 is 1."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
-
-
-def crc_mod3(doc_id) -> int:
-    return zlib.crc32(str(doc_id).encode()) % 3
-
-
-def local_cores(spark: SparkSession) -> int:
-    return max(1, spark.sparkContext.defaultParallelism)
-
-
-def join_path(*parts: str) -> str:
-    return os.path.join(*parts)

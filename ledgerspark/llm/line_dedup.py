@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import Scratch, table, text_or_empty
+from ledgerspark.llm.common import Scratch, fresh, table, text_or_empty
 
 MIN_WORDS = 50
 
@@ -143,22 +143,22 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                         removed_as: str | None = "removed_lines") -> DataFrame:
     """The input's columns, the text without its later copies, and the number of lines removed."""
     runs = repeated_runs(docs, id_col, text_col, min_words)
-    # Null ids need a value that groups and joins alike.
-    cuts = runs.groupBy(F.col("id").alias("_id"), F.col("h").alias("_h")).agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cuts"))
+    key, h, cut, mark = (fresh(c, docs.columns) for c in ("id_of_cuts", "h_of_cuts", "cuts", "h_of_text"))
+    cuts = runs.groupBy(F.col("id").alias(key), F.col("h").alias(h)).agg(
+        F.sort_array(F.collect_list(F.struct("start", "end"))).alias(cut))
     text = text_or_empty(F.col(text_col))
-    rows = docs.withColumn("_hash", F.xxhash64(text))
-    joined = rows.join(cuts.hint("merge"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h")), "left")
+    rows = docs.withColumn(mark, F.xxhash64(text))
+    joined = rows.join(cuts.hint("merge"), F.col(id_col).eqNullSafe(F.col(key)) & (F.col(mark) == F.col(h)), "left")
     lines = F.split(text, "\n", -1)
     # What lies between the cuts is kept.
-    edges = F.transform(F.sequence(F.lit(0), F.size("_cuts")), lambda i: F.struct(
-        F.when(i == 0, 0).otherwise(F.col("_cuts")[i - 1]["end"]).alias("a"),
-        F.when(i == F.size("_cuts"), F.size(lines)).otherwise(F.col("_cuts")[i]["start"]).alias("b")))
+    edges = F.transform(F.sequence(F.lit(0), F.size(cut)), lambda i: F.struct(
+        F.when(i == 0, 0).otherwise(F.col(cut)[i - 1]["end"]).alias("a"),
+        F.when(i == F.size(cut), F.size(lines)).otherwise(F.col(cut)[i]["start"]).alias("b")))
     kept = F.array_join(F.flatten(F.transform(edges, lambda x: F.slice(lines, x["a"] + 1, x["b"] - x["a"]))), "\n")
-    gone = F.aggregate("_cuts", F.lit(0), lambda n, x: n + x["end"] - x["start"])
-    out = joined.select(*(F.when(F.col("_cuts").isNull(), F.col(c)).otherwise(kept).alias(c) if c == text_col else F.col(c)
-                          for c in docs.columns), *([F.coalesce(gone, F.lit(0)).cast("long").alias(removed_as)] if removed_as else []))
-    return out
+    gone = F.aggregate(cut, F.lit(0), lambda n, x: n + x["end"] - x["start"])
+    body = F.when(F.col(cut).isNull(), F.col(text_col)).otherwise(kept).alias(text_col)
+    count = [F.coalesce(gone, F.lit(0)).cast("long").alias(removed_as)] if removed_as else []
+    return joined.select(*(body if c == text_col else F.col(c) for c in docs.columns), *count)
 
 
 def op6_line_dedup(spark, sf_dir: str) -> DataFrame:
