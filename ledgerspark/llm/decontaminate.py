@@ -28,9 +28,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,22 +70,33 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def _hash(word: str) -> int:
-    import hashlib
-    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "replace"), digest_size=8).digest(), "little")
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "replace"))
 
 
 _TYPE_HASH = np.array([0, *(_hash(f"<{x}>") for x in ("NUM", "UNIT", "NAME")), 0], np.uint64)
 
 
-class Canonical:
-    """Canonical words of texts; what a word is by itself is kept in a bounded cache."""
+class Canonical(dict):
+    """Canonical words of texts: the number of each different word, and per number what the word is by itself.
+
+    Words are looked at once (``__missing__``); at more than CACHE_WORDS different ones the numbers begin anew.
+    """
 
     def __init__(self):
-        self.number: dict[str, int] = {}
+        super().__init__()
         self.rows: list[tuple[int, int, bool, bool, str]] = []   # hash, kind, may be a unit, ends a sentence, value
-        self.arrays = None
+        self.arrays = tuple(np.empty(0, t) for t in (np.uint64, np.int8, bool, bool))
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self.rows)
+        self.rows.append(self._row(word))
+        return n
 
     def _row(self, word: str) -> tuple[int, int, bool, bool, str]:
+        if word.isalpha() and word != LINE:
+            lower = word.lower()
+            kind = NUM if lower in NUMBER_WORDS else NAME if word[0].isupper() and not word.isupper() else WORD
+            return _hash(lower), kind, lower in UNITS, False, lower
         if word == LINE:
             return 0, BREAK, False, True, ""
         ends = word[-1] in ".!?:" or word.rstrip("\"')]”’")[-1:] in (".", "!", "?")
@@ -99,17 +112,13 @@ class Canonical:
     def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Per canonical word: text number, hash of what it is compared by, kind, number of its value."""
         if len(self.rows) > CACHE_WORDS:
+            self.clear()
             self.__init__()
         split = [t.replace("\n", f" {LINE} ").split() for t in texts]
-        for w in set().union(*split) - self.number.keys():
-            self.number[w] = len(self.rows)
-            self.rows.append(self._row(w))
-        if self.arrays is None or len(self.arrays[0]) < len(self.rows):
-            cols = list(zip(*self.rows)) or [(), (), (), (), ()]
-            self.arrays = (np.array(cols[0], np.uint64), np.array(cols[1], np.int8), np.array(cols[2], bool), np.array(cols[3], bool))
         n = np.fromiter(map(len, split), np.int64, len(split))
-        get = self.number.__getitem__
-        ids = np.fromiter((i for s in split for i in map(get, s)), np.int64, int(n.sum()))
+        ids = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64, int(n.sum()))
+        if new := self.rows[len(self.arrays[0]):]:
+            self.arrays = tuple(np.concatenate([old, np.array(c, old.dtype)]) for old, c in zip(self.arrays, zip(*new)))
         doc = np.repeat(np.arange(len(texts)), n)
         hashes, kinds, units, ends = (a[ids] for a in self.arrays)
         first = np.concatenate([[True], (doc[1:] != doc[:-1]) | ends[:-1]])[:len(ids)]
@@ -242,29 +251,39 @@ def best_run(pairs: list[tuple[int, int]], slack: int) -> list[int]:
     return sorted(best.values())
 
 
-def _judge(threshold: float):
-    def judge(key, pdf):
-        import pandas as pd
-        total = int(pdf["total"].iloc[0])
-        pairs = list(zip(pdf["place"].tolist(), pdf["item_place"].tolist()))
-        chosen = best_run(pairs, max(1, total // 4))
-        slots: dict[int, tuple[tuple[str, str], tuple[str, str]]] = {}
-        votes: dict[int, Counter] = {}
-        for n in chosen:
-            mine, theirs = list(pdf["slots"].iloc[n]), list(pdf["item_slots"].iloc[n])
-            for a, b in zip(theirs, mine):
-                at, kind, value = a.split("|", 2)
-                _, other, found = b.split("|", 2)
-                votes.setdefault(pairs[n][1] + int(at), Counter())[((kind, value), (other, found))] += 1
-        for at, c in votes.items():
-            slots[at] = min(c, key=lambda x: (-c[x], x))
-        covered = len(chosen) / total
-        if covered < threshold or not slots_agree((a for a, _ in slots.values()), (b for _, b in slots.values())):
-            return pd.DataFrame(columns=["matched", "covered", "n_slots", "kind"])
-        exact = all(a == b for a, b in slots.values())
-        return pd.DataFrame({"matched": [len(chosen)], "covered": [covered], "n_slots": [len(slots)],
-                             "kind": ["exact" if exact else "reparameterised"]})
-    return judge
+def judge(found: list[tuple[int, int, list[str], list[str]]], total: int, threshold: float) -> tuple[int, float, int, str] | None:
+    """Matched windows, their share, slots and kind from the (place, item place, slots, item slots) of a pair's windows;
+    None if the best run has too few of the item's windows or its slots don't agree."""
+    chosen = best_run([(d, i) for d, i, _, _ in found], max(1, total // 4))
+    votes: dict[int, Counter] = {}
+    for n in chosen:
+        _, place, mine, theirs = found[n]
+        for a, b in zip(theirs, mine):
+            at, kind, value = a.split("|", 2)
+            _, other, got = b.split("|", 2)
+            votes.setdefault(place + int(at), Counter())[((kind, value), (other, got))] += 1
+    slots = [min(c, key=lambda x: (-c[x], x)) for c in votes.values()]
+    covered = len(chosen) / total
+    if covered < threshold or not slots_agree((a for a, _ in slots), (b for _, b in slots)):
+        return None
+    return len(chosen), covered, len(slots), "exact" if all(a == b for a, b in slots) else "reparameterised"
+
+
+def _judging(keep: list[str], threshold: float):
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            which, out = [], []
+            for n, (found, total) in enumerate(zip(batch.column("found").to_pylist(), batch.column("total").to_pylist())):
+                x = judge([(w["place"], w["item_place"], w["slots"], w["item_slots"]) for w in found], total, threshold)
+                if x is not None:
+                    which.append(n)
+                    out.append(x)
+            cols = list(zip(*out)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(pa.array(which, pa.int64())) for c in keep),
+                 *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.float64(), pa.int64(), pa.string())))],
+                [*keep, "matched", "covered", "n_slots", "kind"])
+    return rows
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -295,22 +314,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     same = [F.col(f"m.{c}").eqNullSafe(F.col(f"k.{c}")) for c in pair]
     both = matched.alias("m").join(likely.alias("k"), same[0] & same[1] & same[2] & same[3]).select(
         *(F.col(f"m.{c}") for c in (*pair, "place", "slots", "item_place", "item_slots")), F.col("k.total"))
-    judged = both.groupBy(*pair).applyInPandas(
-        _with_key(_judge(threshold), pair),
-        f"id {kinds['id']}, text_hash binary, item {kinds['item']}, item_hash binary, matched long, covered double, "
-        "n_slots long, kind string")
+    # A pair's windows are at most the document's own.
+    each = F.struct("place", "item_place", "slots", "item_slots")
+    judged = both.groupBy(*pair).agg(F.first("total").alias("total"), F.sort_array(F.collect_list(each)).alias("found")).mapInArrow(
+        _judging(pair, threshold), f"id {kinds['id']}, text_hash binary, item {kinds['item']}, item_hash binary, matched long, "
+                                   "covered double, n_slots long, kind string")
     return judged.select(F.col("id").alias(id_col), "text_hash", F.col("item").alias(item_col), "matched", "covered", "n_slots", "kind")
 
 
-def _with_key(judge, names: list[str]):
-    def judged(key, pdf):
-        out = judge(key, pdf)
-        for i, (name, value) in enumerate(zip(names, key)):
-            out.insert(i, name, [value] * len(out))
-        return out
-    return judged
-
-
 def op3_decontaminate(spark, sf_dir: str) -> DataFrame:
     """The documents that hold a benchmark item, with the item."""
     found = find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))

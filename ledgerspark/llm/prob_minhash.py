@@ -11,14 +11,17 @@ Two registers agree with the probability Jaccard similarity of the texts.
 2. Registers in bands give bucket keys. Every bucket links its members to its
    first one (a star, not all pairs), each pair is verified by the exact
    probability Jaccard of the texts, and linked texts are joined to components.
-3. A bucket whose members are still in several components goes on: members
-   outside its largest component become pivots (a fixed number at a time per
-   bucket) and are compared with the bucket's members of other components,
-   until no untried pair is left. The distance is a metric, so pairs whose
-   distances to the bucket's first member differ by more than the allowed
-   distance are known not to match and left out. No bucket is cut off.
+3. A bucket whose star left members apart goes on: its members outside its
+   largest component are pivots and are compared with the bucket's members of
+   other components: all of them at once where they are few, a fixed number at
+   a time per bucket where they are many, until none is left. The distance is a
+   metric, so pairs whose distances to the bucket's first member differ by more
+   than the allowed distance are known not to match; of the others only pairs
+   whose registers agree often enough (``AGREE``, five standard errors below the
+   threshold) are verified by their texts. No bucket is cut off.
 4. Components come from repeated minimum labels over the verified links, as
-   tables; nothing of this reaches the driver but counts.
+   tables, after the members of stars have been folded into their first ones;
+   nothing of this reaches the driver but counts.
 
 ``BANDS`` bands of ``ROWS`` registers find a pair of similarity 0.8 with
 probability 0.9998, one of 0.85 with 1 - 2e-6.
@@ -44,8 +47,10 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 36, 7
 REGISTERS = BANDS * ROWS
-#: Pivots of a bucket in one round.
-PIVOTS = 32
+#: Buckets with so many members outside their largest component compare all of them at once; others PIVOTS a round.
+FEW, PIVOTS = 64, 32
+#: Share of agreeing registers below which a pair of similarity THRESHOLD is five standard errors away.
+AGREE = THRESHOLD - 5 * (THRESHOLD * (1 - THRESHOLD) / REGISTERS) ** 0.5
 GROUP_BYTES = 2_000_000
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -184,13 +189,16 @@ def _signer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, group in _groups(batch.column("text").to_pylist()):
                 doc, value, count = shingles(group)
-                keys = band_keys(registers(len(group), doc, value, count))
+                holder = registers(len(group), doc, value, count)
+                keys = band_keys(holder)
+                # A byte of each register is enough to count agreement.
+                marks = (holder & np.uint64(255)).astype(np.uint8)
                 some = np.bincount(doc, minlength=len(group)) > 0
                 ends = np.concatenate([[0], np.cumsum(some * BANDS)]).astype(np.int32)
                 part = batch.slice(at, len(group))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("hash"), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[some].ravel()))],
-                    ["id", "hash", "keys"])
+                    [part.column("id"), part.column("hash"), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[some].ravel())),
+                     pa.array([m.tobytes() for m in marks], pa.binary())], ["id", "hash", "keys", "marks"])
 
 
 def _verifier(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,114 +215,140 @@ def _verifier(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              ["a", "b", "similarity"])
 
 
+def _agreeing(least: float):
+    """(v, marks, pv, pmarks) to the pairs (a, b) whose registers agree in a share of at least ``least``."""
+    def agree(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mine, theirs = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, REGISTERS)
+                            for c in ("marks", "pmarks"))
+            ok = np.flatnonzero((mine == theirs).mean(1) >= least)
+            v, p = batch.column("v").to_numpy()[ok], batch.column("pv").to_numpy()[ok]
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(v, p)), pa.array(np.minimum(v, p))], ["a", "b"])
+    return agree
+
+
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(v, label): the smallest vertex of each vertex's component. Links are (a, b) rows.
 
-    Each round every vertex takes the smallest label among itself and its neighbours, then its label's label.
+    Every vertex with a smaller neighbour is folded into its smallest one, whose links it hands over; on what
+    remains every vertex takes the smallest label among itself and its neighbours, then its label's label, until
+    nothing changes.
     """
-    both = scratch.keep(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-                        .distinct(), "both")
+    links = scratch.keep(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    fold = scratch.keep(links.groupBy("a").agg(F.min("b").alias("p")), "fold")
+    handed = links.join(fold.hint("merge"), "a").where("b <> p").select(F.greatest("b", "p").alias("a"), F.least("b", "p").alias("b"))
+    # A smaller neighbour may be folded itself: its own link stays in the smaller graph.
+    inner = fold.join(links.select(F.col("b").alias("a")).distinct(), "a", "left_semi").select("a", F.col("p").alias("b"))
+    core = handed.unionByName(inner).distinct()
+    both = scratch.keep(core.unionByName(core.select(F.col("b").alias("a"), F.col("a").alias("b"))), "core")
     labels = scratch.keep(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
-    while True:
+    while both.take(1):
         near = both.join(labels.withColumnRenamed("v", "b"), "b").groupBy(F.col("a").alias("v")).agg(F.min("label").alias("near"))
-        step = labels.join(near, "v").select("v", "label", F.least("label", "near").alias("next"))
-        step = scratch.keep(step, "step")
+        step = scratch.keep(labels.join(near, "v").select("v", "label", F.least("label", "near").alias("next")), "step")
         jump = step.select(F.col("v").alias("next"), F.col("next").alias("far"))
-        new = step.join(jump, "next").select("v", F.least("next", "far").alias("label"), F.col("label").alias("was"))
-        new = scratch.keep(new, "labels")
-        changed = new.where("label <> was").limit(1).count()
+        new = scratch.keep(step.join(jump, "next").select("v", F.least("next", "far").alias("label"), F.col("label").alias("was")), "labels")
+        changed = new.where("label <> was").take(1)
         scratch.drop(step)
         scratch.drop(labels)
         labels = new
         if not changed:
-            scratch.drop(both)
-            return labels.select("v", "label")
+            break
+    # Folded vertices take their first one's label, which is its own unless it is in the smaller graph.
+    near = fold.join(labels.select(F.col("v").alias("p"), "label").hint("merge"), "p", "left")
+    folded = near.select(F.col("a").alias("v"), F.coalesce("label", "p").alias("label"))
+    roots = links.select(F.col("b").alias("v")).distinct().join(fold.select(F.col("a").alias("v")), "v", "left_anti")
+    roots = roots.join(labels.select("v", "label"), "v", "left").select("v", F.coalesce("label", "v").alias("label"))
+    out = scratch.keep(folded.unionByName(roots), "components")
+    for df in (links, fold, both, labels):
+        scratch.drop(df)
+    return out
 
 
 class NearDuplicates:
     """The tables of one run: ``rows`` (id, hash), ``texts`` (v, hash, id, n) and ``labels`` (v, label) of linked texts."""
 
     def __init__(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-                 pivots: int = PIVOTS):
+                 few: int = FEW, pivots: int = PIVOTS):
         self.scratch = Scratch(df.sparkSession, "near-dup")
-        self.threshold, self.pivots = threshold, pivots
+        self.threshold, self.few, self.pivots = threshold, few, pivots
         kind = df.schema[id_col].dataType.simpleString()
         text = text_or_empty(F.col(text_col))
         self.source = df.select(F.col(id_col).alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("hash"), text.alias("text"))
         keep = self.scratch.keep
-        self.rows = keep(self.source.mapInArrow(_signer, f"id {kind}, hash binary, keys array<long>"), "rows")
+        self.rows = keep(self.source.mapInArrow(_signer, f"id {kind}, hash binary, keys array<long>, marks binary"), "rows")
         # The number given to a text is fixed by writing it down.
         self.texts = keep(self.rows.groupBy("hash").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"),
-                                                        F.first("keys").alias("keys"))
+                                                        F.first("keys").alias("keys"), F.first("marks").alias("marks"))
                           .withColumn("v", F.monotonically_increasing_id()), "texts")
-        self.links = self._link()
-        self.labels = components(self.links, self.scratch)
+        self.links, self.labels = self._link()
 
-    def _link(self) -> DataFrame:
+    def _link(self) -> tuple[DataFrame, DataFrame]:
+        """The verified links (a, b, similarity) and the components' labels (v, label)."""
         keep, drop = self.scratch.keep, self.scratch.drop
         member = self.texts.select("v", F.explode("keys").alias("key"))
         shared = member.groupBy("key").agg(F.min("v").alias("b"), F.count(F.lit(1)).alias("size")).where("size > 1")
         buckets = keep(member.join(shared.select("key", "b").hint("merge"), "key"), "buckets")
-        some = buckets.select("v").distinct()
-        texts = self.texts.select("v", "hash", "id").join(some, "v")
+        texts = self.texts.select("v", "hash", "id").join(buckets.select("v").distinct(), "v")
         same = (F.col("s.hash") == F.col("t.hash")) & F.col("s.id").eqNullSafe(F.col("t.id"))
         bodies = keep(self.source.alias("s").join(texts.alias("t").hint("merge"), same).groupBy("v").agg(
             F.first("text").alias("text")), "bodies")
-        tried = keep(self._verify(buckets.where("v <> b").select(F.col("v").alias("a"), "b").distinct(), bodies), "tried")
-        links = tried.where(F.col("similarity") >= self.threshold)
-        if not links.take(1):
-            links = links.limit(0)
-        # Buckets that are still in several components.
-        first = tried
-        pivoted = None
-        while True:
-            pairs, chosen = self._more_pairs(buckets, first, tried, links, pivoted)
-            chosen = keep(chosen, "pivots")
-            if not chosen.take(1):
-                break
-            more = keep(self._verify(pairs, bodies), "tried")
-            pivoted = chosen if pivoted is None else pivoted.unionByName(chosen)
-            tried = tried.unionByName(more)
-            links = links.unionByName(more.where(F.col("similarity") >= self.threshold))
-        out = keep(links.select("a", "b", "similarity").distinct(), "links")
-        for df in (buckets, bodies, first):
+        star = keep(self._verify(buckets.where("v <> b").select(F.col("v").alias("a"), "b").distinct(), bodies), "star")
+        links = star.where(F.col("similarity") >= self.threshold)
+        labels = components(links, self.scratch)
+        more = [keep(self._verify(pairs, bodies), "more") for pairs in self._more_pairs(buckets, star, labels)]
+        for found in more:
+            links = links.unionByName(found.where(F.col("similarity") >= self.threshold))
+        links = keep(links.distinct(), "links")
+        if any(found.where(F.col("similarity") >= self.threshold).take(1) for found in more):
+            drop(labels)
+            labels = components(links, self.scratch)
+        for df in (buckets, bodies, star, *more):
             drop(df)
-        return out
+        return links, labels
 
     def _verify(self, pairs: DataFrame, bodies: DataFrame) -> DataFrame:
         with_a = pairs.join(bodies.select(F.col("v").alias("a"), F.col("text").alias("text_a")), "a")
         with_b = with_a.join(bodies.select(F.col("v").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
         return with_b.select("a", "b", "text_a", "text_b").mapInArrow(_verifier, "a long, b long, similarity double")
 
-    def _more_pairs(self, buckets: DataFrame, first: DataFrame, tried: DataFrame, links: DataFrame,
-                    pivoted: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        """Untried pairs of this round, and the (key, v) of its pivots."""
-        labels = components(links, self.scratch)
-        comp = F.coalesce(F.col("label"), F.col("v")).alias("comp")
-        # Members of buckets that the star left apart, with their similarity to the bucket's first member.
-        apart = first.where(F.col("similarity") < self.threshold).select("a", "b").distinct()
-        open_keys = buckets.join(apart, (F.col("v") == F.col("a")) & (buckets.b == apart.b), "left_semi").select("key").distinct()
-        rows = buckets.join(open_keys.hint("merge"), "key", "left_semi")
-        near = first.select(F.col("a").alias("v"), "b", "similarity")
-        rows = rows.join(near, ["v", "b"], "left").withColumn(
-            "similarity", F.coalesce("similarity", F.when(F.col("v") == F.col("b"), 1.0)))
-        rows = self.scratch.keep(rows.join(labels, "v", "left").select("key", "v", comp, "similarity"), "open")
-        sizes = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"))
-        largest = sizes.groupBy("key").agg(F.max_by("comp", F.struct("n", -F.col("low"))).alias("largest"),
-                                           F.count(F.lit(1)).alias("comps"))
-        outside = rows.join(largest.where("comps > 1").hint("merge"), "key").where("comp <> largest")
-        if pivoted is not None:
-            outside = outside.join(pivoted, ["key", "v"], "left_anti")
-        slot = F.pmod(F.xxhash64("v"), F.lit(self.pivots))
-        chosen = self.scratch.keep(outside.groupBy("key", slot.alias("slot")).agg(
-            F.min_by(F.struct("v", "comp", "similarity"), "v").alias("p")).select("key", "p.*"), "chosen")
-        far = 1 - self.threshold + 1e-9
-        p = chosen.select("key", F.col("v").alias("pv"), F.col("comp").alias("pc"), F.col("similarity").alias("ps"))
-        pairs = rows.join(p.hint("merge"), "key").where((F.col("v") != F.col("pv")) & (F.col("comp") != F.col("pc"))
-                                                        & (F.abs(F.col("similarity") - F.col("ps")) <= far))
-        pairs = pairs.select(F.greatest("v", "pv").alias("a"), F.least("v", "pv").alias("b")).distinct()
-        seen = tried.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        return pairs.join(seen, ["a", "b"], "left_anti"), chosen.select("key", "v")
+    def _more_pairs(self, buckets: DataFrame, star: DataFrame, labels: DataFrame) -> Iterator[DataFrame]:
+        """Pairs (a, b) still to be verified, a frame per round; buckets with few members apart are done in the first."""
+        keep, drop = self.scratch.keep, self.scratch.drop
+        near = star.select(F.col("a").alias("v"), "b", "similarity")
+        apart = near.where(F.col("similarity") < self.threshold)
+        open_keys = keep(buckets.join(apart.select("v", "b").hint("merge"), ["v", "b"], "left_semi").select("key").distinct(), "open-keys")
+        if not open_keys.take(1):
+            return
+        info = self.texts.select("v", "marks").join(labels, "v", "left").select(
+            "v", "marks", F.coalesce("label", "v").alias("comp"))
+        rows = buckets.join(open_keys.hint("merge"), "key", "left_semi").join(near, ["v", "b"], "left").join(info.hint("merge"), "v")
+        rows = keep(rows.select("key", "v", "comp", "marks", F.coalesce("similarity", F.when(F.col("v") == F.col("b"), 1.0))
+                                .alias("similarity")), "open")
+        sizes = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+        largest = sizes.groupBy("key").agg(F.max_by("comp", F.struct("n", -F.col("comp"))).alias("largest"),
+                                           (F.sum("n") - F.max("n")).alias("others")).where("others > 0")
+        outside = keep(rows.join(largest.hint("merge"), "key").where("comp <> largest").drop("largest"), "outside")
+        many = outside.where(F.col("others") > self.few)
+        chosen = outside.where(F.col("others") <= self.few).drop("others")
+        pivoted, slot = None, F.pmod(F.xxhash64("v"), F.lit(self.pivots)).alias("slot")
+        while True:
+            left = many if pivoted is None else many.join(pivoted, ["key", "v"], "left_anti")
+            some = keep(left.groupBy("key", slot).agg(F.min("v").alias("v")).select("key", "v"), "pivots")
+            busy = bool(some.take(1))
+            if busy:
+                turn = many.join(some, ["key", "v"], "left_semi").drop("others")
+                chosen = turn if chosen is None else chosen.unionByName(turn)
+            if chosen is None:
+                return
+            p = chosen.select("key", F.col("v").alias("pv"), F.col("comp").alias("pc"), F.col("marks").alias("pmarks"),
+                              F.col("similarity").alias("ps"))
+            far = 1 - self.threshold + 1e-9
+            pairs = rows.join(p.hint("merge"), "key").where((F.col("comp") != F.col("pc")) & (F.abs(F.col("similarity") - F.col("ps")) <= far))
+            agree = AGREE - THRESHOLD + self.threshold
+            yield pairs.select("v", "marks", "pv", "pmarks").mapInArrow(_agreeing(agree), "a long, b long").distinct()
+            if not busy:
+                return
+            pivoted, chosen = some if pivoted is None else pivoted.unionByName(some), None
 
     def classes(self) -> DataFrame:
         """Per text (v, hash): ``class_id`` (smallest id of the class), ``class_size`` in rows, ``n_links`` to other texts."""

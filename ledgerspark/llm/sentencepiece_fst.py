@@ -31,6 +31,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -380,8 +381,6 @@ def encode_documents(df: DataFrame, text_col: str = "text", model_path: str = MO
 
 
 def _decoder(model_path: str):
-    import pandas as pd
-
     def decode(ids: pd.Series) -> pd.Series:
         fst = load(model_path)
         return ids.map(lambda x: "" if x is None else fst.decode(x))
