@@ -52,6 +52,7 @@ UNITS = frozenset("mm cm m km in inch inches ft foot feet yd yard yards mi mile
                   "minute minutes h hr hour hours day days week weeks month months year years % percent ° degree degrees c f "
                   "k w kw kwh mw v a hz khz mhz ghz b kb mb gb tb $ € £ usd eur gbp cent cents dollar dollars euro euros "
                   "mph kmh km/h m/s j kj cal kcal pa bar".split())
+SPECIAL = NUMBER_WORDS | UNITS
 NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(.*)", re.S)
 EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "$%<>") + "«»„“”‚‘’…–—¡¿·"
 #: Stands for a line end among the words.
@@ -89,14 +90,15 @@ class Canonical(dict):
 
     def __missing__(self, word: str) -> int:
         n = self[word] = len(self.rows)
-        self.rows.append(self._row(word))
+        if word.isalpha() and word != LINE and (lower := word.lower()) not in SPECIAL:
+            # Most words: letters only. The value is kept where it can be a slot's.
+            name = lower != word and not word.isupper() and word[0].isupper()
+            self.rows.append((xxhash.xxh64_intdigest(lower.encode()), NAME if name else WORD, False, False, lower if name else ""))
+        else:
+            self.rows.append(self._row(word))
         return n
 
     def _row(self, word: str) -> tuple[int, int, bool, bool, str]:
-        if word.isalpha() and word != LINE:
-            lower = word.lower()
-            kind = NUM if lower in NUMBER_WORDS else NAME if word[0].isupper() and not word.isupper() else WORD
-            return _hash(lower), kind, lower in UNITS, False, lower
         if word == LINE:
             return 0, BREAK, False, True, ""
         ends = word[-1] in ".!?:" or word.rstrip("\"')]”’")[-1:] in (".", "!", "?")
@@ -139,6 +141,10 @@ class Canonical(dict):
         return self.rows[i][4]
 
 
+#: A worker's words, kept from task to task.
+_WORDS = Canonical()
+
+
 def windows(doc: np.ndarray, compared: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Hash and first word of each window (a text with fewer words: one window of all)."""
     with np.errstate(over="ignore"):
@@ -176,7 +182,7 @@ def _emit(keep: list[str], bit_map: bytes | None):
     bits = None if bit_map is None else np.frombuffer(bit_map, np.uint8)
 
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        canonical = Canonical()
+        canonical = _WORDS
         for batch in batches:
             texts = batch.column("text").to_pylist()
             lo = 0
