@@ -343,11 +343,14 @@ class Training:
                 (ids(self.disguised), 1.0, 0.5)]
         y = np.concatenate([np.ones(len(self.pos)), -np.ones(len(self.neg)), *(np.full(x.size, c) for x, c, _ in sets)])
         weight = np.concatenate([np.full(len(self.pos), 1 / len(self.pos)), np.full(len(self.neg), 0.5 / len(self.neg)),
-                                 *(np.full(x.size, v / max(1, x.size)) for x, _, v in sets)])
+                                 *(np.full(x.size, v / max(1, x.size)) for x, _, v in sets), [1.0]])
+        # The empty string, and with it all that shares nothing with a landmark, is clean.
+        y, empty = np.append(y, -1.0), np.append(np.zeros(self.features.shape[1] - 1), 1.0)[None, :]
         score = np.array([self.typical.get(u, 0.0) for u in self.words])
         for _ in range(self.fit.rounds):
             chosen = np.array([b[int(np.argmax(score[b]))] for b in bags])
-            w = _squared_hinge(self.features[np.concatenate([chosen, *(x for x, _, _ in sets)])], y, weight, self.fit.penalty)
+            rows = np.vstack([self.features[np.concatenate([chosen, *(x for x, _, _ in sets)])], empty])
+            w = _squared_hinge(rows, y, weight, self.fit.penalty)
             score = self.features @ w
         beta = self.root @ w[:-1]
         table_of = np.zeros(self.triples.count)
