@@ -62,10 +62,6 @@ def safe_div(num, den) -> Column:
     return F.when(den.isNull() | (den == 0), F.lit(None).cast("double")).otherwise(dbl(num) / dbl(den))
 
 
-def money_sum(x) -> Column:
-    return F.sum(_c(x)).cast(MONEY_SUM)
-
-
 def crore(x) -> Column:
     """Amount in crore (1e7), rounded to 2 decimals."""
     return round2(dbl(x) / F.lit(10000000.0))

@@ -6,6 +6,8 @@ so whitespace and digits are spelled out explicitly.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,28 +16,27 @@ WS_RANGES = [(0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x
              (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)]
 
 
-def _java_cp(cp: int) -> str:
-    return f"\\x{{{cp:X}}}"
-
-
-def _re2_cp(cp: int) -> str:
+def _code_point(cp: int) -> str:
     return f"\\x{{{cp:X}}}"
 
 
-def ws_class(dialect: str = "java") -> str:
-    f = _java_cp if dialect == "java" else _re2_cp
+def ws_class() -> str:
+    f = _code_point
     return "[" + "".join(f(a) if a == b else f"{f(a)}-{f(b)}" for a, b in WS_RANGES) + "]"
 
 
-WS = ws_class("java")
+WS = ws_class()
 # Any character that is not such whitespace (a text has words iff it contains one).
 NON_WS = "[^" + WS[1:]
 DIGIT = "\\p{Nd}"
 # Sentence boundary: after . ! or ?, whitespace, before an upper-case ASCII letter.
 SENTENCE_SPLIT = f"(?<=[.!?]){WS}+(?=[A-Z])"
 # Figures with an explicit unit (Cr, %, percent), case-insensitive; commas are thousands separators.
-FIGURE = r"(?i)(\d{1,4}(?:,\d{3})*(?:\.\d+)?)\s*(?:Cr\b|%|percent\b)"
+FIGURE = rf"(?i)({DIGIT}{{1,4}}(?:,{DIGIT}{{3}})*(?:\.{DIGIT}+)?){WS}*(?:Cr\b|%|percent\b)"
 ELLIPSIS = "…"
+# Decimal digits of other scripts and their ASCII digits, from the Unicode database.
+OTHER_DIGITS = "".join(c for c in map(chr, range(128, 0x10000)) if unicodedata.category(c) == "Nd")
+ASCII_DIGITS = "".join(str(unicodedata.digit(c)) for c in OTHER_DIGITS)
 
 
 def strip_ws(c: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.num import round_to
-from ledgerspark.functions.text import DIGIT, ELLIPSIS, FIGURE, NON_WS, SENTENCE_SPLIT, WS, split_words, strip_ws
+from ledgerspark.functions.text import ASCII_DIGITS, DIGIT, ELLIPSIS, OTHER_DIGITS, FIGURE, NON_WS, SENTENCE_SPLIT, WS, split_words, strip_ws
 from ledgerspark.operators.joins import band_join_match
 from ledgerspark.operators.measures import pnl_crore_grounding
 
@@ -50,7 +50,7 @@ def extract_claims(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def figures(text: F.Column) -> F.Column:
     """Numbers carrying a unit (Cr / % / percent) as doubles, commas removed."""
     return F.transform(F.regexp_extract_all(text, F.lit(FIGURE), 1),
-                       lambda m: F.regexp_replace(m, ",", "").cast("double"))
+                       lambda m: F.translate(F.regexp_replace(m, ",", ""), OTHER_DIGITS, ASCII_DIGITS).cast("double"))
 
 
 def measure_values(frame: DataFrame, cols: list[str] = GROUNDING_COLUMNS) -> DataFrame:
@@ -88,37 +88,57 @@ def _strip_fences(c: F.Column) -> F.Column:
     return strip_ws(F.replace(F.replace(c, F.lit("```json"), F.lit("")), F.lit("```"), F.lit("")))
 
 
+# Python's grammar of float() for text (after strip): digits may be grouped by single underscores.
+FLOAT_TEXT = (r"(?i)\A[+-]?(?:(?:\d(?:_?\d)*)(?:\.(?:\d(?:_?\d)*)?)?(?:e[+-]?\d(?:_?\d)*)?"
+              r"|\.\d(?:_?\d)*(?:e[+-]?\d(?:_?\d)*)?|inf|infinity|nan)\z")
+
+
+def _json_object(c: F.Column) -> F.Column:
+    """The one JSON object that a text holds, as a variant; null for anything else.
+
+    The parser stops after the first value, so the text is parsed inside an
+    array and inside an object: text after the value breaks at least one of
+    them, and a second value would be the array's second element.
+    """
+    whole = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
+    field = F.try_parse_json(F.concat(F.lit('{"x":'), c, F.lit("}")))
+    one = (c.startswith("{") & c.endswith("}") & field.isNotNull() & F.schema_of_variant(whole).isNotNull()
+           & F.try_variant_get(whole, "$[1]", "variant").isNull()
+           & (F.size(F.from_json(F.to_json(field), "map<string,string>")) == 1))
+    return F.when(one, F.try_variant_get(whole, "$[0]", "variant"))
+
+
 def parse_judge(df: DataFrame, raw_col: str, prefix: str) -> DataFrame:
     """Add ``{prefix}_supported``, ``{prefix}_confidence``, ``{prefix}_parse_ok`` parsed from a judge response.
 
-    Code fences are removed; the rest must be one JSON object. ``supported`` is
-    taken by truthiness (a JSON string is true when non-empty, a number when
-    non-zero); ``confidence`` is converted to a double (missing = 0.0). Any
-    failure gives (false, 0.0) with ``parse_ok`` false. Each step is its own
-    projection referring to the previous step's columns, so the plan stays small.
+    Code fences are removed; the rest must be exactly one JSON object.
+    ``supported`` is taken by truthiness of its JSON type (missing and null are
+    false, a string is true when non-empty, a number when non-zero, an array or
+    object when it has elements); ``confidence`` becomes a double (missing = 0.0;
+    a text by Python's float grammar). Any failure gives (false, 0.0) with
+    ``parse_ok`` false. Each step is its own projection referring to the
+    previous step's columns, so the plan stays small.
     """
-    t = [f"_{prefix}_{n}" for n in ("c", "m", "sis", "cis", "sup", "has", "craw", "conf", "supb", "ok")]
-    c, m, sis, cis, sup, has, craw, conf, supb, ok = (F.col(x) for x in t)
-    df = df.withColumn(t[0], _strip_fences(F.col(raw_col)))
-    df = df.withColumns({
-        t[1]: F.when(c.startswith("{") & c.endswith("}"), F.from_json(c, "map<string,string>")),
-        t[2]: c.rlike('"supported"\\s*:\\s*"'),
-        t[3]: c.rlike('"confidence"\\s*:\\s*"')})
-    df = df.withColumns({
-        t[4]: F.element_at(m, F.lit("supported")),
-        t[5]: F.coalesce(F.map_contains_key(m, F.lit("confidence")), F.lit(False)),
-        t[6]: F.element_at(m, F.lit("confidence"))})
+    t = [f"_{prefix}_{n}" for n in ("o", "s", "c", "st", "ct", "ss", "cs", "conf", "supb", "ok")]
+    o, s, c, st, ct, ss, cs, conf, supb, ok = (F.col(x) for x in t)
+    df = df.withColumn("_raw", _strip_fences(F.col(raw_col))).withColumn(t[0], _json_object(F.col("_raw"))).drop("_raw")
+    df = df.withColumns({t[1]: F.try_variant_get(o, "$.supported", "variant"), t[2]: F.try_variant_get(o, "$.confidence", "variant")})
+    df = df.withColumns({t[3]: F.schema_of_variant(s), t[4]: F.schema_of_variant(c),
+                         t[5]: F.coalesce(F.try_variant_get(s, "$", "string"), F.lit("")),
+                         t[6]: F.coalesce(F.try_variant_get(c, "$", "string"), F.lit(""))})
+    number = strip_ws(cs)
     df = df.withColumns({
-        t[7]: (F.when(~has, F.lit(0.0))
-               .when(~cis & (craw == "true"), F.lit(1.0))
-               .when(~cis & (craw == "false"), F.lit(0.0))
-               .otherwise(strip_ws(craw).try_cast("double"))),
-        t[8]: (F.when(sup.isNull(), F.lit(False))
-               .when(sis, F.length(sup) > 0)
-               .when(sup == "true", F.lit(True))
-               .when(sup == "false", F.lit(False))
-               .otherwise(F.coalesce(sup.try_cast("double") != 0, F.lit(True))))})
-    df = df.withColumn(t[9], F.coalesce(m.isNotNull() & conf.isNotNull(), F.lit(False)))
+        t[7]: (F.when(ct.isNull(), F.lit(0.0))
+               .when(ct == "BOOLEAN", F.when(cs == "true", 1.0).otherwise(0.0))
+               .when(ct == "STRING", F.when(number.rlike(FLOAT_TEXT), F.replace(number, F.lit("_"), F.lit("")).try_cast("double")))
+               .when((ct == "VOID") | ct.startswith("ARRAY") | ct.startswith("OBJECT"), F.lit(None).cast("double"))
+               .otherwise(cs.try_cast("double"))),
+        t[8]: (F.when(st.isNull() | (st == "VOID"), F.lit(False))
+               .when(st == "STRING", F.length(ss) > 0)
+               .when(st == "BOOLEAN", ss == "true")
+               .when(st.startswith("ARRAY") | st.startswith("OBJECT"), ~ss.isin("[]", "{}"))
+               .otherwise(F.coalesce(ss.try_cast("double") != 0, F.lit(True))))})
+    df = df.withColumn(t[9], F.coalesce(o.isNotNull() & conf.isNotNull(), F.lit(False)))
     df = df.withColumns({
         f"{prefix}_supported": F.when(ok, supb).otherwise(F.lit(False)),
         f"{prefix}_confidence": F.when(ok, conf).otherwise(F.lit(0.0)),
@@ -200,8 +220,7 @@ def parse_verdict(df: DataFrame, raw_col: str) -> DataFrame:
     empty = F.array().cast("array<struct<claim:string,expected:string,status:string>>")
     d = df.withColumn("_c", _strip_fences(F.col(raw_col)))
     d = d.withColumns({
-        "_ok": F.coalesce(F.col("_c").startswith("{") & F.col("_c").endswith("}")
-                          & F.from_json(F.col("_c"), "map<string,string>").isNotNull(), F.lit(False)),
+        "_ok": _json_object(F.col("_c")).isNotNull(),
         "_v": F.from_json(F.col("_c"), VERDICT_SCHEMA)})
     d = d.withColumn("_issues", F.coalesce(F.col("_v.issues"), empty))
     ok, v = F.col("_ok"), F.col("_v")

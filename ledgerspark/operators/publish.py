@@ -103,7 +103,3 @@ def rows_synced_latest(sync_log: DataFrame) -> DataFrame:
     """Rows synced in the latest run and when the data was last refreshed."""
     return sync_log.agg(F.max_by("total_rows_synced", "synced_at").alias("rows_synced_latest"),
                         F.max("synced_at").alias("last_refreshed"))
-
-
-def table_paths(root: str, names: list[str]) -> dict[str, str]:
-    return {n: os.path.join(root, n) for n in names}

@@ -8,6 +8,8 @@ SELECT with the blocks it needs, in dependency order.
 
 from __future__ import annotations
 
+from ledgerspark.functions.text import ASCII_DIGITS, OTHER_DIGITS
+
 # name -> (dependencies, body)
 CTES: dict[str, tuple[tuple[str, ...], str]] = {}
 
@@ -243,7 +245,7 @@ FROM (SELECT entry_id AS _id, count(*) AS n,
         sum(CASE WHEN currency IS NOT NULL AND currency NOT IN ('INR', 'USD', 'EUR', 'GBP', 'AED') THEN 1 ELSE 0 END) AS bc
       FROM {gl} GROUP BY entry_id) k""", (gl,))
     cte(prefix, gate_rows("g1", f"{prefix}_a", [
-        (1, "row count in range", "rows_ >= 10 AND rows_ <= 100000", f"'rows=' || {S('rows_')}"),
+        (1, "row count in range", "rows_ >= 10", f"'rows=' || {S('rows_')}"),
         (2, "columns match set", "true", "'columns=12'"),
         (3, "entry_id unique", "dups = 0", f"'duplicates=' || {S('dups')}"),
         (4, "entry_id not null", "null_id = 0", f"'nulls=' || {S('null_id')}"),
@@ -281,7 +283,7 @@ FROM (SELECT allocation_id, count(*) AS n,
         sum(CASE WHEN cost_inr <= 0 THEN 1 ELSE 0 END) AS bc
       FROM {payroll} GROUP BY allocation_id) k""", (payroll,))
     cte(prefix, gate_rows("g3", f"{prefix}_a", [
-        (1, "row count in range", "rows_ >= 10 AND rows_ <= 100000", f"'rows=' || {S('rows_')}"),
+        (1, "row count in range", "rows_ >= 10", f"'rows=' || {S('rows_')}"),
         (2, "all columns present", "true", "'missing=[]'"),
         (3, "allocation_id unique", "dupes = 0", f"'dupes=' || {S('dupes')}"),
         (4, "no null employee_id", "null_emp = 0", f"'nulls=' || {S('null_emp')}"),
@@ -485,7 +487,7 @@ FROM scorecard WHERE NOT was_caught""", ("scorecard",))
 # ---------------------------------------------------------------- narratives
 def _ws() -> str:
     from ledgerspark.functions.text import ws_class
-    return ws_class("re2")
+    return ws_class()
 
 
 WSR = _ws()
@@ -502,7 +504,7 @@ def claims_list_sql(text: str) -> str:
             f"lambda s: length(s) > 0 AND regexp_matches(s, '\\p{{Nd}}'))")
 
 
-FIGURE_RE2 = r"(?i)(\d{1,4}(?:,\d{3})*(?:\.\d+)?)\s*(?:Cr\b|%|percent\b)"
+FIGURE_RE2 = rf"(?i)(\p{{Nd}}{{1,4}}(?:,\p{{Nd}}{{3}})*(?:\.\p{{Nd}}+)?){WSR}*(?:Cr\b|%|percent\b)"
 
 
 def fmt2(x: str) -> str:
@@ -545,7 +547,7 @@ FROM narr_claims c LEFT JOIN (
   SELECT narrative_id, claim_no, count(*) AS n_figures,
     CAST(sum(CASE WHEN EXISTS (SELECT 1 FROM mart_vals m WHERE abs(fig - m.value) <= 0.05) THEN 1 ELSE 0 END) AS BIGINT) AS n_matched
   FROM (SELECT narrative_id, claim_no,
-          unnest(list_transform(regexp_extract_all(claim_text, '{FIGURE_RE2}', 1), lambda x: CAST(replace(x, ',', '') AS DOUBLE))) AS fig
+          unnest(list_transform(regexp_extract_all(claim_text, '{FIGURE_RE2}', 1), lambda x: CAST(translate(replace(x, ',', ''), '{OTHER_DIGITS}', '{ASCII_DIGITS}') AS DOUBLE))) AS fig
         FROM narr_claims) q
   GROUP BY narrative_id, claim_no
 ) f ON c.narrative_id = f.narrative_id AND c.claim_no = f.claim_no""", ("narr_claims", "mart_vals"))
@@ -558,14 +560,19 @@ def response_sql(v: str, sup: str, conf: str) -> str:
             f"WHEN {v} = 2 THEN '{{\"supported\": \"' || {sup} || '\", \"confidence\": \"' || {conf} || '\"}}' "
             f"WHEN {v} = 3 THEN 'Supported: ' || {sup} || ' (confidence ' || {conf} || ')' "
             f"WHEN {v} = 4 THEN '{{}}' "
+            f"WHEN {v} = 6 THEN '{{''supported'': ' || {sup} || ', ''confidence'': ' || {conf} || '}}' "
+            f"WHEN {v} = 7 THEN '{{\"supported\": ' || {sup} || ', \"confidence\": ' || {conf} || '}} {{\"x\": 1}}' "
+            f"WHEN {v} = 8 THEN '{{\"supported\": [], \"confidence\": ' || {conf} || '}}' "
+            f"WHEN {v} = 9 THEN '{{\"supported\": ' || {sup} || ', \"confidence\": \"' || {conf} || 'd\"}}' "
+            f"WHEN {v} = 10 THEN '{{\"note\": {{\"supported\": \"x\"}}, \"supported\": ' || {sup} || ', \"confidence\": ' || {conf} || '}}' "
             f"ELSE '```' || chr(10) || '{{\"confidence\": ' || {conf} || ', \"supported\": ' || {sup} || '}}' "
             f"|| chr(10) || '```' END")
 
 
 cte("responses", f"""SELECT narrative_id, claim_no,
-  {response_sql('hc % 6', "CASE WHEN hc % 5 = 0 THEN 'false' ELSE 'true' END",
+  {response_sql('hc % 11', "CASE WHEN hc % 5 = 0 THEN 'false' ELSE 'true' END",
                 "'0.' || lpad(CAST(50 + hc % 50 AS VARCHAR), 2, '0')")} AS self_response,
-  {response_sql('(hc * 5 + 3) % 6', "CASE WHEN hc % 3 = 0 THEN 'false' ELSE 'true' END",
+  {response_sql('(hc * 5 + 3) % 11', "CASE WHEN hc % 3 = 0 THEN 'false' ELSE 'true' END",
                 "'0.' || lpad(CAST(40 + (hc * 3) % 60 AS VARCHAR), 2, '0')")} AS judge_response
 FROM (SELECT narrative_id, claim_no, (h * 7 + claim_no * 101) % 1013 AS hc FROM narr_claims) t""", ("narr_claims",))
 
@@ -581,6 +588,7 @@ def parse_sql(raw: str, p: str) -> str:
                WHEN json_type(c, '$.supported') IS NULL OR json_type(c, '$.supported') = 'NULL' THEN false
                WHEN json_type(c, '$.supported') = 'VARCHAR' THEN length(json_extract_string(c, '$.supported')) > 0
                WHEN json_type(c, '$.supported') = 'BOOLEAN' THEN json_extract_string(c, '$.supported') = 'true'
+               WHEN json_type(c, '$.supported') IN ('ARRAY', 'OBJECT') THEN CAST(json_extract(c, '$.supported') AS VARCHAR) NOT IN ('[]', '{{}}')
                ELSE TRY_CAST(json_extract_string(c, '$.supported') AS DOUBLE) <> 0 END AS sup,
           CASE WHEN NOT is_obj THEN NULL
                WHEN json_type(c, '$.confidence') IS NULL THEN 0.0
@@ -622,7 +630,7 @@ def _clean(x: str) -> str:
 
 
 cte("vresp", """SELECT narrative_id, h, CASE WHEN h % 5 = 0 THEN '```json' || chr(10) || js || chr(10) || '```'
-                              WHEN h % 5 = 1 THEN substring(js, 1, 40) ELSE js END AS verdict_response
+                              WHEN h % 5 = 1 THEN js || ' and that is all, {' ELSE js END AS verdict_response
 FROM (
   SELECT a.narrative_id, n.h, CAST(json_object(
       'verdict', CASE WHEN a.inconsistent = 0 OR n.h % 5 = 2 THEN 'PASS' ELSE 'FAIL' END,

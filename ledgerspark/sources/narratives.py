@@ -53,6 +53,12 @@ def _response(variant: F.Column, sup: F.Column, conf: F.Column) -> F.Column:
             .when(variant == 2, F.concat(F.lit('{"supported": "'), sup, F.lit('", "confidence": "'), conf, F.lit('"}')))
             .when(variant == 3, F.concat(F.lit("Supported: "), sup, F.lit(" (confidence "), conf, F.lit(")")))
             .when(variant == 4, F.lit("{}"))
+            .when(variant == 6, F.concat(F.lit("{'supported': "), sup, F.lit(", 'confidence': "), conf, F.lit("}")))
+            .when(variant == 7, F.concat(F.lit('{"supported": '), sup, F.lit(', "confidence": '), conf, F.lit('} {"x": 1}')))
+            .when(variant == 8, F.concat(F.lit('{"supported": [], "confidence": '), conf, F.lit("}")))
+            .when(variant == 9, F.concat(F.lit('{"supported": '), sup, F.lit(', "confidence": "'), conf, F.lit('d"}')))
+            .when(variant == 10, F.concat(F.lit('{"note": {"supported": "x"}, "supported": '), sup, F.lit(', "confidence": '),
+                                          conf, F.lit("}")))
             .otherwise(F.concat(F.lit("```"), nl, F.lit('{"confidence": '), conf, F.lit(', "supported": '), sup,
                                 F.lit("}"), nl, F.lit("```"))))
 
@@ -65,14 +71,14 @@ def judge_responses(claims: DataFrame) -> DataFrame:
     jsup = F.when(hc % 3 == 0, F.lit("false")).otherwise(F.lit("true"))
     conf = F.concat(F.lit("0."), F.lpad((F.lit(50) + hc % 50).cast("string"), 2, "0"))
     jconf = F.concat(F.lit("0."), F.lpad((F.lit(40) + (hc * 3) % 60).cast("string"), 2, "0"))
-    c = claims.withColumns({"_sv": hc % 6, "_ss": sup, "_sc": conf, "_jv": (hc * 5 + 3) % 6, "_js": jsup, "_jc": jconf})
+    c = claims.withColumns({"_sv": hc % 11, "_ss": sup, "_sc": conf, "_jv": (hc * 5 + 3) % 11, "_js": jsup, "_jc": jconf})
     return c.select("narrative_id", "claim_no",
                     _response(F.col("_sv"), F.col("_ss"), F.col("_sc")).alias("self_response"),
                     _response(F.col("_jv"), F.col("_js"), F.col("_jc")).alias("judge_response"))
 
 
 def verdict_responses(grounded: DataFrame, narr: DataFrame) -> DataFrame:
-    """Whole-narrative verdict JSON per narrative (some fenced, some cut short, some over-lenient)."""
+    """Whole-narrative verdict JSON per narrative (some fenced, some with text after the JSON, some over-lenient)."""
     status = (F.when(F.col("n_figures") == 0, F.lit("UNVERIFIABLE"))
               .when(F.col("grounding_score") < 1.0, F.lit("INCONSISTENT")))
     g = grounded.select("narrative_id", "claim_text", "n_figures", "grounding_score", status.alias("status"))
@@ -91,7 +97,7 @@ def verdict_responses(grounded: DataFrame, narr: DataFrame) -> DataFrame:
     js = F.to_json(F.struct(verdict.alias("verdict"), "total_claims", "consistent", "inconsistent", "unverifiable",
                             "issues"))
     raw = (F.when(v == 0, F.concat(F.lit("```json\n"), js, F.lit("\n```")))
-           .when(v == 1, F.substring(js, 1, 40))
+           .when(v == 1, F.concat(js, F.lit(" and that is all, {")))
            .otherwise(js))
     return j.select("narrative_id", raw.alias("verdict_response"))
 

@@ -14,7 +14,7 @@ def test_bronze_csv_keeps_text(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "erp_gl_entries.csv")
     with open(p, "w") as f:
         f.write(",".join(bronze.GL_COLUMNS) + "\n")
-        f.write("GL-000001,2026-01-05,P-1001,SLB,Enterprise,CC-DEL,0400,Acct,Revenue,USD,123.45,desc\n")
+        f.write("GL-000001,2026-01-05,PR-11,Harbour,Enterprise,CC-PUN,0400,Acct,Revenue,USD,123.45,desc\n")
     df = bronze.read_csv_source(spark, tmpdir_path, "erp_gl_entries")
     r = df.first()
     assert r.account_code == "0400" and dict(df.dtypes)["amount"] == "string"
