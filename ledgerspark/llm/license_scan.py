@@ -105,8 +105,10 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}.\-]+|[.\-]+(?![\p{L}\p{N}])|(?<![\p{L}\p{N}])[.\-]+", -1), lambda w: w != "")
 
 
-def ngrams(words: Column, most: int = 3, least: int = 1) -> Column:
-    """Different word n-grams."""
+def ngrams(words: str, most: int = 3, least: int = 1) -> Column:
+    """Different word n-grams of a column of words (a column, so that the words are not split anew for each n-gram)."""
+    words = F.col(words)
+
     def of(n: int) -> Column:
         if n == 1:
             return words
@@ -147,27 +149,27 @@ class LicenceModel:
     def __init__(self, weights: dict[str, list[float]], intercepts: list[float], anchors: list[str]):
         self.weights, self.intercepts, self.anchors, self.temperature = weights, intercepts, anchors, 1.0
 
-    def scores(self, paragraphs: DataFrame) -> DataFrame:
-        """(paragraph, ..., z): class scores of different paragraphs that have an anchor."""
+    def scores(self, paragraphs: DataFrame, scratch: Scratch) -> DataFrame:
+        """(paragraph, z, top): class scores, and the highest, of different paragraphs that have an anchor."""
         spark = paragraphs.sparkSession
         table_ = json_rows(spark, [{"gram": g, "w": w} for g, w in self.weights.items()], "gram string, w array<double>")
-        grams = paragraphs.select("paragraph", F.explode(ngrams(words_of(F.col("paragraph")))).alias("gram"))
+        words = paragraphs.select("paragraph", words_of(F.col("paragraph")).alias("words"))
+        grams = words.select("paragraph", F.explode(ngrams("words")).alias("gram"))
         found = grams.join(F.broadcast(table_), "gram")     # at most MOST_NGRAMS rows
-        sums = found.groupBy("paragraph").agg(*(F.sum(F.col("w")[k]).alias(f"z{k}") for k in range(len(CLASSES))))
-        z = F.array(*((F.col(f"z{k}") + F.lit(b)) for k, b in enumerate(self.intercepts)))
-        return sums.select("paragraph", z.alias("z"))
+        z = found.groupBy("paragraph").agg(F.array(*(F.sum(F.col("w")[k]) + F.lit(b) for k, b in enumerate(self.intercepts))).alias("z"))
+        return scratch.keep(z.withColumn("top", F.array_max("z")), "scores")
 
-    def probabilities(self, z: Column, temperature: float | None = None) -> Column:
+    def total(self, temperature: float | None = None) -> Column:
+        """Sum over the classes of exp((z - top) / temperature)."""
         t = F.lit(temperature or self.temperature)
-        top = F.array_max(z)
-        e = F.transform(z, lambda x: F.exp((x - top) / t))
-        return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, y: a + y))
+        return F.aggregate("z", F.lit(0.0), lambda a, x: a + F.exp((x - F.col("top")) / t))
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> LicenceModel:
     spark = docs.sparkSession
     scratch = Scratch(spark, "licence")
-    rows = scratch.keep(training_rows(spark, docs, text_col).withColumn("grams", ngrams(words_of(F.col("paragraph")))), "training")
+    rows = scratch.keep(training_rows(spark, docs, text_col).withColumn("words", words_of(F.col("paragraph")))
+                        .withColumn("grams", ngrams("words")).drop("words"), "training")
     # Only n-grams that the corpus sample doesn't have can speak for a licence.
     exploded = rows.select("family", "paragraph", F.explode("grams").alias("gram"))
     counts = exploded.groupBy("gram").agg(F.sum((F.col("family") != NONE).cast("int")).alias("known"),
@@ -179,14 +181,14 @@ def fit(docs: DataFrame, text_col: str = "text") -> LicenceModel:
     label = F.array_position(F.array(*(F.lit(c) for c in CLASSES)), F.col("family")) - 1
     ready = rows.select("paragraph", "fold", "family", label.cast("double").alias("label"), usual.alias("grams"))
     vectors = CountVectorizer(inputCol="grams", outputCol="features", vocabSize=MOST_NGRAMS, minDF=1.0, binary=True)
-    train = scratch.keep(ready.where("fold < 2"), "train")
+    train = scratch.keep(ready.where("fold < 2").coalesce(2), "train")     # a bounded sample, read in every iteration
     vector_model = vectors.fit(train)
     # Each class counts alike, whatever its number of rows.
     sizes = {r.family: r["count"] for r in train.groupBy("family").count().collect()}
     weight = F.lit(1.0)
     for c, n in sizes.items():
         weight = F.when(F.col("family") == c, len(train.columns) * 100.0 / n).otherwise(weight)
-    regression = LogisticRegression(family="multinomial", elasticNetParam=1.0, regParam=2e-3, maxIter=60, weightCol="weight",
+    regression = LogisticRegression(family="multinomial", elasticNetParam=1.0, regParam=2e-3, maxIter=40, weightCol="weight",
                                     standardization=False)
     # A row of each class keeps the classes' number, with or without a corpus sample.
     base = json_rows(spark, [{"family": c, "grams": [], "label": float(i)} for i, c in enumerate(CLASSES)],
@@ -202,9 +204,9 @@ def fit(docs: DataFrame, text_col: str = "text") -> LicenceModel:
     anchors = sorted({min(g.split(" "), key=lambda w: (single.get(w, 0), -len(w), w)) for g in weights})
     model = LicenceModel(weights, intercepts, anchors)
     held = rows.where("fold = 2").select("paragraph", "family").distinct()
-    z = model.scores(held.select("paragraph").distinct()).join(held, "paragraph")
-    at = F.array_position(F.array(*(F.lit(c) for c in CLASSES)), F.col("family")).cast("int") - 1
-    losses = z.agg(*(F.avg(-F.log(F.greatest(model.probabilities(F.col("z"), t)[at], F.lit(1e-12)))).alias(f"t{i}")
+    z = model.scores(held.select("paragraph").distinct(), scratch).join(held, "paragraph")
+    own = F.element_at("z", F.array_position(F.array(*(F.lit(c) for c in CLASSES)), F.col("family")).cast("int"))
+    losses = z.agg(*(F.avg(F.log(model.total(t)) - (own - F.col("top")) / t).alias(f"t{i}")
                      for i, t in enumerate(TEMPERATURES))).first()
     loss = [x if x is not None and not math.isnan(x) else math.inf for x in losses]
     model.temperature = TEMPERATURES[loss.index(min(loss))] if min(loss) < math.inf else 1.0
@@ -213,17 +215,16 @@ def fit(docs: DataFrame, text_col: str = "text") -> LicenceModel:
     return model
 
 
-def confirmation(paragraph: Column, family: Column) -> Column:
-    """Largest share of a notice's word pairs that the paragraph has, over the family's notices."""
-    have = ngrams(words_of(paragraph), 2, 2)
-    out = F.lit(0.0)
-    for f in FAMILIES:
-        shares = []
-        for notice in NOTICES[f]:
-            pairs = ngrams(words_of(F.lit(notice)), 2, 2)
-            shares.append(F.when(F.size(pairs) > 0, F.size(F.array_intersect(pairs, have)) / F.size(pairs)).otherwise(0.0))
-        out = F.when(family == f, F.greatest(F.lit(0.0), *shares)).otherwise(out)
-    return out
+def confirmed(guesses: DataFrame) -> DataFrame:
+    """Per (paragraph, guess, ...) the largest share of a notice's word pairs that the paragraph has, over the guessed
+    family's notices."""
+    notices = json_rows(guesses.sparkSession, [{"guess": f, "notice": n} for f in FAMILIES for n in NOTICES[f]], "guess string, notice string")
+    notices = notices.withColumn("words", words_of(F.col("notice"))).select("guess", ngrams("words", 2, 2).alias("pairs"))
+    notices = notices.where(F.size("pairs") > 0)
+    both = guesses.withColumn("words", words_of(F.col("paragraph"))).withColumn("have", ngrams("words", 2, 2))
+    both = both.join(F.broadcast(notices), "guess", "left")
+    share = F.size(F.array_intersect("pairs", "have")) / F.size("pairs")
+    return both.groupBy("paragraph", "guess", "probability").agg(F.coalesce(F.max(share), F.lit(0.0)).alias("confirmation"))
 
 
 def scan(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -233,14 +234,13 @@ def scan(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col:
     lines = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(text_or_empty(F.col(text_col)), "\n", -1)).alias("pos", "paragraph"))
     anchored = F.exists(words_of(F.col("paragraph")), lambda w: w.isin(*model.anchors))
     some = scratch.keep(lines.where(anchored), "anchored")
-    p = model.probabilities(F.col("z"))
-    scored = model.scores(some.select("paragraph").distinct()).select("paragraph", p.alias("p"))
-    families = F.slice("p", 1, len(FAMILIES))
-    best = F.array_position(families, F.array_max(families)).cast("int")
-    scored = scored.where(F.col("p")[len(CLASSES) - 1] < NONE_AT_LEAST).select(
-        "paragraph", F.array_max(families).alias("probability"),
-        F.element_at(F.array(*(F.lit(f) for f in FAMILIES)), best).alias("guess"))
-    scored = scored.withColumn("confirmation", confirmation(F.col("paragraph"), F.col("guess")))
+    families = F.slice("z", 1, len(FAMILIES))
+    share = lambda z: F.exp((z - F.col("top")) / F.lit(model.temperature)) / F.col("total")
+    scored = model.scores(some.select("paragraph").distinct(), scratch).withColumn("total", model.total())
+    scored = scored.where(share(F.col("z")[len(CLASSES) - 1]) < NONE_AT_LEAST).select(
+        "paragraph", share(F.array_max(families)).alias("probability"),
+        F.element_at(F.array(*(F.lit(f) for f in FAMILIES)), F.array_position(families, F.array_max(families)).cast("int")).alias("guess"))
+    scored = confirmed(scored)
     sure = (F.col("probability") >= FAMILY_AT_LEAST) & (F.col("confirmation") >= CONFIRM_AT_LEAST)
     scored = scratch.keep(scored.select("paragraph", F.when(sure, F.col("guess")).otherwise(UNKNOWN).alias("family"),
                                         "probability", "confirmation"), "scored")
