@@ -117,9 +117,14 @@ def _g1_report(a: DataFrame, columns: list[str], min_rows: int, max_rows: int |
     ], keep)
 
 
-def gate_g1(gl: DataFrame, min_rows: int = ROW_COUNT_MIN, max_rows: int | None = None) -> DataFrame:
-    """Raw GL completeness: 8 checks over the ledger, one grouped pass on entry_id."""
-    return _g1_report(_g1_totals(_g1_key_stats(gl)), gl.columns, min_rows, max_rows)
+def gate_g1(gl: DataFrame, min_rows: int = ROW_COUNT_MIN, max_rows: int | None = None,
+            columns: list[str] | None = None) -> DataFrame:
+    """Raw GL completeness: 8 checks over the ledger, one grouped pass on entry_id.
+
+    ``columns``: the raw table's columns where ``gl`` is its staged form (staging drops
+    extra columns and fills absent ones).
+    """
+    return _g1_report(_g1_totals(_g1_key_stats(gl)), columns or gl.columns, min_rows, max_rows)
 
 
 def g1_totals(gl: DataFrame) -> DataFrame:
@@ -193,9 +198,11 @@ def _g3_report(a: DataFrame, columns: list[str], min_rows: int, max_rows: int |
     ], keep)
 
 
-def gate_g3(payroll: DataFrame, min_rows: int = ROW_COUNT_MIN, max_rows: int | None = None) -> DataFrame:
-    """Payroll completeness: 6 checks, one grouped pass on allocation_id (nulls count as equal)."""
-    return _g3_report(g3_totals(payroll), payroll.columns, min_rows, max_rows)
+def gate_g3(payroll: DataFrame, min_rows: int = ROW_COUNT_MIN, max_rows: int | None = None,
+            columns: list[str] | None = None) -> DataFrame:
+    """Payroll completeness: 6 checks, one grouped pass on allocation_id (nulls count as equal);
+    ``columns`` as in ``gate_g1``."""
+    return _g3_report(g3_totals(payroll), columns or payroll.columns, min_rows, max_rows)
 
 
 def g3_totals(payroll: DataFrame) -> DataFrame:

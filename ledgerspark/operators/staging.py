@@ -18,9 +18,13 @@ PAYROLL_TYPES = [("allocation_id", "string"), ("allocation_date", "date"), ("emp
 
 
 def _cast_all(df: DataFrame, types: list[tuple[str, str]], lenient: bool) -> DataFrame:
-    # ANSI casts fail the job on a bad value; `lenient` turns it into a null the
-    # quality gates then report (used on dirty bronze input).
-    cast = (lambda c, t: F.expr(f"try_cast(`{c}` as {t})")) if lenient else (lambda c, t: F.col(c).cast(t))
+    # ANSI casts fail the job on a bad value and on an absent column; `lenient` turns
+    # both into nulls the quality gates then report (used on dirty bronze input).
+    def cast(c: str, t: str):
+        if not lenient:
+            return F.col(c).cast(t)
+        return F.expr(f"try_cast(`{c}` as {t})") if c in df.columns else F.lit(None).cast(t)
+
     return df.select(*[cast(c, t).alias(c) for c, t in types])
 
 

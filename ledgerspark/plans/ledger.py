@@ -13,7 +13,7 @@ from ledgerspark.operators import convert, marts, staging
 from ledgerspark.session import checkpoint_dir
 from ledgerspark.sources import testdata
 
-_CACHE: dict[tuple[int, str, bool], "Ledger"] = {}
+_CACHE: dict[tuple[str, str, bool], "Ledger"] = {}
 
 
 class Ledger:
@@ -36,7 +36,7 @@ class Ledger:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, persist: bool = False) -> "Ledger":
-        key = (id(spark), sf_dir, persist)
+        key = (spark.sparkContext.applicationId, sf_dir, persist)
         if key not in _CACHE:
             _CACHE[key] = cls(spark, sf_dir, persist)
         return _CACHE[key]

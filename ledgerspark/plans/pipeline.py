@@ -17,11 +17,12 @@ from __future__ import annotations
 
 import argparse
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerspark.operators import convert, gates, marts, publish, staging
+from ledgerspark.session import write_back
 
 MART_NAMES = ["mart_pnl_summary", "mart_revenue_trends", "mart_cost_analysis", "mart_variance_analysis",
               "mart_metric_dictionary"]
@@ -72,14 +73,15 @@ def build_and_write(spark: SparkSession, b: Bronze, out: str, lenient: bool = Tr
 def run_daily(spark: SparkSession, b: Bronze, out: str, min_rows: int = gates.ROW_COUNT_MIN,
               max_rows: int | None = None, export_csv: bool = True) -> RunResult:
     """Gates, build, gates, export. ``max_rows``: a ceiling for the raw tables' row counts (none by default)."""
-    gl_s, fx_s, pay_s = (staging.stage_gl(b.gl, True), staging.stage_fx(b.fx, True),
-                         staging.stage_payroll(b.payroll, True))
-    pre = [("g1", lambda: gates.gate_g1(gl_s, min_rows, max_rows)), ("g2", lambda: gates.gate_g2(fx_s, gl_s)),
-           ("g3", lambda: gates.gate_g3(pay_s, min_rows, max_rows))]
+    # Staged once as written tables: the gates read them, the bronze is not computed again for each.
+    gl_s, fx_s, pay_s = (write_back(staging.stage_gl(b.gl, True), "raw-gl"), write_back(staging.stage_fx(b.fx, True), "raw-fx"),
+                         write_back(staging.stage_payroll(b.payroll, True), "raw-payroll"))
+    pre = [("g1", lambda: gates.gate_g1(gl_s, min_rows, max_rows, b.gl.columns)), ("g2", lambda: gates.gate_g2(fx_s, gl_s)),
+           ("g3", lambda: gates.gate_g3(pay_s, min_rows, max_rows, b.payroll.columns))]
     report = gates.run_gates(spark, pre)
     if not gates.gate_passed(report):
         return RunResult(False, report, {})
-    paths = build_and_write(spark, b, out)
+    paths = build_and_write(spark, replace(b, gl=gl_s, fx=fx_s, payroll=pay_s), out)
     t = {k: spark.read.parquet(v) for k, v in paths.items()}
     post = [("g4", lambda: gates.gate_g4(t["int_entries_cost_centre_mapped"], t["mart_pnl_summary"])),
             ("g5", lambda: gates.gate_g5(t["mart_pnl_summary"], t["mart_revenue_trends"], t["mart_cost_analysis"],

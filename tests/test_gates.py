@@ -126,3 +126,22 @@ def test_model_tests_folded_and_anti_join_paths_agree(spark):
            C.run_model_tests("int_entries_cost_centre_mapped", models["int_entries_cost_centre_mapped"],
                              C.MODEL_RULES["int_entries_cost_centre_mapped"], models).collect()}
     assert rel[("relationships", "project_code")] > 0 and rel[("relationships", "cost_centre")] > 0
+
+
+def test_no_row_ceiling_by_default(spark):
+    gl = staging.stage_gl(g.gen_gl(spark, 100_001))
+    rep = {r.check: r.passed for r in gates.gate_g1(gl).collect()}
+    assert all(rep.values())
+    rep = {r.check: r.passed for r in gates.gate_g1(gl, 10, 100_000).collect()}
+    assert not rep.pop("row count in range") and all(rep.values())
+
+
+def test_raw_columns_of_a_staged_table(clean):
+    from ledgerspark.operators import staging
+    raw = clean["gl"].withColumn("more", F.lit(1)).drop("description")
+    rep = {r.check: r for r in gates.gate_g1(staging.stage_gl(raw, True), columns=raw.columns).collect()}
+    assert not rep["columns match set"].passed
+    assert rep["columns match set"].detail == "missing=['description'] extra=['more']"
+    pay = clean["pay"].drop("hours_logged")
+    rep = {r.check: r.passed for r in gates.gate_g3(staging.stage_payroll(pay, True), columns=pay.columns).collect()}
+    assert not rep["all columns present"] and not rep["hours_logged positive"]

@@ -98,3 +98,13 @@ def test_sized_broadcast_bounds(spark):
     # a scan already estimated above the byte bound is not counted at all
     big = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     assert not is_broadcast(sized_broadcast(big, max_rows=10**9, max_bytes=1024))
+
+
+def test_size_check_estimates_and_never_limits(spark):
+    from ledgerspark.operators.joins import estimated_bytes, proven_small
+    small = spark.range(100)
+    assert estimated_bytes(small) > 0
+    assert proven_small(small, max_rows=100) and not proven_small(small, max_rows=99)
+    # A side estimated far over the bound is declined before any job: this one would fail if it were run.
+    fails = spark.range(10 ** 9).selectExpr("raise_error('counted') AS x")
+    assert not proven_small(fails, max_bytes=1024)
