@@ -8,8 +8,8 @@ as soon as its next arrival is later than every register's (early termination).
 Two registers agree with the probability Jaccard similarity of the texts.
 
 1. Texts are grouped by hash; what follows works on different texts only.
-2. Registers in bands give bucket keys. Every bucket links its members to its
-   first one (a star, not all pairs), each pair is verified by the exact
+2. Registers in bands give bucket keys. Every bucket links its members to one of
+   them, the text that most others share buckets with (a star, not all pairs), each pair is verified by the exact
    probability Jaccard of the texts, and linked texts are joined to components.
 3. A bucket whose star left members apart goes on: its members outside its
    largest component are pivots and are compared with the bucket's members of
@@ -286,23 +286,30 @@ class NearDuplicates:
         """The verified links (a, b, similarity) and the components' labels (v, label)."""
         keep, drop = self.scratch.keep, self.scratch.drop
         member = self.texts.select("v", F.explode("keys").alias("key"))
-        shared = member.groupBy("key").agg(F.min("v").alias("b"), F.count(F.lit(1)).alias("size")).where("size > 1")
-        buckets = keep(member.join(shared.select("key", "b").hint("merge"), "key"), "buckets")
+        shared = member.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        sized = keep(member.join(shared.hint("merge"), "key"), "sized")
+        # A bucket's first member is the one that most texts share buckets with: in a group of near copies the text
+        # that all of them are near to, so that its star holds the group together.
+        central = sized.join(sized.groupBy("v").agg(F.sum("size").alias("c")).hint("merge"), "v")
+        firsts = central.groupBy("key").agg(F.max_by("v", F.struct("c", -F.col("v"))).alias("b"))
+        buckets = keep(sized.select("key", "v").join(firsts.hint("merge"), "key"), "buckets")
         texts = self.texts.select("v", "hash", "id").join(buckets.select("v").distinct(), "v")
         same = (F.col("s.hash") == F.col("t.hash")) & F.col("s.id").eqNullSafe(F.col("t.id"))
         bodies = keep(self.source.alias("s").join(texts.alias("t").hint("merge"), same).groupBy("v").agg(
             F.first("text").alias("text")), "bodies")
         star = keep(self._verify(buckets.where("v <> b").select(F.col("v").alias("a"), "b").distinct(), bodies), "star")
-        links = star.where(F.col("similarity") >= self.threshold)
+        matched = lambda df: df.where(F.col("similarity") >= self.threshold).select(
+            F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), "similarity")
+        links = matched(star)
         labels = components(links, self.scratch)
         more = [keep(self._verify(pairs, bodies), "more") for pairs in self._more_pairs(buckets, star, labels)]
         for found in more:
-            links = links.unionByName(found.where(F.col("similarity") >= self.threshold))
+            links = links.unionByName(matched(found))
         links = keep(links.distinct(), "links")
-        if any(found.where(F.col("similarity") >= self.threshold).take(1) for found in more):
+        if any(matched(found).take(1) for found in more):
             drop(labels)
             labels = components(links, self.scratch)
-        for df in (buckets, bodies, star, *more):
+        for df in (sized, buckets, bodies, star, *more):
             drop(df)
         return links, labels
 

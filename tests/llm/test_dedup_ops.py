@@ -137,6 +137,8 @@ def test_near_duplicates_against_all_pairs(spark, few):
     for i in range(100, 108):                                                       # linked only step by step
         chain = edited(rng, chain, 3)
         rows.append((i, " ".join(chain)))
+    hub = words(rng, 100)                                                           # linked to one text, not to each other
+    rows += [(i, " ".join(edited(rng, hub, 2))) for i in range(120, 150)] + [(151, " ".join(hub))]
     rows += [(200, " ".join(other)), (201, " ".join(edited(rng, other, 1)).upper()), (202, " ".join(edited(rng, other, 60)))]
     rows += [(i, " ".join(words(rng, 60) + passage)) for i in range(300, 312)]      # a shared passage, no duplicates
     rows += [(400, None), (401, ""), (402, "  "), (403, "one two"), (404, "one two"), (None, " ".join(base)), (405, "one three"),
