@@ -42,7 +42,7 @@ WORDS = 5
 THRESHOLD = 0.8
 #: Bits of the map of benchmark windows (a fixed 4 MB, whatever the benchmark's size).
 MAP_BITS = 25
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 
 NUMBER_WORDS = frozenset("two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen "
                          "seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred "
@@ -85,11 +85,12 @@ class Canonical(dict):
 
     def __init__(self):
         super().__init__()
-        self.rows: list[tuple[int, int, bool, bool, str]] = []   # hash, kind, may be a unit, ends a sentence, value
+        self.rows: list[tuple[int, int, bool, bool, str]] = []   # new words: hash, kind, may be a unit, ends a sentence, value
+        self.values: dict[int, str] = {}                          # of words that can be a slot's
         self.arrays = tuple(np.empty(0, t) for t in (np.uint64, np.int8, bool, bool))
 
     def __missing__(self, word: str) -> int:
-        n = self[word] = len(self.rows)
+        n = self[word] = len(self)
         if word.isalpha() and word != LINE and (lower := word.lower()) not in SPECIAL:
             # Most words: letters only. The value is kept where it can be a slot's.
             name = lower != word and not word.isupper() and word[0].isupper()
@@ -109,18 +110,21 @@ class Canonical(dict):
         if (m := NUMBER.fullmatch(lower)) and (not m[1] or m[1] in UNITS) or lower in NUMBER_WORDS:
             return _hash(lower), NUM, False, ends, lower
         kind = NAME if core[0].isupper() and not core.isupper() else WORD
-        return _hash(lower), kind, lower in UNITS, ends, lower
+        return _hash(lower), kind, lower in UNITS, ends, lower if kind == NAME or lower in UNITS else ""
 
     def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Per canonical word: text number, hash of what it is compared by, kind, number of its value."""
-        if len(self.rows) > CACHE_WORDS:
+        if len(self) > CACHE_WORDS:
             self.clear()
             self.__init__()
         split = [t.replace("\n", f" {LINE} ").split() for t in texts]
         n = np.fromiter(map(len, split), np.int64, len(split))
         ids = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64, int(n.sum()))
-        if new := self.rows[len(self.arrays[0]):]:
-            self.arrays = tuple(np.concatenate([old, np.array(c, old.dtype)]) for old, c in zip(self.arrays, zip(*new)))
+        if self.rows:
+            first, cols = len(self.arrays[0]), list(zip(*self.rows))
+            self.arrays = tuple(np.concatenate([old, np.array(c, old.dtype)]) for old, c in zip(self.arrays, cols))
+            self.values |= {first + i: v for i, v in enumerate(cols[4]) if v}
+            self.rows.clear()
         doc = np.repeat(np.arange(len(texts)), n)
         hashes, kinds, units, ends = (a[ids] for a in self.arrays)
         first = np.concatenate([[True], (doc[1:] != doc[:-1]) | ends[:-1]])[:len(ids)]
@@ -138,7 +142,7 @@ class Canonical(dict):
         return doc, compared, kinds, ids
 
     def value(self, i: int) -> str:
-        return self.rows[i][4]
+        return self.values.get(i, "")
 
 
 #: A worker's words, kept from task to task.
@@ -188,7 +192,7 @@ def _emit(keep: list[str], bit_map: bytes | None):
             lo = 0
             while lo < len(texts):
                 hi, size = lo, 0
-                while hi < len(texts) and size < 2_000_000:
+                while hi < len(texts) and size < 1_000_000:
                     size += len(texts[hi])
                     hi += 1
                 doc, compared, kinds, ids = canonical.words(texts[lo:hi])
