@@ -64,3 +64,14 @@ class Scratch:
 def held_out(doc_id: Column) -> Column:
     """The rows whose crc32(doc_id as text) mod 3 is 1."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def hash_sample(df: DataFrame, key: Column, n: int, total: int) -> DataFrame:
+    """The ``n`` rows whose key has the smallest hash, of a frame of ``total`` rows.
+
+    A threshold on the hash leaves about ``2 n`` rows before they are ordered, so a scan
+    task doesn't send its own ``n`` smallest rows.
+    """
+    place = F.shiftrightunsigned(F.xxhash64(key, F.lit(7)), 1) / F.lit(float(1 << 63))
+    share = min(1.0, (2.0 * n + 50) / max(1, total))
+    return df.withColumn("_place", place).where(F.col("_place") <= share).orderBy("_place", key).limit(n).drop("_place")

@@ -32,7 +32,7 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import Scratch, table, text_or_empty
+from ledgerspark.llm.common import Scratch, hash_sample, table, text_or_empty
 
 #: Documents whose paragraphs are sampled as examples of no licence, and the number of those paragraphs.
 SAMPLE_DOCS, SAMPLE_PARAGRAPHS = 400, 4000
@@ -135,7 +135,7 @@ def training_rows(spark: SparkSession, docs: DataFrame, text_col: str) -> DataFr
     rows += [{"family": NONE, "paragraph": p.format(n), "fold": i % 3} for n in OTHER for i, p in enumerate(PHRASES[:2] + ["Note: {}."])]
     known = json_rows(spark, rows, "family string, paragraph string, fold int")
     text = text_or_empty(F.col(text_col))
-    some = docs.select(text.alias("text")).orderBy(F.xxhash64("text"), "text").limit(SAMPLE_DOCS)
+    some = hash_sample(docs.select(text.alias("text")), F.col("text"), SAMPLE_DOCS, docs.count())
     lines = some.select(F.explode(F.split("text", "\n", -1)).alias("paragraph")).distinct()
     lines = lines.where(~F.col("paragraph").rlike(r"(?i)licen[cs]|copyright|rights reserved|public domain|SPDX|©"))
     lines = lines.orderBy(F.xxhash64("paragraph"), "paragraph").limit(SAMPLE_PARAGRAPHS)

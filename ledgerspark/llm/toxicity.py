@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerspark.llm.common import Scratch, held_out, table, text_or_empty
+from ledgerspark.llm.common import Scratch, hash_sample, held_out, table, text_or_empty
 
 DECAY = 0.8
 #: Words longer than this are read through overlapping windows.
@@ -411,15 +411,15 @@ def sample_of(docs: DataFrame, labels: DataFrame, fit: Fit, id_col: str, text_co
     """The bounded training sample (doc, toxic, half, text), none of it held out, and the labels' share of toxic rows."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).where(~held_out(F.col(id_col)))
     known = known.groupBy(F.col(id_col).alias("_id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("toxic"))
-    known = known.withColumn("_order", F.xxhash64(F.col("_id"), F.lit(7)))
-    share = known.agg(F.avg("toxic")).first()[0]
-    drawn = [known.where(F.col("toxic") == c).orderBy("_order", "_id").limit(n)
+    count = {row.toxic: row["count"] for row in known.groupBy("toxic").count().collect()}
+    share = count.get(1, 0) / max(1, sum(count.values()))
+    drawn = [hash_sample(known.where(F.col("toxic") == c), F.col("_id"), n, count.get(c, 0))
              for c, n in ((1, fit.toxic_docs), (0, fit.clean_docs))]
     picked = drawn[0].unionByName(drawn[1])
     rows = docs.select(F.col(id_col).alias("_id"), text_or_empty(F.col(text_col)).alias("text"))
     rows = rows.join(F.broadcast(picked), "_id")
-    return rows.select(F.xxhash64("_id").alias("doc"), "toxic", F.pmod(F.col("_order"), F.lit(2)).cast("int").alias("half"),
-                       "text"), float(share or 0.0)
+    return rows.select(F.xxhash64("_id").alias("doc"), "toxic", F.pmod(F.xxhash64("_id", F.lit(11)), F.lit(2)).cast("int").alias("half"),
+                       "text"), float(share)
 
 
 def typical_words(sentences: DataFrame, fit: Fit) -> dict[str, float]:
