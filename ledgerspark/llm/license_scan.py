@@ -5,7 +5,7 @@ n-grams of one to three words, with an L1 penalty that leaves few weights. The
 classes are the licence families, ``unknown`` (licence language of no known
 family) and ``none``. It is trained on the notices below, each inside several
 phrases and in parts, and on a bounded sample of the corpus's own paragraphs as
-``none``. A temperature, chosen by log-loss on the third of the training rows
+``none``, without those that have a licence word or much of a notice. A temperature, chosen by log-loss on the third of the training rows
 that the regression doesn't see, calibrates the probabilities. A predicted
 family stands only if one of its notices confirms it (share of the notice's
 word pairs found in the paragraph); otherwise the paragraph is ``unknown``.
@@ -39,6 +39,10 @@ SAMPLE_DOCS, SAMPLE_PARAGRAPHS = 400, 4000
 MOST_NGRAMS = 6000
 NONE, UNKNOWN = "none", "unknown"
 NONE_AT_LEAST, FAMILY_AT_LEAST, CONFIRM_AT_LEAST = 0.5, 0.5, 0.6
+#: A sampled paragraph with so many of a notice's word pairs, and such a share of them or of its own, is no example of none.
+LIKE_PAIRS, LIKE_SHARE, OWN_SHARE = 3, 0.3, 0.5
+#: A notice's n-gram in more than this share of the examples of none is left out.
+FREQUENT = 0.001
 TEMPERATURES = (0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0)
 
 #: Notices by family (public licence texts' usual short notices and opening clauses).
@@ -123,6 +127,24 @@ def json_rows(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     return spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")).alias("r")).select("r.*")
 
 
+def notice_pairs(spark: SparkSession) -> DataFrame:
+    """(guess, notice, pairs): the word pairs of each family's notices."""
+    notices = json_rows(spark, [{"guess": f, "notice": n} for f in FAMILIES for n in NOTICES[f]], "guess string, notice string")
+    notices = notices.withColumn("words", words_of(F.col("notice"))).select("guess", "notice", ngrams("words", 2, 2).alias("pairs"))
+    return notices.where(F.size("pairs") > 0)
+
+
+def without_notices(paragraphs: DataFrame) -> DataFrame:
+    """The different paragraphs that hold no notice and no larger part of one, also where no licence word is in them."""
+    own = paragraphs.withColumn("words", words_of(F.col("paragraph"))).select("paragraph", ngrams("words", 2, 2).alias("have"))
+    theirs = notice_pairs(paragraphs.sparkSession).select("notice", F.size("pairs").alias("of"), F.explode("pairs").alias("pair"))
+    shared = own.select("paragraph", F.size("have").alias("n"), F.explode("have").alias("pair")).join(F.broadcast(theirs), "pair")
+    shared = shared.groupBy("paragraph", "notice", "n", "of").agg(F.count(F.lit(1)).alias("both"))
+    part = (F.col("both") >= LIKE_PAIRS) & ((F.col("both") >= LIKE_SHARE * F.col("of")) | (F.col("both") >= OWN_SHARE * F.col("n")))
+    like = shared.where(part | (F.col("both") >= CONFIRM_AT_LEAST * F.col("of")))
+    return paragraphs.join(like.select("paragraph").distinct(), "paragraph", "left_anti")
+
+
 def training_rows(spark: SparkSession, docs: DataFrame, text_col: str) -> DataFrame:
     """(class, paragraph, fold): notices in phrases and in halves, and sampled corpus paragraphs."""
     rows = []
@@ -138,6 +160,7 @@ def training_rows(spark: SparkSession, docs: DataFrame, text_col: str) -> DataFr
     some = hash_sample(docs.select(text.alias("text")), F.col("text"), SAMPLE_DOCS, docs.count())
     lines = some.select(F.explode(F.split("text", "\n", -1)).alias("paragraph")).distinct()
     lines = lines.where(~F.col("paragraph").rlike(r"(?i)licen[cs]|copyright|rights reserved|public domain|SPDX|©"))
+    lines = without_notices(lines)
     lines = lines.orderBy(F.xxhash64("paragraph"), "paragraph").limit(SAMPLE_PARAGRAPHS)
     other = lines.select(F.lit(NONE).alias("family"), "paragraph", F.pmod(F.xxhash64("paragraph"), F.lit(3)).cast("int").alias("fold"))
     return known.unionByName(other)
@@ -170,13 +193,14 @@ def fit(docs: DataFrame, text_col: str = "text") -> LicenceModel:
     scratch = Scratch(spark, "licence")
     rows = scratch.keep(training_rows(spark, docs, text_col).withColumn("words", words_of(F.col("paragraph")))
                         .withColumn("grams", ngrams("words")).drop("words"), "training")
-    # Only n-grams that the corpus sample doesn't have can speak for a licence.
+    # Only n-grams that are rare in the corpus sample can speak for a licence.
     exploded = rows.select("family", "paragraph", F.explode("grams").alias("gram"))
     counts = exploded.groupBy("gram").agg(F.sum((F.col("family") != NONE).cast("int")).alias("known"),
                                           F.sum((F.col("family") == NONE).cast("int")).alias("other"))
     written = {w for n in OTHER for w in n.lower().split()}
     seen = {r.gram: (r.known, r.other) for r in counts.where("known > 0").collect()}
-    vocabulary = sorted((g for g, (_, other) in seen.items() if other == 0 or g in written and other < 20), key=lambda g: (-seen[g][0], g))[:MOST_NGRAMS]
+    frequent = FREQUENT * rows.where(F.col("family") == NONE).count()
+    vocabulary = sorted((g for g, (_, other) in seen.items() if other <= frequent or g in written and other < 20), key=lambda g: (-seen[g][0], g))[:MOST_NGRAMS]
     usual = F.array_intersect("grams", F.from_json(F.lit(json.dumps(vocabulary)), "array<string>"))
     label = F.array_position(F.array(*(F.lit(c) for c in CLASSES)), F.col("family")) - 1
     ready = rows.select("paragraph", "fold", "family", label.cast("double").alias("label"), usual.alias("grams"))
@@ -218,9 +242,7 @@ def fit(docs: DataFrame, text_col: str = "text") -> LicenceModel:
 def confirmed(guesses: DataFrame) -> DataFrame:
     """Per (paragraph, guess, ...) the largest share of a notice's word pairs that the paragraph has, over the guessed
     family's notices."""
-    notices = json_rows(guesses.sparkSession, [{"guess": f, "notice": n} for f in FAMILIES for n in NOTICES[f]], "guess string, notice string")
-    notices = notices.withColumn("words", words_of(F.col("notice"))).select("guess", ngrams("words", 2, 2).alias("pairs"))
-    notices = notices.where(F.size("pairs") > 0)
+    notices = notice_pairs(guesses.sparkSession).drop("notice")
     both = guesses.withColumn("words", words_of(F.col("paragraph"))).withColumn("have", ngrams("words", 2, 2))
     both = both.join(F.broadcast(notices), "guess", "left")
     share = F.size(F.array_intersect("pairs", "have")) / F.size("pairs")

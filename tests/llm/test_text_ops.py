@@ -308,3 +308,14 @@ def test_licence_plan_and_empty_table(spark, licence_model):
     assert ls.scan(df, licence_model).count() == 0
     plan = ls.scan(df, licence_model)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_licence_notices_common_in_the_corpus(spark):
+    """Notices without any licence word that a third of the documents hold, each with its own words, are still found."""
+    notices = {"mit": ls.NOTICES["mit"][3], "bsd": ls.NOTICES["bsd"][3], "isc": ls.NOTICES["isc"][1]}
+    some = sorted(notices)
+    rows = [(i, f"The meadow number {i} is green and wide.\nA river {i * 7} runs along the old road to the town."
+             + (f"\n{notices[some[i // 3 % 3]]}, holder {i}." if i % 3 == 0 else "")) for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.paragraph_no, r.family) for r in ls.scan(docs, ls.fit(docs)).collect())
+    assert got == [(i, 2, some[i // 3 % 3]) for i in range(0, 240, 3)]
