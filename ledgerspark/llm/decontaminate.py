@@ -2,7 +2,11 @@
 
 Texts are canonicalised word by word: numbers (digits or number words) become
 ``<NUM>``, units after a number ``<UNIT>``, capitalised words inside a sentence
-``<NAME>``; other words are lower case without punctuation at the ends. A
+``<NAME>``; other words are lower case without punctuation at the ends.
+Whether a word is a name can't be told from its capital alone: an item's
+windows are given for each choice of their capitalised words as names, a
+document's as read usually, with capitals at sentences' beginnings as names,
+and with no names at all (copies in other letter case). A
 template window is a run of five canonical words (an item with fewer is one
 window). The words that placeholders stand for are the window's slots.
 
@@ -85,7 +89,8 @@ class Canonical(dict):
 
     def __init__(self):
         super().__init__()
-        self.rows: list[tuple[int, int, bool, bool, str]] = []   # new words: hash, kind, may be a unit, ends a sentence, value
+        # New words: hash, kind, may be a unit, ends a sentence, value (of those that can be a slot's, all capitals among them).
+        self.rows: list[tuple[int, int, bool, bool, str]] = []
         self.values: dict[int, str] = {}                          # of words that can be a slot's
         self.arrays = tuple(np.empty(0, t) for t in (np.uint64, np.int8, bool, bool))
 
@@ -94,7 +99,8 @@ class Canonical(dict):
         if word.isalpha() and word != LINE and (lower := word.lower()) not in SPECIAL:
             # Most words: letters only. The value is kept where it can be a slot's.
             name = lower != word and not word.isupper() and word[0].isupper()
-            self.rows.append((xxhash.xxh64_intdigest(lower.encode()), NAME if name else WORD, False, False, lower if name else ""))
+            value = lower if name or len(word) > 1 and word.isupper() else ""
+            self.rows.append((xxhash.xxh64_intdigest(lower.encode()), NAME if name else WORD, False, False, value))
         else:
             self.rows.append(self._row(word))
         return n
@@ -110,10 +116,11 @@ class Canonical(dict):
         if (m := NUMBER.fullmatch(lower)) and (not m[1] or m[1] in UNITS) or lower in NUMBER_WORDS:
             return _hash(lower), NUM, False, ends, lower
         kind = NAME if core[0].isupper() and not core.isupper() else WORD
-        return _hash(lower), kind, lower in UNITS, ends, lower if kind == NAME or lower in UNITS else ""
+        return _hash(lower), kind, lower in UNITS, ends, lower if kind == NAME or lower in UNITS or len(core) > 1 and core.isupper() else ""
 
-    def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Per canonical word: text number, hash of what it is compared by, kind, number of its value."""
+    def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Per canonical word: text number, hash of the word itself, kind, kind where a capital at a sentence's beginning
+        counts as a name's too, number of its value."""
         if len(self) > CACHE_WORDS:
             self.clear()
             self.__init__()
@@ -135,11 +142,11 @@ class Canonical(dict):
         begins[1:] = np.cumsum(first)
         at = np.flatnonzero(keep)
         begin = np.diff(begins[at + 1], prepend=0) > 0
-        kinds[(kinds == NAME) & begin] = WORD
         after = np.concatenate([[False], (kinds[:-1] == NUM) & (doc[1:] == doc[:-1])])[:len(kinds)]
         kinds[units & after] = UNIT
-        compared = np.where(kinds == WORD, hashes, _TYPE_HASH[kinds])
-        return doc, compared, kinds, ids
+        wide = kinds.copy()
+        kinds[(kinds == NAME) & begin] = WORD
+        return doc, hashes, kinds, wide, ids
 
     def value(self, i: int) -> str:
         return self.values.get(i, "")
@@ -173,16 +180,76 @@ def windows(doc: np.ndarray, compared: np.ndarray, words: int = WORDS) -> tuple[
     return hashes, at
 
 
-def _slot_text(canonical: Canonical, kinds: np.ndarray, ids: np.ndarray, lo: int, hi: int) -> list[str]:
-    """Slots of a window: place in it, type and value."""
-    return [f"{j - lo}|{TYPES[k]}|{canonical.value(int(ids[j]))}" for j in range(lo, hi) if (k := int(kinds[j])) != WORD]
+def compared(hashes: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """What words are compared by: their type, or the word itself."""
+    return np.where(kinds == WORD, hashes, _TYPE_HASH[kinds])
+
+
+def _slot_text(canonical: Canonical, kinds: np.ndarray, usual: np.ndarray, ids: np.ndarray, lo: int, hi: int) -> list[str]:
+    """Slots of a window: place in it, type and value. A name that is none by the usual reading is ``wide``."""
+    return [f"{j - lo}|{'wide' if k == NAME != usual[j] else TYPES[k]}|{canonical.value(int(ids[j]))}"
+            for j in range(lo, hi) if (k := int(kinds[j])) != WORD]
+
+
+def readings(doc: np.ndarray, hashes: np.ndarray, kinds: np.ndarray, wide: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Kinds, and hash and first word of each window, by the ways to read a document's words: as usual; where it differs, with
+    names at sentences' beginnings; where the usual one has names, without any."""
+    yield kinds, *windows(doc, compared(hashes, kinds))
+    plain = np.where(kinds == NAME, WORD, kinds)
+    for other, differs in ((wide, wide != kinds), (plain, plain != kinds)):
+        if differs.any():
+            values, at = windows(doc, compared(hashes, other))
+            count = np.concatenate([[0], np.cumsum(differs), np.full(WORDS, differs.sum())])
+            end = np.searchsorted(doc, doc[at], side="right")
+            some = count[np.minimum(at + WORDS, end)] > count[at]
+            yield other, values[some], at[some]
+
+
+def variants(canonical: Canonical, doc: np.ndarray, hashes: np.ndarray, kinds: np.ndarray, wide: np.ndarray,
+             ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
+    """Hash, first word and slots of items' windows, once for each choice of their capitalised words as names (at most 2 ** WORDS
+    a window). A word that isn't a name in a choice gives a slot ``lit`` (``wide_lit`` if it is none by the usual reading)."""
+    _, at = windows(doc, hashes)
+    size = np.minimum(np.searchsorted(doc, doc[at], side="right") - at, WORDS)
+    may = np.array([k == NAME or k == WORD and bool(canonical.value(i)) for k, i in zip(wide.tolist(), ids.tolist())], bool)
+    plain = np.where(kinds == NAME, WORD, kinds)
+    spots = [np.minimum(at + j, max(len(doc) - 1, 0)) for j in range(WORDS)]
+    able = sum(((may[x] & (size > j)).astype(np.int64) << j for j, x in enumerate(spots)), np.zeros(len(at), np.int64))
+    usual = sum((((kinds[x] == NAME) & (size > j)).astype(np.int64) << j for j, x in enumerate(spots)), np.zeros(len(at), np.int64))
+    typed = sum((((plain[x] != WORD) & (size > j)).astype(np.int64) << j for j, x in enumerate(spots)), np.zeros(len(at), np.int64))
+    out: list[tuple[int, int, list[str]]] = []
+    for names in range(1 << WORDS):
+        # Placeholders alone would match any run of names: only as read usually.
+        n = np.flatnonzero(((able & names) == names) & (((typed | names) != (1 << size) - 1) | (usual == names)))
+        value = np.zeros(len(n), np.uint64)
+        with np.errstate(over="ignore"):
+            for j, x in enumerate(spots):
+                word = _TYPE_HASH[NAME] if names >> j & 1 else compared(hashes[x[n]], plain[x[n]])
+                value = np.where(size[n] > j, value * _BASE + word, value)
+            value = _mix(np.where(size[n] < WORDS, value + size[n].astype(np.uint64) * _GOLD, value))
+        for i, h in zip(n.tolist(), value.tolist()):
+            slots = []
+            for j in range(int(size[i])):
+                x = int(at[i]) + j
+                if plain[x] != WORD:
+                    kind = TYPES[int(plain[x])]
+                elif names >> j & 1:
+                    kind = "name" if kinds[x] == NAME else "wide"
+                elif may[x]:
+                    kind = "lit" if kinds[x] == NAME else "wide_lit"
+                else:
+                    continue
+                slots.append(f"{j}|{kind}|{canonical.value(int(ids[x]))}")
+            out.append((h, int(at[i]), slots))
+    return np.array([x[0] for x in out], np.uint64), np.array([x[1] for x in out], np.int64), [x[2] for x in out]
 
 
 WINDOW = "hash long, place int, slots array<string>"
 
 
 def _emit(keep: list[str], bit_map: bytes | None):
-    """Rows of (keep..., text) to one row per window: hash, place in its text, slots. ``bit_map``: only windows in it."""
+    """Rows of (keep..., text) to rows per window: hash, place in its text, slots. ``bit_map``: a document's readings, only
+    windows in it; without: an item's variants."""
     bits = None if bit_map is None else np.frombuffer(bit_map, np.uint8)
 
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,24 +262,28 @@ def _emit(keep: list[str], bit_map: bytes | None):
                 while hi < len(texts) and size < 1_000_000:
                     size += len(texts[hi])
                     hi += 1
-                doc, compared, kinds, ids = canonical.words(texts[lo:hi])
-                hashes, at = windows(doc, compared)
-                if bits is not None:
-                    slot = hashes >> np.uint64(64 - MAP_BITS)
-                    found = np.flatnonzero(bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8) & 1)
-                    hashes, at = hashes[found], at[found]
+                doc, own, kinds, wide, ids = canonical.words(texts[lo:hi])
                 start = np.searchsorted(doc, np.arange(hi - lo))
                 end = np.searchsorted(doc, np.arange(hi - lo), side="right")
-                owner = doc[at]
-                slotted = np.concatenate([[0], np.cumsum(kinds != WORD)])
-                stop = np.minimum(at + WORDS, end[owner])
-                slots = [_slot_text(canonical, kinds, ids, a, b) if n else [] for a, b, n in
-                         zip(at.tolist(), stop.tolist(), (slotted[stop] - slotted[at]).tolist())]
-                rows = pa.array(owner + lo, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).take(rows) for c in keep), pa.array(hashes.astype(np.int64)),
-                     pa.array((at - start[owner]).astype(np.int32)), pa.array(slots, pa.list_(pa.string()))],
-                    [*keep, "hash", "place", "slots"])
+                if bits is None:
+                    parts = [variants(canonical, doc, own, kinds, wide, ids)]
+                else:
+                    parts = []
+                    for read, hashes, at in readings(doc, own, kinds, wide):
+                        slot = hashes >> np.uint64(64 - MAP_BITS)
+                        found = np.flatnonzero(bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8) & 1)
+                        hashes, at = hashes[found], at[found]
+                        slotted = np.concatenate([[0], np.cumsum(read != WORD)])
+                        stop = np.minimum(at + WORDS, end[doc[at]])
+                        parts.append((hashes, at, [_slot_text(canonical, read, kinds, ids, a, b) if n else [] for a, b, n in
+                                                   zip(at.tolist(), stop.tolist(), (slotted[stop] - slotted[at]).tolist())]))
+                for hashes, at, slots in parts:
+                    owner = doc[at]
+                    rows = pa.array(owner + lo, pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [*(batch.column(c).take(rows) for c in keep), pa.array(hashes.astype(np.int64)),
+                         pa.array((at - start[owner]).astype(np.int32)), pa.array(slots, pa.list_(pa.string()))],
+                        [*keep, "hash", "place", "slots"])
                 lo = hi
     return emit
 
@@ -263,15 +334,30 @@ def best_run(pairs: list[tuple[int, int]], slack: int) -> list[int]:
 
 def judge(found: list[tuple[int, int, list[str], list[str]]], total: int, threshold: float) -> tuple[int, float, int, str] | None:
     """Matched windows, their share, slots and kind from the (place, item place, slots, item slots) of a pair's windows;
-    None if the best run has too few of the item's windows or its slots don't agree."""
+    None if the best run has too few of the item's windows or its slots don't agree. Capitals at sentences' beginnings count
+    as names' if the windows with such names are needed, or else are ordinary words."""
+    usual = [w for w in found if not any("|wide|" in x for x in (*w[2], *w[3]))]
+    wide = [w for w in found if any("|wide|" in x for x in (*w[2], *w[3]))]
+    return _judge(usual, total, threshold, False) or (_judge(usual + wide, total, threshold, True) if wide else None)
+
+
+def _judge(found: list, total: int, threshold: float, wide: bool) -> tuple[int, float, int, str] | None:
     chosen = best_run([(d, i) for d, i, _, _ in found], max(1, total // 4))
     votes: dict[int, Counter] = {}
     for n in chosen:
         _, place, mine, theirs = found[n]
-        for a, b in zip(theirs, mine):
+        there = iter(mine)
+        for a in theirs:
             at, kind, value = a.split("|", 2)
-            _, other, got = b.split("|", 2)
-            votes.setdefault(place + int(at), Counter())[((kind, value), (other, got))] += 1
+            if kind == "wide_lit" and not wide:
+                continue
+            if kind in ("lit", "wide_lit"):     # the word itself is in the document
+                other, got = "name", value
+            else:
+                _, other, got = next(there).split("|", 2)
+            names = ("wide", "lit", "wide_lit")
+            votes.setdefault(place + int(at), Counter())[
+                (("name" if kind in names else kind, value), ("name" if other in names else other, got))] += 1
     slots = [min(c, key=lambda x: (-c[x], x)) for c in votes.values()]
     covered = len(chosen) / total
     if covered < threshold or not slots_agree((a for a, _ in slots), (b for _, b in slots)):
@@ -307,7 +393,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     items = items.withColumn("item_hash", F.unhex(F.md5(F.col("text").cast("binary"))))
     item_windows = scratch.keep(items.mapInArrow(
         _emit(["item", "item_hash"], None), f"item {kinds['item']}, item_hash binary, {WINDOW}"), "items")
-    totals = item_windows.groupBy("item", "item_hash").agg(F.count(F.lit(1)).alias("total"))
+    totals = item_windows.groupBy("item", "item_hash").agg(F.countDistinct("place").alias("total"))
     bit_map = _bit_map(item_windows.select("hash").distinct())
 
     text = text_or_empty(F.col(text_col))

@@ -245,6 +245,18 @@ def test_leaks_exact_and_reparameterised(spark):
     assert len([1 for d, *_ in got if d == 10]) == 1
 
 
+def test_leaks_names_at_sentence_beginnings_and_other_letter_case(spark):
+    item = "Tom has 3 apples. Mary gives him 4 apples. How many apples does Tom have?"
+    filler = " ".join(f"word{i}" for i in range(60))
+    other = "Anna has 5 apples. Peter gives him 7 apples. How many apples does Anna have?"
+    docs = [(1, f"{filler}. {other} {filler}"), (2, f"{filler} {item.upper()}"), (3, f"{filler} {item.lower()} {filler}"),
+            (4, other.replace("does Anna", "does Peter")), (5, f"{filler}\n{item}"), (6, item.title())]
+    assert [(d, k) for d, _, k, _ in leaks(spark, docs, [(1, item)])] == \
+        [(1, "reparameterised"), (2, "exact"), (3, "exact"), (5, "exact"), (6, "exact")]
+    docs = [(1, ITEM.upper()), (2, ITEM.lower()), (3, ITEM.replace(" Peter", "\nPeter")), (4, ITEM.replace("Peter", "PETER")), (5, ITEM)]
+    assert [(d, k) for d, _, k, _ in leaks(spark, docs)] == [(d, "exact") for d in range(1, 6)]
+
+
 def test_leaks_short_null_and_repeated_items(spark):
     items = [(1, "tiny item here"), (2, None), (3, ""), (4, "tiny item here"), (None, "one two three four five six"), (1, ITEM), (1, ITEM)]
     docs = [(1, "a tiny item here"), (2, "tiny item here"), (3, "zero one two three four five six seven"), (4, ITEM)]
