@@ -18,8 +18,8 @@ window). The words that placeholders stand for are the window's slots.
    the item that the document has are counted; pairs with a share of at least
    ``THRESHOLD`` of the item's windows go on.
 4. Slot check: in the best run of the document, each value of the item's slots
-   must stand for one value of the document's slots of the same type and vice
-   versa. Equal values: an exact copy; others: a re-parameterised one. Pairs
+   must stand for one value of the document's slots of the same type, and for
+   names vice versa. Equal values: an exact copy; others: a re-parameterised one. Pairs
    that fail are coincidences of form and left out.
 
 Defined results: null texts are empty; empty texts and items match nothing;
@@ -63,6 +63,8 @@ EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not
 LINE = "\ue000"
 WORD, NUM, UNIT, NAME, BREAK = range(5)
 TYPES = {NUM: "num", UNIT: "unit", NAME: "name"}
+#: Different names stay different; different numbers and units can get the same new value.
+ONE_TO_ONE = frozenset(["name"])
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x100000001B3)
@@ -302,12 +304,12 @@ def _bit_map(hashes: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def slots_agree(item: Iterable[tuple[str, str]], doc: Iterable[tuple[str, str]]) -> bool:
-    """Whether paired slots (type, value) are of one type each and map values one to one."""
+def slots_agree(item: Iterable[tuple[str, str]], doc: Iterable[tuple[str, str]], back_too: frozenset[str] = frozenset(TYPES.values())) -> bool:
+    """Whether paired slots (type, value) are of one type each and map each value to one value, and back for the types ``back_too``."""
     there: dict = {}
     back: dict = {}
     for a, b in zip(item, doc):
-        if a[0] != b[0] or there.setdefault(a, b) != b or back.setdefault(b, a) != a:
+        if a[0] != b[0] or there.setdefault(a, b) != b or a[0] in back_too and back.setdefault(b, a) != a:
             return False
     return True
 
@@ -360,7 +362,7 @@ def _judge(found: list, total: int, threshold: float, wide: bool) -> tuple[int,
                 (("name" if kind in names else kind, value), ("name" if other in names else other, got))] += 1
     slots = [min(c, key=lambda x: (-c[x], x)) for c in votes.values()]
     covered = len(chosen) / total
-    if covered < threshold or not slots_agree((a for a, _ in slots), (b for _, b in slots)):
+    if covered < threshold or not slots_agree((a for a, _ in slots), (b for _, b in slots), ONE_TO_ONE):
         return None
     return len(chosen), covered, len(slots), "exact" if all(a == b for a, b in slots) else "reparameterised"
 

@@ -257,6 +257,14 @@ def test_leaks_names_at_sentence_beginnings_and_other_letter_case(spark):
     assert [(d, k) for d, _, k, _ in leaks(spark, docs)] == [(d, "exact") for d in range(1, 6)]
 
 
+def test_leaks_different_numbers_with_one_new_value(spark):
+    same = ITEM.replace("12", "5").replace("at 3 ", "at 5 ")
+    one_name = ITEM.replace("apples", "Anna").replace("for the", "for Maria the")
+    both = one_name.replace("Anna", "Peter")         # two names for one
+    assert [(d, k) for d, _, k, _ in leaks(spark, [(1, same), (2, ITEM)])] == [(1, "reparameterised"), (2, "exact")]
+    assert [(d, k) for d, _, k, _ in leaks(spark, [(1, both), (2, one_name)], [(1, one_name)])] == [(2, "exact")]
+
+
 def test_leaks_short_null_and_repeated_items(spark):
     items = [(1, "tiny item here"), (2, None), (3, ""), (4, "tiny item here"), (None, "one two three four five six"), (1, ITEM), (1, ITEM)]
     docs = [(1, "a tiny item here"), (2, "tiny item here"), (3, "zero one two three four five six seven"), (4, ITEM)]
