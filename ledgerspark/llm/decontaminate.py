@@ -8,7 +8,8 @@ windows are given for each choice of their capitalised words as names, a
 document's as read usually, with capitals at sentences' beginnings as names,
 and with no names at all (copies in other letter case). A
 template window is a run of five canonical words (an item with fewer is one
-window). The words that placeholders stand for are the window's slots.
+window; documents give their sentences and lines of fewer words for these,
+which must equal the item word by word). The words that placeholders stand for are the window's slots.
 
 1. Benchmark items give their windows (hash, item, place, slots).
 2. Documents are canonicalised in tasks. A window leaves the task only if a
@@ -65,6 +66,8 @@ WORD, NUM, UNIT, NAME, BREAK = range(5)
 TYPES = {NUM: "num", UNIT: "unit", NAME: "name"}
 #: Different names stay different; different numbers and units can get the same new value.
 ONE_TO_ONE = frozenset(["name"])
+#: The last slot of a document's window that is a short sentence of a longer text.
+SAME = "-1|same|"
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x100000001B3)
@@ -120,9 +123,9 @@ class Canonical(dict):
         kind = NAME if core[0].isupper() and not core.isupper() else WORD
         return _hash(lower), kind, lower in UNITS, ends, lower if kind == NAME or lower in UNITS or len(core) > 1 and core.isupper() else ""
 
-    def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def words(self, texts: list[str]) -> tuple[np.ndarray, ...]:
         """Per canonical word: text number, hash of the word itself, kind, kind where a capital at a sentence's beginning
-        counts as a name's too, number of its value."""
+        counts as a name's too, number of its value, whether it begins a sentence."""
         if len(self) > CACHE_WORDS:
             self.clear()
             self.__init__()
@@ -148,7 +151,7 @@ class Canonical(dict):
         kinds[units & after] = UNIT
         wide = kinds.copy()
         kinds[(kinds == NAME) & begin] = WORD
-        return doc, hashes, kinds, wide, ids
+        return doc, hashes, kinds, wide, ids, begin
 
     def value(self, i: int) -> str:
         return self.values.get(i, "")
@@ -207,6 +210,25 @@ def readings(doc: np.ndarray, hashes: np.ndarray, kinds: np.ndarray, wide: np.nd
             yield other, values[some], at[some]
 
 
+def short_windows(doc: np.ndarray, words: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first word and number of words of the sentences (or runs of them) of fewer than WORDS words in longer texts."""
+    edge = np.append(begin, True)
+    edge[:-1] |= np.diff(doc, prepend=-1) != 0
+    whole = np.bincount(doc, minlength=1)
+    out = []
+    with np.errstate(over="ignore"):
+        for n in range(1, min(WORDS, len(doc) + 1)):
+            at = np.flatnonzero(edge[:len(doc) - n + 1] & edge[n:])
+            at = at[(doc[at] == doc[at + n - 1]) & (whole[doc[at]] > n)]
+            value = np.zeros(len(at), np.uint64)
+            for j in range(n):
+                value = value * _BASE + words[at + j]
+            out.append((_mix(value + np.uint64(n) * _GOLD), at, np.full(len(at), n)))
+    if not out:
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
 def variants(canonical: Canonical, doc: np.ndarray, hashes: np.ndarray, kinds: np.ndarray, wide: np.ndarray,
              ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
     """Hash, first word and slots of items' windows, once for each choice of their capitalised words as names (at most 2 ** WORDS
@@ -264,20 +286,22 @@ def _emit(keep: list[str], bit_map: bytes | None):
                 while hi < len(texts) and size < 1_000_000:
                     size += len(texts[hi])
                     hi += 1
-                doc, own, kinds, wide, ids = canonical.words(texts[lo:hi])
+                doc, own, kinds, wide, ids, begin = canonical.words(texts[lo:hi])
                 start = np.searchsorted(doc, np.arange(hi - lo))
                 end = np.searchsorted(doc, np.arange(hi - lo), side="right")
                 if bits is None:
                     parts = [variants(canonical, doc, own, kinds, wide, ids)]
                 else:
                     parts = []
-                    for read, hashes, at in readings(doc, own, kinds, wide):
+                    plain = np.where(kinds == NAME, WORD, kinds)
+                    short, first, size = short_windows(doc, compared(own, plain), begin)
+                    reads = [(read, hashes, at, np.minimum(at + WORDS, end[doc[at]]), []) for read, hashes, at in readings(doc, own, kinds, wide)]
+                    for read, hashes, at, stop, mark in [*reads, (plain, short, first, first + size, [SAME])]:
                         slot = hashes >> np.uint64(64 - MAP_BITS)
                         found = np.flatnonzero(bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8) & 1)
-                        hashes, at = hashes[found], at[found]
+                        hashes, at, stop = hashes[found], at[found], stop[found]
                         slotted = np.concatenate([[0], np.cumsum(read != WORD)])
-                        stop = np.minimum(at + WORDS, end[doc[at]])
-                        parts.append((hashes, at, [_slot_text(canonical, read, kinds, ids, a, b) if n else [] for a, b, n in
+                        parts.append((hashes, at, [(_slot_text(canonical, read, kinds, ids, a, b) if n else []) + mark for a, b, n in
                                                    zip(at.tolist(), stop.tolist(), (slotted[stop] - slotted[at]).tolist())]))
                 for hashes, at, slots in parts:
                     owner = doc[at]
@@ -338,6 +362,8 @@ def judge(found: list[tuple[int, int, list[str], list[str]]], total: int, thresh
     """Matched windows, their share, slots and kind from the (place, item place, slots, item slots) of a pair's windows;
     None if the best run has too few of the item's windows or its slots don't agree. Capitals at sentences' beginnings count
     as names' if the windows with such names are needed, or else are ordinary words."""
+    # Values of a sentence in a longer text must be the short item's own: its form alone says too little.
+    found = [w for w in found if SAME not in w[2] or w[2][:-1] == [x for x in w[3] if "lit|" not in x]]
     usual = [w for w in found if not any("|wide|" in x for x in (*w[2], *w[3]))]
     wide = [w for w in found if any("|wide|" in x for x in (*w[2], *w[3]))]
     return _judge(usual, total, threshold, False) or (_judge(usual + wide, total, threshold, True) if wide else None)

@@ -265,6 +265,15 @@ def test_leaks_different_numbers_with_one_new_value(spark):
     assert [(d, k) for d, _, k, _ in leaks(spark, [(1, both), (2, one_name)], [(1, one_name)])] == [(2, "exact")]
 
 
+def test_leaks_short_items_in_longer_documents(spark):
+    filler = " ".join(f"word{i}" for i in range(30))
+    items = [(1, "Who wrote Hamlet?"), (2, "What is 2 + 3?"), (3, "Name the largest moon of Saturn.")]
+    docs = [(1, f"{filler}. Who wrote Hamlet? {filler}"), (2, f"{filler}\nwho wrote hamlet\n{filler}"), (3, f"{filler}. Shakespeare wrote Hamlet. {filler}"),
+            (4, f"{filler}. What is 2 + 3? {filler}"), (5, f"{filler}. What is 4 + 9? {filler}"), (6, f"{filler} Name the largest moon of Saturn. {filler}"),
+            (7, f"{filler}. He asked who wrote Hamlet? {filler}")]
+    assert [(d, i, k) for d, i, k, _ in leaks(spark, docs, items)] == [(1, 1, "exact"), (2, 1, "exact"), (4, 2, "exact"), (6, 3, "exact")]
+
+
 def test_leaks_short_null_and_repeated_items(spark):
     items = [(1, "tiny item here"), (2, None), (3, ""), (4, "tiny item here"), (None, "one two three four five six"), (1, ITEM), (1, ITEM)]
     docs = [(1, "a tiny item here"), (2, "tiny item here"), (3, "zero one two three four five six seven"), (4, ITEM)]
