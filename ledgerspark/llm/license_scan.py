@@ -10,6 +10,10 @@ that the regression doesn't see, calibrates the probabilities. A predicted
 family stands only if one of its notices confirms it (share of the notice's
 word pairs found in the paragraph); otherwise the paragraph is ``unknown``.
 
+A paragraph is a line, or neighbouring lines (no empty one between them) that
+hold a wrapped notice together: these are one row, with the number of the first
+line, in place of their own rows of unknown family.
+
 Every paragraph of every document is looked at. An n-gram's anchor is its
 rarest word; a paragraph without any anchor has no weighted n-gram, so its
 score is the intercepts' (class ``none``) and it is left out early. Different
@@ -29,7 +33,7 @@ import math
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.common import Scratch, hash_sample, table, text_or_empty
@@ -102,6 +106,8 @@ PHRASES = ["{}", "{}.", "Copyright (c) 2021 The Authors. {}.", "© 2019 Example
            "# {}", "// {}", "Note: {}. See LICENSE for details.", "{}. Details in the file COPYING.", "License: {}"]
 FAMILIES = [f for f in NOTICES if f != UNKNOWN]
 CLASSES = [*FAMILIES, UNKNOWN, NONE]
+#: A notice has no more words (addresses are several words).
+MOST_WORDS = max(sum(1 + x.count("/") + x.count(":") for x in n.split()) for f in FAMILIES for n in NOTICES[f])
 
 
 def words_of(text: Column) -> Column:
@@ -249,25 +255,78 @@ def confirmed(guesses: DataFrame) -> DataFrame:
     return both.groupBy("paragraph", "guess", "probability").agg(F.coalesce(F.max(share), F.lit(0.0)).alias("confirmation"))
 
 
-def scan(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per paragraph with licence language: id, paragraph number, family (or unknown), probability of the
-    best family, confirmation, paragraph."""
-    scratch = Scratch(docs.sparkSession, "licence")
-    lines = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(text_or_empty(F.col(text_col)), "\n", -1)).alias("pos", "paragraph"))
-    anchored = F.exists(words_of(F.col("paragraph")), lambda w: w.isin(*model.anchors))
-    some = scratch.keep(lines.where(anchored), "anchored")
+def judged(paragraphs: DataFrame, model: LicenceModel, scratch: Scratch) -> DataFrame:
+    """(paragraph, probability, guess) of different paragraphs that aren't ``none``."""
     families = F.slice("z", 1, len(FAMILIES))
     share = lambda z: F.exp((z - F.col("top")) / F.lit(model.temperature)) / F.col("total")
-    scored = model.scores(some.select("paragraph").distinct(), scratch).withColumn("total", model.total())
-    scored = scored.where(share(F.col("z")[len(CLASSES) - 1]) < NONE_AT_LEAST).select(
+    scored = model.scores(paragraphs, scratch).withColumn("total", model.total())
+    return scored.where(share(F.col("z")[len(CLASSES) - 1]) < NONE_AT_LEAST).select(
         "paragraph", share(F.array_max(families)).alias("probability"),
         F.element_at(F.array(*(F.lit(f) for f in FAMILIES)), F.array_position(families, F.array_max(families)).cast("int")).alias("guess"))
-    scored = confirmed(scored)
+
+
+def wrapped(near: DataFrame, model: LicenceModel, scratch: Scratch) -> DataFrame:
+    """(near, family, lines, probability, confirmation, paragraph): notices that begin in the first of a window's lines and go on
+    in the next, with the fewest lines that hold as much of the notice. ``near``: different windows (line, near)."""
+    # Of the first line only the end, of the others only the beginning can belong to a notice that begins in the first.
+    first, rest = words_of(F.col("line")), words_of(F.expr("substring(near, length(line) + 1)"))
+    words = near.select("near", first.alias("first"), rest.alias("rest")).select("near", F.concat(
+        F.slice("first", F.greatest(F.size("first") - MOST_WORDS + 1, F.lit(1)), MOST_WORDS), F.slice("rest", 1, MOST_WORDS)).alias("words"))
+    theirs = notice_pairs(near.sparkSession).select("guess", "notice", F.size("pairs").alias("of"), F.explode("pairs").alias("pair"))
+    shared = words.select("near", F.explode(ngrams("words", 2, 2)).alias("pair")).join(F.broadcast(theirs), "pair")
+    likely = shared.groupBy("near", "guess", "notice", "of").agg(F.count(F.lit(1)).alias("both")).where(
+        F.col("both") >= CONFIRM_AT_LEAST * F.col("of")).select("near", "guess").distinct()
+    parts = F.split("near", "\n", -1)
+    heads = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "\n"))
+    heads = scratch.keep(likely.select("near", "guess", F.posexplode(heads).alias("lines", "paragraph")), "heads")
+    shares = confirmed(heads.select("paragraph", "guess", F.lit(0.0).alias("probability")).distinct()).drop("probability")
+    best = heads.join(shares, ["paragraph", "guess"]).groupBy("near", "guess").agg(
+        F.max(F.struct("confirmation", (-F.col("lines")).alias("lines"), "paragraph")).alias("best"))
+    best = scratch.keep(best.select("near", "guess", (1 - F.col("best.lines")).alias("lines"), "best.confirmation", "best.paragraph").where(
+        (F.col("lines") > 1) & (F.col("confirmation") >= CONFIRM_AT_LEAST)), "wrapped")
+    found = judged(best.select("paragraph").distinct(), model, scratch).where(F.col("probability") >= FAMILY_AT_LEAST)
+    return best.join(found, ["paragraph", "guess"]).select("near", F.col("guess").alias("family"), "lines", "probability", "confirmation", "paragraph")
+
+
+def scan(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per paragraph with licence language: id, paragraph number, family (or unknown), probability of the
+    best family, confirmation, paragraph."""
+    scratch = Scratch(docs.sparkSession, "licence")
+    lines = F.split(text_or_empty(F.col(text_col)), "\n", -1)
+    # A notice has a word at least in each line that it is wrapped into.
+    following = F.transform(F.sequence(F.lit(1), F.size(lines)), lambda i: F.array_join(F.slice(lines, i, MOST_WORDS), "\n"))
+    # The row's number first: beside the explode it would be a line's.
+    rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.arrays_zip(
+        lines.alias("line"), following.alias("near")).alias("lines"))
+    rows = rows.select("id", "row", F.posexplode("lines").alias("pos", "at")).select("id", "row", "pos", "at.line", "at.near")
+    anchored = lambda text: F.exists(words_of(text), lambda w: w.isin(*model.anchors))
+    # A window ends before a line without words, or where a notice's words must have ended.
+    block = F.split("near", r"\n[^\p{L}\p{N}\n]*(?=\n|\z)", 2)[0]
+    rest = F.regexp_extract(F.expr("substring(block, length(line) + 1)"), rf"\A\s*+(?:\S++\s++){{0,{2 * MOST_WORDS}}}+[^\n]*+", 0)
+    kept = rows.where(anchored(F.substring_index("near", "\n", 2))).withColumn("block", block)
+    kept = scratch.keep(kept.select("id", "row", "pos", "line", F.concat("line", rest).alias("near")), "anchored")
+    some = kept.where(anchored(F.col("line"))).select("id", "row", "pos", F.col("line").alias("paragraph"))
+    scored = confirmed(judged(some.select("paragraph").distinct(), model, scratch))
     sure = (F.col("probability") >= FAMILY_AT_LEAST) & (F.col("confirmation") >= CONFIRM_AT_LEAST)
     scored = scratch.keep(scored.select("paragraph", F.when(sure, F.col("guess")).otherwise(UNKNOWN).alias("family"),
                                         "probability", "confirmation"), "scored")
-    return some.join(scored.hint("merge"), "paragraph").select(
-        F.col("id").alias(id_col), F.col("pos").alias("paragraph_no"), "family", "probability", "confirmation", "paragraph")
+    single = scratch.keep(some.join(scored.hint("merge"), "paragraph"), "single")
+    long = wrapped(kept.where(F.length("near") > F.length("line")).select("line", "near").distinct(), model, scratch)
+    long = scratch.keep(kept.select("id", "row", "pos", "near").join(long.hint("merge"), "near").drop("near"), "long")
+    # A line that holds its family's notice alone stands by itself.
+    in_lines = long.select("row", F.col("pos").alias("start"), "family", F.explode(F.expr("sequence(pos, pos + lines - 1)")).alias("pos"))
+    alone = in_lines.join(single.select("row", "pos", "family"), ["row", "pos", "family"]).select("row", F.col("start").alias("pos"), "family")
+    long = long.join(alone.distinct(), ["row", "pos", "family"], "left_anti")
+    # Of overlapping windows of a family the one with the most of the notice stays, of equal ones the last.
+    order = Window.partitionBy("row", "family").orderBy("pos")
+    after = (F.lead("pos").over(order) < F.col("pos") + F.col("lines")) & (F.lead("confirmation").over(order) >= F.col("confirmation"))
+    before = (F.lag(F.col("pos") + F.col("lines")).over(order) > F.col("pos")) & (F.lag("confirmation").over(order) > F.col("confirmation"))
+    long = long.withColumn("less", F.coalesce(after, F.lit(False)) | F.coalesce(before, F.lit(False))).where(~F.col("less")).drop("less")
+    long = scratch.keep(long, "windows")
+    parts = long.select("row", F.explode(F.expr("sequence(pos, pos + lines - 1)")).alias("pos"), F.lit(UNKNOWN).alias("family")).distinct()
+    single = single.join(parts, ["row", "pos", "family"], "left_anti")
+    columns = [F.col("id").alias(id_col), F.col("pos").alias("paragraph_no"), "family", "probability", "confirmation", "paragraph"]
+    return single.select(*columns).unionByName(long.select(*columns))
 
 
 def op5_license_scan(spark, sf_dir: str) -> DataFrame:

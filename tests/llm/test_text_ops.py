@@ -348,3 +348,18 @@ def test_licence_notices_common_in_the_corpus(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((r.doc_id, r.paragraph_no, r.family) for r in ls.scan(docs, ls.fit(docs)).collect())
     assert got == [(i, 2, some[i // 3 % 3]) for i in range(0, 240, 3)]
+
+
+def test_licence_wrapped_notices(spark, licence_model):
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"
+    gpl = ("# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n"
+           "# (at your option) any later version.")
+    mit = ("Permission is hereby granted, free of charge,\n * to any person obtaining a copy\n * of this software and associated\n"
+           " * documentation files (the \"Software\"), to deal")
+    rows = [(1, bsd), (2, f"A green meadow.\n\n# This program is free software: you can redistribute it and/or modify\n{gpl}\nThe river is wide."),
+            (3, f"The sky\n * {mit}\n\nThe end."), (4, bsd.replace("\n", "\n\n")), (5, f"{bsd}\n\n{mit}"), (5, f"{bsd}\n\n{mit}"), (None, bsd),
+            (6, "All rights reserved.\nThe river."), (7, "Released under\nthe MIT License.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.paragraph_no, r.family) for r in ls.scan(df, licence_model).collect() if r.family != "unknown"), key=repr)
+    assert got == sorted([(1, 0, "bsd"), (2, 3, "gpl-3.0"), (3, 1, "mit"), (5, 0, "bsd"), (5, 0, "bsd"), (5, 3, "mit"), (5, 3, "mit"),
+                          (None, 0, "bsd"), (6, 0, "proprietary"), (7, 0, "mit")], key=repr)
