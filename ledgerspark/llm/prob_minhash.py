@@ -358,32 +358,33 @@ class NearDuplicates:
             pivoted, chosen = some if pivoted is None else pivoted.unionByName(some), None
 
     def classes(self) -> DataFrame:
-        """Per text (v, label, hash): ``class_id`` (smallest id of the class), ``class_size`` in rows, ``n_links`` to other texts."""
+        """Per text (v, label, hash): ``class_id`` (smallest id of the class), ``class_size`` in rows, ``n_star_links``:
+        verified links to other texts by bucket stars and by the rounds that join classes (pairs already in one class aren't compared)."""
         own = self.texts.select("v", "hash", "id", "n").join(self.labels, "v", "left").withColumn(
             "label", F.coalesce("label", "v"))
         per = own.groupBy("label").agg(F.min("id").alias("class_id"), F.sum("n").alias("class_size"))
         both = self.links.select(F.col("a").alias("v")).unionByName(self.links.select(F.col("b").alias("v")))
-        degree = both.groupBy("v").agg(F.count(F.lit(1)).alias("n_links"))
+        degree = both.groupBy("v").agg(F.count(F.lit(1)).alias("n_star_links"))
         return own.join(per.hint("merge"), "label").join(degree, "v", "left").select(
-            "v", "label", "hash", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+            "v", "label", "hash", "class_id", "class_size", F.coalesce("n_star_links", F.lit(0)).alias("n_star_links"))
 
     def members(self) -> DataFrame:
-        """One row per input row: id, hash, class_id, class_size, n_links (verified links of its text) and kept."""
+        """One row per input row: id, hash, class_id, class_size, n_star_links (of its text) and kept."""
         ids = self.rows.groupBy("hash", "id").agg(F.count(F.lit(1)).alias("m"))
         out = ids.join(self.classes().hint("merge"), "hash")
         # Of the rows with the class's id, one stays (an id can stand at several texts, of one class or of several).
         best = out.where(F.col("id").eqNullSafe(F.col("class_id"))).groupBy("label").agg(F.min("hash").alias("best"))
         out = out.join(best.hint("merge"), "label", "left")
         stays = F.col("id").eqNullSafe(F.col("class_id")) & (F.col("hash") == F.col("best"))
-        return out.select("id", "hash", "class_id", "class_size", "n_links", stays.alias("stays"),
+        return out.select("id", "hash", "class_id", "class_size", "n_star_links", stays.alias("stays"),
                           F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))).alias("copy")).select(
-            "id", "hash", "class_id", "class_size", "n_links", (F.col("stays") & (F.col("copy") == 1)).alias("kept"))
+            "id", "hash", "class_id", "class_size", "n_star_links", (F.col("stays") & (F.col("copy") == 1)).alias("kept"))
 
 
 def op7_prob_minhash(spark, sf_dir: str) -> DataFrame:
     """Every document with its class of near-duplicates."""
     found = NearDuplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).members()
-    return found.select(F.col("id").alias("doc_id"), "class_id", "class_size", "n_links", "kept")
+    return found.select(F.col("id").alias("doc_id"), "class_id", "class_size", "n_star_links", "kept")
 
 
 QUERIES = {"op7_prob_minhash": op7_prob_minhash}

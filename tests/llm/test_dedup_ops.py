@@ -178,6 +178,14 @@ def test_near_duplicates_empty_table(spark):
     assert pm.NearDuplicates(docs_of(spark, [])).members().count() == 0
 
 
+def test_near_duplicate_links_are_named_for_what_they_count(spark):
+    text = " ".join(f"word{i}" for i in range(200))
+    out = pm.NearDuplicates(docs_of(spark, [(i, f"{text} end{i}") for i in range(5)])).members()
+    assert out.columns == ["id", "hash", "class_id", "class_size", "n_star_links", "kept"]
+    rows = out.collect()
+    assert {r.class_size for r in rows} == {5} and all(1 <= r.n_star_links <= 4 for r in rows)
+
+
 # ---- line dedup ----
 
 def line_brute(rows, least):
