@@ -37,12 +37,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import Scratch, table, text_or_empty
+from ledgerspark.llm.common import Scratch, table, text_or_empty, text_slices
 
 #: Words of a shard, over which its index is built (some 200 bytes each while it is).
-SHARD_WORDS = 1 << 19
-#: Bytes of text that are split at once (a longer text is split alone).
-SLICE_BYTES = 4 << 20
+SHARD_WORDS = 1 << 18
+#: Bytes of text that are split at once (a longer text is split alone), and rows that leave a shard at once.
+SLICE_BYTES = 1 << 20
+SLICE_ROWS = 1 << 16
 #: The bit map of frequent n-grams has at most so many bits.
 MOST_BITS = 1 << 27
 MIN_COUNT = 10
@@ -216,12 +217,14 @@ def _in(bits: np.ndarray, lang: str, hashes: list[np.ndarray]) -> np.ndarray:
 
 
 # ---------------------------------------------------------------- n-grams of a shard
-def _rows(lang: str, vocabulary: pa.Array, words: list[np.ndarray], counts: np.ndarray) -> pa.RecordBatch:
-    parts = [vocabulary.take(pa.array(w)) for w in words]
-    phrase = parts[0] if len(parts) == 1 else pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang]).take(pa.array(np.zeros(len(counts), np.int8))), pa.array(np.full(len(counts), len(words), np.int32)),
-         phrase.cast(pa.string()), pa.array(counts.astype(np.int64))], ["lang", "n", "phrase", "f"])
+def _rows(lang: str, vocabulary: pa.Array, words: list[np.ndarray], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for lo in range(0, len(counts), SLICE_ROWS):
+        some = counts[lo:lo + SLICE_ROWS].astype(np.int64)
+        parts = [vocabulary.take(pa.array(w[lo:lo + SLICE_ROWS])) for w in words]
+        phrase = parts[0] if len(parts) == 1 else pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang]).take(pa.array(np.zeros(len(some), np.int8))), pa.array(np.full(len(some), len(words), np.int32)),
+             phrase.cast(pa.string()), pa.array(some)], ["lang", "n", "phrase", "f"])
 
 
 def _shard_ngrams(lang: str, words: pa.Array, first: np.ndarray, depth: int,
@@ -232,7 +235,7 @@ def _shard_ngrams(lang: str, words: pa.Array, first: np.ndarray, depth: int,
     index = Index(codes, first, len(vocabulary), depth)
     grams = index.words()
     if not frequent:
-        yield _rows(lang, vocabulary, grams.words, grams.size)
+        yield from _rows(lang, vocabulary, grams.words, grams.size)
     hashes = _word_hashes(vocabulary) if frequent else None
     for n in range(2, depth + 1):
         # Pairs by a word on the left, longer ones by a word on the right.
@@ -240,7 +243,7 @@ def _shard_ngrams(lang: str, words: pa.Array, first: np.ndarray, depth: int,
         if frequent:
             parts = grams.words if n < depth else grams.words[1:]
             grams = grams.where(_in(frequent[len(parts)], lang, [hashes[w] for w in parts]))
-    yield _rows(lang, vocabulary, grams.words, grams.size)
+    yield from _rows(lang, vocabulary, grams.words, grams.size)
 
 
 class _Shards:
@@ -274,7 +277,7 @@ class _Shards:
             if not self.frequent:                                   # the words of the overlap are counted again
                 for n in range(1, min(self.depth, over - hi) + 1):
                     at = np.arange(hi, over - n + 1)
-                    yield _rows(lang, words, [at + i for i in range(n)], np.full(len(at), -1))
+                    yield from _rows(lang, words, [at + i for i in range(n)], np.full(len(at), -1))
         if not self.frequent:
             yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([0], pa.int32()), pa.array([""]),
                                               pa.array([len(words)], pa.int64())], ["lang", "n", "phrase", "f"])
@@ -285,14 +288,8 @@ def _ngrams(depth: int, frequent):
         shards = _Shards(depth, {n: b.value for n, b in frequent.items()})
         for batch in batches:
             for lang in pc.unique(batch.column(0)).to_pylist():
-                texts = batch.column(1).filter(pc.equal(batch.column(0), lang))
-                size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
-                cut = 0
-                while cut < len(texts):
-                    done = int(size[cut - 1]) if cut else 0
-                    end = max(cut + 1, int(np.searchsorted(size, done + SLICE_BYTES, side="right")))
-                    yield from shards.add(lang, *split_words(texts.slice(cut, end - cut)))
-                    cut = end
+                for _, texts in text_slices(batch.column(1).filter(pc.equal(batch.column(0), lang)), SLICE_BYTES):
+                    yield from shards.add(lang, *split_words(texts))
         for lang in list(shards.held):
             yield from shards.flush(lang)
     return emit
