@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +32,17 @@ def fresh(name: str, *taken: list[str]) -> str:
     return name
 
 
+def text_slices(texts: pa.Array, most_bytes: int) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, rows) of neighbouring texts of together at most so many bytes; a longer text stands alone."""
+    size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < len(texts):
+        done = size[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(size, done + most_bytes, side="right")))
+        yield lo, texts.slice(lo, hi - lo)
+        lo = hi
+
+
 class Scratch:
     """Written intermediate tables in the shared checkpoint folder.
 
