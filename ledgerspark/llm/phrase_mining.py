@@ -311,7 +311,9 @@ def ngram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                        text_or_empty(F.col(text_col)).alias("text"))
 
     def counted(depth: int, frequent: dict) -> DataFrame:
-        sums = rows.mapInArrow(_ngrams(depth, frequent), NGRAM).groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f"))
+        # Shards have combined their n-grams: another combine before the shuffle would find few to join and hold many.
+        found = rows.mapInArrow(_ngrams(depth, frequent), NGRAM).repartition("lang", "n", "phrase")
+        sums = found.groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f"))
         return scratch.keep(sums.where((F.col("f") >= min_count) | (F.col("n") == 0)), f"depth-{depth}")
 
     out = last = counted(2, {})
