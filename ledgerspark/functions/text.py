@@ -28,15 +28,21 @@ def ws_class() -> str:
 WS = ws_class()
 # Any character that is not such whitespace (a text has words iff it contains one).
 NON_WS = "[^" + WS[1:]
-DIGIT = "\\p{Nd}"
+# Decimal digits of other scripts and their ASCII digits, from the Unicode database, all planes.
+OTHER_DIGITS = "".join(c for c in map(chr, range(128, 0x110000)) if unicodedata.category(c) == "Nd")
+ASCII_DIGITS = "".join(str(unicodedata.digit(c)) for c in OTHER_DIGITS)
+# Any of them (spelled out: Java's and Python's Unicode versions differ). They stand in runs from 0 to 9.
+DIGIT = "[0-9" + "".join(f"{_code_point(ord(c))}-{_code_point(ord(c) + 9)}" for c, d in zip(OTHER_DIGITS, ASCII_DIGITS) if d == "0") + "]"
 # Sentence boundary: after . ! or ?, whitespace, before an upper-case ASCII letter.
 SENTENCE_SPLIT = f"(?<=[.!?]){WS}+(?=[A-Z])"
 # Figures with an explicit unit (Cr, %, percent), case-insensitive; commas are thousands separators.
 FIGURE = rf"(?i)({DIGIT}{{1,4}}(?:,{DIGIT}{{3}})*(?:\.{DIGIT}+)?){WS}*(?:Cr\b|%|percent\b)"
 ELLIPSIS = "…"
-# Decimal digits of other scripts and their ASCII digits, from the Unicode database.
-OTHER_DIGITS = "".join(c for c in map(chr, range(128, 0x10000)) if unicodedata.category(c) == "Nd")
-ASCII_DIGITS = "".join(str(unicodedata.digit(c)) for c in OTHER_DIGITS)
+
+
+def ascii_digits(c: Column) -> Column:
+    """The text with digits of other scripts as ASCII digits; most texts hold none and aren't translated."""
+    return F.when(c.rlike("[^\\x00-\\x7F]"), F.translate(c, OTHER_DIGITS, ASCII_DIGITS)).otherwise(c)
 
 
 def strip_ws(c: Column) -> Column:

@@ -2,9 +2,10 @@
 through the real gates, scored against what each gate is expected to catch.
 
 Mutations are pure DataFrame -> DataFrame plan transforms over the same base
-(no copies of the data). "The first row" is the row with the smallest key —
-Spark has no file order — found with a global min (partial aggregation, one
-row) and joined back as a broadcast of that single row.
+(no copies of the data) that change exactly one row. "The first row" is the first
+in a full ordering of the rows — the smallest key, then the other columns in order,
+nulls first; Spark has no file order — found by one global min with partial
+aggregation. If equal rows repeat it, one of them is changed.
 """
 
 from __future__ import annotations
@@ -22,19 +23,34 @@ from ledgerspark.session import write_back
 FX_CURRENCY_ORDER = ["USD", "EUR", "GBP", "AED"]
 
 
-def _first(df: DataFrame, key: str, where: F.Column | None = None) -> DataFrame:
-    """One-row frame holding the smallest ``key`` (optionally among rows matching ``where``)."""
+def first_row(df: DataFrame, order: list[F.Column], where: F.Column | None = None) -> DataFrame:
+    """One-row frame: the first row by ``order`` and then by all columns, among those matching ``where``."""
     src = df if where is None else df.where(where)
-    return F.broadcast(src.agg(F.min(key).alias(key)).where(F.col(key).isNotNull()))
+    whole = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+    return F.broadcast(src.agg(F.min(whole).alias("_m")).where(F.col("_m").isNotNull()).select("_m._row.*"))
+
+
+def _first(df: DataFrame, key: str, where: F.Column | None = None) -> DataFrame:
+    """The row with the smallest ``key`` (optionally among rows matching ``where``)."""
+    known = F.col(key).isNotNull()
+    return first_row(df, [F.col(key)], known if where is None else known & where)
+
+
+def without_first(df: DataFrame, first: DataFrame) -> DataFrame:
+    """``df`` less one copy of the row ``first`` (compared in all columns, nulls equal)."""
+    f = first.toDF(*[f"_f{i}" for i in range(len(df.columns))])
+    same = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"_f{i}")) for i, c in enumerate(df.columns)])
+    others = df.join(F.broadcast(f), same, "left_anti")
+    copies = df.join(F.broadcast(f), same, "left_semi").groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    copies = copies.where("_n > 1").withColumn("_i", F.explode(F.sequence(F.lit(2).cast("long"), F.col("_n"))))
+    return others.unionByName(copies.select(*[F.col(f"`{c}`") for c in df.columns]))
 
 
-def _set_on(df: DataFrame, first: DataFrame, key: str, col: str, value: F.Column) -> DataFrame:
-    tagged = first.withColumn("_target", F.lit(True))
-    j = df.join(tagged, key, "left")
-    hit = F.coalesce(F.col("_target"), F.lit(False))
+def _set_on(df: DataFrame, first: DataFrame, col: str, value: F.Column) -> DataFrame:
+    """``df`` with one column of its row ``first`` changed, in that one row."""
     dtype = dict(df.dtypes)[col]
-    return j.select(*[F.when(hit, value.cast(dtype)).otherwise(F.col(c)).alias(c) if c == col else F.col(c)
-                      for c in df.columns])
+    changed = first.select(*[value.cast(dtype).alias(c) if c == col else F.col(f"`{c}`") for c in df.columns])
+    return without_first(df, first).unionByName(changed)
 
 
 def _detail(first: DataFrame, text: F.Column) -> DataFrame:
@@ -50,38 +66,36 @@ class Mutation:
 
 def duplicate_first_row(df: DataFrame, key: str) -> Mutation:
     first = _first(df, key)
-    data = df.unionByName(df.join(first, key, "left_semi"))
-    return Mutation(data, _detail(first, F.concat(F.lit(f"duplicated row with {key}="), F.col(key))), first)
+    return Mutation(df.unionByName(first), _detail(first, F.concat(F.lit(f"duplicated row with {key}="), F.col(key))), first.select(key))
 
 
 def null_entry_date(gl: DataFrame) -> Mutation:
     first = _first(gl, "entry_id")
-    return Mutation(_set_on(gl, first, "entry_id", "entry_date", F.lit(None)),
-                    _detail(first, F.concat(F.lit("set entry_date to null on entry_id="), F.col("entry_id"))), first)
+    return Mutation(_set_on(gl, first, "entry_date", F.lit(None)),
+                    _detail(first, F.concat(F.lit("set entry_date to null on entry_id="), F.col("entry_id"))), first.select("entry_id"))
 
 
 def invalid_account_type(gl: DataFrame) -> Mutation:
     first = _first(gl, "entry_id")
-    return Mutation(_set_on(gl, first, "entry_id", "account_type", F.lit("Miscellaneous")),
+    return Mutation(_set_on(gl, first, "account_type", F.lit("Miscellaneous")),
                     _detail(first, F.concat(F.lit("set account_type='Miscellaneous' (not in Revenue/COGS/OpEx) on entry_id="),
-                                            F.col("entry_id"))), first)
+                                            F.col("entry_id"))), first.select("entry_id"))
 
 
 def invalid_currency(gl: DataFrame) -> Mutation:
     first = _first(gl, "entry_id")
-    return Mutation(_set_on(gl, first, "entry_id", "currency", F.lit("JPY")),
+    return Mutation(_set_on(gl, first, "currency", F.lit("JPY")),
                     _detail(first, F.concat(F.lit("set currency='JPY' (not in INR/USD/EUR/GBP/AED) on entry_id="),
-                                            F.col("entry_id"))), first)
+                                            F.col("entry_id"))), first.select("entry_id"))
 
 
 def negative_revenue_amount(gl: DataFrame) -> Mutation:
     first = _first(gl, "entry_id", F.col("account_type") == "Revenue")
-    data = _set_on(gl, first, "entry_id", "amount", -F.abs(F.col("amount")))
-    orig = gl.join(first, "entry_id", "left_semi").select("entry_id", "amount")
+    data = _set_on(gl, first, "amount", -F.abs(F.col("amount")))
     text = F.concat(F.lit("flipped Revenue entry_id="), F.col("entry_id"), F.lit(" amount "),
                     F.col("amount").cast("string"), F.lit(" -> "), (-F.abs(F.col("amount"))).cast("string"),
                     F.lit(" (G1-G3 don't check amount sign per account_type — only G6 post-dbt does)"))
-    return Mutation(data, orig.select(text.alias("mutation_detail")), first)
+    return Mutation(data, _detail(first, text), first.select("entry_id"))
 
 
 def missing_fx_rate(fx: DataFrame, gl: DataFrame, base: str = "INR") -> Mutation:
@@ -99,24 +113,17 @@ def missing_fx_rate(fx: DataFrame, gl: DataFrame, base: str = "INR") -> Mutation
 
 def zero_fx_rate(fx: DataFrame) -> Mutation:
     rank = F.array_position(F.array(*[F.lit(c) for c in FX_CURRENCY_ORDER]), F.col("from_currency"))
-    first = F.broadcast(fx.select(F.struct(F.col("rate_date"), F.when(rank == 0, 99).otherwise(rank).alias("r"),
-                                           F.col("from_currency")).alias("s"))
-                        .agg(F.min("s").alias("s"))
-                        .select(F.col("s.rate_date").alias("rate_date"), F.col("s.from_currency").alias("from_currency"))
-                        .where(F.col("rate_date").isNotNull()))
-    tagged = first.withColumn("_target", F.lit(True))
-    j = fx.join(tagged, ["rate_date", "from_currency"], "left")
-    data = j.select(*[F.when(F.coalesce(F.col("_target"), F.lit(False)), F.lit(0).cast(dict(fx.dtypes)["rate"]))
-                      .otherwise(F.col("rate")).alias("rate") if c == "rate" else F.col(c) for c in fx.columns])
+    first = first_row(fx, [F.col("rate_date"), F.when(rank == 0, 99).otherwise(rank), F.col("from_currency")], F.col("rate_date").isNotNull())
+    data = _set_on(fx, first, "rate", F.lit(0))
     text = F.concat(F.lit("set fx rate to 0 for "), F.col("rate_date").cast("string"), F.lit("/"), F.col("from_currency"))
     return Mutation(data, first.select(text.alias("mutation_detail")))
 
 
 def negative_hours_logged(payroll: DataFrame) -> Mutation:
     first = _first(payroll, "allocation_id")
-    return Mutation(_set_on(payroll, first, "allocation_id", "hours_logged", F.lit(-10.0)),
+    return Mutation(_set_on(payroll, first, "hours_logged", F.lit(-10.0)),
                     _detail(first, F.concat(F.lit("set hours_logged=-10.0 on allocation_id="), F.col("allocation_id"))),
-                    first)
+                    first.select("allocation_id"))
 
 
 # The anomaly catalogue (type, mutated file, gate, expected to be caught).

@@ -1,9 +1,14 @@
-"""Declarative column tests compiled to few Spark jobs.
-
-A model's rules are evaluated with one aggregation for all row-level tests
-(not-null, accepted values), one grouped job per uniqueness rule and one anti
-join per relationship / value-set rule. A missing column gives a failing
-result row instead of an analysis error.
+"""Declarative column tests, all decided by one aggregation.
+
+Every row is turned into the (rule, key) pairs that matter to a rule: the key of a
+uniqueness rule, an offending value, a key that must exist in another model, a mark
+for a null. The pairs of all models, together with the parent keys of the rules
+that name another model, are grouped once by (model, rule, key) with map-side
+combine; a second aggregate over one row per rule counts the failing keys or rows.
+A model is scanned once, whatever its rules are, and shuffled once; nothing is
+broadcast, so parents may be of any size, and a key that fills a third of a
+table meets as one row per task. A missing column gives a failing result row instead
+of an analysis error.
 
 Failure counts follow the usual data-test conventions: not_null counts rows,
 unique and unique_combination count duplicated values (groups), accepted_values
@@ -19,6 +24,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerspark.sources.bronze import typed_cells
+
 RESULT_COLUMNS = ["model", "test", "column_name", "failures", "passed"]
 
 
@@ -45,70 +52,89 @@ class ModelTests:
     rules: list[Rule] = field(default_factory=list)
 
 
-def _row(model: str, rule: Rule, failures: F.Column) -> F.Column:
-    return F.struct(F.lit(model).alias("model"), F.lit(rule.test).alias("test"),
-                    F.lit(",".join(rule.columns)).alias("column_name"),
-                    failures.cast("long").alias("failures"))
+#: Rules whose failures are rows; those of the others are keys.
+COUNTS_ROWS = ("not_null", "relationships")
 
 
-def run_model_tests(model: str, df: DataFrame, rules: list[Rule], refs: dict[str, DataFrame],
-                    broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Evaluate ``rules`` on ``df``; one result row per rule, in rule order.
+def _key(*cols: F.Column) -> F.Column:
+    """A key of any type as text; of several columns with their nulls, which are equal to each other."""
+    return cols[0].cast("string") if len(cols) == 1 else F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
 
-    A rule checked against another model (relationships, accepted values from
-    a model) whose distinct parent keys are proven small is folded into the
-    one fused aggregate: ``df`` is left-joined with the broadcast parent keys
-    (distinct, so no row fans out) and offending rows are counted in the same
-    pass. Larger parents are checked with a separate anti join.
-    """
-    from ledgerspark.operators.joins import proven_small
-    cols = set(df.columns)
-    fused_exprs, fused_idx, parts = [], [], []
-    base = df
+
+def _pairs(model: str, df: DataFrame, rules: list[Rule], missing: set[int]) -> DataFrame | None:
+    """(model, rule_no, key, parent) of every row and rule to which the row matters."""
+    pairs = []
     for i, r in enumerate(rules):
-        if not set(r.columns) <= cols or (r.ref is not None and r.ref_column not in refs[r.ref].columns):
-            parts.append((i, base.sparkSession.range(1).select(_row(model, r, F.lit(None)).alias("r"))))
+        if i in missing:
             continue
-        c = F.col(r.columns[0])
+        cols = [F.col(f"`{c}`") for c in r.columns]
+        c = cols[0]
         if r.test == "not_null":
-            fused_idx.append(i)
-            fused_exprs.append(_row(model, r, F.count(F.when(c.isNull(), 1))))
+            key = F.when(c.isNull(), F.lit(""))
         elif r.test == "accepted_values" and r.ref is None:
-            fused_idx.append(i)
-            fused_exprs.append(_row(model, r, F.count_distinct(F.when(~c.isin(*r.values), c))))
-        elif r.test in ("unique", "unique_combination"):
-            keys = list(r.columns)
-            g = (base.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]) if r.test == "unique"
-                          else F.lit(True))
-                 .groupBy(*keys).count().where(F.col("count") > 1))
-            parts.append((i, g.agg(_row(model, r, F.count(F.lit(1))).alias("r"))))
-        elif r.test in ("relationships", "accepted_values") and proven_small(
-                parent := refs[r.ref].select(F.col(r.ref_column).alias(f"_pk{i}")).distinct(), broadcast_rows):
-            df = df.join(F.broadcast(parent.withColumn(f"_hit{i}", F.lit(True))), c == F.col(f"_pk{i}"), "left")
-            orphan = c.isNotNull() & F.col(f"_hit{i}").isNull()
-            fused_idx.append(i)
-            fused_exprs.append(_row(model, r, F.count(F.when(orphan, 1)) if r.test == "relationships"
-                                    else F.count_distinct(F.when(orphan, c))))
-        elif r.test in ("relationships", "accepted_values"):
-            parent = refs[r.ref].select(F.col(r.ref_column).alias("_pk")).distinct()
-            child = base.select(c.alias("_ck")).where(F.col("_ck").isNotNull())
-            if r.test == "accepted_values":
-                child = child.distinct()
-            bad = child.join(parent, F.col("_ck") == F.col("_pk"), "left_anti")
-            parts.append((i, bad.agg(_row(model, r, F.count(F.lit(1))).alias("r"))))
+            key = F.when(~c.isin(*r.values), _key(c))
+        elif r.test in ("unique", "accepted_values", "relationships"):
+            key = _key(c)
+        elif r.test == "unique_combination":
+            key = F.coalesce(_key(*cols), F.lit(""))
         else:
             raise ValueError(f"unknown test {r.test}")
-    frames = []
-    if fused_exprs:
-        fused = df.agg(F.array(*fused_exprs).alias("a")).select(F.posexplode("a").alias("p", "r"))
-        idx = F.element_at(F.array(*[F.lit(i) for i in fused_idx]), F.col("p") + 1)
-        frames.append(fused.select(idx.alias("i"), "r"))
-    for i, p in parts:
-        frames.append(p.select(F.lit(i).alias("i"), "r"))
-    out = reduce(DataFrame.unionByName, frames)
-    return out.select(F.col("i").cast("long").alias("rule_no"), "r.*").select(
-        "model", "rule_no", "test", "column_name", "failures",
-        F.coalesce(F.col("failures") == 0, F.lit(False)).alias("passed"))
+        pairs.append(F.struct(F.lit(i).alias("rule_no"), key.alias("key")))
+    if not pairs:
+        return None
+    each = df.select(F.explode(F.filter(F.array(*pairs), lambda p: p["key"].isNotNull())).alias("p"))
+    return each.select(F.lit(model).alias("model"), "p.*", F.lit(False).alias("parent"))
+
+
+def _parents(model: str, rules: list[Rule], refs: dict[str, DataFrame], missing: set[int]) -> list[DataFrame]:
+    """The keys that another model offers to the rules, marked as such."""
+    out = []
+    wanted: dict[tuple[str, str], list[int]] = {}
+    for i, r in enumerate(rules):
+        if r.ref is not None and i not in missing:
+            wanted.setdefault((r.ref, r.ref_column), []).append(i)
+    for (ref, column), numbers in wanted.items():
+        c = F.col(f"`{column}`")
+        out.append(refs[ref].where(c.isNotNull()).select(
+            F.lit(model).alias("model"), F.explode(F.array(*[F.lit(i) for i in numbers])).alias("rule_no"), _key(c).alias("key"),
+            F.lit(True).alias("parent")))
+    return out
+
+
+def evaluate_models(models: dict[str, DataFrame], rules: dict[str, list[Rule]], refs: dict[str, DataFrame]) -> DataFrame:
+    """Evaluate the rules of several models: one result row per rule, all from one grouping."""
+    spark = next(iter(models.values())).sparkSession
+    listed, frames = [], []
+    for model, df in models.items():
+        cols = set(df.columns)
+        missing = {i for i, r in enumerate(rules[model]) if not set(r.columns) <= cols
+                   or (r.ref is not None and r.ref_column not in refs[r.ref].columns)}
+        listed += [(model, i, r.test, ",".join(r.columns), i in missing, r.test in COUNTS_ROWS) for i, r in enumerate(rules[model])]
+        own = _pairs(model, df, rules[model], missing)
+        frames += ([own] if own is not None else []) + _parents(model, rules[model], refs, missing)
+    listed_df = spark.createDataFrame(listed, "model string, rule_no long, test string, column_name string, missing boolean, by_row boolean")
+    if frames:
+        keys = reduce(DataFrame.unionByName, frames).groupBy("model", "rule_no", "key").agg(
+            F.count(F.when(~F.col("parent"), 1)).alias("n"), F.max("parent").alias("has_parent"))
+        # What a key counts for depends on its rule's kind: the rules are a short list, known when the plan is made.
+        kind = F.element_at(F.create_map(*[F.lit(x) for model, i, test, *_ in listed for x in (f"{model}/{i}", test)]),
+                            F.concat_ws("/", "model", "rule_no"))
+        orphan = ~F.col("has_parent") & (F.col("n") > 0)
+        failing = (F.when(F.col("kind").isin("unique", "unique_combination"), (F.col("n") > 1).cast("long"))
+                   .when(F.col("kind") == "not_null", F.col("n")).when(F.col("kind") == "relationships", F.when(orphan, F.col("n")).otherwise(0))
+                   .otherwise(orphan.cast("long")))
+        found = keys.withColumn("kind", kind).groupBy("model", "rule_no").agg(F.sum(failing).alias("failures"))
+        listed_df = listed_df.join(found.withColumn("rule_no", F.col("rule_no").cast("long")), ["model", "rule_no"], "left")
+    else:
+        listed_df = listed_df.withColumn("failures", F.lit(None).cast("long"))
+    failures = F.when(~F.col("missing"), F.coalesce("failures", F.lit(0))).cast("long")
+    return listed_df.select("model", "rule_no", "test", "column_name", failures.alias("failures")).withColumn(
+        "passed", F.coalesce(F.col("failures") == 0, F.lit(False)))
+
+
+def run_model_tests(model: str, df: DataFrame, rules: list[Rule], refs: dict[str, DataFrame]) -> DataFrame:
+    """Evaluate ``rules`` on one model; one result row per rule."""
+    return evaluate_models({model: df}, {model: rules}, refs)
 
 
 # The column tests declared on the reference's models (74).
@@ -165,5 +191,14 @@ SOURCE_RULES: dict[str, list[Rule]] = {
 
 
 def run_all_model_tests(models: dict[str, DataFrame], rules: dict[str, list[Rule]] = MODEL_RULES) -> DataFrame:
-    frames = [run_model_tests(m, models[m], rules[m], models) for m in rules if m in models]
-    return reduce(DataFrame.unionByName, frames)
+    """All rules of all models at hand, in one job."""
+    return evaluate_models({m: models[m] for m in rules if m in models}, rules, models)
+
+
+def run_source_tests(sources: dict[str, DataFrame], rules: dict[str, list[Rule]] = SOURCE_RULES) -> DataFrame:
+    """The bronze sources' tests over their text as it was read.
+
+    A cell of a typed column that is blank or doesn't fit its type has no value, so it is a counted failing row
+    of its column's not_null test before staging ever casts it.
+    """
+    return run_all_model_tests({name: typed_cells(df, name) for name, df in sources.items()}, rules).withColumnRenamed("model", "source")

@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast and a band (tolerance) join."""
+"""Join helpers: size-checked broadcast and a band (tolerance) join by an interval index."""
 
 from __future__ import annotations
 
@@ -63,30 +63,46 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     return F.broadcast(df) if proven_small(df, max_rows, max_bytes) else df
 
 
-def band_join_match(left: DataFrame, left_val: str, right: DataFrame, right_val: str,
-                    tol: float, keys: list[str]) -> DataFrame:
-    """For each left row (identified by ``keys``), whether any right value lies
-    within ``tol`` of ``left_val`` (inclusive, computed on doubles).
+def _bucket(v: F.Column, tol: float) -> F.Column:
+    """The number of the bucket, 1.5 ``tol`` wide, that holds a value; as a double, so no value overflows it.
 
-    Rewritten as an equi-join: right values are put into buckets of width
-    ``2*tol``; a left value only needs its own bucket and the two neighbours,
-    then the exact residual ``abs(a - b) <= tol`` decides. No nested loop and
-    no cross product; the right side is de-duplicated first so a hot value
-    does not fan out, and broadcast when proven small (then the left side is
-    never shuffled for this join; AQE's runtime conversion would come only
-    after the left side's shuffle had been written).
+    Past 2^53 buckets doubles lie farther apart than ``tol`` and every one is a bucket of its own.
     """
-    width = 2.0 * tol
-    rv = sized_broadcast(right.select(F.col(right_val).cast("double").alias("_rv"))
-                         .where(F.col("_rv").isNotNull()).distinct()
-                         .withColumn("_b", F.floor(F.col("_rv") / F.lit(width))))
-    lv = (left.select(*keys, F.col(left_val).cast("double").alias("_lv"))
-          .withColumn("_b0", F.floor(F.col("_lv") / F.lit(width)))
-          .withColumn("_b", F.explode(F.array(F.col("_b0") - 1, F.col("_b0"), F.col("_b0") + 1))))
-    hits = (lv.join(rv, "_b", "inner")
-            .where(F.abs(F.col("_lv") - F.col("_rv")) <= F.lit(tol))
-            .select(*keys).distinct()
-            .withColumn("_matched", F.lit(True)))
-    return (left.join(hits, keys, "left")
-            .withColumn("matched", F.coalesce(F.col("_matched"), F.lit(False)))
-            .drop("_matched"))
+    at = v / F.lit(1.5 * tol)
+    return F.when(F.abs(at) < F.lit(2.0 ** 53), F.floor(at).cast("double")).otherwise(at)
+
+
+def band_index(values: DataFrame, val: str, tol: float) -> DataFrame:
+    """Nearest values by bucket: (bucket, own least, own greatest, greatest of the bucket before, least of the one after).
+
+    Buckets are 1.5 ``tol`` wide. Two values of one bucket are then less than twice ``tol`` apart, so a point between
+    its bucket's least and greatest lies within ``tol`` of one of them; values two buckets away are farther than
+    ``tol``. Four numbers per bucket therefore decide every point of it. One partial aggregate and one shuffle,
+    bounded by the number of filled buckets, however often a value occurs.
+    """
+    v = F.col(val).cast("double")
+    rows = values.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    own = rows.groupBy(_bucket(F.col("v"), tol).alias("b")).agg(F.min("v").alias("least"), F.max("v").alias("greatest"))
+    # A bucket also tells its two neighbours about its nearer end.
+    null = F.lit(None).cast("double")
+    told = own.select(F.explode(F.array(
+        F.struct(F.col("b").alias("_bucket"), F.col("least"), F.col("greatest"), null.alias("below"), null.alias("above")),
+        F.struct((F.col("b") + 1).alias("_bucket"), null.alias("least"), null.alias("greatest"), F.col("greatest").alias("below"), null.alias("above")),
+        F.struct((F.col("b") - 1).alias("_bucket"), null.alias("least"), null.alias("greatest"), null.alias("below"), F.col("least").alias("above")),
+    )).alias("t")).select("t.*")
+    ends = ["least", "greatest", "below", "above"]
+    return told.groupBy("_bucket").agg(*[F.max(c).alias(f"_{c}") for c in ends])
+
+
+def with_band_match(points: DataFrame, val: str, values: DataFrame, values_val: str, tol: float, as_col: str = "matched") -> DataFrame:
+    """``points`` with whether any value lies within ``tol`` (inclusive, computed on doubles) of their column ``val``.
+
+    One left join with the interval index of the values by bucket: no point is duplicated, compared with more
+    than four numbers, or joined back to its row. The index is broadcast when proven small, otherwise joined by
+    shuffle (a hot bucket is split by AQE, the index has one row for it).
+    """
+    index = sized_broadcast(band_index(values, values_val, tol))
+    v = F.col(val).cast("double")
+    joined = points.withColumn("_at", _bucket(v, tol)).join(index, F.col("_at") == F.col("_bucket"), "left")
+    near = [F.coalesce(F.abs(v - F.col(c)) <= F.lit(tol), F.lit(False)) for c in ("_least", "_greatest", "_below", "_above")]
+    return joined.withColumn(as_col, near[0] | near[1] | near[2] | near[3]).drop("_at", "_bucket", "_least", "_greatest", "_below", "_above")

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.num import round_to
-from ledgerspark.functions.text import ASCII_DIGITS, DIGIT, ELLIPSIS, OTHER_DIGITS, FIGURE, NON_WS, SENTENCE_SPLIT, WS, split_words, strip_ws
-from ledgerspark.operators.joins import band_join_match
+from ledgerspark.functions.text import DIGIT, ELLIPSIS, FIGURE, NON_WS, SENTENCE_SPLIT, WS, ascii_digits, split_words, strip_ws
+from ledgerspark.operators.joins import with_band_match
 from ledgerspark.operators.measures import pnl_crore_grounding
 
 # Fixed values of the scoring (must equal the reference's).
@@ -48,9 +48,9 @@ def extract_claims(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 # ---------------------------------------------------------------- grounding
 def figures(text: F.Column) -> F.Column:
-    """Numbers carrying a unit (Cr / % / percent) as doubles, commas removed."""
+    """Numbers carrying a unit (Cr / % / percent) as doubles, commas removed; digits of any script count."""
     return F.transform(F.regexp_extract_all(text, F.lit(FIGURE), 1),
-                       lambda m: F.translate(F.regexp_replace(m, ",", ""), OTHER_DIGITS, ASCII_DIGITS).cast("double"))
+                       lambda m: ascii_digits(F.replace(m, F.lit(","), F.lit(""))).try_cast("double"))
 
 
 def measure_values(frame: DataFrame, cols: list[str] = GROUNDING_COLUMNS) -> DataFrame:
@@ -69,18 +69,18 @@ def ground_claims(claims: DataFrame, keys: list[str], values: DataFrame,
     """Per claim: figures found, figures matching any value (column ``value``) within ``tol``, score.
 
     score = matched / figures, or 0.5 when the claim has no figure. Which
-    segment or month a value belongs to is not considered. The figure-to-value
-    match is a bucketed equi-join (band join), not a nested loop.
+    segment or month a value belongs to is not considered. Figures are taken
+    once, one row each beside their claim, matched by one join with the interval
+    index of the values and summed up again per claim.
     """
-    figs = claims.select(*keys, F.posexplode(figures(F.col("claim_text"))).alias("fig_no", "figure"))
-    matched = band_join_match(figs, "figure", values, "value", tol, [*keys, "fig_no"])
-    per_claim = matched.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_figures"),
-                                           F.sum(F.col("matched").cast("long")).alias("n_matched"))
-    j = claims.join(per_claim, keys, "left")
-    n = F.coalesce(F.col("n_figures"), F.lit(0)).cast("long")
-    m = F.coalesce(F.col("n_matched"), F.lit(0)).cast("long")
+    found = claims.select(*keys, "claim_text", F.explode_outer(figures(F.col("claim_text"))).alias("_figure"))
+    matched = with_band_match(found, "_figure", values, "value", tol, "_hit")
+    per_claim = matched.groupBy(*keys).agg(
+        F.first("claim_text").alias("claim_text"), F.count("_figure").alias("n_figures"),
+        F.count(F.when(F.col("_hit"), 1)).alias("n_matched"))
+    n, m = F.col("n_figures"), F.col("n_matched")
     score = F.when(n == 0, F.lit(NO_FIGURE_SCORE)).otherwise(m.cast("double") / n.cast("double"))
-    return j.select(*keys, "claim_text", n.alias("n_figures"), m.alias("n_matched"), score.alias("grounding_score"))
+    return per_claim.select(*keys, "claim_text", "n_figures", "n_matched", score.alias("grounding_score"))
 
 
 # ---------------------------------------------------------------- judge responses
@@ -93,19 +93,21 @@ FLOAT_TEXT = (r"(?i)\A[+-]?(?:(?:\d(?:_?\d)*)(?:\.(?:\d(?:_?\d)*)?)?(?:e[+-]?\d(
               r"|\.\d(?:_?\d)*(?:e[+-]?\d(?:_?\d)*)?|inf|infinity|nan)\z")
 
 
-def _json_object(c: F.Column) -> F.Column:
-    """The one JSON object that a text holds, as a variant; null for anything else.
+# JSON as the reference's parser reads it: double quotes only; NaN and Infinity are numbers.
+JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "true", "columnNameOfCorruptRecord": "_bad"}
 
-    The parser stops after the first value, so the text is parsed inside an
-    array and inside an object: text after the value breaks at least one of
-    them, and a second value would be the array's second element.
+
+def _json_object(c: F.Column, fields: str) -> F.Column:
+    """The one JSON object that a text holds, as a struct of the given fields; null for anything else.
+
+    Of a repeated key the last value counts. The parser stops after the first value, so the text is parsed inside
+    an array and inside an object: text after the value breaks at least one of them, and a second value would be
+    the array's second element.
     """
-    whole = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
-    field = F.try_parse_json(F.concat(F.lit('{"x":'), c, F.lit("}")))
-    one = (c.startswith("{") & c.endswith("}") & field.isNotNull() & F.schema_of_variant(whole).isNotNull()
-           & F.try_variant_get(whole, "$[1]", "variant").isNull()
-           & (F.size(F.from_json(F.to_json(field), "map<string,string>")) == 1))
-    return F.when(one, F.try_variant_get(whole, "$[0]", "variant"))
+    inside = F.from_json(F.concat(F.lit('{"x":'), c, F.lit("}")), f"x struct<{fields}>, _bad string", JSON_OPTIONS)
+    listed = F.from_json(F.concat(F.lit("["), c, F.lit("]")), f"array<struct<{fields}>>", JSON_OPTIONS)
+    one = (c.startswith("{") & c.endswith("}") & inside["_bad"].isNull() & (F.size(listed) == 1))
+    return F.when(one, F.coalesce(inside["x"], listed[0]))
 
 
 def parse_judge(df: DataFrame, raw_col: str, prefix: str) -> DataFrame:
@@ -115,22 +117,25 @@ def parse_judge(df: DataFrame, raw_col: str, prefix: str) -> DataFrame:
     ``supported`` is taken by truthiness of its JSON type (missing and null are
     false, a string is true when non-empty, a number when non-zero, an array or
     object when it has elements); ``confidence`` becomes a double (missing = 0.0;
-    a text by Python's float grammar). Any failure gives (false, 0.0) with
-    ``parse_ok`` false. Each step is its own projection referring to the
-    previous step's columns, so the plan stays small.
+    a text by Python's float grammar, digits of any script). Any failure gives
+    (false, 0.0) with ``parse_ok`` false; so does, unlike in Python, a ``supported`` or
+    ``confidence`` that is an object with a key repeated inside it. Each step is its own projection referring
+    to the previous step's columns, so the plan stays small.
     """
     t = [f"_{prefix}_{n}" for n in ("o", "s", "c", "st", "ct", "ss", "cs", "conf", "supb", "ok")]
     o, s, c, st, ct, ss, cs, conf, supb, ok = (F.col(x) for x in t)
-    df = df.withColumn("_raw", _strip_fences(F.col(raw_col))).withColumn(t[0], _json_object(F.col("_raw"))).drop("_raw")
-    df = df.withColumns({t[1]: F.try_variant_get(o, "$.supported", "variant"), t[2]: F.try_variant_get(o, "$.confidence", "variant")})
+    df = df.withColumn("_raw", _strip_fences(F.col(raw_col)))
+    df = df.withColumn(t[0], _json_object(F.col("_raw"), "supported variant, confidence variant")).drop("_raw")
+    df = df.withColumns({t[1]: o["supported"], t[2]: o["confidence"]})
     df = df.withColumns({t[3]: F.schema_of_variant(s), t[4]: F.schema_of_variant(c),
                          t[5]: F.coalesce(F.try_variant_get(s, "$", "string"), F.lit("")),
                          t[6]: F.coalesce(F.try_variant_get(c, "$", "string"), F.lit(""))})
-    number = strip_ws(cs)
+    number = ascii_digits(strip_ws(cs))
     df = df.withColumns({
         t[7]: (F.when(ct.isNull(), F.lit(0.0))
                .when(ct == "BOOLEAN", F.when(cs == "true", 1.0).otherwise(0.0))
-               .when(ct == "STRING", F.when(number.rlike(FLOAT_TEXT), F.replace(number, F.lit("_"), F.lit("")).try_cast("double")))
+               .when(ct == "STRING", F.when(number.rlike(r"(?i)\A[+-]?nan\z"), F.lit(float("nan")))
+                     .when(number.rlike(FLOAT_TEXT), F.replace(number, F.lit("_"), F.lit("")).try_cast("double")))
                .when((ct == "VOID") | ct.startswith("ARRAY") | ct.startswith("OBJECT"), F.lit(None).cast("double"))
                .otherwise(cs.try_cast("double"))),
         t[8]: (F.when(st.isNull() | (st == "VOID"), F.lit(False))
@@ -220,8 +225,8 @@ def parse_verdict(df: DataFrame, raw_col: str) -> DataFrame:
     empty = F.array().cast("array<struct<claim:string,expected:string,status:string>>")
     d = df.withColumn("_c", _strip_fences(F.col(raw_col)))
     d = d.withColumns({
-        "_ok": _json_object(F.col("_c")).isNotNull(),
-        "_v": F.from_json(F.col("_c"), VERDICT_SCHEMA)})
+        "_ok": _json_object(F.col("_c"), "verdict variant").isNotNull(),
+        "_v": F.from_json(F.col("_c"), VERDICT_SCHEMA, JSON_OPTIONS)})
     d = d.withColumn("_issues", F.coalesce(F.col("_v.issues"), empty))
     ok, v = F.col("_ok"), F.col("_v")
     n_inc = F.size(F.filter(F.col("_issues"), lambda i: i["status"] == "INCONSISTENT"))

@@ -1,5 +1,5 @@
-"""Sinks: materialized marts, CSV export, catalog publish with type
-normalization, and append-only run logs.
+"""Sinks: materialized marts and CSV export; publish types. Versioned publishing and
+run logs are in ``warehouse``.
 
 Writers are Spark's parallel writers; no data passes through the driver. Row
 order is not a table property, so marts are written without a global sort.
@@ -7,12 +7,11 @@ order is not a table property, so marts are written without a global sort.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, ByteType, DateType, DecimalType, DoubleType, FloatType, IntegerType,
-                               LongType, ShortType, TimestampNTZType, TimestampType)
+from pyspark.sql import types as T
+
+from ledgerspark.operators.warehouse import published
 
 
 def write_mart(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -35,7 +34,8 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False,
     table is still exported whole, as parts. Returns whether one part was written.
     """
     one = single_file and df.limit(single_file_max_rows + 1).count() <= single_file_max_rows
-    (df.coalesce(1) if one else df).write.mode("overwrite").option("header", True).csv(path)
+    (df.coalesce(1) if one else df).write.mode("overwrite").option("header", True).option("escape", '"').option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return one
 
 
@@ -44,62 +44,14 @@ def normalize_types(df: DataFrame) -> DataFrame:
 
     A column that is null in every row is published as string; NaN becomes
     NULL. Types come from the schema; the all-null test is one aggregation of
-    ``count(col)`` over all columns.
+    ``count(col)`` over all columns (a publish counts them on its write instead,
+    see ``warehouse``).
     """
     counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns]).first().asDict()
-    cols = []
-    for f in df.schema.fields:
-        c, t = F.col(f.name), f.dataType
-        if counts[f.name] == 0:
-            cols.append(c.cast("string").alias(f.name))
-        elif isinstance(t, BooleanType):
-            cols.append(c.alias(f.name))
-        elif isinstance(t, (ByteType, ShortType, IntegerType, LongType)):
-            cols.append(c.cast("bigint").alias(f.name))
-        elif isinstance(t, (FloatType, DoubleType, DecimalType)):
-            d = c.cast("double")
-            cols.append(F.when(F.isnan(d), F.lit(None).cast("double")).otherwise(d).alias(f.name))
-        elif isinstance(t, (TimestampType, TimestampNTZType)):
-            cols.append(c.alias(f.name))
-        elif isinstance(t, DateType):
-            cols.append(c.alias(f.name))
-        else:
-            cols.append(c.cast("string").alias(f.name))
-    return df.select(*cols)
-
-
-def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], schema: str = "ledger_gold",
-                   location: str | None = None) -> dict[str, int]:
-    """Full-reload publish: ensure the schema, replace each table, return row counts.
-
-    Counts come from reading the written table back (one cheap metadata-backed
-    count per table), never from collecting rows.
-    """
-    loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{loc}")
-    counts = {}
-    for name, df in tables.items():
-        normalize_types(df).write.mode("overwrite").saveAsTable(f"{schema}.{name}")
-        counts[name] = spark.table(f"{schema}.{name}").count()
-    return counts
-
-
-def append_sync_log(spark: SparkSession, path: str, total_rows: int, synced_at: str | None = None) -> None:
-    """Append one (sync_run_id, synced_at, total_rows_synced) row."""
-    row = spark.range(1).select(
-        F.expr("uuid()").alias("sync_run_id"),
-        (F.lit(synced_at).cast("timestamp") if synced_at else F.current_timestamp()).alias("synced_at"),
-        F.lit(total_rows).cast("long").alias("total_rows_synced"))
-    row.write.mode("append").parquet(path)
-
-
-def append_run_log(df: DataFrame, path: str, id_col: str, time_col: str, run_at: str | None = None) -> None:
-    """Append-only run log: one shared run timestamp, a uuid per row."""
-    ts = F.lit(run_at).cast("timestamp") if run_at else F.current_timestamp()
-    df.select(F.expr("uuid()").alias(id_col), ts.alias(time_col), *df.columns).write.mode("append").parquet(path)
-
-
-def rows_synced_latest(sync_log: DataFrame) -> DataFrame:
-    """Rows synced in the latest run and when the data was last refreshed."""
-    return sync_log.agg(F.max_by("total_rows_synced", "synced_at").alias("rows_synced_latest"),
-                        F.max("synced_at").alias("last_refreshed"))
+    return df.select(*[published(f, counts[f.name] == 0)[1] for f in df.schema.fields])
+
+
+def read_csv_export(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """An exported table read back in its own types; what a text field can't tell apart (an empty string
+    and a null) comes back as null."""
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", True).schema(schema).csv(path)

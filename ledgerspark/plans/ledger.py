@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerspark.operators import convert, marts, staging
 from ledgerspark.session import checkpoint_dir
-from ledgerspark.sources import testdata
+from ledgerspark.sources import bronze_files, narratives, testdata
 
 _CACHE: dict[tuple[str, str, bool], "Ledger"] = {}
 
@@ -89,6 +89,20 @@ class Ledger:
     def stg_fx(self) -> DataFrame:
         return self._keep(staging.stage_fx(self.bronze_fx), "stg_fx_rates")
 
+    @cached_property
+    def stg_fx_gappy(self) -> DataFrame:
+        """The staged rates with some (date, currency) pairs missing, as a late or partial rate delivery leaves them."""
+        return self._keep(self.stg_fx.where(~testdata.missing_rate()), "stg_fx_rates_gappy")
+
+    @cached_property
+    def int_mapped_gappy(self) -> DataFrame:
+        m = convert.map_dimensions(convert.fx_convert(self.stg_gl, self.stg_fx_gappy), self.dim_projects, self.dim_cost_centres)
+        return self._keep(m, "int_entries_cost_centre_mapped_gappy")
+
+    @cached_property
+    def pnl_gappy(self) -> DataFrame:
+        return self._keep(marts.pnl_summary(self.int_mapped_gappy), "mart_pnl_summary_gappy")
+
     @cached_property
     def stg_payroll(self) -> DataFrame:
         return self._keep(staging.stage_payroll(self.bronze_payroll), "stg_payroll_entries")
@@ -124,6 +138,28 @@ class Ledger:
     def dictionary(self) -> DataFrame:
         return marts.metric_dictionary(self.spark)
 
+    @cached_property
+    def narratives(self) -> DataFrame:
+        return self._keep(narratives.narratives(self.pnl), "narratives")
+
+    def path(self, name: str) -> str:
+        """A folder of this ledger's own in the shared checkpoint folder."""
+        return os.path.join(self._root, name)
+
+    @cached_property
+    def bronze_path(self) -> str:
+        """The bronze tables as CSV files, written once: columns in various orders, some cells and lines bad."""
+        path = self.path("bronze")
+        bronze_files.write_bronze(self.bronze_gl, self.bronze_fx, self.bronze_payroll, path)
+        return path
+
+    @cached_property
+    def corpus_path(self) -> str:
+        """The documents as a folder of model files with sidecars, written once."""
+        path = self.path("corpus")
+        bronze_files.write_corpus(self.table("documents"), path)
+        return path
+
     def models(self) -> dict[str, DataFrame]:
         """Every model of the build under its reference name (for column tests)."""
         return {

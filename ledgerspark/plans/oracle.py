@@ -8,6 +8,8 @@ SELECT with the blocks it needs, in dependency order.
 
 from __future__ import annotations
 
+import re
+
 from ledgerspark.functions.text import ASCII_DIGITS, OTHER_DIGITS
 
 # name -> (dependencies, body)
@@ -421,9 +423,10 @@ cte("mut_negative_revenue_amount", """SELECT * REPLACE (CASE WHEN entry_id = (SE
 cte("mut_missing_fx_rate_for_used_date", """SELECT * FROM stg_fx f
 WHERE NOT EXISTS (SELECT 1 FROM m_fx_target t WHERE f.rate_date = t.entry_date AND f.from_currency = t.currency)""",
     ("stg_fx", "m_fx_target"))
-cte("mut_zero_fx_rate", """SELECT * REPLACE (CASE WHEN rate_date = (SELECT rate_date FROM m_fx_first)
-  AND from_currency = (SELECT from_currency FROM m_fx_first) THEN CAST(0 AS DECIMAL(12,6)) ELSE rate END AS rate)
-FROM stg_fx""", ("stg_fx", "m_fx_first"))
+cte("mut_zero_fx_rate", """SELECT rate_date, from_currency, to_currency, CASE WHEN pos = 1 THEN CAST(0 AS DECIMAL(12,6)) ELSE rate END AS rate
+FROM (SELECT *, row_number() OVER (ORDER BY rate_date NULLS LAST,
+        CASE from_currency WHEN 'USD' THEN 1 WHEN 'EUR' THEN 2 WHEN 'GBP' THEN 3 WHEN 'AED' THEN 4 ELSE 99 END, from_currency) AS pos
+      FROM stg_fx) q""", ("stg_fx",))
 cte("mut_duplicate_payroll_allocation_id", """SELECT * FROM stg_payroll UNION ALL
 SELECT * FROM stg_payroll WHERE allocation_id = (SELECT id FROM m_pay_first)""", ("stg_payroll", "m_pay_first"))
 cte("mut_negative_hours_logged", """SELECT * REPLACE (CASE WHEN allocation_id = (SELECT id FROM m_pay_first)
@@ -751,3 +754,177 @@ SELECT coalesce(c.model_name, d.model_name) AS model_name,
        WHEN c.model_name IS NOT NULL AND c.sha256 <> d.sha256 THEN 'sql_changed_since_docs'
        WHEN c.model_name IS NOT NULL THEN 'in_sync' ELSE 'doc_entry_orphaned' END AS drift_reason
 FROM cur c FULL OUTER JOIN doc d ON c.model_name = d.model_name""")
+
+
+# ---------------------------------------------------------------- rates with gaps
+def variant(prefix: str, *names: str) -> None:
+    """Copies of CTEs under a prefix that read each other's copies (and ``<prefix>stg_fx``) instead of the originals."""
+    both = {*names, "stg_fx"}
+    for n in names:
+        deps, body = CTES[n]
+        pattern = r"(?<!')\b(" + "|".join(sorted(both, key=len, reverse=True)) + r")\b"
+        cte(prefix + n, re.sub(pattern, prefix + r"\1", body), tuple(prefix + d if d in both else d for d in deps))
+
+
+GAPS = """(from_currency = 'AED' AND date_diff('day', DATE '1990-01-01', rate_date) % 7 = 3)
+  OR (from_currency = 'USD' AND date_diff('day', DATE '1990-01-01', rate_date) % 41 = 5)"""
+cte("gap_stg_fx", f"SELECT * FROM stg_fx WHERE NOT ({GAPS})", ("stg_fx",))
+variant("gap_", "int_fx", "int_mapped", "pnl", "g4_a", "g4")
+g2_ctes("gap_g2", "gap_stg_fx", "stg_gl")
+
+
+# ---------------------------------------------------------------- JSON records
+def _record(columns: list[tuple[str, str]]) -> str:
+    parts = []
+    for name, kind in columns:
+        if kind == "date":
+            v = f"'\"' || strftime({name}, '%Y-%m-%dT00:00:00.000') || '\"'"
+        elif kind == "boolean":
+            v = f"CASE WHEN {name} THEN 'true' WHEN NOT {name} THEN 'false' END"
+        elif kind == "number":
+            v = f"regexp_replace(CAST({name} AS VARCHAR), '(\\.\\d+?)0*$', '\\1')"
+        else:
+            v = f"CAST(to_json({name}) AS VARCHAR)"
+        parts.append(f"'\"{name}\":' || coalesce({v}, 'null')")
+    return "'{' || " + " || ',' || ".join(parts) + " || '}'"
+
+
+VARIANCE_ORDER = "is_material_variance DESC NULLS LAST, period_month ASC NULLS LAST, segment ASC NULLS LAST"
+DRIVER_ORDER = ("abs(coalesce(mom_change_pct, 0)) DESC, period_month ASC NULLS LAST, segment ASC NULLS LAST, "
+                "cost_centre ASC NULLS LAST, account_code ASC NULLS LAST")
+VARIANCE_RECORD = [("period_month", "date"), ("segment", "text"), ("revenue", "number"), ("prev_revenue", "number"),
+                   ("revenue_variance_pct", "number"), ("gross_margin", "number"), ("gm_variance_pct", "number"),
+                   ("operating_income", "number"), ("oi_variance_pct", "number"), ("is_material_variance", "boolean")]
+DRIVER_RECORD = [("period_month", "date"), ("segment", "text"), ("cost_centre_name", "text"), ("account_type", "text"),
+                 ("account_name", "text"), ("cost_inr", "number"), ("mom_change_pct", "number")]
+
+
+def records_json_sql(source: str, order: str, columns: list[tuple[str, str]], k: int = 25) -> str:
+    return (f"SELECT '[' || coalesce(string_agg(j, ',' ORDER BY pos), '') || ']' AS records_json FROM (SELECT {_record(columns)} AS j, "
+            f"row_number() OVER (ORDER BY {order}) AS pos FROM {source} q QUALIFY pos <= {k}) r")
+
+
+# ---------------------------------------------------------------- bronze files
+ORDER_NO = "CAST(regexp_extract({}, '([0-9]+)', 1) AS BIGINT)"
+cte("num_gl", f"SELECT *, {ORDER_NO.format('entry_id')} AS n FROM a_gl", ("a_gl",))
+cte("num_pay", f"SELECT *, {ORDER_NO.format('allocation_id')} AS n FROM a_payroll", ("a_payroll",))
+cte("cell_gl", """SELECT entry_id, CASE WHEN n % 211 = 3 THEN NULL WHEN n % 223 = 5 THEN '31/12/1996' WHEN n % 227 = 7 THEN '1996-02-31'
+    ELSE CAST(entry_date AS VARCHAR) END AS entry_date, project_code, project_name, segment, cost_centre, account_code, account_name,
+  account_type, currency, CASE WHEN n % 229 = 9 THEN 'n/a' WHEN n % 233 = 11 THEN NULL WHEN n % 239 = 13 THEN CAST(amount AS VARCHAR) || ' INR'
+    ELSE CAST(amount AS VARCHAR) END AS amount, description FROM num_gl
+UNION ALL
+SELECT 'X' || entry_id, CAST(entry_date AS VARCHAR), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  CASE WHEN n % 509 = 5 THEN CAST(amount AS VARCHAR) END, CASE WHEN n % 509 = 5 THEN 'one' END
+FROM num_gl WHERE n % 509 IN (4, 5)""", ("num_gl",))
+cte("cell_fx", """SELECT rate_date, from_currency, CASE WHEN day(rate_date) = 31 AND from_currency = 'GBP' THEN NULL ELSE rate END AS rate
+FROM a_fx""", ("a_fx",))
+cte("cell_pay", """SELECT n, CASE WHEN n % 107 = 0 THEN 'PAY-' || CAST(n - 1 AS VARCHAR) ELSE allocation_id END AS allocation_id,
+  CASE WHEN n % 103 <> 2 THEN allocation_date END AS allocation_date, CASE WHEN n % 101 <> 1 THEN employee_id END AS employee_id,
+  hours_logged, rate_per_hour FROM num_pay""", ("num_pay",))
+cte("typed_gl", """SELECT entry_id, CASE WHEN entry_date NOT IN ('31/12/1996', '1996-02-31') THEN entry_date END AS entry_date,
+  TRY_CAST(amount AS DECIMAL(18,2)) AS amount FROM cell_gl""", ("cell_gl",))
+cte("cell_audit", """SELECT 'erp_gl_entries' AS source, 'entry_date' AS column_name, 'blank' AS problem, count(*) AS failures FROM cell_gl WHERE entry_date IS NULL
+UNION ALL SELECT 'erp_gl_entries', 'entry_date', 'bad_cell', count(*) FROM cell_gl WHERE entry_date IN ('31/12/1996', '1996-02-31')
+UNION ALL SELECT 'erp_gl_entries', 'amount', 'blank', count(*) FROM cell_gl WHERE amount IS NULL
+UNION ALL SELECT 'erp_gl_entries', 'amount', 'bad_cell', count(*) FROM cell_gl WHERE amount = 'n/a' OR amount LIKE '% INR'
+UNION ALL SELECT 'erp_gl_entries', '', 'bad_line', count(*) FROM num_gl WHERE n % 509 IN (4, 5)
+UNION ALL SELECT 'fx_rates', 'rate_date', 'blank', 0 UNION ALL SELECT 'fx_rates', 'rate_date', 'bad_cell', 0
+UNION ALL SELECT 'fx_rates', 'rate', 'blank', 0
+UNION ALL SELECT 'fx_rates', 'rate', 'bad_cell', count(*) FROM cell_fx WHERE rate IS NULL
+UNION ALL SELECT 'fx_rates', '', 'bad_line', 0
+UNION ALL SELECT 'payroll_entries', 'allocation_date', 'blank', 0
+UNION ALL SELECT 'payroll_entries', 'allocation_date', 'bad_cell', count(*) FROM cell_pay WHERE allocation_date IS NULL
+UNION ALL SELECT 'payroll_entries', 'hours_logged', 'blank', 0 UNION ALL SELECT 'payroll_entries', 'hours_logged', 'bad_cell', 0
+UNION ALL SELECT 'payroll_entries', 'rate_per_hour', 'blank', 0 UNION ALL SELECT 'payroll_entries', 'rate_per_hour', 'bad_cell', 0
+UNION ALL SELECT 'payroll_entries', '', 'bad_line', 0""", ("cell_gl", "cell_fx", "cell_pay", "num_gl"))
+
+
+def source_tests_sql() -> str:
+    from ledgerspark.operators.checks import SOURCE_RULES
+    tables = {"erp_gl_entries": "typed_gl", "payroll_entries": "cell_pay", "fx_rates": "cell_fx"}
+    parts = []
+    for source, rules in SOURCE_RULES.items():
+        for i, r in enumerate(rules):
+            c, t = r.columns[0], tables[source]
+            f = (f"(SELECT count(*) FROM {t} WHERE {c} IS NULL)" if r.test == "not_null" else
+                 f"(SELECT count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1) x)")
+            parts.append(f"SELECT '{source}' AS source, CAST({i} AS BIGINT) AS rule_no, '{r.test}' AS test, '{c}' AS column_name, {f} AS failures")
+    return sql("SELECT *, failures = 0 AS passed FROM (\n" + "\nUNION ALL\n".join(parts) + "\n) t", *tables.values())
+
+
+# ---------------------------------------------------------------- corpus of files
+cte("corpus_rows", """SELECT coalesce(source, 'none') AS layer, doc_id // 50 AS part, doc_id, coalesce(text, '') AS text,
+  coalesce(lang, 'und') AS lang FROM documents""")
+cte("corpus_langs", "SELECT layer, part, lang, count(*) AS n FROM corpus_rows WHERE part % 3 <> 2 GROUP BY ALL", ("corpus_rows",))
+cte("corpus_yml", """SELECT layer, part, 'version: 2' || chr(10) || chr(10) || 'models:' || chr(10) || '  - name: part_' || CAST(part AS VARCHAR)
+    || chr(10) || '    # by language' || chr(10) || '    columns:' || chr(10)
+    || string_agg('      - name: ' || lang || chr(10) || '        tests:' || chr(10) || CASE WHEN n % 2 = 0 THEN '          - not_null' || chr(10)
+         ELSE '          - unique' || chr(10) || '          - accepted_values:' || chr(10) || '              values: [''a'', ''b'']' || chr(10) END,
+       '' ORDER BY lang) || chr(10) AS yml
+FROM corpus_langs GROUP BY layer, part""", ("corpus_langs",))
+cte("corpus", """SELECT 'part_' || CAST(r.part AS VARCHAR) AS model_name, r.layer, sha256(r.body) AS sql_sha256,
+  CAST(length(r.body) AS BIGINT) AS n_chars, coalesce(y.yml, 'No YAML file found.') AS yml_content
+FROM (SELECT layer, part, string_agg(text || chr(10), '' ORDER BY doc_id) AS body FROM corpus_rows GROUP BY layer, part) r
+LEFT JOIN corpus_yml y ON y.layer = r.layer AND y.part = r.part""", ("corpus_rows", "corpus_yml"))
+cte("corpus_cols", """SELECT layer, 'part_' || CAST(part AS VARCHAR) AS model, lang AS column_name,
+  CASE WHEN n % 2 = 0 THEN 'not_null' ELSE 'unique,accepted_values' END AS tests FROM corpus_langs""", ("corpus_langs",))
+
+
+# ---------------------------------------------------------------- published tables, logs
+cte("one_line", """SELECT narrative_id, CASE h % 5 WHEN 0 THEN card WHEN 1 THEN chr(10) || '  ' || card || ' ' || chr(10) || 'A second line.'
+  WHEN 2 THEN '  ' || chr(10) || chr(9) || ' ' WHEN 3 THEN text ELSE '' END AS response FROM narr""", ("narr",))
+cte("card_headlines", f"""SELECT narrative_id, snippet_text, CAST(len({words_sql('snippet_text')}) AS BIGINT) AS word_count,
+  CAST(len(w) AS BIGINT) AS source_words, len(w) > 25 AS truncated
+FROM (SELECT narrative_id, w, CASE WHEN len(w) <= 25 THEN line
+        ELSE regexp_replace(array_to_string(w[1:25], ' '), '[.,;:]+\\z', '', 'g') || '…' END AS snippet_text
+      FROM (SELECT narrative_id, line, {words_sql('line')} AS w
+            FROM (SELECT narrative_id, {strip_sql(f"split_part({strip_sql('response')}, chr(10), 1)")} AS line FROM one_line) a
+            WHERE line <> '') b) c""", ("one_line",))
+cte("snip_table", """SELECT sha256('revenue_trends_headline:' || narrative_id) AS snippet_id, TIMESTAMP '2026-01-02 00:00:00' AS generated_at,
+  'revenue_trends_headline' AS snippet_type, snippet_text, word_count, 'ledger-narrative' AS source_model FROM card_headlines""", ("card_headlines",))
+cte("snippet_log", """SELECT 'opening' AS run_id, TIMESTAMP '2026-01-01 00:00:00' AS generated_at, narrative_id,
+  'revenue_trends_headline' AS snippet_type, snippet_text, word_count FROM card_headlines WHERE narrative_id < '1995-01-01'
+UNION ALL SELECT 'closing', TIMESTAMP '2026-01-02 00:00:00', narrative_id, 'revenue_trends_headline', snippet_text, word_count
+FROM card_headlines""", ("card_headlines",))
+_EARLY = "(SELECT count(*) FROM {} WHERE period_month < DATE '1995-01-01')"
+_MARTS = ["pnl", "revenue_trends", "cost_analysis", "variance"]
+cte("syncs", "SELECT 'opening' AS sync_run_id, TIMESTAMP '2026-01-01 00:00:00' AS synced_at, "
+    + " + ".join([_EARLY.format(t) for t in _MARTS] + ["(SELECT count(*) FROM dict)", "(SELECT count(*) FROM snip_table)"])
+    + " AS total_rows_synced UNION ALL SELECT 'closing', TIMESTAMP '2026-01-02 00:00:00', "
+    + " + ".join(f"(SELECT count(*) FROM {t})" for t in [*_MARTS, "dict", "snip_table"]), (*_MARTS, "dict", "snip_table"))
+
+# The published tables' columns by kind.
+PUBLISHED = {
+    "mart_pnl_summary": ("pnl", {"period_month": "date", "segment": "string", "revenue": "double", "cogs": "double", "gross_margin": "double",
+                                 "opex": "double", "operating_income": "double", "gross_margin_pct": "double",
+                                 "operating_margin_pct": "double", "entry_count": "bigint"}),
+    "mart_revenue_trends": ("revenue_trends", {"period_month": "date", "segment": "string", "project_code": "string", "project_name": "string",
+                                               "client_name": "string", "revenue_inr": "double", "entry_count": "bigint",
+                                               "prev_month_revenue": "double", "mom_change_pct": "double"}),
+    "mart_cost_analysis": ("cost_analysis", {"period_month": "date", "segment": "string", "cost_centre": "string", "cost_centre_name": "string",
+                                             "cost_centre_location": "string", "cost_centre_country": "string", "account_type": "string",
+                                             "account_code": "string", "account_name": "string", "cost_inr": "double",
+                                             "entry_count": "bigint", "prev_month_cost": "double", "mom_change_pct": "double"}),
+    "mart_variance_analysis": ("variance", {"period_month": "date", "segment": "string", "revenue": "double", "prev_revenue": "double",
+                                            "revenue_variance": "double", "revenue_variance_pct": "double", "gross_margin": "double",
+                                            "prev_gross_margin": "double", "gm_variance": "double", "gm_variance_pct": "double",
+                                            "operating_income": "double", "prev_operating_income": "double", "oi_variance": "double",
+                                            "oi_variance_pct": "double", "is_material_variance": "boolean"}),
+    "mart_metric_dictionary": ("dict", {"metric_key": "string", "metric_name": "string", "calculation_logic": "string", "unit": "string",
+                                        "source_model": "string", "used_in_views": "string"}),
+    "ai_narrative_snippets": ("snip_table", {"snippet_id": "string", "generated_at": "timestamp", "snippet_type": "string",
+                                             "snippet_text": "string", "word_count": "bigint", "source_model": "string"}),
+}
+
+
+def profile_sql(with_type: bool) -> str:
+    total = {"double": "sum(CAST(round(CAST({} AS DOUBLE) * 100) AS DECIMAL(38,0)))", "boolean": "sum(CAST({} AS INTEGER))",
+             "date": "sum(date_diff('day', DATE '1970-01-01', {}))", "timestamp": "sum(epoch({}))", "string": "sum(length({}))"}
+    total["bigint"] = total["double"]
+    parts = []
+    for name, (t, columns) in PUBLISHED.items():
+        for c, kind in columns.items():
+            ctype = f"CASE WHEN count({c}) = 0 THEN 'string' ELSE '{kind}' END AS column_type, " if with_type else ""
+            parts.append(f"SELECT '{name}' AS table_name, '{c}' AS column_name, {ctype}count(*) AS n_rows, count({c}) AS n_values, "
+                         f"CAST({total[kind].format(c)} AS BIGINT) AS total FROM {t}")
+    return sql("\nUNION ALL\n".join(parts), *[t for t, _ in PUBLISHED.values()])

@@ -1,6 +1,6 @@
 """The daily run as one Spark application.
 
-pre-build gates (G1-G3) -> staging -> FX conversion -> dimension mapping ->
+source tests on the bronze text -> pre-build gates (G1-G3) -> staging -> FX conversion -> dimension mapping ->
 marts written as tables -> post-build gates (G4-G6) on the written tables ->
 CSV export. The run stops at the first failing gate; later work is never
 launched.
@@ -21,7 +21,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.operators import convert, gates, marts, publish, staging
+from ledgerspark.operators import checks, convert, gates, marts, publish, staging
 from ledgerspark.session import write_back
 
 MART_NAMES = ["mart_pnl_summary", "mart_revenue_trends", "mart_cost_analysis", "mart_variance_analysis",
@@ -42,6 +42,7 @@ class RunResult:
     passed: bool
     report: DataFrame
     tables: dict[str, str]
+    source_tests: DataFrame | None = None
 
 
 def build_and_write(spark: SparkSession, b: Bronze, out: str, lenient: bool = True) -> dict[str, str]:
@@ -71,8 +72,15 @@ def build_and_write(spark: SparkSession, b: Bronze, out: str, lenient: bool = Tr
 
 
 def run_daily(spark: SparkSession, b: Bronze, out: str, min_rows: int = gates.ROW_COUNT_MIN,
-              max_rows: int | None = None, export_csv: bool = True) -> RunResult:
-    """Gates, build, gates, export. ``max_rows``: a ceiling for the raw tables' row counts (none by default)."""
+              max_rows: int | None = None, export_csv: bool = True, block_on_sources: bool = False) -> RunResult:
+    """Source tests, gates, build, gates, export. ``max_rows``: a ceiling for the raw tables' row counts (none by
+    default). The source tests are reported; they stop the run only with ``block_on_sources``, as the gates after
+    them look at the staged tables."""
+    sources = checks.run_source_tests({"erp_gl_entries": b.gl, "payroll_entries": b.payroll, "fx_rates": b.fx})
+    found = sources.collect()      # one row per declared test
+    sources = spark.createDataFrame([tuple(r) for r in found], sources.schema)
+    if block_on_sources and not all(r.passed for r in found):
+        return RunResult(False, sources, {}, sources)
     # Staged once as written tables: the gates read them, the bronze is not computed again for each.
     gl_s, fx_s, pay_s = (write_back(staging.stage_gl(b.gl, True), "raw-gl"), write_back(staging.stage_fx(b.fx, True), "raw-fx"),
                          write_back(staging.stage_payroll(b.payroll, True), "raw-payroll"))
@@ -80,7 +88,7 @@ def run_daily(spark: SparkSession, b: Bronze, out: str, min_rows: int = gates.RO
            ("g3", lambda: gates.gate_g3(pay_s, min_rows, max_rows, b.payroll.columns))]
     report = gates.run_gates(spark, pre)
     if not gates.gate_passed(report):
-        return RunResult(False, report, {})
+        return RunResult(False, report, {}, sources)
     paths = build_and_write(spark, replace(b, gl=gl_s, fx=fx_s, payroll=pay_s), out)
     t = {k: spark.read.parquet(v) for k, v in paths.items()}
     post = [("g4", lambda: gates.gate_g4(t["int_entries_cost_centre_mapped"], t["mart_pnl_summary"])),
@@ -92,7 +100,7 @@ def run_daily(spark: SparkSession, b: Bronze, out: str, min_rows: int = gates.RO
     if ok and export_csv:
         for name in MART_NAMES:
             publish.export_csv(t[name], os.path.join(out, "csv", name))
-    return RunResult(ok, report, paths)
+    return RunResult(ok, report, paths, sources)
 
 
 def bronze_from_testdata(spark: SparkSession, sf_dir: str) -> Bronze:
@@ -101,6 +109,13 @@ def bronze_from_testdata(spark: SparkSession, sf_dir: str) -> Bronze:
                   td.dim_projects(spark, sf_dir), td.dim_cost_centres(spark, sf_dir))
 
 
+def bronze_from_csv(spark: SparkSession, root: str) -> Bronze:
+    """The bronze tables from a folder of CSV files, as text."""
+    from ledgerspark.sources.bronze import blank_to_null, read_csv_source
+    read = lambda t: blank_to_null(read_csv_source(spark, root, t))
+    return Bronze(read("erp_gl_entries"), read("fx_rates"), read("payroll_entries"), read("dim_projects"), read("dim_cost_centres"))
+
+
 def main() -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf-dir", required=True)

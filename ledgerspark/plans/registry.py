@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -203,10 +204,36 @@ def q_cost_drivers(spark, sf_dir):
     return T.cost_drivers(L(spark, sf_dir).cost_analysis)
 
 
-@register("variance_json")
+@register("variance_json", O.sql(O.records_json_sql("variance", O.VARIANCE_ORDER, O.VARIANCE_RECORD), "variance"))
 def q_variance_json(spark, sf_dir):
-    top = T.variance_breakdown(L(spark, sf_dir).variance)
-    return T.records_json(top, ["is_material_variance", "period_month", "segment"])
+    return T.variance_json(L(spark, sf_dir).variance)
+
+
+@register("variance_json_filtered", O.sql(O.records_json_sql(
+    "(SELECT * FROM variance WHERE segment = 'EUROPE')", O.VARIANCE_ORDER, O.VARIANCE_RECORD, 10), "variance"))
+def q_variance_json_filtered(spark, sf_dir):
+    return T.variance_json(L(spark, sf_dir).variance, segment="EUROPE", k=10)
+
+
+@register("cost_drivers_json", O.sql(O.records_json_sql(
+    "(SELECT * FROM cost_analysis WHERE period_month = DATE '1996-03-01')", O.DRIVER_ORDER, O.DRIVER_RECORD), "cost_analysis"))
+def q_cost_drivers_json(spark, sf_dir):
+    return T.cost_drivers_json(L(spark, sf_dir).cost_analysis, period_month="1996-03-01")
+
+
+@register("variance_breakdown_filtered", O.sql("""SELECT period_month, segment, revenue, prev_revenue, revenue_variance_pct,
+  gross_margin, gm_variance_pct, operating_income, oi_variance_pct, is_material_variance
+FROM variance WHERE period_month = DATE '1996-03-01'
+ORDER BY is_material_variance DESC NULLS LAST, segment ASC NULLS LAST LIMIT 3""", "variance"))
+def q_variance_breakdown_filtered(spark, sf_dir):
+    return T.variance_breakdown(L(spark, sf_dir).variance, period_month="1996-03-01", k=3)
+
+
+@register("cost_drivers_filtered", O.sql("""SELECT period_month, segment, cost_centre_name, account_type, account_name, cost_inr, mom_change_pct
+FROM cost_analysis WHERE period_month = DATE '1996-03-01' AND segment = 'ASIA' ORDER BY abs(coalesce(mom_change_pct, 0)) DESC,
+  cost_centre ASC NULLS LAST, account_code ASC NULLS LAST LIMIT 25""", "cost_analysis"))
+def q_cost_drivers_filtered(spark, sf_dir):
+    return T.cost_drivers(L(spark, sf_dir).cost_analysis, period_month="1996-03-01", segment="ASIA")
 
 
 @register("segment_set_diff", O.sql("""SELECT segment, 'mart_pnl_summary' AS only_in FROM
@@ -219,13 +246,37 @@ def q_segment_set_diff(spark, sf_dir):
     return T.set_difference(lg.pnl, lg.dim_projects, ["segment"], "mart_pnl_summary", "dim_projects")
 
 
+# ---------------------------------------------------------------- missing rates
 @register("fx_coverage_gaps", O.sql("""SELECT DISTINCT entry_date, currency FROM stg_gl g
 WHERE currency IS DISTINCT FROM 'INR'
-  AND NOT EXISTS (SELECT 1 FROM stg_fx f WHERE f.rate_date = g.entry_date AND f.from_currency = g.currency)""",
-                                    "stg_gl", "stg_fx"))
+  AND NOT EXISTS (SELECT 1 FROM gap_stg_fx f WHERE f.rate_date = g.entry_date AND f.from_currency = g.currency)""",
+                                    "stg_gl", "gap_stg_fx"))
 def q_fx_coverage_gaps(spark, sf_dir):
     lg = L(spark, sf_dir)
-    return T.fx_coverage_gaps(lg.stg_gl, lg.stg_fx)
+    return T.fx_coverage_gaps(lg.stg_gl, lg.stg_fx_gappy)
+
+
+@register("missing_rate_entries", O.sql("""SELECT CAST(date_trunc('month', entry_date) AS DATE) AS period_month, source_currency,
+  count(*) AS entries, count(fx_rate) AS with_rate, count(amount_inr) AS converted,
+  CAST(sum(CASE WHEN fx_rate IS NULL THEN source_amount END) AS DECIMAL(38,2)) AS unconverted_amount
+FROM gap_int_mapped GROUP BY 1, 2""", "gap_int_mapped"))
+def q_missing_rate_entries(spark, sf_dir):
+    """No posting is dropped for want of a rate: how many there are, and what is left unconverted."""
+    return L(spark, sf_dir).int_mapped_gappy.groupBy(F.trunc("entry_date", "month").alias("period_month"), "source_currency").agg(
+        F.count(F.lit(1)).alias("entries"), F.count("fx_rate").alias("with_rate"), F.count("amount_inr").alias("converted"),
+        F.sum(F.when(F.col("fx_rate").isNull(), F.col("source_amount"))).cast("decimal(38,2)").alias("unconverted_amount"))
+
+
+@register("mart_pnl_missing_rates", O.sql("SELECT * FROM gap_pnl", "gap_pnl"))
+def q_pnl_missing_rates(spark, sf_dir):
+    return L(spark, sf_dir).pnl_gappy
+
+
+@register("gates_missing_rates", O.sql("SELECT * FROM gap_g2 UNION ALL SELECT * FROM gap_g4", "gap_g2", "gap_g4"))
+def q_gates_missing_rates(spark, sf_dir):
+    """The coverage gate fails on the missing pairs; the marts still reconcile with what was converted."""
+    lg = L(spark, sf_dir)
+    return G.gate_g2(lg.stg_fx_gappy, lg.stg_gl).unionByName(G.gate_g4(lg.int_mapped_gappy, lg.pnl_gappy))
 
 
 # ---------------------------------------------------------------- column tests, gates, runner
@@ -328,8 +379,7 @@ from ledgerspark.sources import narratives as SN  # noqa: E402
 
 
 def _narr(spark, sf_dir):
-    lg = L(spark, sf_dir)
-    return lg.derived("narratives", lambda: SN.narratives(lg.pnl), keep=True)
+    return L(spark, sf_dir).narratives
 
 
 def _narr_claims(spark, sf_dir):
@@ -505,3 +555,85 @@ def q_drift_summary(spark, sf_dir):
 FROM cost_analysis""", "cost_analysis"))
 def q_publish_types(spark, sf_dir):
     return PB.normalize_types(L(spark, sf_dir).cost_analysis)
+
+
+# ---------------------------------------------------------------- bronze files, source tests, corpus
+from ledgerspark.sources import bronze as BR  # noqa: E402
+from ledgerspark.sources import corpus as CO  # noqa: E402
+
+
+def _sources(spark, sf_dir, corrupt: bool = False):
+    root = L(spark, sf_dir).bronze_path
+    return {t: BR.read_csv_source(spark, root, t, corrupt=corrupt) for t in ("erp_gl_entries", "payroll_entries", "fx_rates")}
+
+
+@register("bronze_by_header", O.sql("SELECT * FROM cell_gl", "cell_gl"))
+def q_bronze_by_header(spark, sf_dir):
+    """The ledger's text cells from files whose columns stand in different orders."""
+    return BR.blank_to_null(_sources(spark, sf_dir)["erp_gl_entries"])
+
+
+@register("bronze_audit", O.sql("SELECT * FROM cell_audit", "cell_audit"))
+def q_bronze_audit(spark, sf_dir):
+    return reduce(DataFrame.unionByName, [BR.audit_cells(df, t) for t, df in _sources(spark, sf_dir, corrupt=True).items()])
+
+
+@register("source_tests", O.source_tests_sql())
+def q_source_tests(spark, sf_dir):
+    return C.run_source_tests(_sources(spark, sf_dir))
+
+
+@register("sql_corpus", O.sql("SELECT * FROM corpus", "corpus"))
+def q_sql_corpus(spark, sf_dir):
+    c = CO.read_sql_corpus(spark, L(spark, sf_dir).corpus_path)
+    return c.select("model_name", "layer", F.sha2("text", 256).alias("sql_sha256"), F.length("text").cast("long").alias("n_chars"), "yml_content")
+
+
+@register("corpus_columns", O.sql("SELECT * FROM corpus_cols", "corpus_cols"))
+def q_corpus_columns(spark, sf_dir):
+    c = CO.read_sql_corpus(spark, L(spark, sf_dir).corpus_path)
+    found = CO.yaml_columns(c).join(c.select("path", "layer"), "path")
+    return found.select("layer", "model", "column_name", F.array_join("tests", ",").alias("tests"))
+
+
+# ---------------------------------------------------------------- publishing and logs
+from ledgerspark.operators import warehouse as WH  # noqa: E402
+from ledgerspark.plans import publishing as PG  # noqa: E402
+
+
+@register("card_headlines", O.sql("SELECT * FROM card_headlines", "card_headlines"))
+def q_card_headlines(spark, sf_dir):
+    return PG.headlines(L(spark, sf_dir))
+
+
+@register("publish_round_trip", O.profile_sql(True))
+def q_publish_round_trip(spark, sf_dir):
+    """The six tables as a reader of the last committed publish sees them, column by column."""
+    return PG.publish_round_trip(L(spark, sf_dir))
+
+
+@register("csv_round_trip", O.profile_sql(False))
+def q_csv_round_trip(spark, sf_dir):
+    return PG.csv_round_trip(L(spark, sf_dir))
+
+
+@register("sync_log", O.sql("SELECT sync_run_id, synced_at, total_rows_synced FROM syncs", "syncs"))
+def q_sync_log(spark, sf_dir):
+    return PG.published(L(spark, sf_dir)).sync_log()
+
+
+@register("rows_synced_latest", O.sql("""SELECT total_rows_synced AS rows_synced_latest, synced_at AS last_refreshed FROM syncs
+ORDER BY synced_at DESC LIMIT 1""", "syncs"))
+def q_rows_synced_latest(spark, sf_dir):
+    return WH.rows_synced_latest(PG.published(L(spark, sf_dir)).sync_log())
+
+
+@register("snippet_log", O.sql("SELECT * FROM snippet_log", "snippet_log"))
+def q_snippet_log(spark, sf_dir):
+    return PG.snippet_log(L(spark, sf_dir)).drop("snippet_id")
+
+
+@register("latest_snippets", O.sql("""SELECT * FROM snippet_log
+QUALIFY generated_at = max(generated_at) OVER (PARTITION BY narrative_id)""", "snippet_log"))
+def q_latest_snippets(spark, sf_dir):
+    return WH.latest_per(PG.snippet_log(L(spark, sf_dir)).drop("snippet_id"), "narrative_id", "generated_at")

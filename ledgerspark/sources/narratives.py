@@ -110,3 +110,12 @@ def headline_responses(narr: DataFrame) -> DataFrame:
            .when(v == 1, F.concat(F.col("text"), delim, F.lit("   ")))
            .otherwise(F.col("text")))
     return narr.select("narrative_id", raw.alias("response"))
+
+
+def one_line_responses(narr: DataFrame) -> DataFrame:
+    """One model response per narrative to a request for a one-line headline: as asked, with further lines, far too
+    long, blank, or empty."""
+    v = F.col("h") % 5
+    raw = (F.when(v == 0, F.col("card")).when(v == 1, F.concat(F.lit("\n  "), F.col("card"), F.lit(" \nA second line.")))
+           .when(v == 2, F.lit("  \n\t ")).when(v == 3, F.col("text")).otherwise(F.lit("")))
+    return narr.select("narrative_id", "period_month", raw.alias("response"))

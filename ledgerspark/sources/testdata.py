@@ -125,6 +125,12 @@ def fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def missing_rate(day: str = "rate_date", currency: str = "from_currency") -> F.Column:
+    """Which rates a partial delivery lacks (fixed values of the adapter): dirhams every 7th day, dollars every 41st."""
+    n = F.datediff(F.col(day), F.lit(FX_EPOCH).cast("date"))
+    return ((F.col(currency) == "AED") & (n % 7 == 3)) | ((F.col(currency) == "USD") & (n % 41 == 5))
+
+
 def payroll_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payroll allocation per order (hours 20..160 by 0.1, rate 800..3500)."""
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")

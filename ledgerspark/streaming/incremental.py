@@ -1,8 +1,9 @@
 """Incremental ledger ingestion with Structured Streaming.
 
 The reference runs its build once a day over the whole bronze folder. With a
-file stream the same staging -> conversion -> mapping runs only over newly
-landed ledger files; ``trigger(availableNow=True)`` processes what has
+stream of file names the same staging -> conversion -> mapping runs only over
+newly landed ledger files, which are read by the batch reader (by column name,
+so files may differ in the order and number of their columns); ``trigger(availableNow=True)`` processes what has
 arrived and stops, which is the daily batch expressed incrementally. The
 stream checkpoint (under the shared ``spark.checkpoint.dir``) records which
 files were processed; each micro-batch overwrites only its own ``batch_id``
@@ -17,20 +18,22 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
-
 from ledgerspark.operators import convert, marts, staging
 from ledgerspark.operators.joins import proven_small
 from ledgerspark.session import scratch_path
-from ledgerspark.sources.bronze import GL_COLUMNS, blank_to_null
+from ledgerspark.sources.bronze import GL_COLUMNS, blank_to_null, read_csv_files
+
+#: Files of one micro-batch at most; their names pass through the driver.
+FILES_PER_BATCH = 10_000
 
 
 def start_ledger_stream(spark: SparkSession, landing_dir: str, fx: DataFrame, projects: DataFrame,
                         cost_centres: DataFrame, out_dir: str, checkpoint: str | None = None,
-                        available_now: bool = True) -> StreamingQuery:
+                        available_now: bool = True, files_per_batch: int = FILES_PER_BATCH) -> StreamingQuery:
     """Stream new GL CSV files from ``landing_dir`` into ``out_dir/mapped`` (parquet, by batch)."""
-    schema = StructType([StructField(c, StringType(), True) for c in GL_COLUMNS])
-    stream = spark.readStream.schema(schema).option("header", True).csv(landing_dir)
+    # Names of landed files only: Spark reads no content for columns that aren't used.
+    stream = (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+              .option("maxFilesPerTrigger", files_per_batch).load(landing_dir).select("path", "length"))
     fx_t = staging.stage_fx(fx, lenient=True)
     target = os.path.join(out_dir, "mapped")
     # The rate and dimension tables are static for the stream: decide once whether
@@ -40,7 +43,8 @@ def start_ledger_stream(spark: SparkSession, landing_dir: str, fx: DataFrame, pr
                   proven_small(cost_centres, convert.DIM_BROADCAST_ROWS))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        gl = staging.stage_gl(blank_to_null(batch), lenient=True)
+        files = sorted(r.path for r in batch.where("length > 0").select("path").collect())
+        gl = staging.stage_gl(blank_to_null(read_csv_files(spark, files, GL_COLUMNS)), lenient=True)
         mapped = convert.map_dimensions(convert.fx_convert(gl, fx_t, broadcast=fx_small), projects, cost_centres,
                                         broadcast=dims_small)
         (mapped.withColumn("batch_id", F.lit(batch_id))

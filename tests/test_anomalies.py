@@ -50,3 +50,38 @@ def test_incremental_scorecard_equals_full_gate_runs(spark):
         b = A.scorecard(g, fx, pay, incremental=False).cache()
         assert a.count() == 9
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_one_row_changes_also_among_equal_keys(spark):
+    from ledgerspark.sources.bronze import GL_COLUMNS
+    base = dict.fromkeys(GL_COLUMNS, "x") | {"entry_date": "2026-01-02", "amount": "5", "account_type": "Revenue", "currency": "USD"}
+    rows = [base | {"entry_id": "A", "segment": s, "amount": a} for s, a in [("n", "7"), ("n", "7"), ("n", "7"), ("b", "9"), (None, "1"), (None, "1")]]
+    rows += [base | {"entry_id": "B"}, base | {"entry_id": None}]
+    gl = staging.stage_gl(spark.createDataFrame([tuple(r[c] for c in GL_COLUMNS) for r in rows], ",".join(f"{c} string" for c in GL_COLUMNS)))
+    before = gl.collect()
+    key = lambda r: tuple((v is not None, str(v)) for v in r)
+    first = min((r for r in before if r.entry_id is not None), key=lambda r: (r.entry_id, key(r)))
+    for name, column, value in [("null_entry_date", "entry_date", None), ("invalid_currency", "currency", "JPY"),
+                                ("invalid_account_type", "account_type", "Miscellaneous"), ("negative_revenue_amount", "amount", -first.amount)]:
+        m, _ = A.mutate(name, gl, None, None)
+        want = list(before)
+        want.remove(first)
+        want.append(type(first)(**(first.asDict() | {column: value})))
+        assert sorted(m.data.collect(), key=key) == sorted(want, key=key), name
+        assert m.keys.collect() == [("A",)] and m.detail.count() == 1
+    dup, _ = A.mutate("duplicate_entry_id", gl, None, None)
+    assert sorted(dup.data.collect(), key=key) == sorted([*before, first], key=key)
+
+
+def test_mutations_of_empty_tables_change_nothing(spark):
+    gl = staging.stage_gl(g.gen_gl(spark, 5)).limit(0)
+    for name in ("duplicate_entry_id", "null_entry_date", "negative_revenue_amount"):
+        m, _ = A.mutate(name, gl, None, None)
+        assert m.data.count() == 0 and m.detail.count() == 0
+
+
+def test_zero_rate_is_one_row(spark):
+    fx = staging.stage_fx(g.gen_fx(spark)).limit(50)
+    twice = fx.unionByName(fx)
+    m, _ = A.mutate("zero_fx_rate", None, twice, None)
+    assert m.data.where("rate = 0").count() == 1 and m.data.count() == 100

@@ -110,22 +110,45 @@ def test_runner_stops_at_first_failure(spark, clean):
     assert {r.gate for r in report.collect()} == {"g1"}
 
 
-def test_model_tests_folded_and_anti_join_paths_agree(spark):
-    # Relationship / model-valued tests against small parents are folded into the fused
-    # pass (broadcast left join); with no broadcast allowed they run as anti joins. The
-    # mapped ledger has real orphans (one nation, one supplier left out of the dims).
+def test_column_tests_as_counted_by_hand(spark):
+    import random
+    from collections import Counter
+    from ledgerspark.operators import checks as C
+    rnd = random.Random(41)
+    pick = lambda *v: rnd.choice(v)
+    child = [(pick(1, 2, 2, 3, None), pick("a", "b", None, "z"), pick("x", "y", "q", None), pick(1.5, None)) for _ in range(60)] + [(7, "only", "x", 0.0)]
+    parent = [("a", 2), ("b", 2), ("b", 3), (None, None)]
+    rules = {"child": [C.unique("id"), C.not_null("id"), C.accepted("kind", "x", "y"), C.accepted_from("code", "parent", "code"),
+                       C.relationship("code", "parent", "code"), C.relationship("id", "parent", "number"), C.unique_combination("id", "code"),
+                       C.not_null("nowhere"), C.relationship("code", "parent", "nowhere"), C.unique("amount")],
+             "parent": [C.unique("code"), C.not_null("number"), C.unique_combination("code", "number")], "empty": [C.unique("id"), C.not_null("id")]}
+    frames = {"child": spark.createDataFrame(child, "id int, code string, kind string, amount double"),
+              "parent": spark.createDataFrame(parent, "code string, number long"), "empty": spark.createDataFrame([], "id int")}
+    got = {(r.model, r.rule_no): (r.failures, r.passed) for r in C.run_all_model_tests(frames, rules).collect()}
+    dup = lambda keys: sum(n > 1 for n in Counter(keys).values())
+    ids, codes, kinds = zip(*[r[:3] for r in child])
+    known = [c for c in codes if c is not None]
+    want = [dup(i for i in ids if i is not None), ids.count(None), len({k for k in kinds if k not in ("x", "y", None)}),
+            len({c for c in known if c not in "ab"}), sum(c not in ("a", "b") for c in known), sum(i is not None and i not in (2, 3) for i in ids),
+            dup(zip(ids, codes)), None, None, dup(r[3] for r in child if r[3] is not None)]
+    assert [got["child", i] for i in range(len(want))] == [(f, f == 0) for f in want]
+    assert [got["parent", i][0] for i in range(3)] == [1, 1, 0] and got["empty", 0] == got["empty", 1] == (0, True)
+
+
+def test_column_tests_scan_and_shuffle_once(spark):
     from ledgerspark.operators import checks as C
     from ledgerspark.plans.ledger import Ledger
-    lg = Ledger.of(spark, "/root/testdata/sf0.001")
-    models = lg.models()
-    for m in ("int_entries_cost_centre_mapped", "mart_pnl_summary"):
-        folded = C.run_model_tests(m, models[m], C.MODEL_RULES[m], models).collect()
-        anti = C.run_model_tests(m, models[m], C.MODEL_RULES[m], models, broadcast_rows=0).collect()
-        assert sorted(folded) == sorted(anti)
-    rel = {(r.test, r.column_name): r.failures for r in
-           C.run_model_tests("int_entries_cost_centre_mapped", models["int_entries_cost_centre_mapped"],
-                             C.MODEL_RULES["int_entries_cost_centre_mapped"], models).collect()}
-    assert rel[("relationships", "project_code")] > 0 and rel[("relationships", "cost_centre")] > 0
+    lg = Ledger.of(spark, "/root/testdata/sf0.001", persist=True)
+    models = {m: lg.models()[m] for m in ("int_entries_cost_centre_mapped", "dim_projects", "dim_cost_centres")}
+    rules = {"int_entries_cost_centre_mapped": C.MODEL_RULES["int_entries_cost_centre_mapped"]}
+    out = C.run_all_model_tests(models, rules)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    ledger = models["int_entries_cost_centre_mapped"].inputFiles()[0].rsplit("/", 2)[-2]
+    assert plan.count(f"{ledger}]") == 1 or plan.count("FileScan") == 3       # the ledger and its two parents, each once
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2
+    assert "Broadcast" not in plan
+    rel = {(r.test, r.column_name): r.failures for r in out.collect()}
+    assert rel["relationships", "project_code"] > 0 and rel["relationships", "cost_centre"] > 0
 
 
 def test_no_row_ceiling_by_default(spark):

@@ -108,3 +108,29 @@ def test_size_check_estimates_and_never_limits(spark):
     # A side estimated far over the bound is declined before any job: this one would fail if it were run.
     fails = spark.range(10 ** 9).selectExpr("raise_error('counted') AS x")
     assert not proven_small(fails, max_bytes=1024)
+
+
+def test_records_json_is_ordered_limited_and_plain(spark):
+    import datetime as dt
+    import json
+    from decimal import Decimal
+    from ledgerspark.operators import topk as T
+    rows = [(dt.date(2026, m, 1), seg, Decimal("12345678.90") * m, None if m == 1 else 0.5 * m, m % 2 == 0)
+            for m in (3, 1, 2) for seg in ('a "b"', None, "c\n")]
+    df = spark.createDataFrame(rows, "period_month date, segment string, revenue decimal(18,2), pct double, is_material_variance boolean")
+    text = T.records_json(df, T._variance_order(), ["period_month", "segment", "revenue", "pct", "is_material_variance"], k=7).first()[0]
+    got = json.loads(text)
+    want = sorted(rows, key=lambda r: (not r[4], r[0], r[1] is None, r[1] or ""))[:7]
+    assert got == [{"period_month": f"{r[0]}T00:00:00.000", "segment": r[1], "revenue": float(r[2]), "pct": r[3], "is_material_variance": r[4]}
+                   for r in want]
+    assert "E7" not in text and "37037036.7" in text
+    assert T.records_json(df.limit(0), T._variance_order(), ["segment"]).first()[0] == "[]"
+
+
+def test_filters_of_the_variance_tools(spark):
+    from ledgerspark.operators import topk as T
+    df = spark.createDataFrame([("2026-01-01", "x", 1), ("2026-02-01", "x", 2), ("2026-02-01", None, 3)], "period_month string, segment string, n int")
+    df = df.withColumn("period_month", df.period_month.cast("date"))
+    pick = lambda **f: sorted(r.n for r in T._filters(df, f.get("month"), f.get("segment")).collect())
+    assert pick() == [1, 2, 3] and pick(month="2026-02-01") == [2, 3] and pick(segment="x") == [1, 2]
+    assert pick(month="2026-02-01", segment="x") == [2] and pick(month="", segment="") == [1, 2, 3]

@@ -72,11 +72,110 @@ def test_csv_export_and_logs(spark, tmpdir_path):
     parts = [f for f in os.listdir(os.path.join(tmpdir_path, "one")) if f.endswith(".csv")]
     assert len(parts) == 1
     assert spark.read.option("header", True).csv(os.path.join(tmpdir_path, "many")).count() == n
-    log = os.path.join(tmpdir_path, "sync_log")
-    PB.append_sync_log(spark, log, 10, "2026-01-01 00:00:00")
-    PB.append_sync_log(spark, log, 25, "2026-01-02 00:00:00")
-    r = PB.rows_synced_latest(spark.read.parquet(log)).first()
-    assert r.rows_synced_latest == 25
+
+
+def test_csv_round_trip_keeps_odd_text(spark, tmpdir_path):
+    rows = [(1, 'a "quoted", word', dt.date(2026, 1, 1)), (2, "two\nlines", None), (3, "back\\slash", None), (4, None, None), (5, "  blank ", None)]
+    df = spark.createDataFrame(rows, "i int, t string, d date")
+    PB.export_csv(df, os.path.join(tmpdir_path, "odd"))
+    back = PB.read_csv_export(spark, os.path.join(tmpdir_path, "odd"), df.schema)
+    assert [tuple(r) for r in back.orderBy("i").collect()] == rows
+
+
+# ---------------------------------------------------------------- bronze files by header
+def put(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(text)
+
+
+def test_files_are_read_by_their_header(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "fx_rates.csv")
+    put(f"{root}/a.csv", "rate_date,from_currency,to_currency,rate\n2026-01-01,USD,INR,083\n")
+    put(f"{root}/more/b.csv", "rate,Note,TO_CURRENCY,from_currency,rate_date\n1.5,\"x, y\",INR,EUR,2026-01-02\n2.5,,INR,GBP,2026-01-03\n")
+    put(f"{root}/c.csv", "from_currency,rate_date\nAED,2026-01-04\n")
+    put(f"{root}/_SUCCESS", "")
+    put(f"{root}/empty.csv", "")
+    rows = {r.from_currency: tuple(r) for r in bronze.read_csv_source(spark, tmpdir_path, "fx_rates").collect()}
+    assert rows == {"USD": ("2026-01-01", "USD", "INR", "083"), "EUR": ("2026-01-02", "EUR", "INR", "1.5"),
+                    "GBP": ("2026-01-03", "GBP", "INR", "2.5"), "AED": ("2026-01-04", "AED", None, None)}
+    # the given names, in the given order
+    some = bronze.read_csv_source(spark, tmpdir_path, "fx_rates", columns=["note", "rate", "nowhere"])
+    assert some.columns == ["note", "rate", "nowhere"]
+    assert sorted(tuple(r) for r in some.collect() if r.note) == [("x, y", "1.5", None)]
+    # without names: all of all files
+    files = bronze.csv_files(spark, root)
+    assert len(files) == 3 and sorted(c.lower() for c in bronze.read_csv_files(spark, files).columns) == [
+        "from_currency", "note", "rate", "rate_date", "to_currency"]
+    # a column that isn't asked for isn't parsed
+    plan = bronze.read_csv_source(spark, tmpdir_path, "fx_rates").select("rate")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 3
+
+
+def test_repeated_and_unnamed_columns(spark, tmpdir_path):
+    put(f"{tmpdir_path}/t.csv", "a,,a,b\n1,2,3,4\n")
+    assert tuple(bronze.read_csv_source(spark, tmpdir_path, "t", columns=["b", "a"]).first()) == ("4", "1")
+    put(f"{tmpdir_path}/u.csv", "\ufeffa,b\n1,2\n")
+    assert bronze.read_csv_source(spark, tmpdir_path, "u").columns == ["a", "b"]
+
+
+def test_missing_table_and_empty_folder(spark, tmpdir_path):
+    import pytest
+    with pytest.raises(FileNotFoundError):
+        bronze.read_csv_source(spark, tmpdir_path, "fx_rates")
+    os.makedirs(os.path.join(tmpdir_path, "fx_rates.csv"))
+    assert bronze.read_csv_source(spark, tmpdir_path, "fx_rates").count() == 0
+
+
+def test_audit_counts_bad_cells_and_lines(spark, tmpdir_path):
+    from ledgerspark.operators.checks import run_source_tests
+    put(f"{tmpdir_path}/payroll_entries.csv", "allocation_id,allocation_date,employee_id,project_code,cost_centre,hours_logged,rate_per_hour,cost_inr\n"
+        "P1,2026-01-01,E1,A,B,8.5,100,850\nP1,2026-02-30, ,A,B,eight,100,800\n,01/02/2026,E3,A,B,,-1e2,1\nP4,2026-01-04\nP5,2026-01-05,E5,A,B,1,2,3,4\n")
+    raw = bronze.read_csv_source(spark, tmpdir_path, "payroll_entries", corrupt=True)
+    found = {(r.column_name, r.problem): r.failures for r in bronze.audit_cells(raw, "payroll_entries").collect()}
+    assert found == {("allocation_date", "blank"): 0, ("allocation_date", "bad_cell"): 2, ("hours_logged", "blank"): 2,
+                     ("hours_logged", "bad_cell"): 1, ("rate_per_hour", "blank"): 1, ("rate_per_hour", "bad_cell"): 0, ("", "bad_line"): 2}
+    rules = {(r.test, r.column_name): (r.failures, r.passed) for r in run_source_tests(
+        {"payroll_entries": bronze.read_csv_source(spark, tmpdir_path, "payroll_entries")}).collect()}
+    assert rules == {("unique", "allocation_id"): (1, False), ("not_null", "allocation_id"): (1, False),
+                     ("not_null", "allocation_date"): (2, False), ("not_null", "employee_id"): (2, False)}
+
+
+# ---------------------------------------------------------------- corpus with sidecars
+YML = """version: 2
+
+models:
+  - name: stg_x       # a comment
+    description: |
+      Text - name: not one
+    columns:
+      - name: "id"
+        tests:
+          - not_null
+          - accepted_values:
+              values: ['a', 'b']
+              - nested
+      - name: other
+        description: none
+      - name: last
+        data_tests:
+        - unique
+        - relationships:
+            to: ref('y')
+"""
+
+
+def test_sidecars_are_paired_by_path(spark, tmpdir_path):
+    put(f"{tmpdir_path}/staging/stg_x.sql", "select 1")
+    put(f"{tmpdir_path}/staging/stg_x.yml", YML)
+    put(f"{tmpdir_path}/marts/stg_x.sql", "select 2")
+    put(f"{tmpdir_path}/marts/other.yml", "models: []")
+    put(f"{tmpdir_path}/marts/_hidden.sql", "select 3")
+    c = corpus.read_sql_corpus(spark, tmpdir_path)
+    rows = {(r.layer, r.model_name): (r.text, r.yml_content) for r in c.collect()}
+    assert rows == {("staging", "stg_x"): ("select 1", YML), ("marts", "stg_x"): ("select 2", "No YAML file found.")}
+    found = {r.column_name: (r.model, r.tests) for r in corpus.yaml_columns(c).collect()}
+    assert found == {"id": ("stg_x", ["not_null", "accepted_values"]), "other": ("stg_x", []), "last": ("stg_x", ["unique", "relationships"])}
 
 
 def test_streaming_ingestion_is_incremental(spark, tmpdir_path):
@@ -89,7 +188,9 @@ def test_streaming_ingestion_is_incremental(spark, tmpdir_path):
     q = start_ledger_stream(spark, os.path.join(landing, "*"), fx, pr, cc, out, checkpoint=ck)
     q.awaitTermination(120)
     assert spark.read.parquet(os.path.join(out, "mapped")).count() == 60
-    gl.where(F.col("entry_id") > "GL-000060").write.option("header", True).csv(os.path.join(landing, "day2"))
+    # the second day's files have their columns in another order, and one more
+    gl.where(F.col("entry_id") > "GL-000060").select(F.lit("x").alias("extra"), *reversed(gl.columns)).write.option("header", True).csv(
+        os.path.join(landing, "day2"))
     q = start_ledger_stream(spark, os.path.join(landing, "*"), fx, pr, cc, out, checkpoint=ck)
     q.awaitTermination(120)
     m = marts_from_stream_output(spark, out)
@@ -102,24 +203,14 @@ def test_daily_pipeline_runs_and_blocks(spark, tmpdir_path):
                g.dim_cost_centres(spark))
     res = run_daily(spark, b, os.path.join(tmpdir_path, "run"))
     assert res.passed and {r.gate for r in res.report.collect()} == {"g1", "g2", "g3", "g4", "g5", "g6"}
+    assert res.source_tests.count() == 11 and all(r.passed for r in res.source_tests.collect())
     assert spark.read.parquet(res.tables["mart_pnl_summary"]).count() > 0
     bad = Bronze(b.gl.unionByName(b.gl.limit(1)), b.fx, b.payroll, b.dim_projects, b.dim_cost_centres)
     res = run_daily(spark, bad, os.path.join(tmpdir_path, "run2"))
     assert not res.passed and res.tables == {} and {r.gate for r in res.report.collect()} == {"g1"}
-
-
-def test_publish_tables_and_run_log(spark, tmpdir_path):
-    fx = g.gen_fx(spark)
-    counts = PB.publish_tables(spark, {"fx_rates": fx}, schema="ls_test_gold",
-                               location=os.path.join(tmpdir_path, "wh"))
-    assert counts == {"fx_rates": 720}
-    assert dict(spark.table("ls_test_gold.fx_rates").dtypes)["rate"] == "double"
-    log = os.path.join(tmpdir_path, "snippets")
-    PB.append_run_log(fx.limit(3), log, "snippet_id", "generated_at", "2026-01-01 00:00:00")
-    PB.append_run_log(fx.limit(2), log, "snippet_id", "generated_at", "2026-01-02 00:00:00")
-    back = spark.read.parquet(log)
-    assert back.count() == 5 and back.select("snippet_id").distinct().count() == 5
-    assert back.select("generated_at").distinct().count() == 2
+    assert [(r.test, r.column_name) for r in res.source_tests.collect() if not r.passed] == [("unique", "entry_id")]
+    stopped = run_daily(spark, bad, os.path.join(tmpdir_path, "run3"), block_on_sources=True)
+    assert not stopped.passed and stopped.report.columns[0] == "source"
 
 
 def test_source_rules_declared():
