@@ -11,13 +11,15 @@ Two registers agree with the probability Jaccard similarity of the texts.
 2. Registers in bands give bucket keys. Every bucket links its members to one of
    them, the text that most others share buckets with (a star, not all pairs), each pair is verified by the exact
    probability Jaccard of the texts, and linked texts are joined to components.
-3. A bucket whose star left members apart goes on: its members outside its
-   largest component are pivots and are compared with the bucket's members of
-   other components: all of them at once where they are few, a fixed number at
-   a time per bucket where they are many, until none is left. The distance is a
-   metric, so pairs whose distances to the bucket's first member differ by more
-   than the allowed distance are known not to match; of the others only pairs
-   whose registers agree often enough (``AGREE``, five standard errors below the
+3. A star that left members apart goes on with its members outside its largest component. Where these and
+   the star's members are few, they are compared. Otherwise the star's text is the measure: two texts that
+   share no shingle beyond it are bounded by what either has of it (``shared_bound``), so a pair is compared only if both
+   hold one more shingle, which is found by a join on those shingles (of a text's, in the order of their hashes, only
+   so many as carry more weight than two texts of the threshold may differ in), or if the bound of
+   their classes of equal measures allows it. Inside these smaller groups members are compared all at once where
+   they are few, a fixed number at a time where they are many, until none is left. The distance is a metric, so pairs
+   whose distances to the star differ by more than the allowed distance are known not to match; of the
+   others only pairs whose registers agree often enough (``AGREE``, five standard errors below the
    threshold) are verified by their texts. No bucket is cut off.
 4. Components come from repeated minimum labels over the verified links, as
    tables, after the members of stars have been folded into their first ones;
@@ -38,7 +40,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.common import Scratch, table, text_or_empty
@@ -47,8 +49,12 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 36, 7
 REGISTERS = BANDS * ROWS
-#: Buckets with so many members outside their largest component compare all of them at once; others PIVOTS a round.
+#: Groups with so many members outside their largest component compare all of them at once; others PIVOTS a round.
 FEW, PIVOTS = 64, 32
+#: Stars with at most so many pairs (members outside the largest component times members) are compared without a refinement.
+DIRECT = 1024
+#: Steps of either measure that members are classed by.
+STEPS = 40
 #: Share of agreeing registers below which a pair of similarity THRESHOLD is five standard errors away.
 AGREE = THRESHOLD - 5 * (THRESHOLD * (1 - THRESHOLD) / REGISTERS) ** 0.5
 GROUP_BYTES = 2_000_000
@@ -201,8 +207,20 @@ def _signer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                      pa.array([m.tobytes() for m in marks], pa.binary())], ["id", "hash", "keys", "marks"])
 
 
+def measures(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[float, float, float, float]:
+    """Of a text a beside a text b: its weight, its weight on b's shingles, the least ratio of its weight to b's on one of
+    them, and the weight of b's shingles that it lacks."""
+    _, ia, ib = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    inside = float(a[1][ia].sum())
+    least = float((a[1][ia] / b[1][ib]).min()) if ia.size else 0.0
+    return float(a[1].sum()), inside, least, float(b[1].sum() - b[1][ib].sum())
+
+
+VERIFIED = "a long, b long, similarity double, total double, inside double, least double, lacks double"
+
+
 def _verifier(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, text_a, text_b) to (a, b, similarity). Neighbouring rows with the same b read its text once."""
+    """(a, b, text_a, text_b) to (a, b, similarity and a's measures). Neighbouring rows with the same b read its text once."""
     with np.errstate(over="ignore"):
         known, held = None, (np.empty(0, np.uint64), np.empty(0))
         for batch in batches:
@@ -210,9 +228,46 @@ def _verifier(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b, ta, tb in zip(*(batch.column(c).to_pylist() for c in ("b", "text_a", "text_b"))):
                 if b != known:
                     known, held = b, shingles([tb])[1:]
-                out.append(probability_jaccard(shingles([ta])[1:], held))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out, pa.float64())],
-                                             ["a", "b", "similarity"])
+                mine = shingles([ta])[1:]
+                out.append((probability_jaccard(mine, held), *measures(mine, held)))
+            columns = np.array(out, float).reshape(-1, 5).T
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *map(pa.array, columns)],
+                                             ["a", "b", "similarity", "total", "inside", "least", "lacks"])
+
+
+def _beyond(threshold: float):
+    """(v, b, text, text_b) to (v, b, e): shingles of v that b lacks, by hash, until they weigh more than 1 - threshold of v."""
+    def beyond(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            known, held = None, np.empty(0, np.uint64)
+            for batch in batches:
+                vs, bs, es = [], [], []
+                for v, b, ta, tb in zip(*(batch.column(c).to_pylist() for c in ("v", "b", "text", "text_b"))):
+                    if b != known:
+                        known, held = b, shingles([tb])[1]
+                    _, value, weight = shingles([ta])
+                    own = ~np.isin(value, held, assume_unique=True)
+                    before = np.cumsum(weight[own]) - weight[own]
+                    some = value[own][before <= (1 - threshold + 1e-9) * weight.sum()]
+                    vs.append(np.full(some.size, v))
+                    bs.append(np.full(some.size, b))
+                    es.append(some.astype(np.int64))
+                join = lambda x: pa.array(np.concatenate([np.empty(0, np.int64), *x]).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([join(vs), join(bs), join(es)], ["v", "b", "e"])
+    return beyond
+
+
+def shared_bound(u: str, v: str) -> Column:
+    """The probability Jaccard of two texts that share no shingle beyond their star is at most this.
+
+    With shares x and y of their weights on shingles of both, it is at most 1 / (1 / x + 1 / y - 1). What the
+    one lacks of the star more than the other, the other holds alone, by at least its least ratio. ``u`` and ``v`` are
+    prefixes of columns: the greatest ``inside`` share and ``total``, the least ``least``, the least and greatest ``lacks``.
+    """
+    c = lambda p, n: F.col(f"{p}_{n}")
+    share = lambda p, q: c(p, "share") - c(p, "least") * F.greatest(F.lit(0.0), c(q, "lacks0") - c(p, "lacks1")) / c(p, "total")
+    x, y = share(u, v), share(v, u)
+    return F.when((x > 0) & (y > 0), 1 / (1 / x + 1 / y - 1)).otherwise(F.lit(0.0))
 
 
 def _agreeing(least: float):
@@ -302,7 +357,7 @@ class NearDuplicates:
             F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), "similarity")
         links = matched(star)
         labels = components(links, self.scratch)
-        more = [keep(self._verify(pairs, bodies), "more") for pairs in self._more_pairs(buckets, star, labels)]
+        more = [keep(self._verify(pairs, bodies), "more") for pairs in self._more_pairs(star, labels, bodies)]
         for found in more:
             links = links.unionByName(matched(found))
         links = keep(links.distinct(), "links")
@@ -316,46 +371,82 @@ class NearDuplicates:
     def _verify(self, pairs: DataFrame, bodies: DataFrame) -> DataFrame:
         with_a = pairs.join(bodies.select(F.col("v").alias("a"), F.col("text").alias("text_a")), "a")
         with_b = with_a.join(bodies.select(F.col("v").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
-        return with_b.select("a", "b", "text_a", "text_b").mapInArrow(_verifier, "a long, b long, similarity double")
+        return with_b.select("a", "b", "text_a", "text_b").mapInArrow(_verifier, VERIFIED)
 
-    def _more_pairs(self, buckets: DataFrame, star: DataFrame, labels: DataFrame) -> Iterator[DataFrame]:
-        """Pairs (a, b) still to be verified, a frame per round; buckets with few members apart are done in the first."""
-        keep, drop = self.scratch.keep, self.scratch.drop
-        near = star.select(F.col("a").alias("v"), "b", "similarity")
-        apart = near.where(F.col("similarity") < self.threshold)
-        open_keys = keep(buckets.join(apart.select("v", "b").hint("merge"), ["v", "b"], "left_semi").select("key").distinct(), "open-keys")
-        if not open_keys.take(1):
+    def _outside(self, rows: DataFrame) -> DataFrame:
+        """The rows (key, v, comp, ...) outside their group's largest component, with ``others``, their number, and ``size``."""
+        sizes = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+        largest = sizes.groupBy("key").agg(F.max_by("comp", F.struct("n", -F.col("comp"))).alias("largest"), F.sum("n").alias("size"),
+                                           (F.sum("n") - F.max("n")).alias("others")).where("others > 0")
+        return rows.join(largest.hint("merge"), "key").where("comp <> largest").drop("largest")
+
+    def _refined(self, rows: DataFrame, outside: DataFrame, bodies: DataFrame) -> DataFrame:
+        """The members (key: star) again in smaller groups (key: star and shingle, or star and two classes of members), such
+        that every pair with a member outside that may match is in one of them."""
+        text = lambda c, name: bodies.select(F.col("v").alias(c), F.col("text").alias(name))
+        pairs = rows.select("v", F.col("key").alias("b")).join(text("v", "text"), "v").join(text("b", "text_b").hint("merge"), "b")
+        more = pairs.select("v", "b", "text", "text_b").mapInArrow(_beyond(self.threshold), "v long, b long, e long")
+        by_shingle = more.select(F.col("b").alias("key"), "v", F.xxhash64("b", "e").alias("part"))
+        # Classes of members by their share inside the star and what they lack of it.
+        share = F.col("inside") / F.col("total")
+        own = F.struct(F.floor(share * STEPS).alias("i"), F.floor(F.col("lacks") / (F.col("lacks") + F.col("total")) * 2 * STEPS).alias("j"))
+        classed = rows.select("key", "v", "total", share.alias("share"), "least", "lacks", own.alias("class"))
+        classes = classed.join(outside.select("key", "v", F.lit(1).alias("out")).hint("merge"), ["key", "v"], "left").groupBy("key", "class").agg(
+            F.max("total").alias("total"), F.max("share").alias("share"), F.min("least").alias("least"), F.min("lacks").alias("lacks0"),
+            F.max("lacks").alias("lacks1"), F.count("out").alias("out"))
+        side = lambda p: classes.select("key", *[F.col(c).alias(f"{p}_{c}") for c in classes.columns if c != "key"])
+        near = side("u").where("u_out > 0").join(side("v").hint("merge"), "key").where(shared_bound("u", "v") >= self.threshold - 1e-9)
+        near = near.select("key", F.xxhash64("key", "u_class", "v_class").alias("part"),
+                           F.explode(F.array_distinct(F.array("u_class", "v_class"))).alias("class"))
+        by_class = classed.select("key", "v", "class").join(near.hint("merge"), ["key", "class"]).select("key", "v", "part")
+        parts = by_shingle.unionByName(by_class).distinct()
+        return parts.join(rows.select("key", "v", "comp", "marks", "similarity").hint("merge"), ["key", "v"]).select(
+            F.col("part").alias("key"), "v", "comp", "marks", "similarity")
+
+    def _more_pairs(self, star: DataFrame, labels: DataFrame, bodies: DataFrame) -> Iterator[DataFrame]:
+        """Pairs (a, b) still to be verified, a frame per round; groups with few members apart are done in the first."""
+        keep = self.scratch.keep
+        apart = star.where(F.col("similarity") < self.threshold).select("b").distinct()
+        if not apart.take(1):
             return
         info = self.texts.select("v", "marks").join(labels, "v", "left").select(
             "v", "marks", F.coalesce("label", "v").alias("comp"))
-        rows = buckets.join(open_keys.hint("merge"), "key", "left_semi").join(near, ["v", "b"], "left").join(info.hint("merge"), "v")
-        rows = keep(rows.select("key", "v", "comp", "marks", F.coalesce("similarity", F.when(F.col("v") == F.col("b"), 1.0))
-                                .alias("similarity")), "open")
-        sizes = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-        largest = sizes.groupBy("key").agg(F.max_by("comp", F.struct("n", -F.col("comp"))).alias("largest"),
-                                           (F.sum("n") - F.max("n")).alias("others")).where("others > 0")
-        outside = keep(rows.join(largest.hint("merge"), "key").where("comp <> largest").drop("largest"), "outside")
-        many = outside.where(F.col("others") > self.few)
-        chosen = outside.where(F.col("others") <= self.few).drop("others")
+        rows = star.join(apart.hint("merge"), "b", "left_semi").withColumnRenamed("a", "v").join(info.hint("merge"), "v")
+        rows = keep(rows.withColumnRenamed("b", "key"), "open")
+        outside = keep(self._outside(rows), "outside")
+        direct = outside.where(F.col("others") * F.col("size") <= DIRECT)
+        large = outside.where(F.col("others") * F.col("size") > DIRECT)
+        fields = ["key", "v", "comp", "marks", "similarity"]
+        groups, turn = rows.select(fields), direct.select(fields)
+        many = None
+        if large.take(1):
+            whole = rows.join(large.select("key").distinct().hint("merge"), "key", "left_semi")
+            parts = keep(self._refined(whole, large, bodies), "parts")
+            inner = keep(self._outside(parts), "outside-parts")
+            groups = rows.join(direct.select("key").distinct().hint("merge"), "key", "left_semi").select(fields).unionByName(parts)
+            turn = turn.unionByName(inner.where(F.col("others") <= self.few).select(fields))
+            many = inner.where(F.col("others") > self.few).select(fields)
         pivoted, slot = None, F.pmod(F.xxhash64("v"), F.lit(self.pivots)).alias("slot")
         while True:
-            left = many if pivoted is None else many.join(pivoted, ["key", "v"], "left_anti")
-            some = keep(left.groupBy("key", slot).agg(F.min("v").alias("v")).select("key", "v"), "pivots")
-            busy = bool(some.take(1))
-            if busy:
-                turn = many.join(some, ["key", "v"], "left_semi").drop("others")
-                chosen = turn if chosen is None else chosen.unionByName(turn)
-            if chosen is None:
+            busy = False
+            if many is not None:
+                left = many if pivoted is None else many.join(pivoted, ["key", "v"], "left_anti")
+                some = keep(left.groupBy("key", slot).agg(F.min("v").alias("v")).select("key", "v"), "pivots")
+                busy = bool(some.take(1))
+                if busy:
+                    chosen = many.join(some, ["key", "v"], "left_semi")
+                    turn = chosen if turn is None else turn.unionByName(chosen)
+            if turn is None:
                 return
-            p = chosen.select("key", F.col("v").alias("pv"), F.col("comp").alias("pc"), F.col("marks").alias("pmarks"),
-                              F.col("similarity").alias("ps"))
+            p = turn.select("key", F.col("v").alias("pv"), F.col("comp").alias("pc"), F.col("marks").alias("pmarks"),
+                            F.col("similarity").alias("ps"))
             far = 1 - self.threshold + 1e-9
-            pairs = rows.join(p.hint("merge"), "key").where((F.col("comp") != F.col("pc")) & (F.abs(F.col("similarity") - F.col("ps")) <= far))
+            pairs = groups.join(p.hint("merge"), "key").where((F.col("comp") != F.col("pc")) & (F.abs(F.col("similarity") - F.col("ps")) <= far))
             agree = AGREE - THRESHOLD + self.threshold
             yield pairs.select("v", "marks", "pv", "pmarks").mapInArrow(_agreeing(agree), "a long, b long").distinct()
             if not busy:
                 return
-            pivoted, chosen = some if pivoted is None else pivoted.unionByName(some), None
+            pivoted, turn = some if pivoted is None else pivoted.unionByName(some), None
 
     def classes(self) -> DataFrame:
         """Per text (v, label, hash): ``class_id`` (smallest id of the class), ``class_size`` in rows, ``n_star_links``:

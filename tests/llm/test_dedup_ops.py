@@ -127,8 +127,9 @@ def test_shingles_of_short_and_empty_texts():
     assert c.tolist() == [1, 1, 1, 1, 2]
 
 
-@pytest.mark.parametrize("few", [64, 1])
-def test_near_duplicates_against_all_pairs(spark, few):
+@pytest.mark.parametrize("few,direct", [(64, pm.DIRECT), (1, pm.DIRECT), (64, 0), (1, 0)])
+def test_near_duplicates_against_all_pairs(spark, monkeypatch, few, direct):
+    monkeypatch.setattr(pm, "DIRECT", direct)
     rng = random.Random(3)
     base, other, passage = words(rng, 200), words(rng, 120), words(rng, 60)
     rows = [(i, " ".join(edited(rng, base, 3))) for i in range(40, 70)]             # a hot group of near copies
@@ -155,6 +156,49 @@ def test_near_duplicates_against_all_pairs(spark, few):
     assert len(kept) == len(set(kept)) == len(set(want.values()))
 
 
+def test_bound_of_texts_that_share_nothing_beyond_a_star(spark):
+    """The refinement leaves out no pair of the threshold: shared shingles beyond the star, or a bound that allows it."""
+    rng = random.Random(12)
+    rows, star = [], [(k, rng.choice([1, 1, 1, 2, 7])) for k in rng.sample(range(500), 60)]
+    for _ in range(150):
+        own = [(k, max(1, w + rng.choice([0, 0, 0, 1, -1, 5]))) for k, w in rng.sample(star, rng.randint(0, 60))]
+        rows.append(own + [(k, rng.choice([1, 2])) for k in rng.sample(range(1000, 1040), rng.choice([0, 0, 1, 2, 6]))])
+    pack = lambda x: (np.array([k for k, _ in sorted(x)], np.uint64), np.array([w for _, w in sorted(x)], np.int64))
+    b, texts = pack(star), [pack(r) for r in rows if r]
+    found = [pm.measures(t, b) for t in texts]
+    cols = [f"{p}_{c}" for p in "uv" for c in ("total", "share", "least", "lacks0", "lacks1")]
+    pairs = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2)
+             if not set(texts[i][0].tolist()) & set(texts[j][0].tolist()) - set(b[0].tolist())]
+    flat = lambda m: (m[0], m[1] / m[0], m[2], m[3], m[3])
+    df = spark.createDataFrame([(n, *map(float, (*flat(found[i]), *flat(found[j])))) for n, (i, j) in enumerate(pairs)],
+                               "n int, " + ", ".join(f"{c} double" for c in cols))
+    tight = 0
+    for r in df.select("n", pm.shared_bound("u", "v").alias("bound")).collect():
+        exact = pm.probability_jaccard(texts[pairs[r.n][0]], texts[pairs[r.n][1]])
+        assert exact <= r.bound + 1e-9
+        tight += r.bound < 0.8
+    assert tight > 1000
+
+
+@pytest.mark.parametrize("few", [64, 2])
+def test_dense_groups_around_a_star(spark, monkeypatch, few):
+    """Groups just below the threshold, prefixes of one text, shared insertions, repeated words: no link is lost, few pairs are compared."""
+    monkeypatch.setattr(pm, "DIRECT", 0)
+    rng = random.Random(21)
+    base = words(rng, 150)
+    rows = [(i, " ".join(edited(rng, base, rng.choice([1, 2, 3, 4, 5])))) for i in range(150)]
+    long = words(rng, 120)
+    rows += [(200 + i, " ".join(long[:60 + 3 * i])) for i in range(20)]                                   # linked step by step
+    extra = [words(rng, 30) for _ in range(3)]
+    rows += [(300 + i, " ".join(edited(rng, base[:75], 1) + extra[i % 3] + base[75:])) for i in range(30)]   # three sub-groups
+    rows += [(400 + i, " ".join(base + ["again"] * rng.randint(0, 120))) for i in range(15)]
+    rows.append((500, " ".join(base)))
+    found = pm.NearDuplicates(docs_of(spark, rows), few=few, pivots=4).members().collect()
+    want = near_brute(rows)
+    texts = dict(rows)
+    assert {r.id: r.class_id for r in found} == {i: want[i, texts[i]] for i, _ in rows}
+
+
 def test_components_against_union_find(spark):
     rng = random.Random(8)
     edges = [(i + 1, i) for i in range(0, 30)] + [(100, i) for i in range(60, 99, 3)] + [(rng.randrange(200, 300), rng.randrange(200, 300))
