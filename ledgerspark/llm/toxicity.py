@@ -23,8 +23,10 @@ probability; it is fitted on the half of the sample that the machine didn't see,
 weighted to the labels' share of toxic rows.
 
 Since the score is linear in the landmarks' kernels, it is a weighted sum over
-triples of characters. The fitted model is that table (a fixed number of
-entries), shipped to the tasks; scoring needs no shuffle.
+triples of characters. The fitted model is the weights of the landmarks' triples (at
+most 192 times 2024; for small alphabets beside them a table of all triples), shipped to the
+tasks; scoring needs no shuffle. A text is read whole, very long ones too: by its words, each of
+which is scored once per task.
 
 Defined results: null or empty text scores as the empty string; null labels
 are not used, a doc_id with several labels counts as toxic if their mean is at
@@ -53,10 +55,12 @@ DECAY = 0.8
 #: Words longer than this are read through overlapping windows.
 WINDOW = 24
 CACHE_WORDS = 400_000
+#: Triples of so small an alphabet are numbered by a table of all of them, those of a larger one by search.
+TABLE_LETTERS = 160
 THRESHOLD = 0.7
 #: Words with a higher decision value are counted as evidence.
 HIT = 0.5
-SPELLED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
+SPELLED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
 BEGIN, END = "\x02", "\x03"
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»„“”‚‘’…–—¡¿·"
 
@@ -123,14 +127,20 @@ class Triples:
         self.codes = np.zeros(max(map(ord, self.chars), default=0) + 2, np.int64)
         for c, i in self.chars.items():
             self.codes[ord(c)] = i
-        numbers: dict[int, int] = {}
-        for t in landmarks:
-            for x in self.of(_points([t], len(t)))[0].tolist():
-                numbers.setdefault(x, len(numbers) + 1)
-        self.numbers = np.zeros(self.size ** 3, np.int32)
-        for x, i in numbers.items():
-            self.numbers[x] = i
-        self.count = len(numbers) + 1
+        found = [self.of(_points([t], len(t)))[0] for t in landmarks]
+        self.keys = np.unique(np.concatenate([np.zeros(1, np.int64), *found]))      # the first, 0, is no triple
+        self.count = len(self.keys)
+        self.table = None
+        if self.size <= TABLE_LETTERS:
+            self.table = np.zeros(self.size ** 3, np.int32)
+            self.table[self.keys] = np.arange(self.count)
+
+    def number(self, codes: np.ndarray) -> np.ndarray:
+        """The number of each triple; memory doesn't grow with the alphabet."""
+        if self.table is not None:
+            return self.table[codes]
+        at = np.minimum(np.searchsorted(self.keys, codes), self.count - 1)
+        return np.where(self.keys[at] == codes, at, 0)
 
     def of(self, points: np.ndarray) -> np.ndarray:
         """Triples of strings of one length, as numbers below size ** 3 (0 in a place: no landmark has the character)."""
@@ -154,7 +164,7 @@ def kernels(words: list[str], landmarks: list[str], triples: Triples) -> np.ndar
     weights = np.zeros((triples.count, len(landmarks)), np.float32)
     for m, t in enumerate(landmarks):
         points = _points([t], len(t))
-        np.add.at(weights[:, m], triples.numbers[triples.of(points)[0]], _triples(len(t))[3])
+        np.add.at(weights[:, m], triples.number(triples.of(points)[0]), _triples(len(t))[3])
         weights[0, m] = 0.0
         weights[:, m] /= np.sqrt(own_kernel(points)[0])
     out = np.zeros((len(words), len(landmarks)))
@@ -164,7 +174,7 @@ def kernels(words: list[str], landmarks: list[str], triples: Triples) -> np.ndar
         step = max(8, 20_000 // max(1, len(_triples(n)[3])))
         for lo in range(0, len(part), step):
             points = _points(part[lo:lo + step], n)
-            found = triples.numbers[triples.of(points)]
+            found = triples.number(triples.of(points))
             row, place = np.nonzero(found)      # most triples are no landmark's
             if row.size:
                 each = weights[found[row, place]] * _triples(n)[3][place].astype(np.float32)[:, None]
@@ -199,7 +209,9 @@ class Model:
     def __init__(self, triples: Triples, weights: np.ndarray, offset: float):
         self.triples, self.offset = triples, offset
         self.sigmoid = np.array([1.0, 0.0, 0.0, 0.0])
-        self.table = weights.astype(np.float32)[triples.numbers]
+        self.weights = weights.astype(np.float32)
+        # One look-up where the triples have a table.
+        self.table = None if triples.table is None else self.weights[triples.table]
         self.cache: dict[str, float] = {}
 
     def __getstate__(self):
@@ -211,7 +223,9 @@ class Model:
         for at, part, n in _by_length(words):
             if n >= 3:
                 points = _points(part, n)
-                raw = self.table[self.triples.of(points)] @ _triples(n)[3].astype(np.float32)
+                codes = self.triples.of(points)
+                each = self.table[codes] if self.table is not None else self.weights[self.triples.number(codes)]
+                raw = each @ _triples(n)[3].astype(np.float32)
                 hot = np.flatnonzero(raw)
                 if hot.size:
                     out[at[hot]] += raw[hot] / np.sqrt(own_kernel(points[hot]))
@@ -252,6 +266,7 @@ class Model:
 
 def _squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float) -> np.ndarray:
     """Linear machine (last weight: offset, not penalised) by Newton steps on the active rows."""
+    x = x.astype(np.float64)
     w = np.zeros(x.shape[1])
     ridge = np.full(x.shape[1], penalty)
     ridge[-1] = 1e-9
@@ -323,7 +338,10 @@ class Training:
         self.features = self._features(self.words)
 
     def _features(self, words: list[str]) -> np.ndarray:
-        return np.hstack([kernels(words, self.marks, self.triples) @ self.root, np.ones((len(words), 1))])
+        out = np.ones((len(words), self.root.shape[1] + 1), np.float32)
+        for lo in range(0, len(words), 8192):
+            out[lo:lo + 8192, :-1] = kernels(words[lo:lo + 8192], self.marks, self.triples) @ self.root
+        return out
 
     def add_hard(self, words: list[str]) -> None:
         """Clean words that the machine scores highest, highest first."""
@@ -356,7 +374,7 @@ class Training:
         table_of = np.zeros(self.triples.count)
         for m, t in enumerate(self.marks):
             points = _points([t], len(t))
-            np.add.at(table_of, self.triples.numbers[self.triples.of(points)[0]],
+            np.add.at(table_of, self.triples.number(self.triples.of(points)[0]),
                       _triples(len(t))[3] * beta[m] / np.sqrt(own_kernel(points)[0]))
         table_of[0] = 0.0
         return Model(self.triples, table_of, float(w[-1]))

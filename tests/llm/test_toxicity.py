@@ -36,6 +36,29 @@ def test_kernels_by_definition():
             assert x == pytest.approx(want, abs=1e-6)
 
 
+def test_large_alphabets_need_no_table_of_all_triples():
+    rng = random.Random(4)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 3000)]
+    marks = ["".join(rng.choice(letters) for _ in range(rng.randint(4, 24))) for _ in range(150)]
+    triples = tx.Triples(marks)
+    assert triples.size > 1000 and triples.table is None and triples.count < 150 * 2024
+    strings = [m[:2] + "x" + m[2:] for m in marks[:6]] + ["\u4e00\u4e01\u4e02", "plain"]
+    got = tx.kernels(strings, marks, triples)
+    for w, row in zip(strings, got):
+        for t, x in list(zip(marks, row))[:20]:
+            assert x == pytest.approx(kernel(w, t) / np.sqrt(kernel(w, w) * kernel(t, t)), abs=1e-6)
+    # the same numbers with and without a table
+    few = ["\x02idiot\x03", "banana"]
+    small, other = tx.Triples(few), tx.Triples(few)
+    other.table = None
+    codes = small.of(tx._points(["banidio", "xaanaxa"], 7))
+    assert (small.number(codes) == other.number(codes)).all() and (small.number(codes) > 0).any()
+
+
+def test_letters_apart_are_read_as_a_word():
+    assert "idiot" in tx.words_of("you i  d  i\to t you") and "idiot" in tx.words_of("I D I O T")
+
+
 def test_own_kernel_by_definition():
     for w in ("abc", "aaaa", "banana", "abcabcabc"):
         assert tx.own_kernel(tx._points([w], len(w)))[0] == pytest.approx(kernel(w, w))
