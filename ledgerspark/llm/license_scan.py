@@ -23,7 +23,8 @@ notice that a third of all documents carry is one row of scoring.
 Defined results: null text counts as empty, empty paragraphs are ``none``;
 null ids are kept; rows that repeat give the same rows again; an empty table
 gives an empty table (and the regression is then trained on the notices alone);
-further columns are not read.
+further columns are not read. A very long text is split into its lines once, inside its task;
+only lines with an anchor in them or in the next one carry their window of following lines.
 """
 
 from __future__ import annotations
@@ -292,20 +293,25 @@ def scan(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col:
     """One row per paragraph with licence language: id, paragraph number, family (or unknown), probability of the
     best family, confirmation, paragraph."""
     scratch = Scratch(docs.sparkSession, "licence")
-    lines = F.split(text_or_empty(F.col(text_col)), "\n", -1)
-    # A notice has a word at least in each line that it is wrapped into.
-    following = F.transform(F.sequence(F.lit(1), F.size(lines)), lambda i: F.array_join(F.slice(lines, i, MOST_WORDS), "\n"))
-    # The row's number first: beside the explode it would be a line's.
-    rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.arrays_zip(
-        lines.alias("line"), following.alias("near")).alias("lines"))
-    rows = rows.select("id", "row", F.posexplode("lines").alias("pos", "at")).select("id", "row", "pos", "at.line", "at.near")
     anchored = lambda text: F.exists(words_of(text), lambda w: w.isin(*model.anchors))
+    # The row's number first: beside the explode it would be a line's. Lines and anchors are columns of their own, so
+    # that a text is split once, not once for each of its lines.
+    rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"),
+                       F.split(text_or_empty(F.col(text_col)), "\n", -1).alias("lines"))
+    rows = rows.select("*", F.transform("lines", anchored).alias("anchors"))
+    # Only lines with an anchor in them or in the next one begin a window; a notice has a word at least in each line that
+    # it is wrapped into.
+    begins = F.filter(F.sequence(F.lit(1), F.size("lines")), lambda i: F.element_at("anchors", i) | F.coalesce(F.get("anchors", i), F.lit(False)))
+    rows = rows.where(F.exists("anchors", lambda a: a)).select("id", "row", "lines", "anchors", begins.alias("begins"))
+    window = F.transform("begins", lambda i: F.struct(
+        (i - 1).alias("pos"), F.element_at("lines", i).alias("line"), F.element_at("anchors", i).alias("own"),
+        F.array_join(F.slice("lines", i, MOST_WORDS), "\n").alias("near")))
+    rows = rows.select("id", "row", F.explode(window).alias("at")).select("id", "row", "at.*")
     # A window ends before a line without words, or where a notice's words must have ended.
     block = F.split("near", r"\n[^\p{L}\p{N}\n]*(?=\n|\z)", 2)[0]
     rest = F.regexp_extract(F.expr("substring(block, length(line) + 1)"), rf"\A\s*+(?:\S++\s++){{0,{2 * MOST_WORDS}}}+[^\n]*+", 0)
-    kept = rows.where(anchored(F.substring_index("near", "\n", 2))).withColumn("block", block)
-    kept = scratch.keep(kept.select("id", "row", "pos", "line", F.concat("line", rest).alias("near")), "anchored")
-    some = kept.where(anchored(F.col("line"))).select("id", "row", "pos", F.col("line").alias("paragraph"))
+    kept = scratch.keep(rows.withColumn("block", block).select("id", "row", "pos", "line", "own", F.concat("line", rest).alias("near")), "anchored")
+    some = kept.where("own").select("id", "row", "pos", F.col("line").alias("paragraph"))
     scored = confirmed(judged(some.select("paragraph").distinct(), model, scratch))
     sure = (F.col("probability") >= FAMILY_AT_LEAST) & (F.col("confirmation") >= CONFIRM_AT_LEAST)
     scored = scratch.keep(scored.select("paragraph", F.when(sure, F.col("guess")).otherwise(UNKNOWN).alias("family"),

@@ -350,6 +350,13 @@ def test_licence_notices_common_in_the_corpus(spark):
     assert got == [(i, 2, some[i // 3 % 3]) for i in range(0, 240, 3)]
 
 
+def test_licence_in_a_text_of_many_lines(spark, licence_model):
+    """A text of many short lines costs its size, not a window for each line; a line is split off once."""
+    text = "\n".join(f"line {i} of a long text" for i in range(600_000)) + "\nAll rights reserved.\nthe end"
+    df = spark.createDataFrame([(1, text), (2, "")], "doc_id long, text string")
+    assert [(r.doc_id, r.paragraph_no, r.family) for r in ls.scan(df, licence_model).collect()] == [(1, 600_000, "proprietary")]
+
+
 def test_licence_wrapped_notices(spark, licence_model):
     bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"
     gpl = ("# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n"
