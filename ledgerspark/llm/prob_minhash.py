@@ -50,9 +50,9 @@ THRESHOLD = 0.8
 BANDS, ROWS = 36, 7
 REGISTERS = BANDS * ROWS
 #: Groups with so many members outside their largest component compare all of them at once; others PIVOTS a round.
-FEW, PIVOTS = 64, 32
+FEW, PIVOTS = 4096, 512
 #: Stars with at most so many pairs (members outside the largest component times members) are compared without a refinement.
-DIRECT = 1024
+DIRECT = 50_000
 #: Steps of either measure that members are classed by.
 STEPS = 40
 #: Share of agreeing registers below which a pair of similarity THRESHOLD is five standard errors away.
@@ -207,16 +207,20 @@ def _signer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                      pa.array([m.tobytes() for m in marks], pa.binary())], ["id", "hash", "keys", "marks"])
 
 
-def measures(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[float, float, float, float]:
+MEASURES = ["total", "inside", "least", "lacks", "beyond", "most"]
+
+
+def measures(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[float, ...]:
     """Of a text a beside a text b: its weight, its weight on b's shingles, the least ratio of its weight to b's on one of
-    them, and the weight of b's shingles that it lacks."""
+    them, the weight of b's shingles that it lacks, the number of its shingles that b lacks, and the most that one of these weighs."""
     _, ia, ib = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     inside = float(a[1][ia].sum())
     least = float((a[1][ia] / b[1][ib]).min()) if ia.size else 0.0
-    return float(a[1].sum()), inside, least, float(b[1].sum() - b[1][ib].sum())
+    own = np.delete(a[1], ia)
+    return float(a[1].sum()), inside, least, float(b[1].sum() - b[1][ib].sum()), float(own.size), float(own.max(initial=0))
 
 
-VERIFIED = "a long, b long, similarity double, total double, inside double, least double, lacks double"
+VERIFIED = "a long, b long, similarity double, " + ", ".join(f"{c} double" for c in MEASURES)
 
 
 def _verifier(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,9 +234,9 @@ def _verifier(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     known, held = b, shingles([tb])[1:]
                 mine = shingles([ta])[1:]
                 out.append((probability_jaccard(mine, held), *measures(mine, held)))
-            columns = np.array(out, float).reshape(-1, 5).T
+            columns = np.array(out, float).reshape(-1, 1 + len(MEASURES)).T
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *map(pa.array, columns)],
-                                             ["a", "b", "similarity", "total", "inside", "least", "lacks"])
+                                             ["a", "b", "similarity", *MEASURES])
 
 
 def _beyond(threshold: float):
@@ -266,10 +270,25 @@ def shared_bound(u: str, v: str) -> Column:
     """
     c = lambda p, n: F.col(f"{p}_{n}")
     share = lambda p, q: c(p, "share") - c(p, "least") * F.greatest(F.lit(0.0), c(q, "lacks0") - c(p, "lacks1")) / c(p, "total")
-    x, y = share(u, v), share(v, u)
+    return _joined(share(u, v), share(v, u))
+
+
+def _joined(x: Column, y: Column) -> Column:
     return F.when((x > 0) & (y > 0), 1 / (1 / x + 1 / y - 1)).otherwise(F.lit(0.0))
 
 
+def pair_bound(mine: str = "", theirs: str = "p") -> Column:
+    """The same of any two texts by their measures beside one star: what a text shares beyond the star with another
+    weighs no more than all it has there, and than the other's number of such shingles at its own heaviest."""
+    c = lambda p, n: F.col(f"{p}{n}")
+
+    def share(p: str, q: str) -> Column:
+        on_star = c(p, "inside") - c(p, "least") * F.greatest(F.lit(0.0), c(q, "lacks") - c(p, "lacks"))
+        beyond = F.least(c(p, "total") - c(p, "inside"), c(p, "most") * c(q, "beyond"))
+        return (on_star + beyond) / c(p, "total")
+    return _joined(share(mine, theirs), share(theirs, mine))
+
+
 def _agreeing(least: float):
     """(v, marks, pv, pmarks) to the pairs (a, b) whose registers agree in a share of at least ``least``."""
     def agree(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -399,9 +418,12 @@ class NearDuplicates:
         near = near.select("key", F.xxhash64("key", "u_class", "v_class").alias("part"),
                            F.explode(F.array_distinct(F.array("u_class", "v_class"))).alias("class"))
         by_class = classed.select("key", "v", "class").join(near.hint("merge"), ["key", "class"]).select("key", "v", "part")
-        parts = by_shingle.unionByName(by_class).distinct()
-        return parts.join(rows.select("key", "v", "comp", "marks", "similarity").hint("merge"), ["key", "v"]).select(
-            F.col("part").alias("key"), "v", "comp", "marks", "similarity")
+        parts = self.scratch.keep(by_shingle.unionByName(by_class).distinct(), "members")
+        # Shingles of one edit have the same members: one of equal groups is enough, and none of a single one.
+        sums = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("v").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64("v", F.lit(1))).alias("x")]
+        one = parts.groupBy("key", "part").agg(*sums).where("n > 1").groupBy("key", "n", "s", "x").agg(F.min("part").alias("part"))
+        parts = parts.join(one.select("key", "part").hint("merge"), ["key", "part"], "left_semi")
+        return parts.join(rows.hint("merge"), ["key", "v"]).drop("key").withColumnRenamed("part", "key")
 
     def _more_pairs(self, star: DataFrame, labels: DataFrame, bodies: DataFrame) -> Iterator[DataFrame]:
         """Pairs (a, b) still to be verified, a frame per round; groups with few members apart are done in the first."""
@@ -416,14 +438,14 @@ class NearDuplicates:
         outside = keep(self._outside(rows), "outside")
         direct = outside.where(F.col("others") * F.col("size") <= DIRECT)
         large = outside.where(F.col("others") * F.col("size") > DIRECT)
-        fields = ["key", "v", "comp", "marks", "similarity"]
+        fields = ["key", "v", "comp", "marks", "similarity", *MEASURES]
         groups, turn = rows.select(fields), direct.select(fields)
         many = None
         if large.take(1):
             whole = rows.join(large.select("key").distinct().hint("merge"), "key", "left_semi")
             parts = keep(self._refined(whole, large, bodies), "parts")
             inner = keep(self._outside(parts), "outside-parts")
-            groups = rows.join(direct.select("key").distinct().hint("merge"), "key", "left_semi").select(fields).unionByName(parts)
+            groups = rows.join(direct.select("key").distinct().hint("merge"), "key", "left_semi").select(fields).unionByName(parts.select(fields))
             turn = turn.unionByName(inner.where(F.col("others") <= self.few).select(fields))
             many = inner.where(F.col("others") > self.few).select(fields)
         pivoted, slot = None, F.pmod(F.xxhash64("v"), F.lit(self.pivots)).alias("slot")
@@ -439,9 +461,10 @@ class NearDuplicates:
             if turn is None:
                 return
             p = turn.select("key", F.col("v").alias("pv"), F.col("comp").alias("pc"), F.col("marks").alias("pmarks"),
-                            F.col("similarity").alias("ps"))
+                            F.col("similarity").alias("ps"), *[F.col(m).alias(f"p{m}") for m in MEASURES])
             far = 1 - self.threshold + 1e-9
-            pairs = groups.join(p.hint("merge"), "key").where((F.col("comp") != F.col("pc")) & (F.abs(F.col("similarity") - F.col("ps")) <= far))
+            pairs = groups.join(p.hint("merge"), "key").where(
+                (F.col("comp") != F.col("pc")) & (F.abs(F.col("similarity") - F.col("ps")) <= far) & (pair_bound() >= self.threshold - 1e-9))
             agree = AGREE - THRESHOLD + self.threshold
             yield pairs.select("v", "marks", "pv", "pmarks").mapInArrow(_agreeing(agree), "a long, b long").distinct()
             if not busy:

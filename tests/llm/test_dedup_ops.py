@@ -172,6 +172,11 @@ def test_bound_of_texts_that_share_nothing_beyond_a_star(spark):
     flat = lambda m: (m[0], m[1] / m[0], m[2], m[3], m[3])
     df = spark.createDataFrame([(n, *map(float, (*flat(found[i]), *flat(found[j])))) for n, (i, j) in enumerate(pairs)],
                                "n int, " + ", ".join(f"{c} double" for c in cols))
+    every = list(itertools.combinations(range(len(texts)), 2))
+    names = [f"{p}{c}" for p in ("", "p") for c in pm.MEASURES]
+    both = spark.createDataFrame([(n, *found[i], *found[j]) for n, (i, j) in enumerate(every)], "n int, " + ", ".join(f"{c} double" for c in names))
+    for r in both.select("n", pm.pair_bound().alias("bound")).collect():
+        assert pm.probability_jaccard(texts[every[r.n][0]], texts[every[r.n][1]]) <= r.bound + 1e-9
     tight = 0
     for r in df.select("n", pm.shared_bound("u", "v").alias("bound")).collect():
         exact = pm.probability_jaccard(texts[pairs[r.n][0]], texts[pairs[r.n][1]])
