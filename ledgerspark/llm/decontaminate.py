@@ -13,11 +13,13 @@ which must equal the item word by word). The words that placeholders stand for a
 
 1. Benchmark items give their windows (hash, item, place, slots).
 2. Documents are canonicalised in tasks. A window leaves the task only if a
-   fixed-size bit map of the benchmark's window hashes has it, so what is
-   shuffled follows the matches, not the corpus.
-3. Windows are joined by hash. Per document and item the different places of
-   the item that the document has are counted; pairs with a share of at least
-   ``THRESHOLD`` of the item's windows go on.
+   bit map of the benchmark's window hashes has it (32 bits for each, 4 MB at least and 64 MB at
+   most), so what is shuffled follows the matches, not the corpus.
+3. A document with a share of at least ``THRESHOLD`` of an item's windows has one of any so many places of the item
+   that too few others are left. These are the item's places whose windows are rarest in the corpus: only they
+   are joined by hash to find pairs of document and item. The other windows, phrases that many items and documents
+   share among them, are looked up for the pairs found. Per pair the different places of
+   the item that the document has are counted; pairs with the share go on.
 4. Slot check: in the best run of the document, each value of the item's slots
    must stand for one value of the document's slots of the same type, and for
    names vice versa. Equal values: an exact copy; others: a re-parameterised one. Pairs
@@ -38,15 +40,15 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.common import Scratch, table, text_or_empty
 
 WORDS = 5
 THRESHOLD = 0.8
-#: Bits of the map of benchmark windows (a fixed 4 MB, whatever the benchmark's size).
-MAP_BITS = 25
+#: The map of benchmark windows has 2 to the power of so many bits at least and at most, 32 for each window between.
+MAP_BITS, MOST_MAP_BITS = 25, 29
 CACHE_WORDS = 150_000
 
 NUMBER_WORDS = frozenset("two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen "
@@ -275,6 +277,7 @@ def _emit(keep: list[str], bit_map: bytes | None):
     """Rows of (keep..., text) to rows per window: hash, place in its text, slots. ``bit_map``: a document's readings, only
     windows in it; without: an item's variants."""
     bits = None if bit_map is None else np.frombuffer(bit_map, np.uint8)
+    power = 0 if bits is None else (len(bits) * 8).bit_length() - 1
 
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         canonical = _WORDS
@@ -297,7 +300,7 @@ def _emit(keep: list[str], bit_map: bytes | None):
                     short, first, size = short_windows(doc, compared(own, plain), begin)
                     reads = [(read, hashes, at, np.minimum(at + WORDS, end[doc[at]]), []) for read, hashes, at in readings(doc, own, kinds, wide)]
                     for read, hashes, at, stop, mark in [*reads, (plain, short, first, first + size, [SAME])]:
-                        slot = hashes >> np.uint64(64 - MAP_BITS)
+                        slot = hashes >> np.uint64(64 - power)
                         found = np.flatnonzero(bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8) & 1)
                         hashes, at, stop = hashes[found], at[found], stop[found]
                         slotted = np.concatenate([[0], np.cumsum(read != WORD)])
@@ -315,19 +318,42 @@ def _emit(keep: list[str], bit_map: bytes | None):
 
 
 def _bit_map(hashes: DataFrame) -> bytes:
-    """The map of the windows' hashes: tasks name the map's bytes, Spark combines them by bitwise or.
+    """The map of the windows' hashes, sized by their number: tasks name the map's bytes, Spark combines them by bitwise or.
 
-    The driver gets at most 2 ** MAP_BITS / 8 rows, however large the benchmark is.
+    The driver gets at most a row for each of the map's bytes, 2 ** MOST_MAP_BITS / 8, however large the benchmark is.
     """
-    slot = f"shiftrightunsigned(hash, {64 - MAP_BITS})"
+    power = min(MOST_MAP_BITS, max(MAP_BITS, (32 * hashes.count()).bit_length()))
+    slot = f"shiftrightunsigned(hash, {64 - power})"
     set_bytes = hashes.select(F.expr(f"shiftright({slot}, 3)").alias("at"),
                               F.expr(f"shiftleft(1, cast({slot} & 7 AS int))").alias("bit"))
-    out = np.zeros(1 << (MAP_BITS - 3), np.uint8)
+    out = np.zeros(1 << (power - 3), np.uint8)
     for row in set_bytes.groupBy("at").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
         out[row["at"]] = row["bits"]
     return out.tobytes()
 
 
+PAIR = ["id", "text_hash", "item", "item_hash"]
+
+
+def candidates(found: DataFrame, item_windows: DataFrame, totals: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of document and item that share one of the item's rarest places.
+
+    A pair of the threshold has all but ``total - ceil(threshold * total)`` of the item's places, so one of any more than
+    these; which ones are taken changes the work only.
+    """
+    often = found.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+    places = item_windows.join(often.hint("merge"), "hash", "left").groupBy("item", "item_hash", "place").agg(
+        F.sum(F.coalesce("n", F.lit(0))).alias("n"))
+    own = F.col("p.item").eqNullSafe(F.col("t.item")) & (F.col("p.item_hash") == F.col("t.item_hash"))
+    places = places.alias("p").join(totals.alias("t").hint("merge"), own).select("p.*", "t.total")
+    rank = F.row_number().over(Window.partitionBy("item", "item_hash").orderBy("n", "place"))
+    most = F.col("total") - F.ceil(F.lit(threshold) * F.col("total") - 1e-9) + 1
+    rare = places.withColumn("rank", rank).where(F.col("rank") <= most)
+    same = F.col("w.item").eqNullSafe(F.col("r.item")) & (F.col("w.item_hash") == F.col("r.item_hash")) & (F.col("w.place") == F.col("r.place"))
+    keys = item_windows.alias("w").join(rare.alias("r").hint("merge"), same, "left_semi").select("hash", "item", "item_hash").distinct()
+    return found.select("id", "text_hash", "hash").join(keys.hint("merge"), "hash").select(*PAIR).distinct()
+
+
 def slots_agree(item: Iterable[tuple[str, str]], doc: Iterable[tuple[str, str]], back_too: frozenset[str] = frozenset(TYPES.values())) -> bool:
     """Whether paired slots (type, value) are of one type each and map each value to one value, and back for the types ``back_too``."""
     there: dict = {}
@@ -428,9 +454,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     rows = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("text_hash"), text.alias("text"))
     found = scratch.keep(rows.mapInArrow(_emit(["id", "text_hash"], bit_map), f"id {kinds['id']}, text_hash binary, {WINDOW}")
                          .distinct(), "found")
-    theirs = item_windows.select("hash", "item", "item_hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
-    matched = found.join(theirs.hint("merge"), "hash")
-    pair = ["id", "text_hash", "item", "item_hash"]
+    pair = PAIR
+    some = scratch.keep(candidates(found, item_windows, totals, threshold), "candidates")
+    theirs = item_windows.select("hash", F.col("item").alias("i"), F.col("item_hash").alias("h"), F.col("place").alias("item_place"),
+                                 F.col("slots").alias("item_slots"))
+    mine = found.select(F.col("id").alias("d"), F.col("text_hash").alias("t"), "hash", "place", "slots")
+    matched = some.join(mine, F.col("id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t"))).drop("d", "t")
+    matched = matched.withColumnRenamed("hash", "x").join(
+        theirs.hint("merge"), (F.col("x") == F.col("hash")) & F.col("item").eqNullSafe(F.col("i")) & (F.col("item_hash") == F.col("h")))
+    matched = scratch.keep(matched.select(*pair, "place", "slots", "item_place", "item_slots"), "matched")
     shares = matched.select(*pair, "item_place").distinct().groupBy(*pair).agg(F.count(F.lit(1)).alias("n"))
     shares = shares.join(totals.select(F.col("item").alias("i"), F.col("item_hash").alias("h"), "total"),
                          F.col("item").eqNullSafe(F.col("i")) & (F.col("item_hash") == F.col("h"))).drop("i", "h")
