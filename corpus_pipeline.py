@@ -9,7 +9,8 @@ the shared checkpoint folder and reads it again for the next one.
 2. line_dedup: lines in later copies of a run of at least 50 words go; a
    document keeps its row, also with an empty text; ``n_chars`` follows the text.
 3. near_dedup: one document of each group of near-duplicates (equal texts
-   among them) stays, that with the smallest doc_id.
+   among them) stays, that with the smallest doc_id. Documents that line dedup
+   has emptied are equal texts: one empty document of them all stays.
 4. decontamination: documents that hold a benchmark item go.
 5. sentencepiece: the documents with their piece ids.
 
