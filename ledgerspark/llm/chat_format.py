@@ -111,9 +111,9 @@ def format_chat(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "tu
     body = F.concat_ws("", visit_parts(F.col(parts_col)))
     head = F.when(learn, F.lit(LEARN)).otherwise(F.lit(READ))
     tail = F.when(learn, F.lit(LEARN_END)).otherwise(F.lit(READ_END))
-    row = F.struct(F.col(turn_col).alias("turn"), role.alias("role"),
-                   F.concat(head, escape(role), F.lit(BODY), body, tail).alias("line"),
-                   F.col(parts_col).alias("parts"))
+    # Turns of one number are in the order of their roles, then of their parts as given, not as escaped.
+    row = F.struct(F.col(turn_col).alias("turn"), role.alias("role"), F.col(parts_col).alias("parts"),
+                   F.concat(head, escape(role), F.lit(BODY), body, tail).alias("line"))
     per = turns.select(F.col(conv_col).alias("conv_id"), row.alias("row"))
     per = per.groupBy("conv_id").agg(F.sort_array(F.collect_list("row")).alias("rows"))
     found = F.flatten(F.transform("rows", lambda r, i: attachments_of(r["parts"], i)))

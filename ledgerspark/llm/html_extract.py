@@ -49,13 +49,20 @@ DROP_TAGS = frozenset("script style noscript template iframe noembed noframes sv
                       "button select textarea input dialog head title menu audio video map".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar "
                        "toolbar".split())
-#: Words in class or id that mark a part of the page as no article text.
+#: Words in class or id that mark a part of the page as no article text, wherever they stand in a name (main-nav).
 DROP_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar sidenav "
-    "side nav navbar navigation menu menubar footer foot masthead topbar breadcrumb breadcrumbs cookie cookies consent gdpr "
-    "notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related "
-    "recommended recommendations comment comments commentlist disqus respond reply replies widget widgets toolbar "
-    "pagination pager copyright hidden".split())
+    "adv advert adverts advertisement advertising adsense sponsor sponsored sidebar sidenav nav navbar navigation menu menubar "
+    "footer masthead topbar breadcrumb breadcrumbs cookie cookies consent gdpr popup modal newsletter subscribe subscription "
+    "signup login commentlist disqus respond pagination pager copyright".split())
+#: Words that mark it only alone or beside names of places (ad, related-posts), as they stand in other names too (ad-hoc, side-effects).
+WEAK_WORDS = frozenset(
+    "ad ads promo promotion banner side foot notice notices alert overlay share sharing social related recommended recommendations "
+    "comment comments reply replies widget widgets toolbar hidden".split())
+PLACE_WORDS = frozenset(
+    "a area article articles bar block body bottom box button buttons by card cell col column container content entry form google group "
+    "header icon icons id inline "
+    "inner item items left link links list main media middle module news outer page panel post posts right row section site slot space "
+    "sticky stories story text the top unit user wrap wrapper zone".split())
 HEAD_WORDS = frozenset(("header", "head"))
 GOOD_WORDS = frozenset("article content entry main post story text body".split())
 #: An open element that a start tag of the same group closes.
@@ -75,6 +82,15 @@ WORDS = re.compile(r"[a-z]+")
 DIGITS = re.compile(r"\d+")
 
 
+def marks_aside(names: str) -> bool:
+    """Whether a class or id (lower case, names between white space) marks a part that is no article text."""
+    for name in names.split():
+        words = set(WORDS.findall(name))
+        if words & DROP_WORDS or words & WEAK_WORDS and words <= WEAK_WORDS | PLACE_WORDS:
+            return True
+    return False
+
+
 class Page:
     """A page as flat lists: elements (tag, parent, dropped, path step) and blocks of text with their element."""
 
@@ -86,7 +102,7 @@ class Page:
         self._settle()
 
     def _open(self, tag: str, attrs: str, parent: int) -> int:
-        cls, words, drop = "", set(), tag in DROP_TAGS
+        cls, words, aside, drop = "", set(), False, tag in DROP_TAGS
         if attrs and ("=" in attrs or "hidden" in attrs):
             for name, a, b, c in ATTR.findall(attrs):
                 name, value = name.lower(), (a or b or c).lower()
@@ -94,13 +110,14 @@ class Page:
                     cls = ".".join(sorted(set(DIGITS.sub("#", value).split())))
                 if name in ("class", "id"):
                     words.update(WORDS.findall(value))
+                    aside = aside or marks_aside(value)
                 elif name == "role":
                     drop |= value in DROP_ROLES
                 elif name == "hidden" or name == "aria-hidden" and value == "true" \
                         or name == "style" and re.search(r"display\s*:\s*none", value):
                     drop = True
         inside = self.inside[parent]
-        drop |= not words.isdisjoint(DROP_WORDS) or (not inside and (tag == "header" or not words.isdisjoint(HEAD_WORDS)))
+        drop |= aside or (not inside and (tag == "header" or not words.isdisjoint(HEAD_WORDS)))
         self.parent.append(parent)
         self.tag.append(tag)
         self.step.append(f"{tag}.{cls}" if cls else tag)
@@ -108,7 +125,7 @@ class Page:
         self.inside.append(inside or main)
         self.linked.append(self.linked[parent] or tag == "a")
         self.drop.append(drop and not main and tag not in ("html", "body")
-                         or tag == "article" and not words.isdisjoint(DROP_WORDS))
+                         or tag == "article" and aside)
         self.good.append(main or not words.isdisjoint(GOOD_WORDS))
         self.keep.append(tag == "main" or tag == "article" and not self.drop[-1] or tag == "h1")
         return len(self.tag) - 1

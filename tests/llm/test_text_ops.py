@@ -55,6 +55,23 @@ def test_extract_main_text(spark):
     assert got[(0, "http://blog.example.org/p/0")].path == got[(7, "http://blog.example.org/p/7")].path
 
 
+@pytest.mark.parametrize("name,aside", [
+    ("ad", True), ("ad-hoc", False), ("side-effects", False), ("related-work", False), ("share-price", False), ("related-posts", True),
+    ("ad-box top", True), ("main-nav", True), ("post-comments", True), ("comment", True), ("footnotes", False), ("site-footer", True),
+    ("story", False), ("text body", False), ("social-history", False), ("notice", True), ("x ad", True), ("", False)])
+def test_names_of_article_parts_and_others(name, aside):
+    assert hx.marks_aside(name) == aside
+
+
+def test_article_blocks_with_marking_words_in_longer_names_stay(spark):
+    inner = "".join(f'<div class="{c}"><p>Paragraph {i} of the article tells what {c} means, at some length.</p></div>'
+                    for i, c in enumerate(["ad-hoc", "side-effects", "related-work", "share-price"]))
+    html = f"<html><body><div class='main-nav'><a href='/'>Home</a></div><article>{inner}<div class='ad'>Buy now</div></article></body></html>"
+    df = spark.createDataFrame([(1, "http://a.example/x", html)], "page_id long, url string, html string")
+    text = hx.extract_main_text(df).first().text
+    assert text.count("Paragraph") == 4 and "Buy now" not in text and "Home" not in text
+
+
 def test_extract_empty_table(spark):
     assert hx.extract_main_text(pages_of(spark, [])).count() == 0
 
@@ -101,6 +118,13 @@ def test_chat_parts_and_attachments(spark):
     assert r.expanded_tokens == 4 + 125 + 2048
 
 
+def test_chat_turns_of_one_number_in_the_order_of_their_texts(spark):
+    rows = [(1, 0, "user", t) for t in ("<s> x", "<a x", "[INST] b", "A", "", "z")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("parts", cf.text_part(F.col("text")))
+    got = cf.format_chat(df).select(cf.parse_chat(F.col("formatted")).alias("t")).first().t
+    assert [x.body for x in got] == sorted(t for *_, t in rows)
+
+
 def test_chat_null_parts_and_empty_table(spark):
     df = spark.createDataFrame([(1, 0, "user", None)], "conv_id long, turn long, role string, text string")
     assert cf.format_chat(df.select("*", F.lit(None).cast(f"array<{cf.PART.simpleString()}>").alias("parts"))).first().formatted \
@@ -274,6 +298,29 @@ def test_leaks_short_items_in_longer_documents(spark):
     assert [(d, i, k) for d, i, k, _ in leaks(spark, docs, items)] == [(1, 1, "exact"), (2, 1, "exact"), (4, 2, "exact"), (6, 3, "exact")]
 
 
+def test_leaks_behind_a_phrase_that_all_items_share(spark):
+    """Documents and items that share only a common phrase never meet; those that share an item do."""
+    phrase = "which of the following is true about it"
+    items = [(i, " ".join(f"item{i}word{j}" for j in range(14)) + f" {phrase}") for i in range(60)]
+    docs = [(i, f"filler{i} text before {phrase} and after{i} it goes on") for i in range(500)]
+    docs += [(1000 + i, f"a page. {items[i][1]} and more") for i in range(0, 60, 6)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    met = []
+    real = dc.candidates
+
+    def counted(*a):
+        out = real(*a)
+        met.append(out.count())
+        return out
+    dc.candidates = counted
+    try:
+        found = {(r.doc_id, r.item_id) for r in dc.find_leaks(d, b).collect()}
+    finally:
+        dc.candidates = real
+    assert found == {(1000 + i, i) for i in range(0, 60, 6)} and met == [len(found)]
+
+
 def test_leaks_short_null_and_repeated_items(spark):
     items = [(1, "tiny item here"), (2, None), (3, ""), (4, "tiny item here"), (None, "one two three four five six"), (1, ITEM), (1, ITEM)]
     docs = [(1, "a tiny item here"), (2, "tiny item here"), (3, "zero one two three four five six seven"), (4, ITEM)]
