@@ -853,9 +853,9 @@ def source_tests_sql() -> str:
 
 
 # ---------------------------------------------------------------- corpus of files
-cte("corpus_rows", """SELECT coalesce(source, 'none') AS layer, doc_id // 50 AS part, doc_id, coalesce(text, '') AS text,
+cte("corpus_rows", """SELECT coalesce(nullif(source, ''), 'none') AS layer, doc_id // 500 AS part, doc_id, coalesce(text, '') AS text,
   coalesce(lang, 'und') AS lang FROM documents""")
-cte("corpus_langs", "SELECT layer, part, lang, count(*) AS n FROM corpus_rows WHERE part % 3 <> 2 GROUP BY ALL", ("corpus_rows",))
+cte("corpus_langs", "SELECT layer, part, lang, count(*) AS n FROM corpus_rows WHERE (part + ascii(right(layer, 1))) % 3 <> 2 GROUP BY ALL", ("corpus_rows",))
 cte("corpus_yml", """SELECT layer, part, 'version: 2' || chr(10) || chr(10) || 'models:' || chr(10) || '  - name: part_' || CAST(part AS VARCHAR)
     || chr(10) || '    # by language' || chr(10) || '    columns:' || chr(10)
     || string_agg('      - name: ' || lang || chr(10) || '        tests:' || chr(10) || CASE WHEN n % 2 = 0 THEN '          - not_null' || chr(10)

@@ -5,6 +5,8 @@ Only markers and listings of a few names go this way; tables are written and rea
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
@@ -54,13 +56,14 @@ def rename_parts(spark: SparkSession, source: str, target: str, suffix: str) ->
     fs, root = _at(spark, source)
     path = spark._jvm.org.apache.hadoop.fs.Path
     value = lambda name: spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(name.split("=", 1)[1])
-    for layer in fs.listStatus(root):
-        if not layer.isDirectory():
-            continue
+
+    def move(layer) -> None:
         folder = f"{target}/{value(layer.getPath().getName())}"
         fs.mkdirs(path(folder))
         for part in fs.listStatus(layer.getPath()):
-            files = [f.getPath() for f in fs.listStatus(part.getPath()) if f.getPath().getName().startswith("part-")]
-            for f in files:
-                fs.rename(f, path(f"{folder}/part_{value(part.getPath().getName())}.{suffix}"))
+            for f in fs.listStatus(part.getPath()):
+                if f.getPath().getName().startswith("part-"):
+                    fs.rename(f.getPath(), path(f"{folder}/part_{value(part.getPath().getName())}.{suffix}"))
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(move, [x for x in fs.listStatus(root) if x.isDirectory()]))
     fs.delete(root, True)

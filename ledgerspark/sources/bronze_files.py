@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from ledgerspark.sources.bronze import FX_COLUMNS, GL_COLUMNS, PAYROLL_COLUMNS
 
-#: Documents of one corpus file.
-FILE_DOCUMENTS = 50
+#: A corpus file holds the documents of one source with ids in a range of so many.
+FILE_IDS = 500
 
 
 def _number(key: str) -> Column:
@@ -76,17 +76,18 @@ def write_bronze(gl: DataFrame, fx: DataFrame, payroll: DataFrame, root: str) ->
 
 
 def write_corpus(documents: DataFrame, root: str) -> None:
-    """``<root>/<source>/part_<n>.sql``: the texts of fifty documents by id, a line break after each; two of
+    """``<root>/<source>/part_<n>.sql``: the texts of a range of ids in their order, a line break after each; two of
     three files have a sidecar that declares a column for each of their languages."""
     from ledgerspark import shared
     spark = documents.sparkSession
-    part = F.floor(F.col("doc_id") / F.lit(FILE_DOCUMENTS))
-    rows = documents.select(F.coalesce("source", F.lit("none")).alias("layer"), part.alias("part"), "doc_id",
+    part = F.floor(F.col("doc_id") / F.lit(FILE_IDS))
+    rows = documents.select(F.coalesce(F.nullif(F.col("source"), F.lit("")), F.lit("none")).alias("layer"), part.alias("part"), "doc_id",
                             F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("und")).alias("lang"))
     raw = f"{root}-raw"
     folders = ["layer", "part"]
     rows.repartition("layer", "part").sortWithinPartitions("layer", "part", "doc_id").select(*folders, "text").write.partitionBy(*folders).text(f"{raw}/sql")
-    columns = rows.where(F.col("part") % 3 != 2).groupBy("layer", "part", "lang").agg(F.count(F.lit(1)).alias("n"))
+    with_sidecar = (F.col("part") + F.ascii(F.substring("layer", -1, 1))) % 3 != 2
+    columns = rows.where(with_sidecar).groupBy("layer", "part", "lang").agg(F.count(F.lit(1)).alias("n"))
     tests = F.when(F.col("n") % 2 == 0, F.lit("          - not_null\n")).otherwise(F.lit("          - unique\n          - accepted_values:\n              values: ['a', 'b']\n"))
     block = F.concat(F.lit("      - name: "), F.col("lang"), F.lit("\n        tests:\n"), tests)
     yml = columns.groupBy("layer", "part").agg(F.array_sort(F.collect_list(F.struct("lang", block.alias("block")))).alias("b"))
