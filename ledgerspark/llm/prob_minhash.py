@@ -40,7 +40,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.common import Scratch, table, text_or_empty
@@ -240,12 +240,17 @@ def _verifier(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _beyond(threshold: float):
-    """(v, b, text, text_b) to (v, b, e): shingles of v that b lacks, by hash, until they weigh more than 1 - threshold of v."""
+    """(v, b, text, text_b) to (v, b, e, short): shingles of v that b lacks, by hash, as long as those before weigh at most
+    1 - threshold of v; ``short``: at most the part of v that the other text may lack if it lacks no less of it than v does of the other.
+
+    In every pair of the threshold that shares such shingles the first of them is among either's, and short in one of them.
+    """
+    half = (1 / threshold - 1) / 2
     def beyond(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             known, held = None, np.empty(0, np.uint64)
             for batch in batches:
-                vs, bs, es = [], [], []
+                vs, bs, es, near = [], [], [], []
                 for v, b, ta, tb in zip(*(batch.column(c).to_pylist() for c in ("v", "b", "text", "text_b"))):
                     if b != known:
                         known, held = b, shingles([tb])[1]
@@ -253,11 +258,13 @@ def _beyond(threshold: float):
                     own = ~np.isin(value, held, assume_unique=True)
                     before = np.cumsum(weight[own]) - weight[own]
                     some = value[own][before <= (1 - threshold + 1e-9) * weight.sum()]
+                    near.append(before[:some.size] <= (half / (1 + half) + 1e-9) * weight.sum())
                     vs.append(np.full(some.size, v))
                     bs.append(np.full(some.size, b))
                     es.append(some.astype(np.int64))
                 join = lambda x: pa.array(np.concatenate([np.empty(0, np.int64), *x]).astype(np.int64))
-                yield pa.RecordBatch.from_arrays([join(vs), join(bs), join(es)], ["v", "b", "e"])
+                yield pa.RecordBatch.from_arrays([join(vs), join(bs), join(es), pa.array(np.concatenate([np.empty(0, bool), *near]))],
+                                                 ["v", "b", "e", "short"])
     return beyond
 
 
@@ -277,14 +284,15 @@ def _joined(x: Column, y: Column) -> Column:
     return F.when((x > 0) & (y > 0), 1 / (1 / x + 1 / y - 1)).otherwise(F.lit(0.0))
 
 
-def pair_bound(mine: str = "", theirs: str = "p") -> Column:
+def pair_bound(mine: str = "", theirs: str = "p", sharing: Column | None = None) -> Column:
     """The same of any two texts by their measures beside one star: what a text shares beyond the star with another
-    weighs no more than all it has there, and than the other's number of such shingles at its own heaviest."""
+    weighs no more than all it has there, and than the other's number of such shingles at its own heaviest (nothing, if not ``sharing``)."""
     c = lambda p, n: F.col(f"{p}{n}")
 
     def share(p: str, q: str) -> Column:
         on_star = c(p, "inside") - c(p, "least") * F.greatest(F.lit(0.0), c(q, "lacks") - c(p, "lacks"))
         beyond = F.least(c(p, "total") - c(p, "inside"), c(p, "most") * c(q, "beyond"))
+        beyond = beyond if sharing is None else F.when(sharing, beyond).otherwise(F.lit(0.0))
         return (on_star + beyond) / c(p, "total")
     return _joined(share(mine, theirs), share(theirs, mine))
 
@@ -404,8 +412,8 @@ class NearDuplicates:
         that every pair with a member outside that may match is in one of them."""
         text = lambda c, name: bodies.select(F.col("v").alias(c), F.col("text").alias(name))
         pairs = rows.select("v", F.col("key").alias("b")).join(text("v", "text"), "v").join(text("b", "text_b").hint("merge"), "b")
-        more = pairs.select("v", "b", "text", "text_b").mapInArrow(_beyond(self.threshold), "v long, b long, e long")
-        by_shingle = more.select(F.col("b").alias("key"), "v", F.xxhash64("b", "e").alias("part"))
+        more = pairs.select("v", "b", "text", "text_b").mapInArrow(_beyond(self.threshold), "v long, b long, e long, short boolean")
+        by_shingle = more.select(F.col("b").alias("key"), "v", F.xxhash64("b", "e").alias("part"), "short", F.lit(True).alias("sharing"))
         # Classes of members by their share inside the star and what they lack of it.
         share = F.col("inside") / F.col("total")
         own = F.struct(F.floor(share * STEPS).alias("i"), F.floor(F.col("lacks") / (F.col("lacks") + F.col("total")) * 2 * STEPS).alias("j"))
@@ -417,13 +425,16 @@ class NearDuplicates:
         near = side("u").where("u_out > 0").join(side("v").hint("merge"), "key").where(shared_bound("u", "v") >= self.threshold - 1e-9)
         near = near.select("key", F.xxhash64("key", "u_class", "v_class").alias("part"),
                            F.explode(F.array_distinct(F.array("u_class", "v_class"))).alias("class"))
-        by_class = classed.select("key", "v", "class").join(near.hint("merge"), ["key", "class"]).select("key", "v", "part")
+        by_class = classed.select("key", "v", "class").join(near.hint("merge"), ["key", "class"]).select(
+            "key", "v", "part", F.lit(True).alias("short"), F.lit(False).alias("sharing"))
         parts = self.scratch.keep(by_shingle.unionByName(by_class).distinct(), "members")
         # Shingles of one edit have the same members: one of equal groups is enough, and none of a single one.
         sums = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("v").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64("v", F.lit(1))).alias("x")]
-        one = parts.groupBy("key", "part").agg(*sums).where("n > 1").groupBy("key", "n", "s", "x").agg(F.min("part").alias("part"))
-        parts = parts.join(one.select("key", "part").hint("merge"), ["key", "part"], "left_semi")
-        return parts.join(rows.hint("merge"), ["key", "v"]).drop("key").withColumnRenamed("part", "key")
+        equal = parts.groupBy("key", "part", "sharing").agg(*sums).where("n > 1")
+        first = F.min("part").over(Window.partitionBy("key", "sharing", "n", "s", "x")).alias("first")
+        equal = equal.select("key", "part", "sharing", first)
+        parts = parts.join(equal.hint("merge"), ["key", "part", "sharing"]).groupBy("key", "first", "sharing", "v").agg(F.max("short").alias("short"))
+        return parts.join(rows.drop("short", "sharing").hint("merge"), ["key", "v"]).drop("key").withColumnRenamed("first", "key")
 
     def _more_pairs(self, star: DataFrame, labels: DataFrame, bodies: DataFrame) -> Iterator[DataFrame]:
         """Pairs (a, b) still to be verified, a frame per round; groups with few members apart are done in the first."""
@@ -434,11 +445,11 @@ class NearDuplicates:
         info = self.texts.select("v", "marks").join(labels, "v", "left").select(
             "v", "marks", F.coalesce("label", "v").alias("comp"))
         rows = star.join(apart.hint("merge"), "b", "left_semi").withColumnRenamed("a", "v").join(info.hint("merge"), "v")
-        rows = keep(rows.withColumnRenamed("b", "key"), "open")
+        rows = keep(rows.withColumnRenamed("b", "key").withColumns({"short": F.lit(True), "sharing": F.lit(True)}), "open")
         outside = keep(self._outside(rows), "outside")
         direct = outside.where(F.col("others") * F.col("size") <= DIRECT)
         large = outside.where(F.col("others") * F.col("size") > DIRECT)
-        fields = ["key", "v", "comp", "marks", "similarity", *MEASURES]
+        fields = ["key", "v", "comp", "marks", "similarity", "short", "sharing", *MEASURES]
         groups, turn = rows.select(fields), direct.select(fields)
         many = None
         if large.take(1):
@@ -461,10 +472,11 @@ class NearDuplicates:
             if turn is None:
                 return
             p = turn.select("key", F.col("v").alias("pv"), F.col("comp").alias("pc"), F.col("marks").alias("pmarks"),
-                            F.col("similarity").alias("ps"), *[F.col(m).alias(f"p{m}") for m in MEASURES])
+                            F.col("similarity").alias("ps"), F.col("short").alias("pshort"), *[F.col(m).alias(f"p{m}") for m in MEASURES])
             far = 1 - self.threshold + 1e-9
             pairs = groups.join(p.hint("merge"), "key").where(
-                (F.col("comp") != F.col("pc")) & (F.abs(F.col("similarity") - F.col("ps")) <= far) & (pair_bound() >= self.threshold - 1e-9))
+                (F.col("comp") != F.col("pc")) & (F.abs(F.col("similarity") - F.col("ps")) <= far) & (F.col("short") | F.col("pshort"))
+                & (pair_bound(sharing=F.col("sharing")) >= self.threshold - 1e-9))
             agree = AGREE - THRESHOLD + self.threshold
             yield pairs.select("v", "marks", "pv", "pmarks").mapInArrow(_agreeing(agree), "a long, b long").distinct()
             if not busy:
