@@ -302,7 +302,7 @@ def scan(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col:
     # Only lines with an anchor in them or in the next one begin a window; a notice has a word at least in each line that
     # it is wrapped into.
     begins = F.filter(F.sequence(F.lit(1), F.size("lines")), lambda i: F.element_at("anchors", i) | F.coalesce(F.get("anchors", i), F.lit(False)))
-    rows = rows.where(F.exists("anchors", lambda a: a)).select("id", "row", "lines", "anchors", begins.alias("begins"))
+    rows = rows.select("id", "row", "lines", "anchors", begins.alias("begins"))
     window = F.transform("begins", lambda i: F.struct(
         (i - 1).alias("pos"), F.element_at("lines", i).alias("line"), F.element_at("anchors", i).alias("own"),
         F.array_join(F.slice("lines", i, MOST_WORDS), "\n").alias("near")))
