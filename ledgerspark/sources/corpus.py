@@ -8,7 +8,7 @@ both scans are joined by the path without its extension.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 NO_YAML = "No YAML file found."
@@ -21,12 +21,16 @@ def _files(spark: SparkSession, root: str, glob: str) -> DataFrame:
     return df.withColumn("stem", F.regexp_replace("path", r"\.[^./]+$", ""))
 
 
+def layer_of(path: str = "path") -> Column:
+    """A file's layer: the name of its folder."""
+    return F.regexp_extract(path, r"/([^/]+)/[^/]+$", 1)
+
+
 def read_sql_corpus(spark: SparkSession, root: str, glob: str = "*.sql", yaml_glob: str = "*.yml",
                     no_yaml: str = NO_YAML) -> DataFrame:
     """One row per model file: model_name, layer, text, path and ``yml_content`` (``no_yaml`` where there is no sidecar)."""
     name = F.regexp_extract("path", r"/([^/]+)\.[^./]+$", 1)
-    layer = F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1)
-    models = _files(spark, root, glob).withColumns({"model_name": name, "layer": layer}).where(~F.col("model_name").startswith("_"))
+    models = _files(spark, root, glob).withColumns({"model_name": name, "layer": layer_of()}).where(~F.col("model_name").startswith("_"))
     sidecars = _files(spark, root, yaml_glob).select("stem", F.col("text").alias("yml"))
     return models.join(sidecars, "stem", "left").select(
         "model_name", "layer", "text", "path", F.coalesce("yml", F.lit(no_yaml)).alias("yml_content"))

@@ -256,3 +256,45 @@ def test_write_back_cuts_lineage_in_the_shared_folder(spark):
     assert "FileScan parquet" in plan and "HashAggregate" not in plan and "Range" not in plan
     assert ckpt.rstrip("/").split("/")[-1] in plan
     assert sorted(out.collect()) == sorted(df.collect())
+
+
+# ---------------------------------------------------------------- landed files at scale
+def _documents(spark):
+    return spark.createDataFrame([(3, "b", "s1", "en"), (1, "a\nx", "s1", "en"), (501, None, "s1", "de"), (2, "é", "", None), (2, "é", None, "fr"),
+                                  (None, "no id", "s1", "en")], "doc_id long, text string, source string, lang string")
+
+
+def test_corpus_files_are_named_by_their_tasks(spark, tmpdir_path, monkeypatch):
+    from ledgerspark import shared
+    from ledgerspark.sources import bronze_files
+
+    def refuse(*_):
+        raise AssertionError("the driver renames every file")
+    monkeypatch.setattr(shared, "rename_parts", refuse)
+    root = f"{tmpdir_path}/corpus"
+    bronze_files.write_corpus(_documents(spark), root)
+    sql = {f"{d}/{f}": open(f"{root}/{d}/{f}", encoding="utf-8").read() for d in os.listdir(root) for f in os.listdir(f"{root}/{d}") if f.endswith(".sql")}
+    assert sql == {"s1/part_0.sql": "a\nx\nb\n", "s1/part_1.sql": "\n", "none/part_0.sql": "é\né\n",
+                   "s1/part___HIVE_DEFAULT_PARTITION__.sql": "no id\n"}
+    assert not [f for _, _, files in os.walk(root) for f in files if f.startswith(".") and not f.endswith(".crc")]
+
+
+def test_corpus_files_are_the_same_by_both_ways(spark, tmpdir_path, monkeypatch):
+    from ledgerspark import shared
+    from ledgerspark.sources import bronze_files
+    rows = []
+    for i, reaches in enumerate((True, False)):
+        monkeypatch.setattr(shared, "arrow_reaches", lambda _, r=reaches: r)
+        bronze_files.write_corpus(_documents(spark), f"{tmpdir_path}/corpus{i}")
+        rows.append(sorted((r.layer, r.model_name, r.text, r.yml_content) for r in corpus.read_sql_corpus(spark, f"{tmpdir_path}/corpus{i}").collect()))
+    assert rows[0] == rows[1] and len(rows[0]) == 4
+
+
+def test_sidecars_are_written_by_many_tasks(spark, tmpdir_path, monkeypatch):
+    from ledgerspark import shared
+    from ledgerspark.sources import bronze_files
+    seen, write = {}, shared.write_named
+    monkeypatch.setattr(shared, "write_named", lambda rows, root, suffix: (seen.update({suffix: rows.rdd.getNumPartitions()}), write(rows, root, suffix)))
+    bronze_files.write_corpus(_documents(spark), f"{tmpdir_path}/corpus")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert seen == {"sql": n, "yml": n}
