@@ -298,3 +298,13 @@ def test_sidecars_are_written_by_many_tasks(spark, tmpdir_path, monkeypatch):
     bronze_files.write_corpus(_documents(spark), f"{tmpdir_path}/corpus")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert seen == {"sql": n, "yml": n}
+
+
+def test_deliveries_are_compressed(spark, tmpdir_path):
+    from ledgerspark.sources import bronze, bronze_files
+    gl = g.gen_gl(spark, 90)
+    bronze_files.write_bronze(gl, g.gen_fx(spark), g.gen_payroll(spark, 30), tmpdir_path)
+    files = bronze.csv_files(spark, f"{tmpdir_path}/erp_gl_entries.csv")
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    back = bronze.read_csv_source(spark, tmpdir_path, "erp_gl_entries")
+    assert {r.entry_id for r in gl.select("entry_id").collect()} <= {r.entry_id for r in back.collect()}
