@@ -308,3 +308,12 @@ def test_deliveries_are_compressed(spark, tmpdir_path):
     assert files and all(f.endswith(".csv.gz") for f in files)
     back = bronze.read_csv_source(spark, tmpdir_path, "erp_gl_entries")
     assert {r.entry_id for r in gl.select("entry_id").collect()} <= {r.entry_id for r in back.collect()}
+
+
+def test_marts_need_no_written_mapping(spark):
+    from ledgerspark import shared
+    from ledgerspark.plans.ledger import Ledger
+    lg = Ledger(spark, "/root/testdata/sf0.001", persist=True)
+    assert lg.pnl.count() and lg.cost_analysis.count() and lg.revenue_trends.count()
+    written = shared.names(spark, lg.path("."))
+    assert "mart_pnl_summary" in written and "int_entries_cost_centre_mapped" not in written
