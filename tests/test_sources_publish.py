@@ -317,3 +317,14 @@ def test_marts_need_no_written_mapping(spark):
     assert lg.pnl.count() and lg.cost_analysis.count() and lg.revenue_trends.count()
     written = shared.names(spark, lg.path("."))
     assert "mart_pnl_summary" in written and "int_entries_cost_centre_mapped" not in written
+
+
+def test_a_rule_is_grouped_by_its_number(spark):
+    from ledgerspark.operators import checks as C
+    a = spark.createDataFrame([("x",), ("x",), (None,)], "k string")
+    b = spark.createDataFrame([("y",), (None,)], "k string")
+    rules = {"a": [C.unique("k"), C.not_null("k")], "b": [C.unique("k"), C.relationship("k", "a", "k")]}
+    out = C.evaluate_models({"a": a, "b": b}, rules, {"a": a, "b": b})
+    assert sorted((r.model, r.rule_no, r.failures) for r in out.collect()) == [("a", 0, 1), ("a", 1, 1), ("b", 0, 0), ("b", 1, 1)]
+    keys = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [" in x and "key#" in x]
+    assert keys and not any("model#" in x for x in keys)
