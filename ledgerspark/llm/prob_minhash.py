@@ -11,13 +11,15 @@ Two registers agree with the probability Jaccard similarity of the texts.
 2. Registers in bands give bucket keys. Every bucket links its members to one of
    them, the text that most others share buckets with (a star, not all pairs), each pair is verified by the exact
    probability Jaccard of the texts, and linked texts are joined to components.
-3. A star that left members apart goes on with its members outside its largest component. Where these and
-   the star's members are few, they are compared. Otherwise the star's text is the measure: two texts that
+3. A star that left members apart goes on with its members outside its largest component. Where these are
+   few (``DIRECT``), they are compared with all its members. Otherwise the star's text is the measure: two texts that
    share no shingle beyond it are bounded by what either has of it (``shared_bound``), so a pair is compared only if both
-   hold one more shingle, which is found by a join on those shingles (of a text's, in the order of their hashes, only
-   so many as carry more weight than two texts of the threshold may differ in), or if the bound of
+   hold one more shingle, which is found by a join on those shingles (of a text's, those that the fewest of the star's
+   members hold first, only so many as carry more weight than two texts of the threshold may differ in: what a text
+   holds alone fills its share and joins nothing), or if the bound of
    their classes of equal measures allows it. Inside these smaller groups members are compared all at once where
-   they are few, a fixed number at a time where they are many, until none is left. The distance is a metric, so pairs
+   they are few, a fixed number at a time where they are many, until none is left; two members outside meet once. The
+   distance is a metric, so pairs
    whose distances to the star differ by more than the allowed distance are known not to match; of the
    others only pairs whose registers agree often enough (``AGREE``, five standard errors below the
    threshold) are verified by their texts. No bucket is cut off.
@@ -51,13 +53,15 @@ BANDS, ROWS = 36, 7
 REGISTERS = BANDS * ROWS
 #: Groups with so many members outside their largest component compare all of them at once; others PIVOTS a round.
 FEW, PIVOTS = 4096, 512
-#: Stars with at most so many pairs (members outside the largest component times members) are compared without a refinement.
-DIRECT = 50_000
+#: Stars with at most so many members outside the largest component are compared without a refinement: so many pairs a member.
+DIRECT = 128
 #: Steps of either measure that members are classed by.
 STEPS = 40
 #: Share of agreeing registers below which a pair of similarity THRESHOLD is five standard errors away.
 AGREE = THRESHOLD - 5 * (THRESHOLD * (1 - THRESHOLD) / REGISTERS) ** 0.5
 GROUP_BYTES = 2_000_000
+#: Shingles that a task hands on at a time, with the text that passes it.
+BATCH_SHINGLES = 200_000
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x100000001B3)
@@ -239,33 +243,45 @@ def _verifier(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              ["a", "b", "similarity", *MEASURES])
 
 
-def _beyond(threshold: float):
-    """(v, b, text, text_b) to (v, b, e, short): shingles of v that b lacks, by hash, as long as those before weigh at most
-    1 - threshold of v; ``short``: at most the part of v that the other text may lack if it lacks no less of it than v does of the other.
-
-    In every pair of the threshold that shares such shingles the first of them is among either's, and short in one of them.
+def _beyond(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(v, b, text, text_b) to (v, b, e, part): the shingles of v that b lacks, each with its part of v's weight."""
+    with np.errstate(over="ignore"):
+        known, held = None, np.empty(0, np.uint64)
+        for batch in batches:
+            out, size = [], 0
+            for v, b, ta, tb in zip(*(batch.column(c).to_pylist() for c in ("v", "b", "text", "text_b"))):
+                if b != known:
+                    known, held = b, shingles([tb])[1]
+                _, value, weight = shingles([ta])
+                own = ~np.isin(value, held, assume_unique=True)
+                n = int(own.sum())
+                out.append((np.full(n, v), np.full(n, b), value[own].astype(np.int64), weight[own] / weight.sum()))
+                size += n
+                if size >= BATCH_SHINGLES:
+                    yield _beyond_batch(out)
+                    out, size = [], 0
+            if out:
+                yield _beyond_batch(out)
+
+
+def _beyond_batch(out: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["v", "b", "e", "part"])
+
+
+def first_beyond(beyond: DataFrame, threshold: float) -> DataFrame:
+    """(v, b, e, part) to (v, b, e, short): of each text the shingles that others of the star hold too, the rarest of the star
+    first, as long as those before weigh at most 1 - threshold of v; ``short``: at most the part of v that the other text may
+    lack if it lacks no less of it than v does of the other.
+
+    In every pair of the threshold that shares such shingles the first of them is among either's, and short in one of them,
+    whichever order the star's texts have in common; in this one the fewest texts meet.
     """
     half = (1 / threshold - 1) / 2
-    def beyond(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with np.errstate(over="ignore"):
-            known, held = None, np.empty(0, np.uint64)
-            for batch in batches:
-                vs, bs, es, near = [], [], [], []
-                for v, b, ta, tb in zip(*(batch.column(c).to_pylist() for c in ("v", "b", "text", "text_b"))):
-                    if b != known:
-                        known, held = b, shingles([tb])[1]
-                    _, value, weight = shingles([ta])
-                    own = ~np.isin(value, held, assume_unique=True)
-                    before = np.cumsum(weight[own]) - weight[own]
-                    some = value[own][before <= (1 - threshold + 1e-9) * weight.sum()]
-                    near.append(before[:some.size] <= (half / (1 + half) + 1e-9) * weight.sum())
-                    vs.append(np.full(some.size, v))
-                    bs.append(np.full(some.size, b))
-                    es.append(some.astype(np.int64))
-                join = lambda x: pa.array(np.concatenate([np.empty(0, np.int64), *x]).astype(np.int64))
-                yield pa.RecordBatch.from_arrays([join(vs), join(bs), join(es), pa.array(np.concatenate([np.empty(0, bool), *near]))],
-                                                 ["v", "b", "e", "short"])
-    return beyond
+    held = beyond.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("b", "e")))
+    upto = F.sum("part").over(Window.partitionBy("b", "v").orderBy("n", "e").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    before = held.withColumn("before", upto - F.col("part"))
+    return before.where((F.col("n") > 1) & (F.col("before") <= 1 - threshold + 1e-9)).select(
+        "v", "b", "e", (F.col("before") <= half / (1 + half) + 1e-9).alias("short"))
 
 
 def shared_bound(u: str, v: str) -> Column:
@@ -400,27 +416,29 @@ class NearDuplicates:
         with_b = with_a.join(bodies.select(F.col("v").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
         return with_b.select("a", "b", "text_a", "text_b").mapInArrow(_verifier, VERIFIED)
 
-    def _outside(self, rows: DataFrame) -> DataFrame:
-        """The rows (key, v, comp, ...) outside their group's largest component, with ``others``, their number, and ``size``."""
+    def _marked(self, rows: DataFrame) -> DataFrame:
+        """The rows (key, v, comp, ...) of groups of several components with ``out`` (outside their group's largest one) and
+        ``others``, the number of these."""
         sizes = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-        largest = sizes.groupBy("key").agg(F.max_by("comp", F.struct("n", -F.col("comp"))).alias("largest"), F.sum("n").alias("size"),
+        largest = sizes.groupBy("key").agg(F.max_by("comp", F.struct("n", -F.col("comp"))).alias("largest"),
                                            (F.sum("n") - F.max("n")).alias("others")).where("others > 0")
-        return rows.join(largest.hint("merge"), "key").where("comp <> largest").drop("largest")
+        return rows.join(largest.hint("merge"), "key").withColumn("out", F.col("comp") != F.col("largest")).drop("largest")
 
-    def _refined(self, rows: DataFrame, outside: DataFrame, bodies: DataFrame) -> DataFrame:
+    def _refined(self, rows: DataFrame, bodies: DataFrame) -> DataFrame:
         """The members (key: star) again in smaller groups (key: star and shingle, or star and two classes of members), such
         that every pair with a member outside that may match is in one of them."""
         text = lambda c, name: bodies.select(F.col("v").alias(c), F.col("text").alias(name))
         pairs = rows.select("v", F.col("key").alias("b")).join(text("v", "text"), "v").join(text("b", "text_b").hint("merge"), "b")
-        more = pairs.select("v", "b", "text", "text_b").mapInArrow(_beyond(self.threshold), "v long, b long, e long, short boolean")
+        beyond = pairs.select("v", "b", "text", "text_b").mapInArrow(_beyond, "v long, b long, e long, part double")
+        more = first_beyond(beyond, self.threshold)
         by_shingle = more.select(F.col("b").alias("key"), "v", F.xxhash64("b", "e").alias("part"), "short", F.lit(True).alias("sharing"))
         # Classes of members by their share inside the star and what they lack of it.
         share = F.col("inside") / F.col("total")
         own = F.struct(F.floor(share * STEPS).alias("i"), F.floor(F.col("lacks") / (F.col("lacks") + F.col("total")) * 2 * STEPS).alias("j"))
-        classed = rows.select("key", "v", "total", share.alias("share"), "least", "lacks", own.alias("class"))
-        classes = classed.join(outside.select("key", "v", F.lit(1).alias("out")).hint("merge"), ["key", "v"], "left").groupBy("key", "class").agg(
+        classed = rows.select("key", "v", "total", share.alias("share"), "least", "lacks", own.alias("class"), "out")
+        classes = classed.groupBy("key", "class").agg(
             F.max("total").alias("total"), F.max("share").alias("share"), F.min("least").alias("least"), F.min("lacks").alias("lacks0"),
-            F.max("lacks").alias("lacks1"), F.count("out").alias("out"))
+            F.max("lacks").alias("lacks1"), F.count_if("out").alias("out"))
         side = lambda p: classes.select("key", *[F.col(c).alias(f"{p}_{c}") for c in classes.columns if c != "key"])
         near = side("u").where("u_out > 0").join(side("v").hint("merge"), "key").where(shared_bound("u", "v") >= self.threshold - 1e-9)
         near = near.select("key", F.xxhash64("key", "u_class", "v_class").alias("part"),
@@ -434,7 +452,8 @@ class NearDuplicates:
         first = F.min("part").over(Window.partitionBy("key", "sharing", "n", "s", "x")).alias("first")
         equal = equal.select("key", "part", "sharing", first)
         parts = parts.join(equal.hint("merge"), ["key", "part", "sharing"]).groupBy("key", "first", "sharing", "v").agg(F.max("short").alias("short"))
-        return parts.join(rows.drop("short", "sharing").hint("merge"), ["key", "v"]).drop("key").withColumnRenamed("first", "key")
+        own = rows.drop("short", "sharing", "out", "others")
+        return parts.join(own.hint("merge"), ["key", "v"]).drop("key").withColumnRenamed("first", "key")
 
     def _more_pairs(self, star: DataFrame, labels: DataFrame, bodies: DataFrame) -> Iterator[DataFrame]:
         """Pairs (a, b) still to be verified, a frame per round; groups with few members apart are done in the first."""
@@ -445,20 +464,17 @@ class NearDuplicates:
         info = self.texts.select("v", "marks").join(labels, "v", "left").select(
             "v", "marks", F.coalesce("label", "v").alias("comp"))
         rows = star.join(apart.hint("merge"), "b", "left_semi").withColumnRenamed("a", "v").join(info.hint("merge"), "v")
-        rows = keep(rows.withColumnRenamed("b", "key").withColumns({"short": F.lit(True), "sharing": F.lit(True)}), "open")
-        outside = keep(self._outside(rows), "outside")
-        direct = outside.where(F.col("others") * F.col("size") <= DIRECT)
-        large = outside.where(F.col("others") * F.col("size") > DIRECT)
-        fields = ["key", "v", "comp", "marks", "similarity", "short", "sharing", *MEASURES]
-        groups, turn = rows.select(fields), direct.select(fields)
-        many = None
+        rows = rows.withColumnRenamed("b", "key").withColumns({"short": F.lit(True), "sharing": F.lit(True)})
+        opened = keep(self._marked(rows), "open")
+        direct, large = opened.where(F.col("others") <= DIRECT), opened.where(F.col("others") > DIRECT)
+        fields = ["key", "v", "comp", "marks", "similarity", "short", "sharing", "out", *MEASURES]
+        groups = direct.select(fields)
+        turn, many = groups.where("out"), None
         if large.take(1):
-            whole = rows.join(large.select("key").distinct().hint("merge"), "key", "left_semi")
-            parts = keep(self._refined(whole, large, bodies), "parts")
-            inner = keep(self._outside(parts), "outside-parts")
-            groups = rows.join(direct.select("key").distinct().hint("merge"), "key", "left_semi").select(fields).unionByName(parts.select(fields))
-            turn = turn.unionByName(inner.where(F.col("others") <= self.few).select(fields))
-            many = inner.where(F.col("others") > self.few).select(fields)
+            parts = keep(self._marked(self._refined(large, bodies)), "parts")
+            groups = groups.unionByName(parts.select(fields))
+            turn = turn.unionByName(parts.where(F.col("out") & (F.col("others") <= self.few)).select(fields))
+            many = parts.where(F.col("out") & (F.col("others") > self.few)).select(fields)
         pivoted, slot = None, F.pmod(F.xxhash64("v"), F.lit(self.pivots)).alias("slot")
         while True:
             busy = False
@@ -475,7 +491,8 @@ class NearDuplicates:
                             F.col("similarity").alias("ps"), F.col("short").alias("pshort"), *[F.col(m).alias(f"p{m}") for m in MEASURES])
             far = 1 - self.threshold + 1e-9
             pairs = groups.join(p.hint("merge"), "key").where(
-                (F.col("comp") != F.col("pc")) & (F.abs(F.col("similarity") - F.col("ps")) <= far) & (F.col("short") | F.col("pshort"))
+                (F.col("comp") != F.col("pc")) & (~F.col("out") | (F.col("v") < F.col("pv")))
+                & (F.abs(F.col("similarity") - F.col("ps")) <= far) & (F.col("short") | F.col("pshort"))
                 & (pair_bound(sharing=F.col("sharing")) >= self.threshold - 1e-9))
             agree = AGREE - THRESHOLD + self.threshold
             yield pairs.select("v", "marks", "pv", "pmarks").mapInArrow(_agreeing(agree), "a long, b long").distinct()

@@ -6,6 +6,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -204,6 +205,34 @@ def test_dense_groups_around_a_star(spark, monkeypatch, few):
     assert {r.id: r.class_id for r in found} == {i: want[i, texts[i]] for i, _ in rows}
 
 
+def test_members_with_own_edits_do_not_meet_by_a_common_passage(spark, monkeypatch):
+    """Texts around a star that all hold one passage beside many edits of their own are told apart without comparing all
+    pairs; the near copies among them are linked."""
+    def every(least):
+        def pairs(batches):
+            for batch in batches:
+                v, p = (batch.column(c).to_numpy() for c in ("v", "pv"))
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(v, p)), pa.array(np.minimum(v, p))], ["a", "b"])
+        return pairs
+    counts, verify = [], pm.NearDuplicates._verify
+
+    def counted(self, pairs, bodies):
+        counts.append(pairs.count())
+        return verify(self, pairs, bodies)
+    monkeypatch.setattr(pm, "_agreeing", every)
+    monkeypatch.setattr(pm.NearDuplicates, "_verify", counted)
+    rng = random.Random(33)
+    base, passage = words(rng, 150), words(rng, 12)
+    held = base[:75] + passage + base[75:]
+    rows = [(i, " ".join(edited(rng, held, 9))) for i in range(160)]
+    rows += [(200 + i, " ".join(edited(rng, rows[i][1].split(), 1))) for i in range(8)]
+    rows.append((500, " ".join(base)))
+    found = pm.NearDuplicates(docs_of(spark, rows)).members().collect()
+    want, texts = near_brute(rows), dict(rows)
+    assert {r.id: r.class_id for r in found} == {i: want[i, texts[i]] for i, _ in rows}
+    assert sum(counts[1:]) < 5 * len(rows), counts
+
+
 def test_components_against_union_find(spark):
     rng = random.Random(8)
     edges = [(i + 1, i) for i in range(0, 30)] + [(100, i) for i in range(60, 99, 3)] + [(rng.randrange(200, 300), rng.randrange(200, 300))
