@@ -54,7 +54,7 @@ REGISTERS = BANDS * ROWS
 #: Groups with so many members outside their largest component compare all of them at once; others PIVOTS a round.
 FEW, PIVOTS = 4096, 512
 #: Stars with at most so many members outside the largest component are compared without a refinement: so many pairs a member.
-DIRECT = 128
+DIRECT = 16
 #: Steps of either measure that members are classed by.
 STEPS = 40
 #: Share of agreeing registers below which a pair of similarity THRESHOLD is five standard errors away.
