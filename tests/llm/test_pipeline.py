@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered_once():
     names = [k for k in __spark_entry__.queries() if k.startswith("op")]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14))
     assert set(registry.ORACLE) <= set(registry.QUERIES) and "pipeline" in __spark_entry__.queries()
     assert [s for s, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "decontamination", "sentencepiece"]
 
